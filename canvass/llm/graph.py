@@ -1,0 +1,28 @@
+"""Connected components of a table of links, by label propagation with pointer jumping."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ._shared import saved
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for every end of ``links`` (a, b): component is the smallest node that links reach.
+
+    Each round gives a node the smallest label around it, then the label of that label.  The labels are
+    written to the shared folder each round, so plans stay short and lost executors cost no recomputation.
+    Rounds grow with the logarithm of the longest chain; labels are aggregated before they are shuffled.
+    """
+    pairs = links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
+    edges = saved(pairs.select("a", "b").unionAll(pairs.select(F.col("b"), F.col("a"))).distinct(), "edges")
+    labels = saved(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_b")).select("node", F.least("node", "_b").alias("label")), "labels")
+    while True:
+        around = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        nearer = labels.join(around, labels["node"] == around["a"]).select("node", "label", F.least("label", "near").alias("new"))
+        jump = labels.select(F.col("node").alias("_at"), F.col("label").alias("_to"))
+        moved = saved(nearer.join(jump, nearer["new"] == jump["_at"], "left").select("node", F.least("new", F.coalesce("_to", "new")).alias("new"), F.col("label").alias("old")), "labels")
+        if not moved.where("new <> old").limit(1).count():
+            return moved.select("node", F.col("new").alias("component"))
+        labels = moved.select("node", F.col("new").alias("label"))
