@@ -6,5 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import evidence, lookups, results, shapes, texts
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+for _part in (results, lookups, evidence, texts, shapes):
+    QUERIES |= _part.catalog.queries
+    ORACLE_SQL |= _part.catalog.oracle
