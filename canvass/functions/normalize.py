@@ -139,15 +139,17 @@ def https_url(c: Column) -> Column:
     return F.when(c.rlike(r"^https://[^\s/?#]+([/?#]\S*)?$"), c)
 
 
-@F.pandas_udf("string")
-def nfkc_name(names: pd.Series) -> pd.Series:
-    """Compatibility form without format characters, dashes alike, other than word characters dropped.
-
-    Spark has no Unicode normalisation, hence the pandas function.
-    """
-
+def _nfkc(names: pd.Series) -> pd.Series:
     def one(name: str | None) -> str:
         text = "".join(ch for ch in unicodedata.normalize("NFKC", name or "") if unicodedata.category(ch) != "Cf")
         return "".join("-" if unicodedata.category(ch) == "Pd" else ch for ch in text if ch.isalnum() or ch == "_" or unicodedata.category(ch) == "Pd").lower()
 
     return names.map(one)
+
+
+def nfkc_name(c: Column) -> Column:
+    """Compatibility form without format characters, dashes alike, other than word characters dropped.
+
+    Spark has no Unicode normalisation, hence the pandas function.
+    """
+    return F.pandas_udf(_nfkc, "string")(c)
