@@ -74,9 +74,9 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 
 class Words:
-    """Words of a run of texts.  start, end: byte places; hash: of the lower-cased word; first: n + 1 word offsets."""
+    """Words of a run of texts.  start, end: byte places; hash: of the word, lower-cased by default; first: n + 1 word offsets."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, lower: bool = True) -> None:
         self.data, self.offsets = data, offsets
         inside = np.zeros(len(data) + 2, bool)
         inside[1:-1] = kind[data]
@@ -90,7 +90,7 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         up, down = powers(len(data) + 1)
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+        np.cumsum(((LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
         self._total, self._down = total, down
         self.hash = mix((total[self.end] - total[self.start]) * down[self.start])
 

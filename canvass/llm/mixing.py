@@ -5,7 +5,8 @@ and a fraction, the inclusion probability of one more copy.  The cube method mov
 the null space of the balancing constraints (number of documents, number of words) until all but a few are 0
 or 1.  The flight runs in blocks of ``block`` units; what each block leaves undecided (two units at most)
 meets in new blocks, level by level, until each source has one block left, whose landing is the
-outcome of the two open units that keeps the source's words nearest.  No task ever holds more than a block.
+outcome of the two open units that keeps the source's words nearest; in a source of a single block a few
+settled units may be exchanged as well.  No task ever holds more than a block.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from ._shared import saved
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3.0
 BLOCK = 2048
+EXCHANGES = 8
+CLOSE = 0.002
 _TINY = 1e-9
 
 
@@ -96,31 +99,45 @@ def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarra
     return pi
 
 
-def landing(pi: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Decide the last open units (two at most): the outcome that keeps the words nearest, then the count."""
+def landing(pi: np.ndarray, x: np.ndarray, wanted: float) -> np.ndarray:
+    """Decide the last open units (two at most): the outcome whose words are nearest to ``wanted``, then the count.
+
+    A large open unit can still cost much in a small source; up to EXCHANGES settled units are then turned
+    over, each time the one that brings the words nearest.
+    """
     pi = pi.copy()
     window = np.flatnonzero((pi > 0) & (pi < 1))
     outcomes = [np.array(o, float) for o in product((0.0, 1.0), repeat=len(window))]
     pi[window] = min(outcomes, key=lambda o: tuple(np.abs((o - pi[window]) @ x[window][:, ::-1]).round(9)))
+    words = x[:, 1]
+    for _ in range(EXCHANGES):
+        off = pi @ words - wanted
+        after = np.abs(off + np.where(pi > 0, -words, words))
+        best = int(after.argmin())
+        if abs(off) <= CLOSE * abs(wanted) or after[best] >= abs(off):
+            break
+        pi[best] = 1 - pi[best]
     return pi
 
 
-def _fly(seed: int, level: int, last: bool):
+def _fly(seed: int, level: int, last: bool, block: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         # Large units first: those left open at the end are small, and so is what the landing costs.
         group = group.sort_values(["words", "key"], ascending=[False, True], kind="stable").reset_index(drop=True)
         x = group[["rows", "words"]].to_numpy(float)
         x = x / np.maximum(np.abs(x).max(0), 1e-12)
         rng = _rng(seed, level, int(group["source_key"].iloc[0]), int(group["block"].iloc[0]))
-        pi = flight(group["pi"].to_numpy(float), x, rng)
-        group["pi"] = landing(pi, x) if last else pi
+        before = group["pi"].to_numpy(float)
+        after = flight(before, x, rng)
+        # A source that fits in one block lands at once, with all of its units at hand.
+        group["pi"] = landing(after, x, before @ x[:, 1]) if last or group["units"].iloc[0] <= block else after
         return group
 
     return run
 
 
-def _flown(units: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
-    return units.groupBy("source_key", "block").applyInPandas(_fly(seed, level, last), units.schema)
+def _flown(units: DataFrame, seed: int, level: int, last: bool, block: int) -> DataFrame:
+    return units.groupBy("source_key", "block").applyInPandas(_fly(seed, level, last, block), units.schema)
 
 
 def decisions(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most_copies: float = MOST_COPIES, block: int = BLOCK, seed: int = 20240607) -> DataFrame:
@@ -147,7 +164,7 @@ def decisions(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most_co
     })
     # Blocks of a source are dealt by a hash of the unit, so a source of any size becomes blocks of about ``block``.
     blocks = F.ceil(F.col("units") / block)
-    state = saved(_flown(units.withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), blocks)), seed, 0, False), "flight")
+    state = saved(_flown(units.withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), blocks)), seed, 0, False, block), "flight")
     decided = [state.where(_settled())]
     level, most = 1, -(-(plan.agg(F.max("units").alias("n")).first()["n"] or 0) // block)
     while True:
@@ -155,7 +172,7 @@ def decisions(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most_co
         most = -(-2 * most // block) if most > 1 else 1
         last = most == 1
         dealt = open_units.withColumn("block", F.lit(0).cast("long") if last else F.pmod(F.xxhash64("block", F.lit(seed + level)), F.lit(most)))
-        state = saved(_flown(dealt, seed, level, last), "flight")
+        state = saved(_flown(dealt, seed, level, last, block), "flight")
         decided.append(state if last else state.where(_settled()))
         if last:
             break

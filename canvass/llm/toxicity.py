@@ -168,11 +168,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int) -> DataFrame:
-    """(doc_id, text, y): labelled documents outside the held-out part; about ``most``, by a hash of the id."""
+    """(doc_id, text, y): labelled documents outside the held-out part; about ``most``, by a hash of the id.
+
+    The chosen ids, 16 bytes each and near ``most`` in number, are broadcast, so no text is shuffled.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (part_of(F.col("doc_id"), parts) != held)).groupBy("doc_id").agg(F.max(label).alias("y"))
     n = known.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_003)) / 1_000_003.0
-    return documents.select("doc_id", "text").join(known.where(draw <= F.lit(min(1.0, most / max(n, 1)))), "doc_id").where(F.col("text").isNotNull())
+    chosen = known.where(draw <= F.lit(min(1.0, most / max(n, 1))))
+    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
 
 
 def stems_of(rows: DataFrame, *, max_stems: int = MAX_STEMS, least_evidence: float = LEAST_EVIDENCE) -> dict[str, float]:
