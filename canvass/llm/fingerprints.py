@@ -24,6 +24,7 @@ FROM_LEVEL, LEVELS = 2, 9
 KEEP = 64
 BUCKET_ROWS = 4096
 SLICE = 1_000_000
+ROWS_AT_ONCE = 1000
 _SHIFT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -192,7 +193,7 @@ def edited(text: str, following: str) -> str:
 
 def _compare(batches):
     held = None  # the last row so far: its successor comes with the next batch
-    for batch in batches:
+    for batch in (whole.slice(i, ROWS_AT_ONCE) for whole in batches for i in range(0, whole.num_rows, ROWS_AT_ONCE)):
         table = pa.Table.from_batches([batch] if held is None else [held, batch])
         held = table.slice(table.num_rows - 1).combine_chunks().to_batches()[0]
         own = table.column("text")
