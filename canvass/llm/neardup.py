@@ -15,7 +15,6 @@ A document is the set of its distinct shingles.  Equal sets form a class and onl
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ COMMON_KEPT = 500_000  # such shingles that are broadcast, 8 bytes each; the mos
 TILE = 2048  # classes of a block in one task at most, and words of a family's tile below
 TILE_SHINGLES = 2_000_000
 BROADCAST_ROWS = 1_000_000
-GROUPS = (32, 256)
+GROUPS = (32, 1024)
 
 
 def _sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +136,10 @@ class _Forest:
         fresh = others[self.root[others] != self.root[i]]
         if not len(fresh):
             return fresh
+        if len(fresh) == 1:
+            a, b = sorted((int(self.root[i]), int(self.root[fresh[0]])))
+            self.root[self.root == b] = a
+            return fresh
         _, one = np.unique(self.root[fresh], return_index=True)
         trees = np.append(self.root[fresh[one]], self.root[i])
         self.root[np.isin(self.root, trees)] = trees.min()
@@ -149,97 +152,131 @@ def _least_overlap(n1, n2, percent: int):
 
 
 class RTree:
-    """Points packed by size into leaves of 16; a leaf has the largest count of each group and its sizes' range."""
+    """Points packed by size into leaves of 16; a leaf has the largest count of each group and its sizes' range.
+
+    Points of large sets have more groups; two points are compared in the groups of the coarser one.
+    """
 
     LEAF = 16
 
     def __init__(self, sizes: np.ndarray, points: list[np.ndarray]) -> None:
-        self.levels = sorted({len(p) for p in points})
-        self.order = np.lexsort((np.array([int(p.argmax()) for p in points]), sizes))
-        self.sizes = sizes
-        # Points folded to the coarsest group count of the task fit one array; finer ones follow pair by pair.
-        self.coarse = np.array([_folded(p, self.levels[0]) for p in points]).reshape(len(points), -1)
-        self.points = points
+        self.sizes, self.points = sizes, points
+        self.width = np.array([len(p) for p in points])
+        coarsest = int(self.width.min())
+        self.levels = {g: np.array([_folded(p, min(g, len(p))) if len(p) >= g else np.zeros(g, np.int32) for p in points]) for g in np.unique(self.width).tolist()}
+        self.coarsest = coarsest
+        self.order = np.argsort(sizes, kind="stable")
         starts = np.arange(0, len(points), self.LEAF)
-        packed = self.coarse[self.order]
-        self.top = np.maximum.reduceat(packed, starts) if len(points) else packed
+        self.top = np.maximum.reduceat(self.levels[coarsest][self.order], starts)
         self.low, self.high = sizes[self.order][starts], sizes[self.order][np.minimum(starts + self.LEAF, len(points)) - 1]
 
-    def near(self, size: int, point: np.ndarray, percent: int) -> np.ndarray:
-        """Members whose overlap with the point may suffice, by the sum of coordinate minima."""
-        own = _folded(point, self.levels[0])
-        fits = (self.low * percent <= size * 100) & (size * percent <= self.high * 100)
-        leaves = np.flatnonzero(fits)
-        bound = np.minimum(self.top[leaves], own).sum(1)
-        leaves = leaves[bound >= _least_overlap(size, np.maximum(self.low[leaves], -(-percent * size // 100)), percent)]
-        rows = self.order[(leaves[:, None] * self.LEAF + np.arange(self.LEAF)).ravel().clip(max=len(self.order) - 1)]
-        rows = np.unique(rows)
+    def near(self, i: int, percent: int) -> np.ndarray:
+        """Members whose overlap with member i may suffice, by the sum of coordinate minima; i is among them."""
+        size, point = int(self.sizes[i]), self.points[i]
+        own = _folded(point, self.coarsest)
+        leaves = np.flatnonzero((self.low * percent <= size * 100) & (size * percent <= self.high * 100))
+        least = _least_overlap(size, np.maximum(self.low[leaves], -(-percent * size // 100)), percent)
+        leaves = leaves[np.minimum(self.top[leaves], own).sum(1) >= least]
+        at = (leaves[:, None] * self.LEAF + np.arange(self.LEAF)).ravel()
+        rows = self.order[at[at < len(self.order)]]
         n = self.sizes[rows]
         rows = rows[(n * percent <= size * 100) & (size * percent <= n * 100)]
-        rows = rows[np.minimum(self.coarse[rows], own).sum(1) >= _least_overlap(size, self.sizes[rows], percent)]
-        if len(point) > self.levels[0] and len(rows) <= 64:
-            keep = []
-            for r in rows.tolist():
-                g = min(len(point), len(self.points[r]))
-                keep.append(np.minimum(_folded(point, g), _folded(self.points[r], g)).sum() >= _least_overlap(size, int(self.sizes[r]), percent))
-            rows = rows[np.array(keep, bool)]
-        return rows
+        keep = []
+        for g in np.unique(np.minimum(self.width[rows], len(point))).tolist():
+            own_rows = rows[np.minimum(self.width[rows], len(point)) == g]
+            bound = np.minimum(self.levels[g][own_rows], _folded(point, g)).sum(1)
+            keep.append(own_rows[bound >= _least_overlap(size, self.sizes[own_rows], percent)])
+        return np.concatenate(keep)
+
+
+def _may_match(n1: int, p1: np.ndarray, n2: int, p2: np.ndarray, percent: int) -> bool:
+    if n1 * percent > n2 * 100 or n2 * percent > n1 * 100:
+        return False
+    g = min(len(p1), len(p2))
+    return bool(np.minimum(_folded(p1, g), _folded(p2, g)).sum() >= _least_overlap(n1, n2, percent))
+
 
+def _grouped(batches, keys: list[str]):
+    """Whole groups of a partition that is sorted by ``keys``, as tables; the last of a batch waits for the next."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch]).combine_chunks()
+        columns = [table.column(k).to_numpy() for k in keys]
+        edges = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        edges = [0, *edges.tolist()]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield table.slice(a, b - a)
+        held = table.slice(edges[-1])
+    if held is not None and held.num_rows:
+        yield held
 
-def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
-    """Distinct members in a fixed order, and their tile: pairs within a tile belong to the tile's own task."""
-    group = group.drop_duplicates("id").sort_values(["n", "id"]).reset_index(drop=True)
-    return group, group["tile"].to_numpy()
 
+def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
-def _apart(tile: np.ndarray, i: int, rows: np.ndarray) -> np.ndarray:
-    return rows if tile[0] == tile[-1] and (tile == tile[0]).all() else rows[tile[rows] != tile[i]]
+
+def _other_tile(tile: np.ndarray, across: bool, i: int, rows: np.ndarray) -> np.ndarray:
+    """In a task of two tiles only pairs across count: those within a tile are the tile's own task."""
+    return rows[tile[rows] != tile[i]] if across else rows
 
 
 def _block_join(percent: int):
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        group, tile = _sides(group)
-        ids, sizes = group["id"].to_numpy(), group["n"].to_numpy()
-        points = [_counts(p) for p in group["point"]]
-        tree, forest, out = RTree(sizes, points), _Forest(len(ids)), []
-        for i in range(len(ids)):
-            near = tree.near(int(sizes[i]), points[i], percent)
-            for j in forest.join(i, _apart(tile, i, near[near != i])).tolist():
-                out.append((ids[i], ids[j]))
-        return pd.DataFrame(out, columns=["a", "b"])
+    def join(batches):
+        out: list[tuple[int, int]] = []
+        for group in _grouped(batches, ["block", "t1", "t2"]):
+            if group.num_rows < 2:
+                continue
+            ids, sizes, tile = (group.column(c).to_numpy() for c in ("id", "n", "tile"))
+            points = [_counts(p) for p in group.column("point").to_pylist()]
+            across = group.column("t1")[0].as_py() != group.column("t2")[0].as_py()
+            if len(ids) == 2:
+                if (not across or tile[0] != tile[1]) and _may_match(int(sizes[0]), points[0], int(sizes[1]), points[1], percent):
+                    out.append((ids[0], ids[1]))
+            else:
+                tree, forest = RTree(sizes, points), _Forest(len(ids))
+                for i in range(len(ids)):
+                    near = _other_tile(tile, across, i, tree.near(i, percent))
+                    out.extend((ids[i], ids[j]) for j in forest.join(i, near).tolist())
+            if len(out) > 50_000:
+                yield _pairs(out)
+                out = []
+        yield _pairs(out)
 
     return join
 
 
 def _family_join(percent: int):
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        group, tile = _sides(group)
-        ids, sizes = group["id"].to_numpy(), group["n"].to_numpy()
-        all_h = np.concatenate([np.frombuffer(s, np.int64) for s in group["shingles"]])
-        _, place = np.unique(all_h, return_inverse=True)
-        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        flag = np.zeros(int(place.max(initial=-1)) + 1, np.int32)
-        forest, out = _Forest(len(ids)), []
-        for i in range(len(ids) - 1):
-            # Rows stand by size: those of 100 n <= 100 size / percent follow.
-            last = int(np.searchsorted(sizes * percent, sizes[i] * 100, "right"))
-            rows = np.arange(i + 1, last)
-            rows = _apart(tile, i, rows)
-            rows = rows[forest.root[rows] != forest.root[i]]
-            if not len(rows):
-                continue
-            own = place[starts[i] : starts[i] + sizes[i]]
-            flag[own] = 1
-            a = rows[0]
-            both = np.add.reduceat(flag[place[starts[a] : starts[last - 1] + sizes[last - 1]]], starts[a:last] - starts[a])[rows - a]
-            flag[own] = 0
-            for j in forest.join(i, rows[100 * both >= percent * (sizes[i] + sizes[rows] - both)]).tolist():
-                out.append((ids[i], ids[j]))
-        return pd.DataFrame(out, columns=["a", "b"])
+    def join(batches):
+        for group in _grouped(batches, ["family", "t1", "t2"]):
+            ids, sizes, tile = (group.column(c).to_numpy() for c in ("id", "n", "tile"))
+            across = group.column("t1")[0].as_py() != group.column("t2")[0].as_py()
+            _, place = np.unique(np.concatenate([np.frombuffer(s, np.int64) for s in group.column("shingles").to_pylist()]), return_inverse=True)
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            flag = np.zeros(int(place.max(initial=-1)) + 1, np.int32)
+            forest, out = _Forest(len(ids)), []
+            for i in range(len(ids) - 1):
+                # Members stand by size: those that are not too large for i follow.
+                last = int(np.searchsorted(sizes * percent, sizes[i] * 100, "right"))
+                rows = _other_tile(tile, across, i, np.arange(i + 1, last))
+                rows = rows[forest.root[rows] != forest.root[i]]
+                if not len(rows):
+                    continue
+                own = place[starts[i] : ends[i]]
+                flag[own] = 1
+                a = rows[0]
+                both = np.add.reduceat(flag[place[starts[a] : ends[last - 1]]], starts[a:last] - starts[a])[rows - a]
+                flag[own] = 0
+                out.extend((ids[i], ids[j]) for j in forest.join(i, rows[100 * both >= percent * (sizes[i] + sizes[rows] - both)]).tolist())
+            yield _pairs(out)
 
     return join
 
 
+def _by_task(df: DataFrame, key: str) -> DataFrame:
+    return df.repartition(key, "t1", "t2").sortWithinPartitions(key, "t1", "t2", "n", "id")
+
+
 def _tiled(members: DataFrame, key: str, weight, most: int) -> DataFrame:
     """members with tile and task (t1, t2): a group over ``most`` by weight is cut into tiles, a member goes to
     every pair of tiles that holds its own."""
@@ -292,7 +329,7 @@ def classes(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[D
     ids = _small(saved(held.select("id").distinct(), "ids"))
     points = points.join(ids, "id", "left_semi")
     tasks = _tiled(saved(blocks, "blocks"), "block", F.lit(1), TILE).join(points, "id").select("block", "t1", "t2", "tile", "id", "n", "point")
-    possible = tasks.groupBy("block", "t1", "t2").applyInPandas(_block_join(percent), "a long, b long")
+    possible = _by_task(tasks, "block").mapInArrow(_block_join(percent), "a long, b long")
     families = components(saved(possible.select("a", "b").distinct(), "possible")).select(F.col("node").alias("id"), F.col("component").alias("family"))
 
     # Verification on whole texts of the classes that have a family.
@@ -301,7 +338,7 @@ def classes(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[D
     found = saved(found.dropDuplicates(["id"]), "shingles")
     tiles = _tiled(found.select("family", "id", "n"), "family", F.col("n"), TILE_SHINGLES)
     work = tiles.join(found.select("id", "shingles"), "id").select("family", "t1", "t2", "tile", "id", "n", "shingles")
-    links = saved(work.groupBy("family", "t1", "t2").applyInPandas(_family_join(percent), "a long, b long"), "links")
+    links = saved(_by_task(work, "family").mapInArrow(_family_join(percent), "a long, b long"), "links")
     return members, links
 
 
