@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from canvass.llm import decontaminate, language, mixing, neardup, toxicity
-from canvass.llm._shared import saved
+from canvass.storage import saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
