@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import saved
+from ..operators.graph import components
+from ..storage import saved
 from ._words import NOT_SPACE, Words, mix, slices
-from .graph import components
 
 WORDS = 5
 PERCENT = 80
@@ -131,6 +131,10 @@ class _Forest:
     def __init__(self, n: int) -> None:
         self.root = np.arange(n)
 
+    def whole(self) -> bool:
+        """All are in one tree: nothing is left to join."""
+        return bool((self.root == self.root[0]).all())
+
     def join(self, i: int, others: np.ndarray) -> np.ndarray:
         """Join i with ``others``; those that this joins to something new, one for each tree."""
         fresh = others[self.root[others] != self.root[i]]
@@ -235,8 +239,13 @@ def _block_join(percent: int):
             else:
                 tree, forest = RTree(sizes, points), _Forest(len(ids))
                 for i in range(len(ids)):
-                    near = _other_tile(tile, across, i, tree.near(i, percent))
-                    out.extend((ids[i], ids[j]) for j in forest.join(i, near).tolist())
+                    if forest.whole():
+                        break
+                    forest.join(i, _other_tile(tile, across, i, tree.near(i, percent)))
+                # Each member with the smallest of its tree: blocks of much the same members write the same pairs.
+                least = np.full(len(ids), np.iinfo(np.int64).max)
+                np.minimum.at(least, forest.root, ids)
+                out.extend((a, b) for a, b in zip(ids.tolist(), least[forest.root].tolist(), strict=True) if a != b)
             if len(out) > 50_000:
                 yield _pairs(out)
                 out = []
@@ -256,6 +265,8 @@ def _family_join(percent: int):
             flag = np.zeros(int(place.max(initial=-1)) + 1, np.int32)
             forest, out = _Forest(len(ids)), []
             for i in range(len(ids) - 1):
+                if forest.whole():
+                    break
                 # Members stand by size: those that are not too large for i follow.
                 last = int(np.searchsorted(sizes * percent, sizes[i] * 100, "right"))
                 rows = _other_tile(tile, across, i, np.arange(i + 1, last))
@@ -364,6 +375,7 @@ def kept(documents: DataFrame) -> DataFrame:
     without words all stay, and so do rows without an id."""
     names = [f"_{c}" for c in documents.columns]
     found = linked(_texts(documents)).where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    found = _small(saved(found, "copies"))
     rows = documents.toDF(*names)
     left = rows.join(found, rows["_doc_id"].cast("long") == found["gone"], "left_anti")
     return left.toDF(*documents.columns)
