@@ -9,7 +9,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
+BATCH_BYTES = 8 * 1024 * 1024
 SLICE_BYTES = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15
@@ -52,6 +54,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows will go to Python in Arrow batches of at most BATCH_BYTES: the session's setting is
+    lowered to that, so that workers' memory is bounded however long the texts are."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) != str(BATCH_BYTES):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts end to end, and the n + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

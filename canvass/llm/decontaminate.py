@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._words import LETTERS_DIGITS, Words, slices, text_bytes
+from ._words import LETTERS_DIGITS, Words, in_batches, slices, text_bytes
 
 WINDOW = 10
 BLOCK_WINDOWS = 500_000
@@ -114,7 +114,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, window: int = W
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema) + f", {_HITS}"
     rows = documents.select(*keep) if text in keep else documents.select(*keep, text)
     blocks = list(map(lambda items: spark.sparkContext.broadcast(_index(_windows_of(items, window))), _item_blocks(benchmark, window, block_windows)))
-    parts = [rows.mapInArrow(_scanner(b, list(keep), text), schema) for b in blocks]
+    parts = [in_batches(rows).mapInArrow(_scanner(b, list(keep), text), schema) for b in blocks]
     if len(parts) == 1:
         return parts[0]
     # Several blocks: texts are scanned once for each block, and only the small results are brought together.
@@ -173,7 +173,7 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, *, window: int = WI
             i = batch.schema.get_field_index("text")
             yield batch.set_column(i, "text", pa.array(texts, pa.string()))
 
-    return documents.mapInArrow(cut, documents.schema)
+    return in_batches(documents).mapInArrow(cut, documents.schema)
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._words import mix, powers, slices
+from ._words import in_batches, mix, powers, slices
 
 FROM_LEVEL, LEVELS = 2, 9
 KEEP = 64
@@ -152,7 +152,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([written(s) for s in sketches(batch.column("text"))], pa.string())], names=["doc_id", "fingerprint"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(read, f"doc_id {kind}, fingerprint string")
+    return in_batches(documents.select("doc_id", "text")).mapInArrow(read, f"doc_id {kind}, fingerprint string")
 
 
 def _heads(documents: DataFrame, bucket_rows: int) -> np.ndarray:
@@ -181,7 +181,7 @@ def _in_order(documents: DataFrame, bucket_rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(number[own], pa.int64()), *part.columns, pa.array([tail] * part.num_rows, pa.bool_())], names=["bucket", "doc_id", "text", "tail"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    placed = rows.mapInArrow(deal, "bucket long, doc_id long, text string, tail boolean")
+    placed = in_batches(rows).mapInArrow(deal, "bucket long, doc_id long, text string, tail boolean")
     return placed.repartition("bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_last(), "text")
 
 

@@ -14,6 +14,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._words import in_batches
+
 BLOCK = 32_768
 DICTIONARY_BYTES = 64_000
 SAMPLE_DOCUMENTS = 400
@@ -99,7 +101,7 @@ def report(documents: DataFrame) -> DataFrame:
     """The contract's rows: learned only where crc32(doc_id) mod 3 is not 1."""
     held = part_of(F.col("doc_id"), 3) == 1
     dicts = dictionaries(documents.where(~held).select("doc_id", "text", "lang"))
-    found = documents.select("doc_id", held.alias("held_out"), predicted(F.col("text"), dicts).alias("p"))
+    found = in_batches(documents).select("doc_id", held.alias("held_out"), predicted(F.col("text"), dicts).alias("p"))
     return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"), F.col("p.margin").alias("margin"), F.col("p.rejected").alias("rejected"))
 
 
@@ -107,4 +109,4 @@ def accepted(documents: DataFrame) -> DataFrame:
     """The rows whose language is told with a margin that is not narrow; all their columns as they were."""
     held = part_of(F.col("doc_id"), 3) == 1
     dicts = dictionaries(documents.where(~held).select("doc_id", "text", "lang"))
-    return documents.where(~predicted(F.col("text"), dicts)["rejected"])
+    return in_batches(documents).where(~predicted(F.col("text"), dicts)["rejected"])

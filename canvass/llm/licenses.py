@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._words import LETTERS_DIGITS, Words, mix, slices, text_bytes
+from ._words import LETTERS_DIGITS, Words, in_batches, mix, slices, text_bytes
 
 # Notices in common use, by SPDX-like name.
 TEMPLATES = {
@@ -145,7 +145,7 @@ def licences(documents: DataFrame, templates: dict[str, str] = TEMPLATES, *, con
             kinds = pa.list_(pa.struct([("name", pa.string()), ("containment", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kinds)], names=["doc_id", "licences"])
 
-    return documents.select("doc_id", "text").mapInArrow(read, f"doc_id {kind}, licences array<struct<name:string,containment:double>>")
+    return in_batches(documents.select("doc_id", "text")).mapInArrow(read, f"doc_id {kind}, licences array<struct<name:string,containment:double>>")
 
 
 def report(documents: DataFrame) -> DataFrame:

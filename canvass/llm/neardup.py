@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..storage import saved
-from ._words import NOT_SPACE, Words, mix, slices
+from ._words import NOT_SPACE, Words, in_batches, mix, slices
 
 WORDS = 5
 PERCENT = 80
@@ -118,7 +118,7 @@ def signed(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFram
     """doc_id, n (shingles), key1, key2 (hash of the set), point (group counts), prefix: saved, a row per row."""
     spark = texts.sparkSession
     none = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
-    first = texts.select("text").mapInArrow(_signer(none, k, percent, True), "prefix array<long>")
+    first = in_batches(texts.select("text")).mapInArrow(_signer(none, k, percent, True), "prefix array<long>")
     held = first.select(F.explode("prefix").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > COMMON)
     common = np.array([r["h"] for r in held.orderBy(F.desc("n"), "h").limit(COMMON_KEPT).select("h").collect()], np.int64).view(np.uint64)
     sent = spark.sparkContext.broadcast(np.sort(common))

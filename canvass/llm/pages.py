@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._words import in_batches
+
 # Element names of HTML, and words that name boilerplate in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var br wbr img".split())
@@ -168,5 +170,5 @@ def text_of(html: Column) -> Column:
 
 
 def report(pages: DataFrame) -> DataFrame:
-    found = pages.select("page_id", "url", text_of(F.col("html")).alias("text"))
+    found = in_batches(pages).select("page_id", "url", text_of(F.col("html")).alias("text"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

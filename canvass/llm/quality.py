@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._words import NOT_SPACE, Words, slices
+from ._words import NOT_SPACE, Words, in_batches, slices
 from .language import part_of
 from .toxicity import training_rows
 
@@ -171,7 +171,7 @@ def fitted(rows: DataFrame) -> Attention | float:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(bags, pa.binary())], names=["doc_id", "y", "bag"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.select("doc_id", "text", F.col("y").cast("long").alias("y")).mapInArrow(read, f"doc_id {kind}, y long, bag binary").toPandas().sort_values(["doc_id", "y"])
+    found = in_batches(rows).select("doc_id", "text", F.col("y").cast("long").alias("y")).mapInArrow(read, f"doc_id {kind}, y long, bag binary").toPandas().sort_values(["doc_id", "y"])
     y = found["y"].to_numpy(float)
     if len(set(y)) < 2:
         return float(y[0]) if len(y) else 0.5
@@ -195,7 +195,7 @@ def scored(documents: DataFrame, model: Attention | float, keep: list[str]) -> D
             weights = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(alpha, pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(p), weights], names=[*keep, "_score", "_attention"])
 
-    return rows.mapInArrow(score, schema)
+    return in_batches(rows).mapInArrow(score, schema)
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._words import NOT_SPACE, Words, mix, slices
+from ._words import NOT_SPACE, Words, in_batches, mix, slices
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_SCORE = -1e5
@@ -145,7 +145,7 @@ def token_counts(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
                 tokens.append(b)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(n), pa.int64()), pa.array(np.concatenate(tokens), pa.int64())], names=["doc_id", "n_words", "n_tokens"])
 
-    return documents.select("doc_id", "text").mapInArrow(read, f"doc_id {kind}, n_words long, n_tokens long")
+    return in_batches(documents.select("doc_id", "text")).mapInArrow(read, f"doc_id {kind}, n_words long, n_tokens long")
 
 
 def report(documents: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._words import LETTERS_DIGITS, Words, slices, text_bytes
+from ._words import LETTERS_DIGITS, Words, in_batches, slices, text_bytes
 from .language import part_of
 
 SAMPLE_DOCUMENTS = 20_000
@@ -213,7 +213,7 @@ def fitted(rows: DataFrame) -> tuple[Grammar, list[float]]:
             f = sent.value.features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([pa.array(f[:, i]) for i in range(4)] + [batch.column("y").cast(pa.int64())], names=["a", "b", "c", "d", "y"])
 
-    found = rows.select("text", F.col("y").cast("long").alias("y")).mapInArrow(read, "a double, b double, c double, d double, y long").toPandas().sort_values(["a", "b", "c", "d", "y"])
+    found = in_batches(rows).select("text", F.col("y").cast("long").alias("y")).mapInArrow(read, "a double, b double, c double, d double, y long").toPandas().sort_values(["a", "b", "c", "d", "y"])
     y = found["y"].to_numpy(float)
     if len(set(y)) < 2:
         return grammar, [0.0] * 4 + [4.0 if len(y) and y[0] else -4.0]
@@ -232,7 +232,7 @@ def scored(documents: DataFrame, grammar: Grammar, link: list[float], keep: list
             z = own.features(batch.column("text")) @ w[:-1] + w[-1]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=[*keep, "_score"])
 
-    return rows.mapInArrow(score, schema)
+    return in_batches(rows).mapInArrow(score, schema)
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
