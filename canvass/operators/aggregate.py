@@ -34,11 +34,11 @@ def residuals(df: DataFrame, key: str, assigned: Column, metrics: list[str]) ->
 def fingerprint(df: DataFrame, key: str, uid: str, target: str) -> DataFrame:
     """SHA-256 of each group's sorted 'uid|target' lines: it does not depend on row order.
 
-    A digest of sorted lines needs a group's lines together.  Lines are first hashed within slices of the
-    uid space, so what comes together for one group is a digest for each of 16 slices, never its rows.
+    A digest of sorted lines needs lines together.  They are hashed within 4,096 slices of the uid space, each
+    a group of its own, so a hot group is dealt out and what comes together for it is 4,096 digests at most.
     """
     line = F.concat_ws("|", F.col(uid).cast("string"), F.col(target).cast("string"))
-    slices = df.select(F.col(key), line.alias("_line"), F.substring(F.sha2(F.col(uid).cast("string"), 256), 1, 1).alias("_slice"))
+    slices = df.select(F.col(key), line.alias("_line"), F.substring(F.sha2(F.col(uid).cast("string"), 256), 1, 3).alias("_slice"))
     part = slices.groupBy(key, "_slice").agg(F.count("*").alias("_n"), F.sha2(F.array_join(F.array_sort(F.collect_list("_line")), "\n"), 256).alias("_sha"))
     lines = F.array_sort(F.collect_list(F.concat_ws("|", "_slice", "_sha")))
     return part.groupBy(key).agg(F.sum("_n").alias("n_rows"), F.sha2(F.array_join(lines, "\n"), 256).alias("sha256"))

@@ -82,3 +82,47 @@ def indicated_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     joined = left.withColumn("_l", F.lit(1)).join(right.withColumn("_r", F.lit(1)), keys, "full_outer")
     side = F.when(F.col("_r").isNull(), "left_only").when(F.col("_l").isNull(), "right_only").otherwise("both")
     return joined.withColumn("side", side).drop("_l", "_r")
+
+
+def crosswalk(facts: DataFrame, rules: DataFrame, code: str, name: str, target: str, order: str) -> DataFrame:
+    """facts with ``target`` and ``matched``: by (code, name), where the last rule wins, else by name among the
+    rules without a code, where the first wins."""
+    coded = first_index(rules.where(F.col(code).isNotNull()).withColumn("_key", F.struct(code, name)), "_key", [F.col(order).desc()])
+    named = first_index(rules.where(F.col(code).isNull()), name, [F.col(order).asc()])
+    out = facts.join(coded.select(F.col(code).alias("_c"), F.col(name).alias("_n"), F.col(target).alias("_t1")), (facts[code] == F.col("_c")) & (facts[name] == F.col("_n")), "left")
+    out = out.join(named.select(F.col(name).alias("_m"), F.col(target).alias("_t2")), facts[name] == F.col("_m"), "left")
+    matched = F.when(F.col("_t1").isNotNull(), "code_and_name").when(F.col("_t2").isNotNull(), "name")
+    return out.select(*facts.columns, F.coalesce("_t1", "_t2").alias(target), matched.alias("matched"))
+
+
+def follow_aliases(aliases: DataFrame, source: str, target: str, most_rounds: int = 32) -> DataFrame:
+    """source -> the end of its chain of aliases.
+
+    Each round doubles the length of chain that is followed; an end that is still an alias after
+    ``most_rounds`` doublings lies on a cycle and fails the job.
+    """
+    from ..storage import saved
+    from .contracts import require_empty
+
+    ends = saved(aliases.select(F.col(source).alias("s"), F.col(target).alias("t")), "aliases")
+    for _ in range(most_rounds):
+        on = ends.select(F.col("s").alias("_s"), F.col("t").alias("_t"))
+        step = saved(ends.join(on, ends["t"] == on["_s"], "left").select("s", F.coalesce("_t", "t").alias("t"), F.col("_t").isNotNull().alias("moved")), "aliases")
+        moved = step.where("moved").limit(1).count()
+        ends = step.select("s", "t")
+        if not moved:
+            return ends.select(F.col("s").alias(source), F.col("t").alias(target))
+    require_empty(ends.join(aliases.select(F.col(source).alias("t")), "t", "left_semi"), "aliases run in a circle")
+    return ends.select(F.col("s").alias(source), F.col("t").alias(target))
+
+
+def host_members(rules: DataFrame, host: str, members: str) -> DataFrame:
+    """host, member, place and conflict from pipe-joined member lists: a member of two hosts, or a host that is
+    another's member, is in conflict."""
+    from ..functions.normalize import pipe_list
+
+    rows = rules.select(host, F.posexplode(pipe_list(F.col(members))).alias("place", "member"))
+    times = rows.groupBy("member").agg(F.countDistinct(host).alias("_hosts"))
+    hosts = rules.select(F.col(host).cast("string").alias("_host")).distinct()
+    joined = rows.join(times, "member").join(hosts, (F.col("member") == F.col("_host")) & (F.col("member") != F.col(host).cast("string")), "left")
+    return joined.select(host, "member", "place", ((F.col("_hosts") > 1) | F.col("_host").isNotNull()).alias("conflict"))

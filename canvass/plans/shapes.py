@@ -42,7 +42,7 @@ def grid_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.overlapping(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), box.alias("box")), "id", "box", 4.0)
 
 
-@catalog.query("""WITH l AS (SELECT o_orderstatus, o_orderkey || '|' || o_custkey AS line, substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 1) AS slice FROM orders),
+@catalog.query("""WITH l AS (SELECT o_orderstatus, o_orderkey || '|' || o_custkey AS line, substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 3) AS slice FROM orders),
 p AS (SELECT o_orderstatus, slice, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY line)) AS sha FROM l GROUP BY 1, 2)
 SELECT o_orderstatus, CAST(sum(n) AS BIGINT) AS n_rows, sha256(string_agg(slice || '|' || sha, chr(10) ORDER BY slice || '|' || sha)) AS sha256 FROM p GROUP BY 1""")
 def fingerprint_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:

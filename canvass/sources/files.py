@@ -97,3 +97,17 @@ def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
             yield pd.DataFrame(out, columns=[key, "table", "row", "cells"])
 
     return pages.select(key, html).mapInPandas(read, f"`{key}` {kind}, table int, row int, cells array<string>")
+
+
+def joined_lines(lines: DataFrame, doc: str, place: str, text: str, starts: Column, reverse: bool = False) -> DataFrame:
+    """doc, record, text: lines joined to records, each from a line where ``starts`` holds to the next.
+
+    Lines before the first start are dropped.  ``reverse`` turns the characters of each line, for text that was
+    extracted from right to left.  The order is that of ``place`` in a document.
+    """
+    own = Window.partitionBy(doc).orderBy(place)
+    numbered = lines.withColumn("record", F.sum(F.when(starts, 1).otherwise(0)).over(own)).where("record > 0")
+    shown = F.reverse(text) if reverse else F.col(text)
+    parts = F.array_sort(F.collect_list(F.struct(F.col(place).alias("p"), spaces(shown).alias("t"))))
+    joined = F.array_join(F.transform(parts, lambda x: x["t"]), " ")
+    return numbered.groupBy(doc, "record").agg(joined.alias(text))

@@ -67,3 +67,32 @@ def test_stream_gives_the_batch_result(spark, sf_dir, tmp_path):
         assert sorted(spark.table("counts").collect()) == sorted(events.windowed_counts(batch).collect())
     finally:
         query.stop()
+
+
+def test_lines_join_to_records(spark):
+    rows = [("d", 0, "preface"), ("d", 1, "1. first"), ("d", 2, "  goes on "), ("d", 3, "2. second")]
+    got = files.joined_lines(spark.createDataFrame(rows, "doc string, line int, text string"), "doc", "line", "text", F.col("text").rlike("^[0-9]"))
+    assert [tuple(r) for r in got.orderBy("record").collect()] == [("d", 1, "1. first goes on"), ("d", 2, "2. second")]
+
+
+def test_geobuf_properties(spark, tmp_path):
+    import struct
+
+    from canvass.sources import geobuf
+
+    def number(n):
+        out = b""
+        while n >= 0x80:
+            out, n = out + bytes([n & 0x7F | 0x80]), n >> 7
+        return out + bytes([n])
+
+    def block(field, data):
+        return number(field << 3 | 2) + number(len(data)) + data
+
+    values = [block(1, "שם".encode()), number(2 << 3 | 1) + struct.pack("<d", 1.5), number(3 << 3) + number(300), number(4 << 3) + number(7), number(5 << 3) + number(1)]
+    pairs = b"".join(number(k) + number(k) for k in range(5))
+    feature = number(12 << 3) + number(9) + b"".join(block(13, v) for v in values) + block(14, pairs)
+    data = b"".join(block(1, k.encode()) for k in "abcde") + block(4, block(1, feature) + block(1, block(11, b"x")))
+    (tmp_path / "f.pbf").write_bytes(data)
+    got = {r["id"]: r["properties"] for r in geobuf.geobuf_features(spark, f"file://{tmp_path}/f.pbf").collect()}
+    assert got == {"-5": {"a": "שם", "b": "1.5", "c": "300", "d": "-7", "e": "true"}, "x": {}}
