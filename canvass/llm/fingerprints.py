@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ._words import in_batches, mix, powers, slices
 
-FROM_LEVEL, LEVELS = 2, 9
+FROM_LEVEL, LEVELS = 1, 9
 KEEP = 64
 BUCKET_ROWS = 4096
 SLICE = 1_000_000
