@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,17 +66,25 @@ def solve(rows: list[tuple[int, ...]], areas: list[tuple[int, ...]], most_states
 def exact_partition(rows: DataFrame, areas: DataFrame, group: str, uid: str, area: str, metrics: list[str], most_states: int = STATES) -> DataFrame:
     """group, uid, area, outcome: each group's rows assigned if there is exactly one solution, else area null.
 
-    Groups are localities: small, and independent of each other.  A search beyond ``most_states`` ends as
-    'limit', never as a guess.
+    Groups are localities: small, and independent of each other, so each becomes one row of arrays and a
+    batch of them is solved in one call.  A search beyond ``most_states`` ends as 'limit', never as a guess;
+    rows without a group, or whose group has no areas, as 'none'.
     """
-    marked = rows.select(group, F.col(uid).cast("long").alias("uid"), F.lit(None).cast("long").alias("area"), F.lit(0).cast("long").alias("n"), *[F.col(m).cast("long").alias(m) for m in metrics])
-    goals = areas.select(group, F.lit(None).cast("long").alias("uid"), F.col(area).cast("long").alias("area"), F.col("n").cast("long").alias("n"), *[F.col(m).cast("long").alias(m) for m in metrics])
+    number = [F.col(m).cast("long").alias(m) for m in metrics]
+    own = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(uid).cast("long").alias("uid"), *number))).alias("own"))
+    goals = areas.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(area).cast("long").alias("area"), F.col("n").cast("long").alias("n"), *number))).alias("goals"))
     kind = rows.schema[group].dataType.simpleString()
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        own, goal = part[part["area"].isna()].sort_values("uid"), part[part["area"].notna()].sort_values("area")
-        outcome, chosen = solve([tuple(map(int, r)) for r in own[metrics].to_numpy()], [tuple(map(int, r)) for r in goal[["n", *metrics]].to_numpy()], most_states)
-        ids = goal["area"].astype("int64").tolist()
-        return pd.DataFrame({group: part[group].iloc[0], "uid": own["uid"].astype("int64").to_numpy(), "area": pd.array([ids[k] for k in chosen] if chosen is not None else [None] * len(own), dtype="Int64"), "outcome": outcome})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, uids, found, outcomes = [], [], [], []
+            for place, (mine, theirs) in enumerate(zip(batch.column("own").to_pylist(), batch.column("goals").to_pylist(), strict=True)):
+                theirs = theirs or []
+                outcome, chosen = solve([tuple(r[m] for m in metrics) for r in mine], [(r["n"], *(r[m] for m in metrics)) for r in theirs], most_states)
+                keys += [place] * len(mine)
+                uids += [r["uid"] for r in mine]
+                found += [None] * len(mine) if chosen is None else [theirs[k]["area"] for k in chosen]
+                outcomes += [outcome] * len(mine)
+            yield pa.RecordBatch.from_arrays([batch.column(group).take(pa.array(keys, pa.int64())), pa.array(uids, pa.int64()), pa.array(found, pa.int64()), pa.array(outcomes, pa.string())], names=[group, "uid", "area", "outcome"])
 
-    return marked.unionAll(goals).groupBy(group).applyInPandas(run, f"`{group}` {kind}, uid long, area long, outcome string")
+    return own.join(goals, group, "left").mapInArrow(run, f"`{group}` {kind}, uid long, area long, outcome string")

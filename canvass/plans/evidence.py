@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cascade, contracts, graph, partition
@@ -78,22 +78,24 @@ def validation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.agreement_gate(rows, agrees, ["l_returnflag"], 100, 0.95)
 
 
-_EDGES = """e AS (SELECT DISTINCT l_suppkey * 2 AS a, l_partkey * 2 + 1 AS b FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.07 AND l_tax < 0.03),
-n AS (SELECT a, b FROM e UNION SELECT b, a FROM e)"""
-_REACH = f"""WITH RECURSIVE {_EDGES}, r AS (SELECT a AS node, a AS root FROM n UNION SELECT n.b, r.root FROM r JOIN n ON n.a = r.node)"""
+_RUNS = """s AS (SELECT *, CASE WHEN o_orderstatus = lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) THEN 0 ELSE 1 END AS new FROM orders),
+r AS (SELECT *, sum(new) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS run FROM s),
+c AS (SELECT o_orderkey AS node, min(o_orderkey) OVER g AS component, count(*) OVER g AS n FROM r WINDOW g AS (PARTITION BY o_custkey, run))"""
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity = 50 and l_discount = 0.07 and l_tax < 0.03")
-    return lines.select((F.col("l_suppkey") * 2).alias("a"), (F.col("l_partkey") * 2 + 1).alias("b")).distinct()
+    """Stable links: an order and the customer's order before it, if their status agrees."""
+    before = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("b"), "o_orderstatus", F.lag("o_orderkey").over(before).alias("a"), F.lag("o_orderstatus").over(before).alias("_status"))
+    return rows.where("o_orderstatus = _status").select("a", "b")
 
 
-@catalog.query(f"{_REACH} SELECT node, min(root) AS component FROM r GROUP BY 1")
+@catalog.query(f"WITH {_RUNS} SELECT node, component FROM c WHERE n > 1")
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.components(_links(spark, sf_dir))
 
 
-@catalog.query(f"""{_REACH}, c AS (SELECT node, min(root) AS component FROM r GROUP BY 1), k AS (SELECT c.*, CASE WHEN node % 6 = 0 THEN node % 4 END AS known FROM c),
+@catalog.query(f"""WITH {_RUNS}, k AS (SELECT node, component, CASE WHEN node % 6 = 0 THEN node % 4 END AS known FROM c WHERE n > 1),
 v AS (SELECT component, min(known) AS lo, max(known) AS hi FROM k GROUP BY 1)
 SELECT node, component, CASE WHEN known IS NOT NULL THEN known WHEN lo = hi THEN lo END AS label, CASE WHEN lo IS NULL THEN 'unknown' WHEN lo <> hi THEN 'conflict' WHEN known IS NOT NULL THEN 'known' ELSE 'adopted' END AS status FROM k JOIN v USING (component)""")
 def propagate_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,10 +112,9 @@ def tree_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @catalog.query()
 def exact_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of small customers dealt back to half-years from half-yearly totals; tested against brute force."""
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("grp"), "o_orderkey", cents("o_totalprice").alias("cents"), (F.col("o_orderkey") % 7).alias("m"), F.quarter("o_orderdate").alias("area"))
-    small = orders.groupBy("grp").agg(F.count("*").alias("_n")).where("_n <= 6").select("grp")
-    rows = orders.join(small, "grp", "left_semi")
+    """Every customer's orders of a year dealt back to quarters from quarterly totals; tested against brute force."""
+    year = F.col("o_custkey") * 10_000 + F.year("o_orderdate")
+    rows = table(spark, sf_dir, "orders").select(year.alias("grp"), "o_orderkey", cents("o_totalprice").alias("cents"), (F.col("o_orderkey") % 7).alias("m"), F.quarter("o_orderdate").alias("area"))
     areas = rows.groupBy("grp", "area").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"), F.sum("m").alias("m"))
     return partition.exact_partition(rows, areas, "grp", "o_orderkey", "area", ["cents", "m"])
 

@@ -24,12 +24,12 @@ def crosswalk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.crosswalk(facts, rules, "code", "name", "target", "o")
 
 
-@catalog.query("""WITH RECURSIVE a AS (SELECT p_partkey AS s, p_partkey // 3 AS t FROM part WHERE p_partkey % 5 <> 0 AND p_partkey > 2),
+@catalog.query("""WITH RECURSIVE a AS (SELECT p_partkey AS s, p_partkey // 3 AS t FROM part WHERE p_size > 10 AND p_partkey <> p_partkey // 3),
 w AS (SELECT s, t FROM a UNION ALL SELECT w.s, a.t FROM w JOIN a ON w.t = a.s)
 SELECT s, min(t) AS t FROM w GROUP BY 1""")
 def alias_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    aliases = table(spark, sf_dir, "part").where((k % 5 != 0) & (k > 2)).select(k.alias("s"), F.floor(k / 3).cast("bigint").alias("t"))
+    aliases = table(spark, sf_dir, "part").where("p_size > 10").select(k.alias("s"), F.floor(k / 3).cast("bigint").alias("t")).where("s <> t")
     return lookup.follow_aliases(aliases, "s", "t")
 
 
