@@ -2,8 +2,9 @@
 
 The standard library's streaming parser turns a page into lines, one for each block of text.  A line's
 text-to-tag ratio, smoothed by a Gaussian over its neighbours, is split into two clusters; the lines of the
-higher cluster vote for the element that holds the article, and its lines, without boilerplate elements
-inside, are the text.
+higher cluster vote for the element that holds the article.  The article or main element around it is taken
+whole; without one, the ancestor that holds all lines of the higher cluster.  Its lines, without boilerplate
+elements inside, are the text.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,6 +31,7 @@ BOILERPLATE = frozenset(
     "share sharing social related recommended recommendations comment comments commentlist reply replies respond disqus discussion widget search login signup complementary contentinfo dialog".split()
 )
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote ul ol dl figure figcaption address tr th caption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_BLOCK = frozenset({"p"})
 CLOSED_BY_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 KEPT_APART = frozenset("ul ol dl table tbody thead tfoot tr select".split())
@@ -47,22 +50,30 @@ def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_article: b
     return any(k in ("class", "id", "role") and v and not BOILERPLATE.isdisjoint(_TOKEN.findall(v.lower())) or k == "hidden" for k, v in attrs)
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    path: tuple[int, ...]  # numbers of its containers
+    linked: int  # characters in links
+    heading: bool
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags in the line, path of the numbers of its containers) for each block outside boilerplate."""
+    """Collects a line for each block of text outside boilerplate."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool]] = []  # tag, number, whether it or one around it is boilerplate
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.tags = self.made = 0
-        self.article = False
+        self.tags = self.made = self.linked = 0
+        self.whole: set[int] = set()  # numbers of article and main elements
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, tuple(n for t, n, _ in self.stack if t not in INLINE and t not in TEXT_BLOCKS)))
-        self.parts, self.tags = [], 0
+            self.lines.append(Line(text, self.tags, tuple(n for t, n, _ in self.stack if t not in INLINE and t not in TEXT_BLOCKS), self.linked, any(t in HEADINGS for t, _, _ in self.stack)))
+        self.parts, self.tags, self.linked = [], 0, 0
 
     def close_to(self, place: int) -> None:
         if any(t not in INLINE for t, _, _ in self.stack[place:]):
@@ -87,9 +98,10 @@ class Lines(HTMLParser):
             self.tags += 1
         if tag in VOID:
             return
-        self.article = self.article or tag in ("article", "main")
         around = bool(self.stack) and self.stack[-1][2]
         self.made += 1
+        if tag in ("article", "main"):
+            self.whole.add(self.made)
         self.stack.append((tag, self.made, around or boilerplate(tag, attrs, any(t in ("article", "main") for t, _, _ in self.stack))))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -107,6 +119,8 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not (self.stack and self.stack[-1][2]):
             self.parts.append(data)
+            if any(t == "a" for t, _, _ in self.stack):
+                self.linked += len(data.strip())
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -133,6 +147,11 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def _shared(a: tuple[int, ...], b: tuple[int, ...]) -> int:
+    """The last place up to which two paths are the same."""
+    return sum(x == y for x, y in zip(a, b, strict=False)) - 1
+
+
 def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html or "")
@@ -141,23 +160,41 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    values = smoothed([len(text) / max(1, tags) for text, tags, _ in lines])
+    values = smoothed([len(line.text) / max(1, line.tags) for line in lines])
     cut = threshold(values)
+    chosen = [v >= cut for v in values]
+    paths = [(0, *line.path) for line in lines]
     votes: dict[int, int] = {}
     depth: dict[int, int] = {}
     total = 0
-    for (text, _, path), v in zip(lines, values, strict=True):
-        if v >= cut:
-            total += len(text)
-            for d, n in enumerate((0, *path)):
-                votes[n] = votes.get(n, 0) + len(text)
+    for line, path, own in zip(lines, paths, chosen, strict=True):
+        if own:
+            total += len(line.text)
+            for d, n in enumerate(path):
+                votes[n] = votes.get(n, 0) + len(line.text)
                 depth[n] = d
-    # The innermost container with most of the selected text; one that holds a single block gives way to its parent.
+    # The innermost container with most of the selected text.
     region = max((n for n, size in votes.items() if size >= ENOUGH * total), key=lambda n: (depth[n], n))
-    held = [path for _, _, path in lines if region == 0 or region in path]
-    if region and len(held) == 1 and region == held[0][-1]:
-        region = (0, *held[0])[-2] if not parser.article else region
-    return "\n".join(text for text, _, path in lines if region == 0 or region in path)
+    above = next(path for path in paths if region in path)[: depth[region] + 1]
+    if not parser.whole.isdisjoint(above):
+        # Each outermost article or main element that holds selected text is text as a whole.
+        outer = [next((n for n in path if n in parser.whole), 0) for path in paths]
+        taken = {n for n, own in zip(outer, chosen, strict=True) if own and n}
+        return "\n".join(line.text for line, n in zip(lines, outer, strict=True) if n in taken)
+    # Without one: the ancestor that holds all selected lines, links aside, and the headings before them.
+    for i in range(len(lines) - 2, -1, -1):
+        chosen[i] = chosen[i] or lines[i].heading and chosen[i + 1]
+    place = min([depth[region], *(_shared(above, path) for line, path, own in zip(lines, paths, chosen, strict=True) if own and 2 * line.linked <= len(line.text))])
+    held = [i for i, path in enumerate(paths) if above[place] in path]
+    if place and len(held) == 1 and above[place] == paths[held[0]][-1]:
+        place -= 1  # a container of a single block gives way to its parent
+        held = [i for i, path in enumerate(paths) if above[place] in path]
+    # Containers of links that stand beside the voted one are no part of it.
+    beside = {i: paths[i][place + 1] for i in held if region not in paths[i] and len(paths[i]) > place + 1}
+    size: dict[int, int] = {}
+    for i, n in beside.items():
+        size[n] = size.get(n, 0) + len(lines[i].text) - 2 * lines[i].linked
+    return "\n".join(lines[i].text for i in held if i not in beside or size[beside[i]] >= 0)
 
 
 def text_of(html: Column) -> Column:

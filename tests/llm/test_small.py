@@ -321,6 +321,22 @@ def test_main_text_without_article_element():
     assert pages.main_text(html) == "\n".join([long.strip(), "Short.", long.strip()])
 
 
+LONG = "This is a sentence that goes on for a while, as text does, and has few tags. " * 3
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_main_text_outside_the_innermost_container(outer):
+    p, long = f"<p>{LONG}</p>", LONG.strip()
+    links = "<div>" + "".join(f"<p><a href={i}>go on</a></p>" for i in range(12)) + "</div>"
+
+    def page(inside):
+        return pages.main_text(f"<body>{links}<{outer}>{inside}</{outer}>{links}</body>").split("\n")
+
+    assert page(f"<h1>Heading</h1><div class=body>{p}{p}</div>") == ["Heading", long, long]
+    assert page(f"<p>{LONG}lead</p><div>{p * 4}</div><ul><li>One<li>Two</ul>") == [f"{LONG}lead", *[long] * 4, "One", "Two"]
+    assert page(f"<section>{p * 6}</section><section>{p * 2}</section>") == [long] * 8
+
+
 def test_main_text_of_all_pages(spark, sf_dir):
     import html as H
 
