@@ -23,7 +23,9 @@ from ._words import in_batches
 # Element names of HTML, and words that name boilerplate in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var br wbr img".split())
-DROPPED = frozenset("script style noscript template head title nav footer aside form button select textarea option iframe object svg canvas math audio video dialog menu".split())
+DROPPED = frozenset("script style noscript template head title button select textarea option iframe object svg canvas math audio video".split())
+MARKED = frozenset("nav footer aside dialog menu".split())
+IN_HEAD = frozenset("base link meta title style script noscript template".split())
 WHOLE = frozenset("html body article main".split())
 BOILERPLATE = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr banner notice alert popup modal overlay "
@@ -32,6 +34,7 @@ BOILERPLATE = frozenset(
 )
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote ul ol dl figure figcaption address tr th caption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NAMED_LISTS = frozenset("ul ol dl tr figure".split())
 CLOSED_BY_BLOCK = frozenset({"p"})
 CLOSED_BY_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 KEPT_APART = frozenset("ul ol dl table tbody thead tfoot tr select".split())
@@ -42,12 +45,29 @@ ENOUGH = 0.7
 _TOKEN = re.compile(r"[a-z0-9]+")
 
 
-def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not inside_article:
-        return True
+def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> str:
+    """'gone' with all it holds; 'marked' and 'likely' unless it holds the article, 'likely' also unless it
+    holds most of the dense text; else ''.
+
+    Class and id count as whole names, not on headings and blocks of text; a word of a class name is a likely mark.
+    """
+    given = {k: (v or "").lower() for k, v in reversed(attrs) if k in ("class", "id", "role", "hidden")}
+    if tag in DROPPED or "hidden" in given and tag not in WHOLE:
+        return "gone"
     if tag in WHOLE:
-        return False
-    return any(k in ("class", "id", "role") and v and not BOILERPLATE.isdisjoint(_TOKEN.findall(v.lower())) or k == "hidden" for k, v in attrs)
+        return ""
+    if tag in MARKED or tag == "header" and not inside_article:
+        return "marked"
+    classes = given.get("class", "").split()
+    named = not BOILERPLATE.isdisjoint(classes) or given.get("id", "").strip() in BOILERPLATE
+    if tag in INLINE:
+        return "gone" if tag == "a" and named or not BOILERPLATE.isdisjoint(given.get("role", "").split()) else ""
+    text_block = tag in TEXT_BLOCKS and tag not in NAMED_LISTS
+    if not BOILERPLATE.isdisjoint(given.get("role", "").split()) or named and not text_block:
+        return "marked"
+    if tag == "form" or not text_block and not BOILERPLATE.isdisjoint(_TOKEN.findall(" ".join(classes))):
+        return "likely"
+    return ""
 
 
 class Line(NamedTuple):
@@ -56,31 +76,40 @@ class Line(NamedTuple):
     path: tuple[int, ...]  # numbers of its containers
     linked: int  # characters in links
     heading: bool
+    marks: tuple[int, ...]  # numbers of the marked elements around it
 
 
 class Lines(HTMLParser):
-    """Collects a line for each block of text outside boilerplate."""
+    """Collects a line for each block of text, with the marked elements around it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # tag, number, whether it or one around it is boilerplate
+        self.stack: list[tuple[str, int, bool, tuple[int, ...]]] = []  # tag, number, whether it or one around it is gone, marked ones
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = self.made = self.linked = 0
-        self.whole: set[int] = set()  # numbers of article and main elements
+        self.whole: dict[int, tuple[int, ...]] = {}  # article and main elements, with the marked ones around them
+        self.likely: set[int] = set()
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, self.tags, tuple(n for t, n, _ in self.stack if t not in INLINE and t not in TEXT_BLOCKS), self.linked, any(t in HEADINGS for t, _, _ in self.stack)))
+            self.lines.append(Line(text, self.tags, tuple(n for t, n, *_ in self.stack if t not in INLINE and t not in TEXT_BLOCKS), self.linked, any(t in HEADINGS for t, *_ in self.stack), self.stack[-1][3] if self.stack else ()))
         self.parts, self.tags, self.linked = [], 0, 0
 
+    def leave_head(self) -> None:
+        """The end tag of head may be left out: what cannot stand in it closes it."""
+        if self.stack and self.stack[-1][0] == "head":
+            self.close_to(len(self.stack) - 1)
+
     def close_to(self, place: int) -> None:
-        if any(t not in INLINE for t, _, _ in self.stack[place:]):
+        if any(t not in INLINE for t, *_ in self.stack[place:]):
             self.end_line()
         del self.stack[place:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self.leave_head()
         self.tags += 1
         if tag == "br":
             self.parts.append(" ")
@@ -98,11 +127,14 @@ class Lines(HTMLParser):
             self.tags += 1
         if tag in VOID:
             return
-        around = bool(self.stack) and self.stack[-1][2]
+        gone, marks = self.stack[-1][2:] if self.stack else (False, ())
+        kind = boilerplate(tag, attrs, any(t in ("article", "main") for t, *_ in self.stack))
         self.made += 1
-        if tag in ("article", "main"):
-            self.whole.add(self.made)
-        self.stack.append((tag, self.made, around or boilerplate(tag, attrs, any(t in ("article", "main") for t, _, _ in self.stack))))
+        if tag in ("article", "main") and not gone:
+            self.whole[self.made] = marks
+        if kind == "likely":
+            self.likely.add(self.made)
+        self.stack.append((tag, self.made, gone or kind == "gone", (*marks, self.made) if kind in ("marked", "likely") else marks))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -117,9 +149,11 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self.leave_head()
         if not (self.stack and self.stack[-1][2]):
             self.parts.append(data)
-            if any(t == "a" for t, _, _ in self.stack):
+            if any(t == "a" for t, *_ in self.stack):
                 self.linked += len(data.strip())
 
 
@@ -152,12 +186,36 @@ def _shared(a: tuple[int, ...], b: tuple[int, ...]) -> int:
     return sum(x == y for x, y in zip(a, b, strict=False)) - 1
 
 
+def outside_boilerplate(parser: Lines) -> list[Line]:
+    """The lines under no marked element, but for those marked elements that hold the article: the article or
+    main element with most text, one outside marked elements if there is such a one."""
+    lines = parser.lines
+    size = dict.fromkeys(parser.whole, 0)
+    for line in lines:
+        for n in size.keys() & set(line.path):
+            size[n] += len(line.text)
+    best = max((n for n in size if size[n]), key=lambda n: (not parser.whole[n], size[n], -n), default=0)
+    kept = set(parser.whole.get(best, ()))
+    found = [line for line in lines if (not best or best in line.path) and parser.likely.issuperset(set(line.marks) - kept)]
+    if any(not kept.issuperset(line.marks) for line in found):
+        values = smoothed([len(line.text) / max(1, line.tags) for line in found])
+        cut = threshold(values)
+        dense = [line for line, v in zip(found, values, strict=True) if v >= cut]
+        held: dict[int, int] = {}
+        for line in dense:
+            for n in line.marks:
+                held[n] = held.get(n, 0) + len(line.text)
+        total = sum(len(line.text) for line in dense)
+        kept |= {n for n, letters in held.items() if letters >= ENOUGH * total}
+    return [line for line in lines if kept.issuperset(line.marks)]
+
+
 def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html or "")
     parser.close()
     parser.end_line()
-    lines = parser.lines
+    lines = outside_boilerplate(parser)
     if not lines:
         return ""
     values = smoothed([len(line.text) / max(1, line.tags) for line in lines])
@@ -176,7 +234,7 @@ def main_text(html: str | None) -> str:
     # The innermost container with most of the selected text.
     region = max((n for n, size in votes.items() if size >= ENOUGH * total), key=lambda n: (depth[n], n))
     above = next(path for path in paths if region in path)[: depth[region] + 1]
-    if not parser.whole.isdisjoint(above):
+    if not parser.whole.keys().isdisjoint(above):
         # Each outermost article or main element that holds selected text is text as a whole.
         outer = [next((n for n in path if n in parser.whole), 0) for path in paths]
         taken = {n for n, own in zip(outer, chosen, strict=True) if own and n}

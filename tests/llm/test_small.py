@@ -337,6 +337,26 @@ def test_main_text_outside_the_innermost_container(outer):
     assert page(f"<section>{p * 6}</section><section>{p * 2}</section>") == [long] * 8
 
 
+def test_main_text_keeps_what_only_looks_like_boilerplate():
+    p, long = f"<p>{LONG}</p>", LONG.strip()
+    ad, menu = f'<div class="ad">{LONG}</div>', '<ul class="nav-links"><li><a href=1>Home</a></ul>'
+    inside = f'<article><h2 id="side-effects">Effects</h2>{p}<section id="related-work">{p}</section><section id="legal-copyright">{p}</section></article>'
+    want = "\n".join(["Effects", long, long, long])
+    for page in (
+        f"<body>{ad}{inside}</body>",
+        f'<body><div class="layout with-sidebar">{menu}{inside}<div class="sidebar">{p}</div></div></body>',
+        f"<body><form action=x>{menu}{inside}{ad}</form></body>",
+        f"<html><head><title>t</title><body>{menu}{inside}</body>",
+        f"<head><meta charset=utf-8><title>t</title>{inside}",
+        f'<div class="sidebar">{inside}</div><div class="comments-area"><article>{LONG}</article></div>',
+        inside.replace("<article>", '<article><div class="content no-sidebar">').replace("</article>", "</div></article>"),
+    ):
+        assert pages.main_text(page) == want
+    assert pages.main_text(f'<body><form><div class="page with-sidebar">{menu}<h1>Head</h1>{p}{p}</div></form></body>') == "\n".join(["Head", long, long])
+    assert pages.main_text(f'<article>{p}<form>Your name</form><div class="social-share">Tell them</div></article><section class="comments-area">{p * 9}</section>') == long
+    assert pages.main_text(f"<nav>{LONG}</nav><footer>{LONG}</footer>") == pages.main_text(f"<p hidden>{LONG}</p>") == ""
+
+
 def test_main_text_of_all_pages(spark, sf_dir):
     import html as H
 
