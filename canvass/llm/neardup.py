@@ -371,11 +371,27 @@ def report(documents: DataFrame) -> DataFrame:
 
 
 def kept(documents: DataFrame) -> DataFrame:
-    """One document of each component: the one with the smallest id, repeated rows of it once; documents
-    without words all stay, and so do rows without an id."""
+    """One row of each component: the one with the smallest id, rows without an id last; documents without
+    words all stay, repeated rows of one once.  Rows are linked by their own texts, whatever ids they share."""
     names = [f"_{c}" for c in documents.columns]
-    found = linked(_texts(documents)).where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    found = _small(saved(found, "copies"))
-    rows = documents.toDF(*names)
-    left = rows.join(found, rows["_doc_id"].cast("long") == found["gone"], "left_anti")
-    return left.toDF(*documents.columns)
+    # Saved, because every later reading must see the same numbers.
+    rows = saved(documents.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = saved(linked(rows.select(F.col("row").alias("doc_id"), F.coalesce("_text", F.lit("")).alias("text"))), "linked")
+    many = _small(saved(found.where("n_shingles > 0 and component_id <> doc_id").select("component_id").distinct(), "groups"))
+    copies = found.where("n_shingles > 0").join(many, "component_id").select(F.col("doc_id").alias("member"), "component_id")
+    # Ties of ids go by the row's content, so that the choice does not depend on the numbers.
+    content = F.xxhash64(*[f.name for f in rows.schema if f.name != "row" and "map<" not in f.dataType.simpleString()])
+    own = rows.select("row", F.col("_doc_id").cast("long").alias("id"), content.alias("content"))
+    copies = own.join(copies, own["row"] == copies["member"]).select("component_id", F.struct(F.col("id").isNull().alias("last"), "id", "content", "row").alias("place"))
+    blank = found.where("n_shingles = 0").select(F.col("doc_id").alias("member"))
+    blank = rows.where("_doc_id is not null").join(blank, rows["row"] == blank["member"]).select("_doc_id", "_text", F.struct(content.alias("content"), "row").alias("place"))
+    gone = _others(copies, ["component_id"]).unionAll(_others(blank, ["_doc_id", "_text"]))
+    gone = _small(saved(gone, "copies"))
+    return rows.join(gone, "row", "left_anti").select(*names).toDF(*documents.columns)
+
+
+def _others(members: DataFrame, key: list[str]) -> DataFrame:
+    """The rows that are not first by place among those of the same key."""
+    first = members.groupBy(*key).agg(F.min("place")["row"].alias("first"))
+    same = [members[c].eqNullSafe(first[c]) for c in key]
+    return members.join(first, same).where(F.col("place.row") != F.col("first")).select(F.col("place.row").alias("row"))

@@ -236,6 +236,16 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == sorted({c for _, n, c in classes_by_hand(rows)})
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    a, b, c, near = (" ".join(words(60, seed, 5000)) for seed in (71, 72, 73, 74))
+    rows = [(1, a, "x"), (1, a, "x"), (2, near, "x"), (None, near + " more", "y"), (None, b, "x"), (None, b, "x"), (3, a, "x"), (3, c, "x"), (4, "", "x"), (4, "", "x"), (4, None, "x"), (5, "", "x"), (None, "", "x"), (None, "", "x")]
+    want = [(1, a, "x"), (2, near, "x"), (None, b, "x"), (3, c, "x"), (4, "", "x"), (4, None, "x"), (5, "", "x"), (None, "", "x"), (None, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(5)
+    got = neardup.kept(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_bound_never_falls_below_the_overlap():
     import numpy as np
 
