@@ -37,14 +37,15 @@ SYMBOLS = range(6)
 
 
 class Machine:
-    """A deterministic transducer: moves[state][symbol] = (next state, factor); final[state] = factor of a clause."""
+    """A deterministic transducer: moves[state][symbol] = (next state, factor); final[state] = factor of a clause,
+    pending[state] = factor of the clause's threats, whose weight waits for the end."""
 
-    def __init__(self, moves: list[list[tuple[int, float]]], final: list[float]) -> None:
-        self.moves, self.final = moves, final
+    def __init__(self, moves: list[list[tuple[int, float]]], final: list[float], pending: list[float] | None = None) -> None:
+        self.moves, self.final, self.pending = moves, final, pending or [1.0] * len(final)
 
 
-def _machine(states: int, rule, final) -> Machine:
-    return Machine([[rule(s, x) for x in SYMBOLS] for s in range(states)], [final(s) for s in range(states)])
+def _machine(states: int, rule, final, pending=lambda s: 1.0) -> Machine:
+    return Machine([[rule(s, x) for x in SYMBOLS] for s in range(states)], [final(s) for s in range(states)], [pending(s) for s in range(states)])
 
 
 def negation(factor: float = 0.4, reach: int = 3) -> Machine:
@@ -63,8 +64,8 @@ def target(factor: float = 1.2) -> Machine:
 
 
 def threat() -> Machine:
-    """A threat counts only once a target has stood in the clause."""
-    return _machine(2, lambda s, x: (1 if x == TARGET else s, (1.0 if s else 0.0) if x == THREAT else 1.0), lambda s: 1.0)
+    """A threat counts only if a target stands in the clause, before or after it."""
+    return _machine(2, lambda s, x: (1 if x == TARGET else s, 1.0), lambda s: 1.0, lambda s: 1.0 if s else 0.0)
 
 
 def insult() -> Machine:
@@ -81,15 +82,19 @@ def compose(*machines: Machine) -> Machine:
         steps = [m.moves[s][x] for m, s in zip(machines, state, strict=True)]
         return number[tuple(t for t, _ in steps)], math.prod(f for _, f in steps)
 
-    return Machine([[move(s, x) for x in SYMBOLS] for s in states], [math.prod(m.final[k] for m, k in zip(machines, s, strict=True)) for s in states])
+    final, pending = ([math.prod(getattr(m, part)[k] for m, k in zip(machines, s, strict=True)) for s in states] for part in ("final", "pending"))
+    return Machine([[move(s, x) for x in SYMBOLS] for s in states], final, pending)
 
 
 def clause_score(machine: Machine, symbols: list[int], weights: list[float]) -> float:
-    state, total = 0, 0.0
+    state, total, waiting = 0, 0.0, 0.0
     for x, w in zip(symbols, weights, strict=True):
         state, factor = machine.moves[state][x]
-        total += w * factor
-    return total * machine.final[state]
+        if x == THREAT:
+            waiting += w * factor
+        else:
+            total += w * factor
+    return (total + waiting * machine.pending[state]) * machine.final[state]
 
 
 def _hashes(words: str | list[str]) -> np.ndarray:

@@ -299,6 +299,16 @@ def test_grammar_factors():
     assert run([T]) == 0.0 and run([G, T]) == 2.4
 
 
+def test_threat_counts_before_and_after_its_target():
+    m = toxicity.compose(toxicity.insult(), toxicity.threat(), toxicity.target(), toxicity.negation(), toxicity.reported())
+    O, I, T, G, N, R = range(6)
+    run = lambda symbols: round(toxicity.clause_score(m, symbols, [2.0 if s in (I, T) else 0.0 for s in symbols]), 6)
+    assert run([O, O, T, G]) == run([G, T]) == 2.4
+    assert run([N, T, G]) == 0.96 and run([T, I]) == 2.0 and run([T, I, G]) == 4.8
+    f = toxicity.Grammar({}).features(pa.array(["I will kill you", "you, I will kill", "I will kill. You know", "a fine day"]))
+    assert f[0, 0] == f[1, 0] > 0 and not f[2:].any()
+
+
 def test_toxicity_held_out(spark, sf_dir):
     folder = sf_dir.replace("0.001", "0.1")
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
