@@ -1,3 +1,6 @@
+import math
+import os
+import random
 from itertools import product
 
 import pytest
@@ -5,7 +8,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from canvass.operators import aggregate, cascade, contracts, graph, lookup, partition, ranking, reshape
+from canvass import storage
+from canvass.operators import aggregate, cascade, contracts, graph, lookup, partition, ranking, reshape, skew
 
 
 def test_winner_ties_zero_votes_and_single_party(spark):
@@ -115,3 +119,58 @@ def test_exact_partition_query(spark, sf_dir):
     orders = {r["o_orderkey"]: r["q"] for r in spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.quarter("o_orderdate").alias("q")).collect()}
     assert got and all(r["outcome"] in ("unique", "several") for r in got)
     assert all(r["area"] == orders[r["uid"]] for r in got if r["outcome"] == "unique")
+
+
+def _paths(n):
+    falling, mixed = [0, *range(n, 0, -1)], list(range(n))
+    random.Random(n).shuffle(mixed)
+    return [list(zip(x, x[1:])) for x in (falling, mixed)]
+
+
+@pytest.mark.parametrize("n", [50, 800])
+def test_components_take_logarithmic_rounds(spark, n):
+    for links in _paths(n):
+        df = spark.createDataFrame(links, "a long, b long")
+        assert len(graph.contractions(df)) <= 2 * math.log2(n)
+        assert {r["component"] for r in graph.components(df).collect()} == {0}
+
+
+def test_components_with_shuffles_and_hubs(spark, monkeypatch):
+    for module in (graph, skew):
+        monkeypatch.setattr(module, "SMALL_ROWS", 0)
+    monkeypatch.setattr(skew.spread_join.__globals__["small"], "__defaults__", (0,))
+    links = [(5000, i) for i in range(300)] + [(i, i + 1) for i in range(6000, 6050)] + [(7001, 7002), (7002, 7001), (None, 3), (8, None), (9001, 9001)]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {i: 0 for i in [*range(300), 5000]} | {i: 6000 for i in range(6000, 6051)} | {7001: 7001, 7002: 7001}
+    assert got == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_spread_join_equals_join(spark, how):
+    rows = storage.saved(spark.createDataFrame([(7 if i % 3 else i, i) for i in range(3000)] + [(None, -1)], "k int, i int"), "rows")
+    table = storage.saved(spark.createDataFrame([(i, f"v{i}") for i in range(0, 900, 7)], "k int, v string"), "table")
+    want = rows.join(table, "k", how)
+    got = skew.spread_join(rows, table, "k", how, known_small=False)
+    assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and got.count() > 0
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session())
+
+
+def test_discarded_tables_are_gone(spark):
+    table = storage.saved(spark.range(3).toDF("i"), "gone")
+    folder = table.saved_at.removeprefix("file://")
+    assert os.path.isdir(folder)
+    storage.discard(table, spark.range(1))
+    assert not os.path.exists(folder)
