@@ -55,10 +55,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def in_batches(df: DataFrame) -> DataFrame:
-    """``df``, whose rows will go to Python in Arrow batches of at most BATCH_BYTES: the session's setting is
-    lowered to that, so that workers' memory is bounded however long the texts are."""
+    """``df``, whose rows will go to Python in Arrow batches of at most BATCH_BYTES where the session names no
+    bound of its own: workers' memory is then bounded however long the texts are.  A bound that the user has
+    set stays; ours is the session's from the first operator on, as a setting can only hold for a session."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if conf.get(key, None) != str(BATCH_BYTES):
+    if conf.get(key, None) is None:
         conf.set(key, str(BATCH_BYTES))
     return df
 

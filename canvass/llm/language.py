@@ -8,6 +8,7 @@ two smallest sizes are nearly equal the prediction is marked as rejected.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pandas as pd
 import zstandard
@@ -25,12 +26,17 @@ SETTINGS = dict(window_log=17, chain_log=15, hash_log=15, search_log=3, min_matc
 NARROW = 0.002
 UNKNOWN = "und"
 
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_WORDS = re.compile(r"[\W\d_]+")
 
 
 def _letters(text: str) -> bytes:
-    """The text's words of letters, lower-cased: junk between them tells no language."""
-    return _NO_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
+    """The text's words of letters, lower-cased: junk between them tells no language.
+
+    Fractions, circled and raised digits count as word characters without being letters, so words without a
+    single letter go, too.
+    """
+    runs = _NO_WORDS.sub(" ", text.lower()).split()
+    return " ".join(w if w.isalpha() else "".join(c for c in w if c.isalpha() or unicodedata.category(c)[0] == "M") for w in runs if not w.isdigit() and any(map(str.isalpha, w))).encode("utf-8", "replace")
 
 
 def part_of(doc_id: Column, parts: int) -> Column:
@@ -42,7 +48,8 @@ def dictionaries(labelled: DataFrame, *, sample_documents: int = SAMPLE_DOCUMENT
     """Dictionary content by language, from columns doc_id, text, lang.
 
     The fit takes about ``sample_documents`` rows of each language (at most twice as many), chosen by a hash
-    of their id, and the middle ``excerpt_chars`` of each: a documented bound, whatever the table's size.
+    of their id, and the middle ``excerpt_chars`` of each, in order of the hash until ``dictionary_bytes`` are
+    full: a documented bound, whatever the table's size.
     Rows without a language, without text or without letters teach nothing.
     """
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -52,12 +59,16 @@ def dictionaries(labelled: DataFrame, *, sample_documents: int = SAMPLE_DOCUMENT
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_documents / n))])
     draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_003)) / 1_000_003.0
     start = F.greatest(F.lit(1), F.expr(f"cast(length(text) div 2 - {excerpt_chars // 2} as int)"))
-    rows = known.where(draw <= F.element_at(share, F.col("lang"))).select("lang", "doc_id", F.substring("text", start, F.lit(excerpt_chars)).alias("text"))
-    found: dict[str, list[str]] = {}
-    for r in rows.limit(2 * sample_documents * len(counts)).collect():
-        found.setdefault(r["lang"], []).append(r["text"])
+    rows = known.where(draw <= F.element_at(share, F.col("lang"))).select("lang", draw.alias("draw"), F.substring("text", start, F.lit(excerpt_chars)).alias("text"))
+    found: dict[str, set[bytes]] = {}
+    room = dict.fromkeys(counts, dictionary_bytes)
+    for draw, lang, excerpt in sorted((r["draw"], r["lang"], _letters(r["text"])) for r in rows.limit(2 * sample_documents * len(counts)).collect()):
+        own = found.setdefault(lang, set())
+        if excerpt not in own and len(excerpt) < room[lang]:
+            own.add(excerpt)
+            room[lang] -= len(excerpt) + 1
     # What stands last in a raw dictionary is nearest, so it is sorted to be the same on every run.
-    return {lang: b" ".join(sorted({_letters(t) for t in texts}))[-dictionary_bytes:] for lang, texts in sorted(found.items())}
+    return {lang: b" ".join(sorted(excerpts)) for lang, excerpts in sorted(found.items())}
 
 
 def _predictor(dicts: dict[str, bytes], narrow: float):
@@ -106,7 +117,11 @@ def report(documents: DataFrame) -> DataFrame:
 
 
 def accepted(documents: DataFrame) -> DataFrame:
-    """The rows whose language is told with a margin that is not narrow; all their columns as they were."""
+    """The rows whose language is told with a margin that is not narrow; all their columns as they were.
+
+    Null, empty and letterless texts are rejected, and all rows where nothing can be learned; repeated rows are
+    judged alike; no rows give no rows.  No column is added, so none can clash.
+    """
     held = part_of(F.col("doc_id"), 3) == 1
     dicts = dictionaries(documents.where(~held).select("doc_id", "text", "lang"))
     return in_batches(documents).where(~predicted(F.col("text"), dicts)["rejected"])

@@ -146,8 +146,19 @@ def test_language_held_out_accuracy(spark, sf_dir):
 
 def test_language_unknown(spark):
     rows = [(i, f"{' '.join(words(20, i))} the and of", "en", None, 0) for i in range(9)] + [(50, "123 !!", None, None, 0), (51, None, "en", None, 0)]
-    got = {r["doc_id"]: r["lang_pred"] for r in language.report(spark.createDataFrame(rows, DOCS)).collect()}
-    assert got[50] == got[51] == "und" and got[0] == "en"
+    rows += [(52, "½ ²", None, None, 0), (53, "③ ④", None, None, 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.report(docs).collect()}
+    assert got[50] == got[51] == got[52] == got[53] == "und" and got[0] == "en"
+    assert {r["doc_id"] for r in language.accepted(docs.withColumn("rejected", F.lit("x"))).collect()} <= set(range(9))
+
+
+def test_language_ties_go_to_the_first_and_are_rejected(spark):
+    dicts = {"b": b"one two three four", "a": b"one two three four"}
+    long = "one two three four " * 60_000
+    df = spark.createDataFrame([(1, "one two"), (2, long)], "i int, t string").select("i", language.predicted(F.col("t"), dicts).alias("p"))
+    for r in df.collect():
+        assert (r["p"]["lang"], r["p"]["rejected"], r["p"]["score"]) == ("a", True, 0.5)
 
 
 # 4
@@ -155,22 +166,44 @@ def test_language_unknown(spark):
 
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(4)
-    items = [(i, " ".join(words(rng.choice([0, 1, 3, 10, 25]), 100 + i, 30))) for i in range(12)] + [(77, None)]
+    items = [(i, " ".join(words(rng.choice([0, 1, 3, 10, 25]), 100 + i, 30))) for i in range(12)] + [(77, None), (None, " ".join(words(11, 900, 30))), (None, " ".join(words(12, 901, 30)))]
     docs = []
     for i in range(60):
         text = words(rng.randrange(0, 60), i, 30)
         if i % 3 == 0:
-            text[5:5] = items[rng.randrange(12)][1].upper().split()
+            text[5:5] = items[rng.randrange(12) if i % 9 else rng.choice([13, 14])][1].upper().split()
         docs.append((i, rng.choice([" ", ", ", "-"]).join(text) if i % 11 else None))
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     want = sorted(decontaminate.brute_force(docs, items))
     assert sorted(map(tuple, decontaminate.report(d, b).collect())) == want
     many = decontaminate.contamination(d, b, block_windows=7).select("doc_id", decontaminate.n_hit(), F.size("items"))
     assert sorted(map(tuple, many.collect())) == [(r[0], r[2], r[3]) for r in want]
-    kept = decontaminate.clean(d.withColumn("spans", F.lit(1)), b)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [r[0] for r in want if not r[5]]
-    cut = decontaminate.remove_spans(d, b)
-    assert {r["doc_id"]: r["n_words"] for r in decontaminate.report(cut, b).collect()} == {r[0]: r[1] - r[2] for r in want}
+    clashing = d.withColumns({"spans": F.lit(1), "c0": F.lit(2), "row": F.create_map(F.lit(1), F.lit("m"))}).unionAll(d.withColumns({"spans": F.lit(1), "c0": F.lit(2), "row": F.create_map(F.lit(1), F.lit("m"))}))
+    for block in (7, decontaminate.BLOCK_WINDOWS):
+        kept = decontaminate.clean(clashing, b, block_windows=block)
+        assert kept.columns == clashing.columns
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted(2 * [r[0] for r in want if not r[5]])
+        cut = decontaminate.remove_spans(d, b, block_windows=block)
+        assert {r["doc_id"]: r["n_words"] for r in decontaminate.report(cut, b).collect()} == {r[0]: r[1] - r[2] for r in want}
+
+
+def test_decontamination_sql_counts_items_without_id(spark, tmp_path):
+    from canvass.llm import queries
+
+    from ..oracle import difference
+
+    text = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(1, f"x {text} y"), (2, "nothing here"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, text), (None, "nothing"), (4, text), (5, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for t in ("documents", "benchmark"):
+        part = next((tmp_path / f"{t}.parquet").glob("part-*.parquet"))
+        spark.read.parquet(f"{tmp_path}/{t}.parquet").coalesce(1).toPandas().to_parquet(tmp_path / f"one-{t}.parquet")
+        assert part
+    folder = tmp_path / "whole"
+    folder.mkdir()
+    for t in ("documents", "benchmark"):
+        (tmp_path / f"one-{t}.parquet").rename(folder / f"{t}.parquet")
+    assert difference(spark, queries.op4_decontaminate, queries.ORACLE_SQL["op4_decontaminate"], str(folder)) == ""
 
 
 # 5
