@@ -11,6 +11,7 @@ All texts of a batch are parsed at once with numpy.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ KEEP = 64
 BUCKET_ROWS = 4096
 SLICE = 1_000_000
 ROWS_AT_ONCE = 1000
+MOST_RANGES = 100_000
 _SHIFT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,34 +157,51 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return in_batches(documents.select("doc_id", "text")).mapInArrow(read, f"doc_id {kind}, fingerprint string")
 
 
-def _heads(documents: DataFrame, bucket_rows: int) -> np.ndarray:
-    """The first id of each range of about ``bucket_rows`` ids, in order: one number for each range."""
-    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
-    ranges = max(1, ids.count() // bucket_rows)
-    dealt = ids.repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("head"))
-    return np.array(sorted(r["head"] for r in dealt.collect()), np.int64)
+def _text():
+    return F.coalesce("text", F.lit(""))
+
+
+def _heads(documents: DataFrame, bucket_rows: int) -> list[tuple[bool, int, int]]:
+    """The first place of each range of about ``bucket_rows`` rows, in order: three numbers for each range.
+
+    A place is (no id, id, 0), or (no id, 0, hash of the text) for rows without an id, which stand last.  Only
+    the texts of those are read here.
+    """
+    ids = documents.where("doc_id is not null").select(F.lit(False).alias("none"), F.col("doc_id").cast("long").alias("id"), F.lit(0).cast("long").alias("hash"))
+    others = documents.where("doc_id is null").select(F.lit(True).alias("none"), F.lit(0).cast("long").alias("id"), F.xxhash64(_text()).alias("hash"))
+    found = []
+    for rows in (ids, others):
+        ranges = min(MOST_RANGES, 1 + rows.count() // bucket_rows)
+        dealt = rows.repartitionByRange(ranges, "none", "id", "hash").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("none", "id", "hash")).alias("head"))
+        found += [tuple(r["head"]) for r in dealt.select("head").collect()]
+    return sorted(found)
 
 
 def _in_order(documents: DataFrame, bucket_rows: int) -> DataFrame:
-    """(bucket, doc_id, text, tail), in order of doc_id in each bucket.
+    """(bucket, doc_id, text, tail), in order of doc_id in each bucket, a bucket in each partition.
 
     Buckets are ranges of ids; each ends in a copy (tail) of the row that follows it, the last in the first
-    row of all, so every row finds its successor without a global sort.  Rows without an id stand last.
+    row of all, so every row finds its successor without a global sort.  Rows without an id stand last, by a
+    hash of their texts.
     """
-    heads = documents.sparkSession.sparkContext.broadcast(_heads(documents, bucket_rows))
+    found = _heads(documents, bucket_rows)
+    heads = documents.sparkSession.sparkContext.broadcast(found)
 
     def deal(batches):
         cuts = heads.value
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(np.iinfo(np.int64).max).to_numpy()
-            bucket = np.maximum(np.searchsorted(cuts, ids, "right") - 1, 0)
-            for own, number, tail in ((np.ones(len(ids), bool), bucket, False), (np.isin(ids, cuts), (bucket - 1) % max(1, len(cuts)), True)):
+            ids = batch.column("doc_id").to_pylist()
+            places = [(True, 0, h) if i is None else (False, i, 0) for i, h in zip(ids, batch.column("hash").to_pylist(), strict=True)]
+            bucket = np.array([max(bisect_right(cuts, p) - 1, 0) for p in places], np.int64)
+            first = np.array([cuts[b] == p for b, p in zip(bucket.tolist(), places, strict=True)], bool)
+            for own, number, tail in ((np.ones(len(ids), bool), bucket, False), (first, (bucket - 1) % max(1, len(cuts)), True)):
                 part = batch.filter(pa.array(own))
-                yield pa.RecordBatch.from_arrays([pa.array(number[own], pa.int64()), *part.columns, pa.array([tail] * part.num_rows, pa.bool_())], names=["bucket", "doc_id", "text", "tail"])
+                yield pa.RecordBatch.from_arrays([pa.array(number[own], pa.int64()), *part.columns, pa.array([tail] * part.num_rows, pa.bool_())], names=["bucket", "doc_id", "text", "hash", "tail"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    placed = in_batches(rows).mapInArrow(deal, "bucket long, doc_id long, text string, tail boolean")
-    return placed.repartition("bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_last(), "text")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), F.when(F.col("doc_id").isNull(), F.xxhash64(_text())).alias("hash"))
+    placed = in_batches(rows).mapInArrow(deal, "bucket long, doc_id long, text string, hash long, tail boolean")
+    order = ["bucket", "tail", F.col("doc_id").asc_nulls_last(), F.col("hash"), F.col("text")]
+    return placed.repartitionById(max(1, len(found)), F.col("bucket").cast("int")).sortWithinPartitions(*order).drop("hash")
 
 
 def edited(text: str, following: str) -> str:
@@ -215,6 +234,10 @@ def _compare(batches):
 
 
 def report(documents: DataFrame, *, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The contract's rows.  Null texts count as empty; rows with one id stand in order of their texts."""
+    """The contract's rows, one for each row of ``documents``; no rows give no rows.
+
+    Null texts count as empty; rows with one id stand in order of their texts, rows without an id last, in an
+    order that depends on their texts alone.  A single row follows itself.
+    """
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return _in_order(documents, bucket_rows).mapInArrow(_compare, schema)

@@ -4,16 +4,16 @@ A source's target over its size is how often each of its documents is wanted: a
 and a fraction, the inclusion probability of one more copy.  The cube method moves those probabilities along
 the null space of the balancing constraints (number of documents, number of words) until all but a few are 0
 or 1.  The flight runs in blocks of ``block`` units; what each block leaves undecided (two units at most)
-meets in new blocks, level by level, until each source has one block left, whose landing is the
-outcome of the two open units that keeps the source's words nearest; in a source of a single block a few
-settled units may be exchanged as well.  No task ever holds more than a block.
+meets in new blocks, level by level, until each source has one block left, whose landing draws the outcome of
+the two open units so that their inclusion probabilities hold.  A large unit that stays open to the end can cost a
+small source much; so a source's last block is drawn up to ``DRAWS`` times and the draw nearest in words is
+taken (rejective sampling).  No task ever holds more than a block.
 """
 
 from __future__ import annotations
 
 import hashlib
 from functools import reduce
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -26,8 +26,8 @@ from ..storage import saved
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3.0
 BLOCK = 2048
-EXCHANGES = 8
-CLOSE = 0.002
+DRAWS = 32
+CLOSE = 0.002  # a draw that misses by no more is taken at once
 _TINY = 1e-9
 
 
@@ -100,25 +100,39 @@ def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarra
     return pi
 
 
-def landing(pi: np.ndarray, x: np.ndarray, wanted: float) -> np.ndarray:
-    """Decide the last open units (two at most): the outcome whose words are nearest to ``wanted``, then the count.
+def landing(pi: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Decide the last open units (two at most) with their probabilities: two of them together keep the count
+    while they can, the last one alone is drawn."""
+    pi = pi.copy()
+    window = [int(k) for k in np.flatnonzero((pi > 0) & (pi < 1))]
+    if len(window) == 2:
+        one, other = window
+        up, down = min(1 - pi[one], pi[other]), min(pi[one], 1 - pi[other])
+        step = up if rng.random() * (up + down) < down else -down
+        pi[one] += step
+        pi[other] -= step
+        window = [k for k in window if _TINY < pi[k] < 1 - _TINY]
+    for k in window:
+        pi[k] = float(rng.random() < pi[k])
+    return pi.round()
+
+
+def drawn(pi: np.ndarray, x: np.ndarray, key: tuple, draws: int = DRAWS, close: float = CLOSE) -> np.ndarray:
+    """Flight and landing: of ``draws`` outcomes the one whose words (second column of x) are nearest to their
+    expectation, or the first that misses by ``close`` of it at most.
 
-    A large open unit can still cost much in a small source; up to EXCHANGES settled units are then turned
-    over, each time the one that brings the words nearest.
+    Each draw keeps the inclusion probabilities; the choice among them shifts them a little, the less the more
+    units there are.
     """
-    pi = pi.copy()
-    window = np.flatnonzero((pi > 0) & (pi < 1))
-    outcomes = [np.array(o, float) for o in product((0.0, 1.0), repeat=len(window))]
-    pi[window] = min(outcomes, key=lambda o: tuple(np.abs((o - pi[window]) @ x[window][:, ::-1]).round(9)))
-    words = x[:, 1]
-    for _ in range(EXCHANGES):
-        off = pi @ words - wanted
-        after = np.abs(off + np.where(pi > 0, -words, words))
-        best = int(after.argmin())
-        if abs(off) <= CLOSE * abs(wanted) or after[best] >= abs(off):
+    wanted, best, least = float(pi @ x[:, 1]), None, np.inf
+    for draw in range(draws):
+        rng = _rng(*key, draw)
+        outcome = landing(flight(pi, x, rng), rng)
+        if (off := abs(float(outcome @ x[:, 1]) - wanted)) < least:
+            best, least = outcome, off
+        if off <= close * wanted:
             break
-        pi[best] = 1 - pi[best]
-    return pi
+    return best
 
 
 def _fly(seed: int, level: int, last: bool, block: int):
@@ -127,26 +141,26 @@ def _fly(seed: int, level: int, last: bool, block: int):
         group = group.sort_values(["words", "key"], ascending=[False, True], kind="stable").reset_index(drop=True)
         x = group[["rows", "words"]].to_numpy(float)
         x = x / np.maximum(np.abs(x).max(0), 1e-12)
-        rng = _rng(seed, level, int(group["source_key"].iloc[0]), int(group["block"].iloc[0]))
-        before = group["pi"].to_numpy(float)
-        after = flight(before, x, rng)
-        # A source that fits in one block lands at once, with all of its units at hand.
-        group["pi"] = landing(after, x, before @ x[:, 1]) if last or group["units"].iloc[0] <= block else after
+        key = (seed, level, int(group["source_key"].iloc[0]), int(group["block"].iloc[0]))
+        pi = group["pi"].to_numpy(float)
+        # A source that fits in one block lands at once.
+        group["pi"] = drawn(pi, x, key) if last or group["units"].iloc[0] <= block else flight(pi, x, _rng(*key))
         return group
 
     return run
 
 
 def _flown(units: DataFrame, seed: int, level: int, last: bool, block: int) -> DataFrame:
-    return units.groupBy("source_key", "block").applyInPandas(_fly(seed, level, last, block), units.schema)
+    return units.groupBy("source", "block").applyInPandas(_fly(seed, level, last, block), units.schema)
 
 
 def decisions(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most_copies: float = MOST_COPIES, block: int = BLOCK, seed: int = 20240607) -> DataFrame:
     """doc_id, source, size, source_size, target, copies: a row for each distinct (doc_id, source, size).
 
     ``sized`` has these three columns.  Rows that agree in all three are one unit and are taken equally
-    often.  Empty sources have target 0; documents without words have copies but add nothing.  The result
-    depends on the rows and the seed alone, not on their order or partitions.
+    often.  Empty sources have target 0; documents without words have copies but add nothing.  Null ids and
+    a null source are values like others; no rows give no rows.  The result depends on the rows and the seed
+    alone, not on their order or partitions.
     """
     units = sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"))
     targets = source_targets(sized, weights, most_copies)
@@ -158,7 +172,7 @@ def decisions(sized: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most_co
     units = units.join(plan, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     units = units.withColumns({
         "words": F.col("size") * F.col("rows"),
-        "source_key": F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\0"))),
+        "source_key": F.xxhash64(F.col("source").cast("string")),  # for the draws; groups go by the source itself
         "key": key,
         "whole": F.floor("rate").cast("long"),
         "pi": F.col("rate") - F.floor("rate"),
@@ -195,11 +209,19 @@ def report(documents: DataFrame) -> DataFrame:
 
 
 def mixed(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents``, each as often as the mix takes it, with copy (1, 2, ...) as a last column."""
-    names = [f"_{c}" for c in documents.columns]
-    own = documents.toDF(*names)
-    size = words_in(F.col("_text"))
-    found = decisions(saved(own.select(F.col("_doc_id").alias("doc_id"), F.col("_source").alias("source"), size.alias("size")), "sizes"))
+    """The rows of ``documents``, each as often as the mix takes it, with copy (1, 2, ...) as a last column.
+
+    Null texts and ids and a null source are values like others, repeated rows are taken equally often, no rows
+    give no rows.  A column that is already called copy keeps its name; ours then begins with an underscore.
+    Texts are shuffled once, to meet the decisions.
+    """
+    names = [f"c{i}" for i in range(len(documents.columns))]
+    doc_id, source, text = (names[documents.columns.index(c)] for c in ("doc_id", "source", "text"))
+    own = documents.toDF(*names).withColumn("words", words_in(F.col(text)))
+    found = decisions(saved(own.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col("words").alias("size")), "sizes"))
     chosen = found.where("copies > 0").select("doc_id", "source", "size", "copies")
-    rows = own.join(chosen, F.col("_doc_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (size == F.col("size")))
-    return rows.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).toDF(*documents.columns, "copy")
+    rows = own.join(chosen, F.col(doc_id).eqNullSafe(F.col("doc_id")) & F.col(source).eqNullSafe(F.col("source")) & (F.col("words") == F.col("size")))
+    copy = "copy"
+    while copy in documents.columns:
+        copy = f"_{copy}"
+    return rows.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).toDF(*documents.columns, copy)

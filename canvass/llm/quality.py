@@ -180,10 +180,12 @@ def fitted(rows: DataFrame) -> Attention | float:
 
 
 def scored(documents: DataFrame, model: Attention | float, keep: list[str]) -> DataFrame:
-    """``keep``, _score (0 to 1) and _attention (a weight for each passage of 64 words)."""
+    """``keep`` as c0, c1, ... (so that no name can clash), score (0 to 1) and attention (a weight for each
+    passage of 64 words).  Repeated rows score alike."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    rows = documents.select(*keep) if "text" in keep else documents.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema) + ", _score double, _attention array<float>"
+    names = [f"c{i}" for i in range(len(keep))]
+    rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col("text").alias("text"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*names).schema) + ", score double, attention array<float>"
 
     def score(batches):
         for batch in batches:
@@ -193,7 +195,7 @@ def scored(documents: DataFrame, model: Attention | float, keep: list[str]) -> D
             else:
                 p, alpha = sent.value.predict(x, edges)
             weights = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(alpha, pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(p), weights], names=[*keep, "_score", "_attention"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(p), weights], names=[*names, "score", "attention"])
 
     return in_batches(rows).mapInArrow(score, schema)
 
@@ -202,4 +204,4 @@ def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's rows: labels are learned only where crc32(doc_id) mod 4 is not 2."""
     model = fitted(training_rows(documents, labels, "quality", 4, 2, SAMPLE_DOCUMENTS))
     found = scored(documents, model, ["doc_id"])
-    return found.select("doc_id", (part_of(F.col("doc_id"), 4) == 2).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.7).cast("int").alias("predicted"))
+    return found.select(F.col("c0").alias("doc_id"), (part_of(F.col("c0"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -226,16 +226,20 @@ def fitted(rows: DataFrame) -> tuple[Grammar, list[float]]:
 
 
 def scored(documents: DataFrame, grammar: Grammar, link: list[float], keep: list[str]) -> DataFrame:
-    """``keep`` and _score: 0 to 1.  Null and empty texts have the score of a text without matches."""
+    """``keep`` as c0, c1, ... (so that no name can clash) and score: 0 to 1.
+
+    Null and empty texts have the score of a text without matches; repeated rows score alike.
+    """
     sent = documents.sparkSession.sparkContext.broadcast((grammar, np.array(link)))
-    rows = documents.select(*keep) if "text" in keep else documents.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema) + ", _score double"
+    names = [f"c{i}" for i in range(len(keep))]
+    rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col("text").alias("text"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*names).schema) + ", score double"
 
     def score(batches):
         for batch in batches:
             own, w = sent.value
             z = own.features(batch.column("text")) @ w[:-1] + w[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=[*keep, "_score"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=[*names, "score"])
 
     return in_batches(rows).mapInArrow(score, schema)
 
@@ -244,11 +248,15 @@ def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's rows: labels are learned only where crc32(doc_id) mod 5 is not 0."""
     grammar, link = fitted(training_rows(documents, labels, "toxic", 5, 0, SAMPLE_DOCUMENTS))
     found = scored(documents, grammar, link, ["doc_id"])
-    return found.select("doc_id", (part_of(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+    return found.select(F.col("c0").alias("doc_id"), (part_of(F.col("c0"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that score under 0.5; all their columns as they were."""
+    """The rows of ``documents`` that score under 0.5; all their columns as they were, whatever they are called.
+
+    A score of 0.5 exactly goes.  Null and empty texts score like texts without matches, repeated rows alike;
+    without labels, or with labels of one class, all rows share one decision; no rows give no rows.
+    """
     grammar, link = fitted(training_rows(documents, labels, "toxic", 5, 0, SAMPLE_DOCUMENTS))
-    names = documents.columns
-    return scored(documents, grammar, link, names).where(F.col("_score") < 0.5).select(*names)
+    found = scored(documents, grammar, link, documents.columns).where("score < 0.5")
+    return found.drop("score").toDF(*documents.columns)

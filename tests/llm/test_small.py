@@ -84,11 +84,41 @@ def test_flight_keeps_balance_and_leaves_two():
     assert np.allclose(out @ x, pi @ x, atol=1e-6)
 
 
+def test_draws_keep_inclusion_probabilities():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    pi, size = rng.random(30), rng.integers(1, 400, 30).astype(float)
+    x = np.stack([np.ones(30), size], axis=1) / np.array([1.0, size.max()])
+    single = np.mean([mixing.drawn(pi, x, (s,), draws=1) for s in range(500)], axis=0)
+    assert np.abs(single - pi).max() < 0.09 and abs(single.sum() - pi.sum()) < 0.2
+    best = [mixing.drawn(pi, x, (s,)) for s in range(500)]
+    assert np.abs(np.mean(best, axis=0) - pi).max() < 0.2
+    assert max(abs((b - pi) @ size) for b in best) < 0.05 * (pi @ size)
+
+
+def test_sources_with_odd_names_stay_apart(spark):
+    rows = [(i, s, 10) for i, s in enumerate(["\0"] * 14 + [None] * 7)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    taken = {r["source"]: r["n"] for r in mixing.decisions(sized).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("n")).collect()}
+    target = {r["source"]: r["target"] for r in mixing.source_targets(sized).collect()}
+    assert all(abs(taken[s] - target[s]) < 10 for s in target)
+
+
+def test_mix_by_hand(spark):
+    # one source: target equals its size, so every document is taken once
+    docs = spark.createDataFrame([(1, "a b", "s"), (2, "c", "s"), (3, None, "s"), (3, None, "s")], "doc_id long, text string, source string")
+    assert sorted((r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in mixing.report(docs).collect()) == [(1, 2, 3, 3.0, 2), (2, 1, 3, 3.0, 1), (3, 0, 3, 3.0, 0), (3, 0, 3, 3.0, 0)]
+    # weights 1 and 2 of 9 words: a has 6 and wants 3, b has 3 and wants 6
+    docs = spark.createDataFrame([(i, "w " * 3, "a") for i in (1, 2)] + [(3, "w w w", "b")], "doc_id long, text string, source string")
+    assert sorted((r["source"], r["target"], r["n"]) for r in mixing.report(docs).groupBy("source", "target").agg(F.sum("taken").alias("n")).collect()) == [("a", 3.0, 3), ("b", 6.0, 6)]
+
+
 def test_mixed_repeats_rows_and_keeps_clashing_columns(spark):
-    docs = odd_documents(spark, ("copies", "size"))
+    docs = odd_documents(spark, ("copies", "size", "copy", "c0", "words"))
     got = mixing.mixed(docs)
-    assert got.columns == [*docs.columns, "copy"]
-    taken = {(r["doc_id"], r["source"]): r["n"] for r in got.groupBy("doc_id", "source").agg(F.max("copy").alias("n")).collect()}
+    assert got.columns == [*docs.columns, "_copy"]
+    taken = {(r["doc_id"], r["source"]): r["n"] for r in got.groupBy("doc_id", "source").agg(F.max("_copy").alias("n")).collect()}
     assert all(1 <= n <= 3 for n in taken.values())
 
 
@@ -112,6 +142,40 @@ def test_fingerprint_edits_follow_ids_across_buckets(spark):
         assert got[3 * i]["n_chars"] == len(t)
 
 
+def test_every_row_has_a_successor_whatever_its_id(spark):
+    def rows_of(rows, **more):
+        got = fingerprints.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), **more).collect()
+        return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_chars"], r["edited_sha256"]) for r in got)
+
+    def by_hand(rows, order):
+        rows = [rows[i] for i in order]
+        return sorted((d is None, d or 0, len(t or ""), hashlib.sha256(fingerprints.edited(t or "", rows[(i + 1) % len(rows)][1] or "").encode()).hexdigest()) for i, (d, t) in enumerate(rows))
+
+    two = [(None, "abcd efgh"), (None, "the quick brown fox")]
+    assert rows_of(two) in (by_hand(two, [0, 1]), by_hand(two, [1, 0]))
+    mixed = [(5, "five is here now"), (None, "nobody knows the id"), (-3, "minus three comes first"), (5, "five is here now"), (9, None)]
+    assert rows_of(mixed, bucket_rows=1) == by_hand(mixed, [2, 0, 3, 4, 1])
+    assert rows_of([(1, "alone in the table")]) == by_hand([(1, "alone in the table")], [0])
+    many = [(None, " ".join(words(9, i))) for i in range(40)]
+    assert len(rows_of(many, bucket_rows=4)) == 40
+
+
+def test_likeness_estimates_the_share_of_phrases():
+    import numpy as np
+
+    texts = [" ".join(words(300, 5, 2000)), " ".join(words(300, 5, 2000)[:200] + words(100, 6, 2000)), " ".join(words(300, 7, 2000)), "", "ab"]
+    names = []
+    for t in texts:
+        owners, parts = fingerprints.phrases(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+        names.append(set(np.concatenate(parts).tolist()) if parts else set())
+    sketch = fingerprints.sketches(pa.array(texts))
+    for i in range(len(texts)):
+        assert sketch[i].tolist() == sorted(names[i])[: fingerprints.KEEP]
+        for j in range(len(texts)):
+            exact = len(names[i] & names[j]) / len(names[i] | names[j]) if names[i] | names[j] else 1.0
+            assert abs(fingerprints.likeness(sketch[i], sketch[j]) - exact) < 0.2
+
+
 def test_phrases_do_not_depend_on_offset():
     import numpy as np
 
