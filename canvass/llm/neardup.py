@@ -1,15 +1,20 @@
-"""Operator 5: n-gram Jaccard join by count-vector R-trees, exact.
+"""Operator 5: n-gram Jaccard join by count-vector R-trees.
 
 A document is the set of its distinct shingles.  Equal sets form a class and only classes are joined.
 
 1. Each class deals itself to blocks by the shingles of its prefix: with a common order of shingles, two sets
    of similarity t share one of the first n - ceil(t n) + 1.  Shingles that very many prefixes hold come last
    in the order.  Only shingles that two classes hold make blocks, and blocks with the same members are one.
-2. Shingles are hashed into groups; a class is the point of its group counts.  In each block an R-tree over
-   the points bounds the overlap of two sets by the sum of coordinate minima; classes that may be similar are
-   joined to families.  A block of any size is dealt out in pairs of tiles.
-3. In each family (again in pairs of tiles) surviving pairs are verified on the shingles themselves.  Only
-   links that join what was not joined yet are written, so copies never become all their pairs.
+2. Each class is verified against one pivot, the first class of the blocks it shares most with, and classes
+   linked by that are one group.  Groups of copies of any size cost one comparison for each member.
+3. Shingles are hashed into groups; a class is the point of its group counts.  In each block that holds several
+   groups an R-tree over the points bounds the overlap of two sets by the sum of coordinate minima.  Pairs of
+   different groups that survive the bound are written.  A block beyond TILE is dealt out in pairs of tiles,
+   but the members of its largest group never meet each other there.
+4. Surviving pairs, and only those, are verified on the shingles themselves.
+
+Shingles are compared as 64-bit hashes of words' hashes and sets as two such sums, so results are exact but for
+collisions, which are expected once in about 10**9 documents of 10**3 shingles that share a block.
 """
 
 from __future__ import annotations
@@ -20,16 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..storage import saved
+from ..operators.skew import small, spread_join
+from ..storage import discard, saved
 from ._words import NOT_SPACE, Words, in_batches, mix, slices
 
 WORDS = 5
 PERCENT = 80
 COMMON = 500  # prefixes that hold a shingle, above which it comes last in the order
 COMMON_KEPT = 500_000  # such shingles that are broadcast, 8 bytes each; the most common first
-TILE = 2048  # classes of a block in one task at most, and words of a family's tile below
-TILE_SHINGLES = 2_000_000
-BROADCAST_ROWS = 1_000_000
+TILE = 2048  # classes of a block in one task at most, and twice that many where two tiles meet
+CHUNK = 256  # sets that one task compares with a set that has many pairs
 GROUPS = (32, 1024)
 
 
@@ -50,6 +55,13 @@ def _sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(owner, np.arange(len(counts) + 1))
 
 
+def _keys(h: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set, equal for equal sets."""
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(x))]) for x in (h + np.uint64(1), h ^ np.uint64(0x5851F42D4C957F2D))]
+    one, two = ((x[edges[1:]] - x[edges[:-1]]).view(np.int64) for x in sums)
+    return one, two
+
+
 def _fold(hashes: np.ndarray) -> int:
     out = 0
     for x in hashes.tolist():
@@ -93,11 +105,10 @@ def _signer(common, k: int, percent: int, brief: bool):
                 place = np.searchsorted(last, h)
                 place[place == len(last)] = 0
                 late = last[place] == h if len(last) else np.zeros(len(h), bool)
-                one = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(1)))])
-                two = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(0x5851F42D4C957F2D)))])
                 n.append(sizes)
-                key1.append((one[edges[1:]] - one[edges[:-1]]).view(np.int64))
-                key2.append((two[edges[1:]] - two[edges[:-1]]).view(np.int64))
+                one, two = _keys(h, edges)
+                key1.append(one)
+                key2.append(two)
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     own = h[a:b]
                     if late[a:b].any():
@@ -115,39 +126,16 @@ def _signer(common, k: int, percent: int, brief: bool):
 
 
 def signed(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n (shingles), key1, key2 (hash of the set), point (group counts), prefix: saved, a row per row."""
+    """row (a number of its own), doc_id, n (shingles), key1, key2 (hash of the set), point (group counts),
+    prefix: saved, a row per row."""
     spark = texts.sparkSession
     none = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
     first = in_batches(texts.select("text")).mapInArrow(_signer(none, k, percent, True), "prefix array<long>")
     held = first.select(F.explode("prefix").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > COMMON)
-    common = np.array([r["h"] for r in held.orderBy(F.desc("n"), "h").limit(COMMON_KEPT).select("h").collect()], np.int64).view(np.uint64)
+    common = held.orderBy(F.desc("n"), "h").limit(COMMON_KEPT).select("h").toArrow().column("h").to_numpy().view(np.uint64)
     sent = spark.sparkContext.broadcast(np.sort(common))
-    return saved(texts.mapInArrow(_signer(sent, k, percent, False), "doc_id long, n long, key1 long, key2 long, point binary, prefix array<long>"), "signed")
-
-
-class _Forest:
-    """Which members of a task are joined already."""
-
-    def __init__(self, n: int) -> None:
-        self.root = np.arange(n)
-
-    def whole(self) -> bool:
-        """All are in one tree: nothing is left to join."""
-        return bool((self.root == self.root[0]).all())
-
-    def join(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Join i with ``others``; those that this joins to something new, one for each tree."""
-        fresh = others[self.root[others] != self.root[i]]
-        if not len(fresh):
-            return fresh
-        if len(fresh) == 1:
-            a, b = sorted((int(self.root[i]), int(self.root[fresh[0]])))
-            self.root[self.root == b] = a
-            return fresh
-        _, one = np.unique(self.root[fresh], return_index=True)
-        trees = np.append(self.root[fresh[one]], self.root[i])
-        self.root[np.isin(self.root, trees)] = trees.min()
-        return fresh[one]
+    made = texts.mapInArrow(_signer(sent, k, percent, False), "doc_id long, n long, key1 long, key2 long, point binary, prefix array<long>")
+    return saved(made.withColumn("row", F.monotonically_increasing_id()), "signed")
 
 
 def _least_overlap(n1, n2, percent: int):
@@ -156,40 +144,57 @@ def _least_overlap(n1, n2, percent: int):
 
 
 class RTree:
-    """Points packed by size into leaves of 16; a leaf has the largest count of each group and its sizes' range.
+    """Points packed by their coordinates into nodes of 16, up to a single root; a node has the largest count of
+    each group below it and the range of its sets' sizes.
 
     Points of large sets have more groups; two points are compared in the groups of the coarser one.
     """
 
-    LEAF = 16
+    FAN = 16
 
     def __init__(self, sizes: np.ndarray, points: list[np.ndarray]) -> None:
         self.sizes, self.points = sizes, points
         self.width = np.array([len(p) for p in points])
-        coarsest = int(self.width.min())
-        self.levels = {g: np.array([_folded(p, min(g, len(p))) if len(p) >= g else np.zeros(g, np.int32) for p in points]) for g in np.unique(self.width).tolist()}
-        self.coarsest = coarsest
-        self.order = np.argsort(sizes, kind="stable")
-        starts = np.arange(0, len(points), self.LEAF)
-        self.top = np.maximum.reduceat(self.levels[coarsest][self.order], starts)
-        self.low, self.high = sizes[self.order][starts], sizes[self.order][np.minimum(starts + self.LEAF, len(points)) - 1]
+        self.coarsest = int(self.width.min())
+        self.finer = {g: np.array([_folded(p, min(g, len(p))) if len(p) >= g else np.zeros(g, np.int32) for p in points]) for g in np.unique(self.width).tolist()}
+        flat = self.finer[self.coarsest]
+        self.order = self._packed(np.arange(len(points)), flat)
+        top, low, high = flat[self.order], sizes[self.order], sizes[self.order]
+        self.levels = []  # from the root to the leaves
+        while not self.levels or len(top) > 1:
+            starts = np.arange(0, len(top), self.FAN)
+            top, low, high = np.maximum.reduceat(top, starts), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
+            self.levels.insert(0, (top, low, high))
+
+    def _packed(self, rows: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Rows cut in two at the group whose counts differ most, until a leaf holds them."""
+        if len(rows) <= self.FAN:
+            return rows
+        column = flat[rows][:, int(flat[rows].var(axis=0).argmax())]
+        rows = rows[np.argsort(column, kind="stable")]
+        half = self.FAN * -(-len(rows) // (2 * self.FAN))
+        return np.concatenate([self._packed(rows[:half], flat), self._packed(rows[half:], flat)])
 
     def near(self, i: int, percent: int) -> np.ndarray:
         """Members whose overlap with member i may suffice, by the sum of coordinate minima; i is among them."""
         size, point = int(self.sizes[i]), self.points[i]
-        own = _folded(point, self.coarsest)
-        leaves = np.flatnonzero((self.low * percent <= size * 100) & (size * percent <= self.high * 100))
-        least = _least_overlap(size, np.maximum(self.low[leaves], -(-percent * size // 100)), percent)
-        leaves = leaves[np.minimum(self.top[leaves], own).sum(1) >= least]
-        at = (leaves[:, None] * self.LEAF + np.arange(self.LEAF)).ravel()
-        rows = self.order[at[at < len(self.order)]]
+        own, smallest = _folded(point, self.coarsest), -(-percent * size // 100)
+        nodes = np.zeros(1, np.int64)
+        for top, low, high in self.levels:
+            nodes = nodes[nodes < len(top)]
+            nodes = nodes[(low[nodes] * percent <= size * 100) & (size * percent <= high[nodes] * 100)]
+            least = _least_overlap(size, np.maximum(low[nodes], smallest), percent)
+            nodes = nodes[np.minimum(top[nodes], own).sum(1) >= least]
+            nodes = (nodes[:, None] * self.FAN + np.arange(self.FAN)).ravel()
+        rows = self.order[nodes[nodes < len(self.order)]]
         n = self.sizes[rows]
         rows = rows[(n * percent <= size * 100) & (size * percent <= n * 100)]
-        keep = []
-        for g in np.unique(np.minimum(self.width[rows], len(point))).tolist():
-            own_rows = rows[np.minimum(self.width[rows], len(point)) == g]
-            bound = np.minimum(self.levels[g][own_rows], _folded(point, g)).sum(1)
-            keep.append(own_rows[bound >= _least_overlap(size, self.sizes[own_rows], percent)])
+        width = np.minimum(self.width[rows], len(point))
+        keep = [rows[:0]]
+        for g in np.unique(width).tolist():
+            some = rows[width == g]
+            bound = np.minimum(self.finer[g][some], _folded(point, g)).sum(1)
+            keep.append(some[bound >= _least_overlap(size, self.sizes[some], percent)])
         return np.concatenate(keep)
 
 
@@ -215,150 +220,226 @@ def _grouped(batches, keys: list[str]):
         yield held
 
 
-def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
 
+def _bound(percent: int):
+    """(id, n, point, other, other_n, other_point) to the pairs that may be similar."""
 
-def _other_tile(tile: np.ndarray, across: bool, i: int, rows: np.ndarray) -> np.ndarray:
-    """In a task of two tiles only pairs across count: those within a tile are the tile's own task."""
-    return rows[tile[rows] != tile[i]] if across else rows
+    def read(batches):
+        for batch in batches:
+            n, m = batch.column("n").to_pylist(), batch.column("other_n").to_pylist()
+            points, others = ([_counts(p) for p in batch.column(c).to_pylist()] for c in ("point", "other_point"))
+            ok = pa.array([_may_match(*x, percent) for x in zip(n, points, m, others, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("other").filter(ok), batch.column("id").filter(ok)], names=["a", "b"])
+
+    return read
 
 
 def _block_join(percent: int):
+    """Surviving pairs of each task of a block: members of different groups, across tiles where two tiles meet."""
+
     def join(batches):
-        out: list[tuple[int, int]] = []
+        a: list[int] = []
+        b: list[int] = []
         for group in _grouped(batches, ["block", "t1", "t2"]):
             if group.num_rows < 2:
                 continue
-            ids, sizes, tile = (group.column(c).to_numpy() for c in ("id", "n", "tile"))
-            points = [_counts(p) for p in group.column("point").to_pylist()]
-            across = group.column("t1")[0].as_py() != group.column("t2")[0].as_py()
-            if len(ids) == 2:
-                if (not across or tile[0] != tile[1]) and _may_match(int(sizes[0]), points[0], int(sizes[1]), points[1], percent):
-                    out.append((ids[0], ids[1]))
-            else:
-                tree, forest = RTree(sizes, points), _Forest(len(ids))
-                for i in range(len(ids)):
-                    if forest.whole():
-                        break
-                    forest.join(i, _other_tile(tile, across, i, tree.near(i, percent)))
-                # Each member with the smallest of its tree: blocks of much the same members write the same pairs.
-                least = np.full(len(ids), np.iinfo(np.int64).max)
-                np.minimum.at(least, forest.root, ids)
-                out.extend((a, b) for a, b in zip(ids.tolist(), least[forest.root].tolist(), strict=True) if a != b)
-            if len(out) > 50_000:
-                yield _pairs(out)
-                out = []
-        yield _pairs(out)
-
-    return join
-
-
-def _family_join(percent: int):
-    def join(batches):
-        for group in _grouped(batches, ["family", "t1", "t2"]):
-            ids, sizes, tile = (group.column(c).to_numpy() for c in ("id", "n", "tile"))
+            ids, sizes, tile, party = (group.column(c).to_numpy() for c in ("id", "n", "tile", "party"))
+            if (party == party[0]).all():
+                continue
             across = group.column("t1")[0].as_py() != group.column("t2")[0].as_py()
-            _, place = np.unique(np.concatenate([np.frombuffer(s, np.int64) for s in group.column("shingles").to_pylist()]), return_inverse=True)
-            ends = np.cumsum(sizes)
-            starts = ends - sizes
-            flag = np.zeros(int(place.max(initial=-1)) + 1, np.int32)
-            forest, out = _Forest(len(ids)), []
-            for i in range(len(ids) - 1):
-                if forest.whole():
-                    break
-                # Members stand by size: those that are not too large for i follow.
-                last = int(np.searchsorted(sizes * percent, sizes[i] * 100, "right"))
-                rows = _other_tile(tile, across, i, np.arange(i + 1, last))
-                rows = rows[forest.root[rows] != forest.root[i]]
-                if not len(rows):
-                    continue
-                own = place[starts[i] : ends[i]]
-                flag[own] = 1
-                a = rows[0]
-                both = np.add.reduceat(flag[place[starts[a] : ends[last - 1]]], starts[a:last] - starts[a])[rows - a]
-                flag[own] = 0
-                out.extend((ids[i], ids[j]) for j in forest.join(i, rows[100 * both >= percent * (sizes[i] + sizes[rows] - both)]).tolist())
-            yield _pairs(out)
+            tree = RTree(sizes, [_counts(p) for p in group.column("point").to_pylist()])
+            for i in range(len(ids)):
+                rows = tree.near(i, percent)
+                rows = rows[(ids[rows] > ids[i]) & (party[rows] != party[i])]
+                if across:
+                    rows = rows[tile[rows] != tile[i]]
+                a.extend([int(ids[i])] * len(rows))
+                b.extend(ids[rows].tolist())
+            if len(a) > 50_000:
+                yield _pairs(a, b)
+                a, b = [], []
+        yield _pairs(a, b)
 
     return join
 
 
-def _by_task(df: DataFrame, key: str) -> DataFrame:
-    return df.repartition(key, "t1", "t2").sortWithinPartitions(key, "t1", "t2", "n", "id")
-
+def _comparer(percent: int):
+    """Verified pairs: in each (hub, chunk) the hub's set comes first and each other set is held against it."""
 
-def _tiled(members: DataFrame, key: str, weight, most: int) -> DataFrame:
-    """members with tile and task (t1, t2): a group over ``most`` by weight is cut into tiles, a member goes to
-    every pair of tiles that holds its own."""
-    load = members.groupBy(key).agg(F.sum(weight).alias("_load"), F.count("*").alias("_count")).where("_count > 1")
-    tiles = F.ceil(F.col("_load") / F.lit(most)).cast("long")
-    rows = members.join(load.select(key, tiles.alias("_tiles")), key).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("_tiles")))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tiles") - 1)))
-    # With several tiles the task (t, t) joins a tile with itself; in (s, t) only pairs across count.
-    rows = rows.withColumns({"t1": F.least("tile", "_other"), "t2": F.greatest("tile", "_other")})
-    return rows.drop("_tiles", "_other")
+    def compare(batches):
+        hub, own = None, np.zeros(0, np.int64)
+        for batch in batches:
+            a: list[int] = []
+            b: list[int] = []
+            hubs, ids, first = batch.column("hub").to_pylist(), batch.column("id").to_pylist(), batch.column("first").to_pylist()
+            for i, (h, x) in enumerate(zip(hubs, ids, strict=True)):
+                theirs = np.frombuffer(batch.column("shingles")[i].as_buffer(), np.uint64)
+                if first[i]:
+                    hub, own = h, theirs.copy()
+                elif h == hub:
+                    place = np.searchsorted(own, theirs)
+                    place[place == len(own)] = 0
+                    both = int((own[place] == theirs).sum())
+                    if 100 * both >= percent * (len(own) + len(theirs) - both):
+                        a.append(h)
+                        b.append(x)
+            yield _pairs(a, b)
+
+    return compare
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The similar ones of saved ``pairs`` (a, b), by ``sets`` (id, shingles).
+
+    Each set travels to the tasks of the set it is held against, its hub: that of the pair with more pairs.
+    A hub's pairs are dealt into chunks, so a hub of any number is no single task.
+    """
+    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
+    degrees = saved(ends.groupBy("id").agg(F.count("*").alias("degree")), "degrees")
+    turned = pairs
+    for end in ("a", "b"):
+        turned = saved(spread_join(turned, degrees.select(F.col("id").alias(end), F.col("degree").alias(f"_{end}")), end), "turned")
+    hub = F.col("_a") >= F.col("_b")
+    turned = turned.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("id"), F.ceil(F.greatest("_a", "_b") / F.lit(CHUNK)).cast("long").alias("chunks"))
+    turned = saved(turned.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))), "turned")
+    hubs = turned.select("hub", "chunk").distinct()
+    rows = turned.select("hub", "chunk", "id", F.lit(False).alias("first")).unionAll(hubs.select("hub", "chunk", F.col("hub").alias("id"), F.lit(True).alias("first"))).join(sets, "id")
+    dealt = rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", F.desc("first"))
+    return dealt.select("hub", "id", "first", "shingles").mapInArrow(_comparer(percent), "a long, b long")
 
 
 def _shingler(k: int):
+    """Sets of the texts whose set is the one that is wanted: rows may share an id and not their text."""
+
     def read(batches):
         for batch in batches:
-            out, n = [], []
-            for _, _, data, offsets in slices(batch.column("text")):
+            out, right = [], []
+            want1, want2 = batch.column("key1").to_numpy(), batch.column("key2").to_numpy()
+            for row, end, data, offsets in slices(batch.column("text")):
                 h, edges = _sets(Words(data, offsets, NOT_SPACE), k)
-                out.extend(h[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
-                n.append(np.diff(edges))
-            yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("id"), pa.array(np.concatenate([np.zeros(0, np.int64), *n])), pa.array(out, pa.binary())], names=["family", "id", "n", "shingles"])
+                one, two = _keys(h, edges)
+                good = (one == want1[row:end]) & (two == want2[row:end])
+                right.append(good)
+                out.extend(h[x:y].tobytes() for x, y, g in zip(edges[:-1].tolist(), edges[1:].tolist(), good.tolist(), strict=True) if g)
+            keep = pa.array(np.concatenate([np.zeros(0, bool), *right]))
+            yield pa.RecordBatch.from_arrays([batch.column("id").filter(keep), pa.array(out, pa.binary())], names=["id", "shingles"])
 
     return read
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a saved frame of a few numbers a row if it has at most BROADCAST_ROWS, else leave the join to shuffle."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
-def classes(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def _sets_of(texts: DataFrame, pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """(id, shingles) of the classes in saved ``pairs``, from whole texts: saved, each once."""
+    ids = saved(pairs.select(F.col("a").alias("row")).unionAll(pairs.select(F.col("b").alias("row"))).distinct(), "ids")
+    wanted = saved(rows.select("row", "doc_id", "key1", "key2").join(F.broadcast(ids) if small(ids) else ids, "row").withColumnsRenamed({"row": "id", "doc_id": "_d"}), "wanted")
+    wanted = F.broadcast(wanted) if small(wanted) else wanted
+    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_d"])).select("id", "key1", "key2", "text").mapInArrow(_shingler(k), "id long, shingles binary")
+    return saved(found.dropDuplicates(["id"]), "sets")
+
+
+def _members(rows: DataFrame) -> DataFrame:
+    """row, doc_id, n, class_row, class_doc: the first row and the smallest id of the rows with the same set; null for empty sets."""
+    key = F.when(F.col("n") > 0, F.struct("key1", "key2")).alias("key")
+    keyed = rows.select("row", "doc_id", "n", key)
+    many = saved(keyed.where("n > 0").groupBy("key").agg(F.min("row").alias("class_row"), F.min("doc_id").alias("class_doc"), F.count("*").alias("copies")).where("copies > 1"), "many")
+    found = spread_join(keyed, many, "key", "left")
+    alone = F.when(F.col("n") > 0, F.col("row"))
+    return saved(found.select("row", "doc_id", "n", F.coalesce("class_row", alone).alias("class_row"), F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("class_doc")).alias("class_doc")), "members")
+
+
+def _blocks(rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(blocks, held): block, members and weight (shingles that it stands for); and its classes (block, id)."""
+    copies = members.where("class_row is null or class_row <> row").select("row")
+    copies = F.broadcast(copies) if small(copies) else copies
+    prefixes = rows.join(copies, "row", "left_anti").select(F.col("row").alias("id"), F.explode("prefix").alias("block"))
+    shared = prefixes.groupBy("block").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("id")).alias("_x")).where("members > 1")
+    blocks = saved(shared.groupBy("members", "_x").agg(F.min("block").alias("block"), F.count("*").alias("weight")).select("block", "members", "weight"), "blocks")
+    return blocks, saved(spread_join(prefixes, blocks.select("block", "members"), "block", counted="members").select("block", "id"), "held")
+
+
+def _pivot_pairs(rows: DataFrame, blocks: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Saved pairs (a pivot, b class) that survive the bound, at most one for each class."""
+    heads = held.groupBy("block").agg(F.min("id").alias("pivot"))
+    heads = saved(heads.join(blocks, "block"), "heads")
+    votes = spread_join(held, heads, "block", counted="members").where("id <> pivot").groupBy("id", "pivot").agg(F.sum("weight").alias("votes"))
+    best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("pivot")).alias("pivot")))["pivot"].alias("other"))
+    best = saved(best.withColumn("other", -F.col("other")), "best")
+    points = rows.select(F.col("row").alias("id"), "n", "point")
+    both = spread_join(best, points.toDF("other", "other_n", "other_point"), "other", known_small=False).join(points, "id")
+    return saved(both.mapInArrow(_bound(percent), "a long, b long"), "possible")
+
+
+def _tasks(held: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """block, id, party (group), tile, t1, t2: the members of blocks with several parties, dealt to tasks.
+
+    A block of up to TILE classes is one task.  Beyond that the members outside its largest party are cut into
+    tiles, and so are those inside; each pair of tiles is a task, but for two tiles of that party.
+    """
+    party = held.withColumn("party", F.col("id"))
+    if groups is not None:
+        known = groups.select(F.col("node").alias("id"), "component")
+        party = saved(spread_join(held, known, "id", "left").select("block", "id", F.coalesce("component", "id").alias("party")), "parties")
+    sizes = party.groupBy("block").agg(F.count("*").alias("members"), F.min("party").alias("_low"), F.max("party").alias("_high")).where("_low <> _high")
+    sizes = saved(sizes.select("block", "members"), "sizes")
+    large = sizes.where(F.col("members") > TILE).select("block")
+    main = party.join(F.broadcast(large) if small(large) else large, "block", "left_semi").groupBy("block", "party").agg(F.count("*").alias("_n"))
+    main = main.groupBy("block").agg(F.max(F.struct("_n", "party")).alias("_main"))
+    plan = sizes.join(main, "block", "left").select("block", "members", F.col("_main.party").alias("main"), F.coalesce("_main._n", F.lit(0)).alias("inside"))
+    plan = plan.withColumns({"outer": F.greatest(F.ceil((F.col("members") - F.col("inside")) / F.lit(TILE)), F.lit(1)).cast("long"), "inner": F.ceil(F.col("inside") / F.lit(TILE)).cast("long")})
+    rows = spread_join(party, saved(plan, "plan"), "block", counted="members")
+    own = F.coalesce(F.col("party") == F.col("main"), F.lit(False))
+    rows = rows.withColumn("tile", F.when(own, F.col("outer") + F.pmod(F.xxhash64("id"), F.greatest("inner", F.lit(1)))).otherwise(F.pmod(F.xxhash64("id"), F.col("outer"))))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(own, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)))
+    return rows.select("block", "id", "party", "tile", F.least("tile", "_other").alias("t1"), F.greatest("tile", "_other").alias("t2"))
+
+
+def classes(texts: DataFrame, k: int = WORDS, percent: int = PERCENT, *, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, links) of ``texts`` (doc_id long, text).
 
-    members: doc_id, n_shingles, class_id (smallest doc_id with the same set; null for empty sets), a row per
-    row.  links: a, b, class ids of verified pairs that span each component.
+    members: row, doc_id, n, class_row, class_doc (see :func:`_members`), a row per row.  links: a, b, class
+    rows of verified pairs that connect each component, or with ``every`` all similar pairs of classes.
     """
     rows = signed(texts, k, percent)
-    own = rows.where("n > 0").groupBy("key1", "key2").agg(F.min("doc_id").alias("class_id"))
-    plain = rows.select("doc_id", "n", "key1", "key2")
-    members = saved(plain.join(own, ["key1", "key2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class_id")).alias("class_id")), "members")
-    chosen = _small(saved(members.where("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct(), "classes"))
-
-    # Blocks: shingles in the prefixes of two classes or more; those with equal members are one block.
-    prefixes = rows.join(chosen, rows["doc_id"] == chosen["id"], "left_semi").select(F.col("doc_id").alias("id"), F.explode("prefix").alias("h"))
-    shared = prefixes.groupBy("h").agg(F.count("*").alias("_n")).where("_n > 1").select("h")
-    held = saved(prefixes.join(shared, "h").select("h", "id").distinct(), "prefixes")
-    names = held.groupBy("h").agg(F.count("*").alias("_n"), F.bit_xor(F.xxhash64("id")).alias("_x")).where("_n > 1")
-    blocks = held.join(names.select("h", F.xxhash64("_n", "_x").alias("block")), "h").select("block", "id").distinct()
-    points = rows.select(F.col("doc_id").alias("id"), "n", "point").dropDuplicates(["id"])
-    ids = _small(saved(held.select("id").distinct(), "ids"))
-    points = points.join(ids, "id", "left_semi")
-    tasks = _tiled(saved(blocks, "blocks"), "block", F.lit(1), TILE).join(points, "id").select("block", "t1", "t2", "tile", "id", "n", "point")
-    possible = _by_task(tasks, "block").mapInArrow(_block_join(percent), "a long, b long")
-    families = components(saved(possible.select("a", "b").distinct(), "possible")).select(F.col("node").alias("id"), F.col("component").alias("family"))
-
-    # Verification on whole texts of the classes that have a family.
-    wanted = _small(saved(families, "families"))
-    found = texts.join(wanted, texts["doc_id"] == wanted["id"]).select("family", "id", "text").mapInArrow(_shingler(k), "family long, id long, n long, shingles binary")
-    found = saved(found.dropDuplicates(["id"]), "shingles")
-    tiles = _tiled(found.select("family", "id", "n"), "family", F.col("n"), TILE_SHINGLES)
-    work = tiles.join(found.select("id", "shingles"), "id").select("family", "t1", "t2", "tile", "id", "n", "shingles")
-    links = saved(_by_task(work, "family").mapInArrow(_family_join(percent), "a long, b long"), "links")
-    return members, links
+    members = _members(rows)
+    blocks, held = _blocks(rows, members)
+    links, groups = [], None
+    if not every:
+        near = _pivot_pairs(rows, blocks, held, percent)
+        sets = _sets_of(texts, near, rows, k)
+        links.append(saved(_verified(near, sets, percent), "links"))
+        discard(sets)
+        groups = saved(components(links[0]), "groups")
+    points = rows.select(F.col("row").alias("id"), "n", "point")
+    tasks = _tasks(held, groups).join(points, "id")
+    dealt = tasks.repartition("block", "t1", "t2").sortWithinPartitions("block", "t1", "t2", "n", "id").select("block", "t1", "t2", "tile", "party", "id", "n", "point")
+    left = saved(dealt.mapInArrow(_block_join(percent), "a long, b long").distinct(), "possible")
+    links.append(saved(_verified(left, _sets_of(texts, left, rows, k), percent), "links"))
+    discard(blocks, held)
+    return members, links[0] if every else links[0].unionAll(links[1])
+
+
+def similar_pairs(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The whole join: (members, pairs) with members doc_id, n_shingles, class_id, a row per row, and pairs a, b,
+    class ids of every two similar sets, a before b.  Classes are numbers of their own, not ids."""
+    members, links = classes(texts, k, percent, every=True)
+    return members.select("doc_id", F.col("n").alias("n_shingles"), F.col("class_row").alias("class_id")), links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def linked(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id: a row per row.  Texts without words link with nothing."""
+    """doc_id, n_shingles, component_id: a row per row.
+
+    Texts without words link with nothing.  Rows without an id link like others and take the smallest id
+    reachable, null if there is none; rows that share an id are linked by their own texts.
+    """
     members, links = classes(texts, k, percent)
-    reached = components(links)
-    found = members.join(reached, members["class_id"] == reached["node"], "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"))
+    reached = saved(components(links), "reached")
+    firsts = members.where("row = class_row").select(F.col("row").alias("node"), "class_doc")
+    least = saved(reached.join(firsts, "node").groupBy("component").agg(F.min("class_doc").alias("least")), "least")
+    ends = saved(spread_join(reached, least, "component").select(F.col("node").alias("class_row"), "least"), "ends")
+    found = spread_join(members, ends, "class_row", "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "class_doc", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -366,7 +447,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def report(documents: DataFrame) -> DataFrame:
-    """The contract's rows.  Rows that share an id count as one document if their texts agree."""
+    """The contract's rows, one for each row of ``documents``."""
     return linked(_texts(documents))
 
 
@@ -377,17 +458,18 @@ def kept(documents: DataFrame) -> DataFrame:
     # Saved, because every later reading must see the same numbers.
     rows = saved(documents.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "rows")
     found = saved(linked(rows.select(F.col("row").alias("doc_id"), F.coalesce("_text", F.lit("")).alias("text"))), "linked")
-    many = _small(saved(found.where("n_shingles > 0 and component_id <> doc_id").select("component_id").distinct(), "groups"))
-    copies = found.where("n_shingles > 0").join(many, "component_id").select(F.col("doc_id").alias("member"), "component_id")
+    many = saved(found.where("n_shingles > 0 and component_id <> doc_id").select("component_id").distinct(), "groups")
+    copies = found.where("n_shingles > 0").join(F.broadcast(many) if small(many) else many, "component_id").select(F.col("doc_id").alias("member"), "component_id")
     # Ties of ids go by the row's content, so that the choice does not depend on the numbers.
     content = F.xxhash64(*[f.name for f in rows.schema if f.name != "row" and "map<" not in f.dataType.simpleString()])
     own = rows.select("row", F.col("_doc_id").cast("long").alias("id"), content.alias("content"))
-    copies = own.join(copies, own["row"] == copies["member"]).select("component_id", F.struct(F.col("id").isNull().alias("last"), "id", "content", "row").alias("place"))
+    copies = saved(own.join(copies, own["row"] == copies["member"]).select("component_id", F.struct(F.col("id").isNull().alias("last"), "id", "content", "row").alias("place")), "copies")
+    firsts = saved(copies.groupBy("component_id").agg(F.min("place")["row"].alias("first")), "firsts")
+    copies = spread_join(copies, firsts, "component_id").where("place.row <> first").select(F.col("place.row").alias("row"))
     blank = found.where("n_shingles = 0").select(F.col("doc_id").alias("member"))
     blank = rows.where("_doc_id is not null").join(blank, rows["row"] == blank["member"]).select("_doc_id", "_text", F.struct(content.alias("content"), "row").alias("place"))
-    gone = _others(copies, ["component_id"]).unionAll(_others(blank, ["_doc_id", "_text"]))
-    gone = _small(saved(gone, "copies"))
-    return rows.join(gone, "row", "left_anti").select(*names).toDF(*documents.columns)
+    gone = saved(copies.unionAll(_others(blank, ["_doc_id", "_text"])), "copies")
+    return rows.join(F.broadcast(gone) if small(gone) else gone, "row", "left_anti").select(*names).toDF(*documents.columns)
 
 
 def _others(members: DataFrame, key: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from canvass.operators import skew
 from canvass.llm import decontaminate, fingerprints, language, licenses, mixing, neardup, pages, quality, tokens, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -319,8 +320,9 @@ def test_jaccard_join_equals_brute_force(spark, seed):
 
 
 def test_jaccard_join_with_small_tiles_and_common_shingles(spark, monkeypatch):
-    for name, value in (("TILE", 4), ("TILE_SHINGLES", 300), ("COMMON", 3), ("BROADCAST_ROWS", 0)):
+    for name, value in (("TILE", 4), ("CHUNK", 2), ("COMMON", 3)):
         monkeypatch.setattr(neardup, name, value)
+    monkeypatch.setattr(skew.small, "__defaults__", (0,))
     rows = near_copies(7, groups=8)
     assert sorted(map(tuple, neardup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == classes_by_hand(rows)
 
@@ -355,6 +357,59 @@ def test_bound_never_falls_below_the_overlap():
         assert np.minimum(neardup._folded(p, g), neardup._folded(q, g)).sum() >= len(np.intersect1d(a, b))
 
 
+def test_tree_bounds_as_a_full_scan_does():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = []
+    for g in range(40):
+        base = rng.integers(0, 2**63, rng.integers(8, 400)).astype(np.uint64)
+        sets += [np.unique(np.concatenate([base[: int(len(base) * f)], rng.integers(0, 2**63, 1 + int(len(base) * (1 - f))).astype(np.uint64)])) for f in rng.uniform(0.6, 1, 15)]
+    points, sizes = [neardup._counts(neardup._point(x)) for x in sets], np.array([len(x) for x in sets])
+    tree = neardup.RTree(sizes, points)
+    assert len(tree.levels) == 3 and len(tree.levels[0][0]) == 1
+    for i in range(0, len(sets), 7):
+        want = [j for j in range(len(sets)) if neardup._may_match(int(sizes[i]), points[i], int(sizes[j]), points[j], 80)]
+        assert sorted(tree.near(i, 80).tolist()) == want
+
+
+def test_all_similar_pairs(spark):
+    rows = near_copies(11, groups=8)
+    members, pairs = neardup.similar_pairs(spark.createDataFrame(rows, "doc_id long, text string"))
+    of = {r["doc_id"]: r["class_id"] for r in members.collect()}
+    got = {tuple(r) for r in pairs.collect()}
+    sets = {}
+    for d, t in rows:
+        w = (t or "").lower().split()
+        sets.setdefault(of[d], {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    ids = sorted(c for c in sets if c is not None)
+    assert got == {(a, b) for a in ids for b in ids if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert members.where("n_shingles = 0 and class_id is not null").count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none_are_linked_by_their_texts(spark):
+    a, b = (" ".join(words(40, seed, 5000)) for seed in (81, 82))
+    rows = [(7, a), (7, b), (3, b + " more"), (None, a + " again"), (9, a + " once again"), (None, "nothing like it at all here"), (7, a)]
+    got = neardup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in got) == [(0, 2, 0), (0, 37, 7), (3, 37, 3), (7, 36, 3), (7, 36, 7), (7, 36, 7), (9, 38, 7)]
+
+
+def test_work_on_near_copies_is_linear(spark, monkeypatch):
+    n, base, counted = 20_000, words(40, 91, 5000), {}
+    real = neardup.saved
+
+    def counting(df, name):
+        table = real(df, name)
+        counted[name] = counted.get(name, 0) + (table.count() if name in ("possible", "turned") else 0)
+        return table
+
+    monkeypatch.setattr(neardup, "saved", counting)
+    rows = [(i, " ".join([*base[: i % 37], f"e{i}", *base[i % 37 + 1 :]])) for i in range(n)]
+    got = neardup.report(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["component_id"] for r in got.select("component_id").distinct().collect()} == {0}
+    assert counted["possible"] <= 4 * n
+
+
 # 6
 
 
