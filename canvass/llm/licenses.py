@@ -1,7 +1,7 @@
 """Operator 6: licence scans.
 
-Templates (short notices and the openings of licence texts) and overlapping windows of documents are turned
-into MinHash signatures of their word shingles.  Bands of few rows retrieve template candidates for a window:
+Templates (short notices, headers and whole licence texts) and overlapping windows of documents are turned
+into MinHash signatures of their word shingles.  Bands of rows, more for longer templates, retrieve candidates:
 with b bands of r rows a window of similarity s meets its template with probability 1 - (1 - s^r)^b, and
 :func:`bands_for` raises b until that is at least the wanted bound at the similarity a window that holds the
 whole template must have.  Candidates are verified by exact containment of the template's shingles.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ._words import LETTERS_DIGITS, Words, in_batches, mix, slices, text_bytes
 
-# Notices in common use, by SPDX-like name.
+# Notices and licence texts in common use, by SPDX-like name.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
@@ -33,19 +33,89 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
     "all-rights-reserved": "All rights reserved",
+    "MIT-full": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to '
+        "deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or "
+        "sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
+        'copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", '
+        "WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-2-Clause-full": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. "
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        'materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+        "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, "
+        "BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSD-3-Clause-full": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. "
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        'CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A '
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+        "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "ISC-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        'copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD '
+        "TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+        "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "Zlib-full": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+        "the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not "
+        "required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may "
+        "not be removed or altered from any source distribution."
+    ),
+    "Unlicense-full": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute "
+        "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "Apache-2.0-header": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy '
+        "of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the "
+        'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
+        "language governing permissions and limitations under the License."
+    ),
+    "GPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+        "Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be "
+        "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+        "License for more details."
+    ),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can "
+        "obtain one at https://mozilla.org/MPL/2.0/."
+    ),
 }
 
 SHINGLE = 2
-ROWS = 1
 PROBABILITY = 0.9999
-MOST_BANDS = 256
 CONTAINMENT = 0.9
 
 
-def bands_for(similarity: float, rows: int = ROWS, probability: float = PROBABILITY) -> int:
+def rows_for(words: int) -> int:
+    """Rows of a band for templates of so many words: the longer a template, the more it takes to be its candidate."""
+    return 1 if words < 16 else 2 if words < 64 else 3
+
+
+def bands_for(similarity: float, rows: int = 1, probability: float = PROBABILITY) -> int:
     """Fewest bands with which a pair of this similarity is retrieved with the wanted probability."""
     hit = similarity**rows
-    return 1 if hit >= 1 else min(MOST_BANDS, math.ceil(math.log(1 - probability) / math.log(1 - hit)))
+    return 1 if hit >= 1 else math.ceil(math.log(1 - probability) / math.log(1 - hit))
 
 
 def _minhash(shingles: np.ndarray, starts: np.ndarray, seed: int) -> np.ndarray:
@@ -56,8 +126,8 @@ def _minhash(shingles: np.ndarray, starts: np.ndarray, seed: int) -> np.ndarray:
 class Matcher:
     """Band tables of the templates of each length, and their shingle sets."""
 
-    def __init__(self, templates: dict[str, str], rows: int = ROWS, probability: float = PROBABILITY, containment: float = CONTAINMENT) -> None:
-        self.rows, self.containment, self.sets = rows, containment, {}
+    def __init__(self, templates: dict[str, str], probability: float = PROBABILITY, containment: float = CONTAINMENT) -> None:
+        self.containment, self.sets = containment, {}
         lengths: dict[int, list[str]] = defaultdict(list)
         for name, text in sorted(templates.items()):
             words = Words(*text_bytes(pa.array([text])), LETTERS_DIGITS)
@@ -70,6 +140,7 @@ class Matcher:
         for n, names in sorted(lengths.items()):
             window = 2 * n
             worst = containment * (n - SHINGLE + 1) / (window - SHINGLE + 1 + (1 - containment) * (n - SHINGLE + 1))
+            rows = rows_for(n)
             bands = bands_for(worst, rows, probability)
             tables = []
             for b in range(bands):
@@ -77,13 +148,16 @@ class Matcher:
                 for name in names:
                     table[tuple(int(_minhash(self.sets[name], np.zeros(1, np.int64), b * rows + r)[0]) for r in range(rows))].append(name)
                 tables.append(dict(table))
-            self.plans.append((n, window, tables))
+            known = np.unique(np.concatenate([self.sets[name] for name in names]))
+            least = max(1, math.ceil(containment * min(len(self.sets[name]) for name in names) - 1e-9))
+            self.plans.append((n, window, rows, known, least, tables))
 
-    def _candidates(self, shingles: np.ndarray, edges: np.ndarray, tables: list[dict]) -> dict[int, set[str]]:
+    @staticmethod
+    def _candidates(shingles: np.ndarray, edges: np.ndarray, rows: int, tables: list[dict]) -> dict[int, set[str]]:
         """By window: the templates that share a band with it.  A band is looked up for all windows at once."""
         found: dict[int, set[str]] = defaultdict(set)
         for b, table in enumerate(tables):
-            keys = [_minhash(shingles, edges, b * self.rows + r) for r in range(self.rows)]
+            keys = [_minhash(shingles, edges, b * rows + r) for r in range(rows)]
             hit = np.isin(keys[0], np.array([k[0] for k in table], np.uint64))
             for w in np.flatnonzero(hit).tolist():
                 found[w].update(table.get(tuple(int(k[w]) for k in keys), ()))
@@ -96,13 +170,19 @@ class Matcher:
         out: dict[int, dict[str, float]] = defaultdict(dict)
         if not len(h):
             return out
-        # Signatures can only agree where a window holds a shingle of a template.
-        held = np.concatenate([[0], np.cumsum(np.isin(h, self.any))])
-        if not held[-1]:
+        some = np.isin(h, self.any)
+        if not some.any():
             return out
+        some = np.flatnonzero(some)
         owner = words.of_text(at)
         first = np.searchsorted(owner, np.arange(len(offsets)))
-        for n, window, tables in self.plans:
+        for n, window, rows, known, least, tables in self.plans:
+            # A window contains enough of a template only if so many of its shingles are the template's.
+            held = np.zeros(len(h) + 1, np.int64)
+            held[some + 1] = np.isin(h[some], known)
+            held = np.cumsum(held)
+            if held[-1] < least:
+                continue
             # Windows begin every n words; a text's last one may be shorter.
             counts = np.diff(first)
             has = np.flatnonzero(counts)
@@ -110,14 +190,14 @@ class Matcher:
             text = np.repeat(has, per)
             begin = first[text] + n * (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per))
             end = np.minimum(begin + window - SHINGLE + 1, first[text + 1])
-            some = held[end] > held[begin]
-            if not some.any():
+            enough = held[end] - held[begin] >= least
+            if not enough.any():
                 continue
-            text, begin, end = text[some], begin[some], end[some]
+            text, begin, end = text[enough], begin[enough], end[enough]
             size = end - begin
             edges = np.cumsum(size) - size
             flat = np.arange(size.sum()) - np.repeat(edges - begin, size)
-            for w, names in self._candidates(h[flat], edges, tables).items():
+            for w, names in self._candidates(h[flat], edges, rows, tables).items():
                 own = h[begin[w] : end[w]]
                 for name in names:
                     share = float(np.isin(self.sets[name], own).mean())
@@ -130,7 +210,8 @@ class Matcher:
 def licences(documents: DataFrame, templates: dict[str, str] = TEMPLATES, *, containment: float = CONTAINMENT, probability: float = PROBABILITY) -> DataFrame:
     """doc_id, licences (array of (name, containment), in order of name): a row per row; empty where none is found.
 
-    Null, empty and one-word texts hold none.  Templates of one word are not scanned for.  Whole texts are
+    Null, empty and one-word texts hold none; repeated rows and rows without an id are scanned like others; of
+    several windows that hold a template the largest containment counts, and templates do not exclude each other.  Templates of one word are not scanned for.  Whole texts are
     read, however long; the templates, a few kilobytes, are broadcast.
     """
     sent = documents.sparkSession.sparkContext.broadcast(Matcher(templates, probability=probability, containment=containment))

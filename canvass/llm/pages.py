@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -41,6 +42,7 @@ KEPT_APART = frozenset("ul ol dl table tbody thead tfoot tr select".split())
 
 SIGMA, REACH = 1.0, 2
 ENOUGH = 0.7
+FEED = 65_536
 
 _TOKEN = re.compile(r"[a-z0-9]+")
 
@@ -58,14 +60,15 @@ def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_article: b
         return ""
     if tag in MARKED or tag == "header" and not inside_article:
         return "marked"
+    words = BOILERPLATE - {"header"} if inside_article else BOILERPLATE  # an article's own header is text
     classes = given.get("class", "").split()
-    named = not BOILERPLATE.isdisjoint(classes) or given.get("id", "").strip() in BOILERPLATE
+    named = not words.isdisjoint(classes) or given.get("id", "").strip() in words
     if tag in INLINE:
         return "gone" if tag == "a" and named or not BOILERPLATE.isdisjoint(given.get("role", "").split()) else ""
     text_block = tag in TEXT_BLOCKS and tag not in NAMED_LISTS
     if not BOILERPLATE.isdisjoint(given.get("role", "").split()) or named and not text_block:
         return "marked"
-    if tag == "form" or not text_block and not BOILERPLATE.isdisjoint(_TOKEN.findall(" ".join(classes))):
+    if tag == "form" or not text_block and not words.isdisjoint(_TOKEN.findall(" ".join(classes))):
         return "likely"
     return ""
 
@@ -73,38 +76,71 @@ def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_article: b
 class Line(NamedTuple):
     text: str
     tags: int
-    path: tuple[int, ...]  # numbers of its containers
+    held_by: int  # number of its innermost container
     linked: int  # characters in links
     heading: bool
-    marks: tuple[int, ...]  # numbers of the marked elements around it
+    marks: int  # number of the innermost marked element around it
+
+
+class Open(NamedTuple):
+    """An element that is open."""
+
+    tag: str
+    number: int
+    gone: bool  # it or one around it is dropped
+    held_by: int  # number of the innermost container, itself included
+    marks: int  # number of the innermost marked element, itself included
 
 
 class Lines(HTMLParser):
-    """Collects a line for each block of text, with the marked elements around it."""
+    """Collects a line for each block of text, with the containers and marked elements around it.
+
+    Elements have numbers in order of their beginning; containers and marked elements are trees of such numbers,
+    so a page of any depth takes time in proportion to its length.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool, tuple[int, ...]]] = []  # tag, number, whether it or one around it is gone, marked ones
+        self.stack: list[Open] = []
+        self.blocks: list[int] = []  # places of elements in the stack that are not inline
+        self.count: Counter[str] = Counter()  # of open elements by tag
         self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.tags = self.made = self.linked = 0
-        self.whole: dict[int, tuple[int, ...]] = {}  # article and main elements, with the marked ones around them
+        self.tags = self.made = self.linked = self.headings = 0
+        self.above: dict[int, int] = {}  # container around a container
+        self.marked_above: dict[int, int] = {}  # marked element around a marked one
+        self.whole: dict[int, int] = {}  # article and main elements, with the innermost marked one around them
         self.likely: set[int] = set()
 
+    def read(self, html: str) -> None:
+        """Feed in pieces; what follows the last > holds no tag, so its < are text."""
+        end = html.rfind(">") + 1
+        for i in range(0, end, FEED):
+            self.feed(html[i : min(i + FEED, end)])
+        self.feed(html[end:].replace("<", "&lt;"))
+        self.close()
+        self.end_line()
+
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, self.tags, tuple(n for t, n, *_ in self.stack if t not in INLINE and t not in TEXT_BLOCKS), self.linked, any(t in HEADINGS for t, *_ in self.stack), self.stack[-1][3] if self.stack else ()))
+            top = self.stack[-1] if self.stack else Open("", 0, False, 0, 0)
+            self.lines.append(Line(text, self.tags, top.held_by, self.linked, self.headings > 0, top.marks))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def leave_head(self) -> None:
         """The end tag of head may be left out: what cannot stand in it closes it."""
-        if self.stack and self.stack[-1][0] == "head":
+        if self.stack and self.stack[-1].tag == "head":
             self.close_to(len(self.stack) - 1)
 
     def close_to(self, place: int) -> None:
-        if any(t not in INLINE for t, *_ in self.stack[place:]):
+        if self.blocks and self.blocks[-1] >= place:
             self.end_line()
+            while self.blocks and self.blocks[-1] >= place:
+                self.blocks.pop()
+        for x in self.stack[place:]:
+            self.count[x.tag] -= 1
+            self.headings -= x.tag in HEADINGS
         del self.stack[place:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -117,43 +153,59 @@ class Lines(HTMLParser):
             return
         if tag not in INLINE:
             self.end_line()
-            for place in range(len(self.stack) - 1, -1, -1):
-                own = self.stack[place][0]
+            # Whether an open p, or an open element of the same kind, ends here: up to the next element that keeps it open.
+            for place in reversed(self.blocks):
+                own = self.stack[place].tag
                 if own in CLOSED_BY_BLOCK or own in CLOSED_BY_OWN.get(tag, ()):
                     self.close_to(place)
                     break
-                if own in KEPT_APART or own not in INLINE and own not in CLOSED_BY_BLOCK and tag not in CLOSED_BY_OWN:
+                if own in KEPT_APART or tag not in CLOSED_BY_OWN or not self.open_to_close(tag):
                     break
             self.tags += 1
         if tag in VOID:
             return
-        gone, marks = self.stack[-1][2:] if self.stack else (False, ())
-        kind = boilerplate(tag, attrs, any(t in ("article", "main") for t, *_ in self.stack))
+        above = self.stack[-1] if self.stack else Open("", 0, False, 0, 0)
+        kind = boilerplate(tag, attrs, self.count["article"] + self.count["main"] > 0)
         self.made += 1
-        if tag in ("article", "main") and not gone:
-            self.whole[self.made] = marks
+        if tag in ("article", "main") and not above.gone:
+            self.whole[self.made] = above.marks
         if kind == "likely":
             self.likely.add(self.made)
-        self.stack.append((tag, self.made, gone or kind == "gone", (*marks, self.made) if kind in ("marked", "likely") else marks))
+        held_by, marks = above.held_by, above.marks
+        if tag not in INLINE and tag not in TEXT_BLOCKS:
+            self.above[self.made], held_by = held_by, self.made
+        if kind in ("marked", "likely"):
+            self.marked_above[self.made], marks = marks, self.made
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(Open(tag, self.made, above.gone or kind == "gone", held_by, marks))
+        self.count[tag] += 1
+        self.headings += tag in HEADINGS
+
+    def open_to_close(self, tag: str) -> bool:
+        """Whether anything is open that a start of ``tag`` may end."""
+        return any(self.count[t] for t in CLOSED_BY_OWN[tag]) or self.count["p"] > 0
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.stack and self.stack[-1][0] == tag:
+        if tag not in VOID and self.stack and self.stack[-1].tag == tag:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for place in range(len(self.stack) - 1, -1, -1):
-            if self.stack[place][0] == tag:
-                self.close_to(place)
-                return
+        if not self.count[tag]:
+            return
+        place = len(self.stack) - 1
+        while self.stack[place].tag != tag:
+            place -= 1
+        self.close_to(place)
 
     def handle_data(self, data: str) -> None:
         if not data.isspace():
             self.leave_head()
-        if not (self.stack and self.stack[-1][2]):
+        if not (self.stack and self.stack[-1].gone):
             self.parts.append(data)
-            if any(t == "a" for t, *_ in self.stack):
+            if self.count["a"]:
                 self.linked += len(data.strip())
 
 
@@ -181,74 +233,106 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def _shared(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    """The last place up to which two paths are the same."""
-    return sum(x == y for x, y in zip(a, b, strict=False)) - 1
+def _gathered(own: dict[int, int], above: dict[int, int]) -> dict[int, int]:
+    """Sums of ``own`` over each element and all below it; an element's number is larger than that above it."""
+    total = dict(own)
+    for n in sorted({*above, *own}, reverse=True):
+        if n and total.get(n):
+            total[above.get(n, 0)] = total.get(above.get(n, 0), 0) + total[n]
+    return total
+
+
+def _chain(n: int, above: dict[int, int]) -> list[int]:
+    """n and what is above it, innermost first, 0 last."""
+    out = [n]
+    while n:
+        n = above.get(n, 0)
+        out.append(n)
+    return out
+
+
+def _inside(above: dict[int, int], tops: set[int]) -> dict[int, int]:
+    """For each element the outermost of ``tops`` that it is or is in; 0 for none."""
+    found = {0: 0}
+    for n in sorted(above):
+        found[n] = found[above[n]] or (n if n in tops else 0)
+    return found
 
 
 def outside_boilerplate(parser: Lines) -> list[Line]:
     """The lines under no marked element, but for those marked elements that hold the article: the article or
     main element with most text, one outside marked elements if there is such a one."""
-    lines = parser.lines
-    size = dict.fromkeys(parser.whole, 0)
+    lines, above = parser.lines, parser.above
+    letters: dict[int, int] = {}
     for line in lines:
-        for n in size.keys() & set(line.path):
-            size[n] += len(line.text)
-    best = max((n for n in size if size[n]), key=lambda n: (not parser.whole[n], size[n], -n), default=0)
-    kept = set(parser.whole.get(best, ()))
-    found = [line for line in lines if (not best or best in line.path) and parser.likely.issuperset(set(line.marks) - kept)]
-    if any(not kept.issuperset(line.marks) for line in found):
+        letters[line.held_by] = letters.get(line.held_by, 0) + len(line.text)
+    size = _gathered(letters, above)
+    best = max((n for n in parser.whole if size.get(n)), key=lambda n: (not parser.whole[n], size[n], -n), default=0)
+    kept = set(_chain(parser.whole[best], parser.marked_above)) if best else {0}
+    within = _inside(above, {best} if best else set())
+
+    def free(allowed: set[int]) -> dict[int, bool]:
+        """For each marked element whether it and all around it are allowed."""
+        found = {0: True}
+        for n in sorted(parser.marked_above):
+            found[n] = n in allowed and found[parser.marked_above[n]]
+        return found
+
+    clear, maybe = free(kept), free(kept | parser.likely)
+    found = [line for line in lines if (not best or within[line.held_by]) and maybe[line.marks]]
+    if not all(clear[line.marks] for line in found):
         values = smoothed([len(line.text) / max(1, line.tags) for line in found])
         cut = threshold(values)
-        dense = [line for line, v in zip(found, values, strict=True) if v >= cut]
         held: dict[int, int] = {}
-        for line in dense:
-            for n in line.marks:
-                held[n] = held.get(n, 0) + len(line.text)
-        total = sum(len(line.text) for line in dense)
-        kept |= {n for n, letters in held.items() if letters >= ENOUGH * total}
-    return [line for line in lines if kept.issuperset(line.marks)]
+        for line, v in zip(found, values, strict=True):
+            if v >= cut:
+                held[line.marks] = held.get(line.marks, 0) + len(line.text)
+        total = sum(held.values())
+        clear = free(kept | {n for n, letters in _gathered(held, parser.marked_above).items() if letters >= ENOUGH * total})
+    return [line for line in lines if clear[line.marks]]
 
 
 def main_text(html: str | None) -> str:
     parser = Lines()
-    parser.feed(html or "")
-    parser.close()
-    parser.end_line()
-    lines = outside_boilerplate(parser)
+    parser.read(html or "")
+    lines, above = outside_boilerplate(parser), parser.above
     if not lines:
         return ""
     values = smoothed([len(line.text) / max(1, line.tags) for line in lines])
     cut = threshold(values)
     chosen = [v >= cut for v in values]
-    paths = [(0, *line.path) for line in lines]
-    votes: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    for line, path, own in zip(lines, paths, chosen, strict=True):
-        if own:
-            total += len(line.text)
-            for d, n in enumerate(path):
-                votes[n] = votes.get(n, 0) + len(line.text)
-                depth[n] = d
+    depth = {0: 0}
+    for n in sorted(above):
+        depth[n] = depth[above[n]] + 1
+    own: dict[int, int] = {}
+    for line, is_chosen in zip(lines, chosen, strict=True):
+        if is_chosen:
+            own[line.held_by] = own.get(line.held_by, 0) + len(line.text)
+    total = sum(own.values())
+    votes = _gathered(own, above)
     # The innermost container with most of the selected text.
     region = max((n for n, size in votes.items() if size >= ENOUGH * total), key=lambda n: (depth[n], n))
-    above = next(path for path in paths if region in path)[: depth[region] + 1]
-    if not parser.whole.keys().isdisjoint(above):
+    path = _chain(region, above)[::-1]  # from 0 to the region
+    outer = _inside(above, set(parser.whole))
+    if outer[region]:
         # Each outermost article or main element that holds selected text is text as a whole.
-        outer = [next((n for n in path if n in parser.whole), 0) for path in paths]
-        taken = {n for n, own in zip(outer, chosen, strict=True) if own and n}
-        return "\n".join(line.text for line, n in zip(lines, outer, strict=True) if n in taken)
+        taken = {outer[line.held_by] for line, is_chosen in zip(lines, chosen, strict=True) if is_chosen} - {0}
+        return "\n".join(line.text for line in lines if outer[line.held_by] in taken)
     # Without one: the ancestor that holds all selected lines, links aside, and the headings before them.
     for i in range(len(lines) - 2, -1, -1):
         chosen[i] = chosen[i] or lines[i].heading and chosen[i + 1]
-    place = min([depth[region], *(_shared(above, path) for line, path, own in zip(lines, paths, chosen, strict=True) if own and 2 * line.linked <= len(line.text))])
-    held = [i for i, path in enumerate(paths) if above[place] in path]
-    if place and len(held) == 1 and above[place] == paths[held[0]][-1]:
+    # How far down the path an element's own path goes along with it.
+    along = {0: 0}
+    for n in sorted(above):
+        along[n] = depth[n] if depth[n] < len(path) and path[depth[n]] == n else along[above[n]]
+    place = min([depth[region], *(along[line.held_by] for line, is_chosen in zip(lines, chosen, strict=True) if is_chosen and 2 * line.linked <= len(line.text))])
+    held = [i for i, line in enumerate(lines) if along[line.held_by] >= place]
+    if place and len(held) == 1 and path[place] == lines[held[0]].held_by:
         place -= 1  # a container of a single block gives way to its parent
-        held = [i for i, path in enumerate(paths) if above[place] in path]
+        held = [i for i, line in enumerate(lines) if along[line.held_by] >= place]
     # Containers of links that stand beside the voted one are no part of it.
-    beside = {i: paths[i][place + 1] for i in held if region not in paths[i] and len(paths[i]) > place + 1}
+    in_region, top = _inside(above, {region}), _inside(above, {n for n in above if above[n] == path[place]})
+    beside = {i: top[lines[i].held_by] for i in held if not in_region[lines[i].held_by] and region and lines[i].held_by != path[place]}
     size: dict[int, int] = {}
     for i, n in beside.items():
         size[n] = size.get(n, 0) + len(lines[i].text) - 2 * lines[i].linked
@@ -265,5 +349,9 @@ def text_of(html: Column) -> Column:
 
 
 def report(pages: DataFrame) -> DataFrame:
+    """The contract's rows, one for each row of ``pages``; repeated rows give the same text, no rows none.
+
+    Style sheets are not read: text that only a style hides is text, while elements with ``hidden`` are not.
+    """
     found = in_batches(pages).select("page_id", "url", text_of(F.col("html")).alias("text"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -1,9 +1,14 @@
 """Operator 9: token counts by dynamic programming over a trie of pre-tokens.
 
-A unigram vocabulary (pieces with scores) gives every pre-token its best segmentation.  The distinct
+A unigram vocabulary (pieces with log probabilities) gives every pre-token its best segmentation.  The distinct
 pre-tokens of a batch are a trie, kept as sorted levels: the nodes of depth d are the distinct prefixes of d
 characters.  The forward score of a node is found once, from its ancestors, for all words that share it; the
-node where a word ends stores its token count.  All nodes of a depth are computed at once.
+node where a word ends stores its token count.  All nodes of a depth are computed at once.  Words of over LONG
+characters share no prefix worth a level for each character; they run through the same scores one by one.
+
+The vocabulary file at hand holds pieces in order of merging, not probabilities.  A piece's probability is
+taken from its rank by Zipf's law, so the counts are those of a unigram model over the file's pieces; the
+file's own tokenizer merges greedily and may count otherwise.
 """
 
 from __future__ import annotations
@@ -18,15 +23,23 @@ from ._words import NOT_SPACE, Words, in_batches, mix, slices
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_SCORE = -1e5
 REMEMBERED = 2_000_000
+LONG = 64
+ZIPF_SHIFT = 2.7
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def vocabulary(path: str = VOCABULARY) -> dict[str, float]:
-    """Pieces and scores of a sentencepiece model file; control, unknown and byte pieces are left out."""
+    """Pieces of a sentencepiece model file with log probabilities by rank, p ~ 1 / (rank + ZIPF_SHIFT).
+
+    Pieces rank by the file's scores.  Control, unknown and byte pieces are left out.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+    ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    ids.sort(key=lambda i: (-model.get_score(i), i))
+    weight = 1 / (np.arange(len(ids)) + ZIPF_SHIFT)
+    return dict(zip(map(model.id_to_piece, ids), np.log(weight / weight.sum()).tolist(), strict=True))
 
 
 class TrieCounter:
@@ -58,6 +71,10 @@ class TrieCounter:
         """
         if not words:
             return np.zeros(0, np.int32)
+        if any(len(w) > LONG for w in words):
+            short = [w for w in words if len(w) <= LONG]
+            counts = iter(self.count_words(short).tolist())
+            return np.array([self.count_long(w) if len(w) > LONG else next(counts) for w in words], np.int32)
         order = sorted(range(len(words)), key=words.__getitem__)
         chars = [np.frombuffer((self.mark + words[i]).encode("utf-32-le", "surrogatepass"), np.uint32) for i in order]
         lengths = np.array([len(c) for c in chars])
@@ -105,6 +122,37 @@ class TrieCounter:
         result[order] = out
         return result
 
+    def count_long(self, word: str) -> int:
+        """Tokens of one word of any length: pieces are looked up at all places at once, size by size; then the
+        scores run forward over the pieces found, in order of their ends."""
+        ch = np.frombuffer((self.mark + word).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        n = len(ch)
+        up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]), dtype=np.uint64) for x in (_STEP, np.uint64(pow(int(_STEP), -1, 1 << 64))))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ch * down[:n], dtype=np.uint64)])
+        ends, starts, scores = [], [], []
+        alone = np.ones(n, bool)
+        for size in range(1, min(n, self.longest) + 1):
+            key = mix((total[size:] - total[:-size]) * up[size - 1 : n])
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            at = np.flatnonzero(self.keys[place] == key)
+            starts.append(at)
+            ends.append(at + size)
+            scores.append(self.scores[place[at]])
+            if size == 1:
+                alone[at] = False
+        at = np.flatnonzero(alone)
+        start, end, gain = np.concatenate([*starts, at]), np.concatenate([*ends, at + 1]), np.concatenate([*scores, np.full(len(at), UNKNOWN_SCORE)])
+        order = np.argsort(end, kind="stable")
+        best, number = [-np.inf] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        for part in range(0, len(order), 100_000):
+            some = order[part : part + 100_000]
+            for s, e, g in zip(start[some].tolist(), end[some].tolist(), gain[some].tolist(), strict=True):
+                g += best[s]
+                if g > best[e] or g == best[e] and number[s] + 1 < number[e]:
+                    best[e], number[e] = g, number[s] + 1
+        return number[n]
+
     def count_batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(words, tokens) of each text."""
         words = Words(data, offsets, NOT_SPACE, lower=False)
@@ -127,7 +175,7 @@ class TrieCounter:
 
 
 def token_counts(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """doc_id, n_words, n_tokens of every whole text; null and empty texts have none.
+    """doc_id, n_words, n_tokens of every whole text, a row per row; null and empty texts have none.
 
     Rows are counted where they are: nothing is shuffled, and a task keeps one batch's trie at a time.  The
     vocabulary, read once on the driver, is broadcast; its size is that of the file, not of the data.

@@ -428,7 +428,19 @@ def test_licences_equal_exact_search(spark):
         want[i] = {n for n in names if f" {' '.join(re.findall(r'[a-z0-9]+', licenses.TEMPLATES[n].lower()))} " in f" {flat} "}
     got = {r["doc_id"]: set(filter(None, r["licences"].split("|"))) for r in licenses.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(want[i] <= got[i] for i in want)
-    assert sum(len(got[i] - want[i]) for i in want) == 0
+    # A licence with one clause more or less may be contained, too; nothing else is found.
+    kin = {"BSD-2-Clause-full", "BSD-3-Clause-full"}
+    assert all(got[i] - want[i] <= (kin if want[i] & kin else set()) for i in want)
+
+
+def test_damaged_licences_are_found_and_fragments_are_not(spark):
+    text = licenses.TEMPLATES["BSD-3-Clause-full"].split()
+    damaged = [w if i % 60 else "changed" for i, w in enumerate(text)]
+    docs = [(1, " ".join(words(500, 1) + damaged + words(300, 2))), (2, " ".join(text[: len(text) // 2])), (None, " ".join(text)), (None, " ".join(text)), (3, None), (4, "")]
+    got = licenses.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    found = sorted((r["doc_id"] or 0, "BSD-3-Clause-full" in r["licences"].split("|")) for r in got)
+    assert found == [(0, True), (0, True), (1, True), (2, False), (3, False), (4, False)]
+    assert [len(tables) for *_, tables in licenses.Matcher(licenses.TEMPLATES).plans][-1] > 100
 
 
 def test_bands_guarantee_their_probability():
@@ -526,9 +538,39 @@ def test_main_text_keeps_what_only_looks_like_boilerplate():
         assert pages.main_text(page) == want
     assert pages.main_text(f'<body><form><div class="page with-sidebar">{menu}<h1>Head</h1>{p}{p}</div></form></body>') == "\n".join(["Head", long, long])
     assert pages.main_text(f'<article>{p}<form>Your name</form><div class="social-share">Tell them</div></article><section class="comments-area">{p * 9}</section>') == long
+    for name in ("entry-header", "header"):
+        assert pages.main_text(f'<body>{menu}<article><div class="{name}"><h1>Head</h1></div>{p}{p}</article></body>') == "\n".join(["Head", long, long])
+    assert pages.main_text(f'<body><div class="page has-sidebar">{inside}</div></body>') == want
     assert pages.main_text(f"<nav>{LONG}</nav><footer>{LONG}</footer>") == pages.main_text(f"<p hidden>{LONG}</p>") == ""
 
 
+@pytest.mark.parametrize("html", ["<b>" * 330_000, "<div>x" * 160_000, "<a " * 330_000, "<b>" * 100_000 + "<p>y" * 100_000, "<!--" * 200_000, "<b>" * 100_000 + "</i>" * 100_000])
+def test_main_text_takes_linear_time(html):
+    import time
+
+    start = time.process_time()
+    pages.main_text(html)
+    assert time.process_time() - start < 20
+
+
+TEMPLATES = [
+    "<html><head><title>t</title></head><body><nav>{menu}</nav><main><h1>{h}</h1>{body}</main><footer>{menu}</footer></body></html>",
+    "<body><div id=header>{menu}</div><div class='wrap two-col'><div class=sidebar><p>{side}</p></div><article class=post><header><h1>{h}</h1></header><div class=entry-content>{body}</div></article></div><div class=comments><p>{side}</p></div>",
+    "<form><div class=menu>{menu}</div><article><h1>{h}</h1><section>{body}</section></article><aside>{side}</aside></form>",
+    "<body><div class=cookie-banner>{side}</div><article><h1>{h}</h1>{body}<div class=share>{menu}</div></article><section class=related><p>{side}</p></section></body>",
+]
+
+
+def test_main_text_of_page_templates():
+    rng = random.Random(12)
+    menu = "<ul>" + "".join(f"<li><a href={i}>Item {i}</a></li>" for i in range(8)) + "</ul>"
+    for page in TEMPLATES:
+        for _ in range(5):
+            blocks = [" ".join(words(rng.randrange(12, 80), rng.random(), 900)) for _ in range(rng.randrange(3, 9))]
+            html = page.format(menu=menu, h="A head &amp; more", side="Something at length beside the text. " * 3, body="".join(f"<p>{b}</p>" for b in blocks))
+            assert pages.main_text(html) == "\n".join(["A head & more", *blocks]), page
+
+
 def test_main_text_of_all_pages(spark, sf_dir):
     import html as H
 
@@ -558,6 +600,46 @@ def test_token_counts_equal_plain_dynamic_programming():
     assert counter.count_words(sample).tolist() == [plain(w) for w in sample]
 
 
+def test_long_words_count_as_short_ones_do(monkeypatch):
+    pieces = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -2.2, "▁ab": -1.0, "abc": -4.0, "bc": -2.0}
+    rng = random.Random(10)
+    sample = sorted({"".join(rng.choice("abcx") for _ in range(rng.randrange(1, 90))) for _ in range(80)})
+    counter = tokens.TrieCounter(pieces)
+    mixed = counter.count_words(sample).tolist()
+    assert mixed == [counter.count_long(w) for w in sample]
+    monkeypatch.setattr(tokens, "LONG", 10**9)
+    assert counter.count_words(sample).tolist() == mixed
+    assert counter.count_long("ab" * 500_000) == 500_000
+
+
+def test_token_counts_of_all_documents(spark, sf_dir):
+    pieces = tokens.vocabulary()
+    known: dict = {}
+
+    def plain(word):
+        text, best = "▁" + word, [(0.0, 0)]
+        for end in range(1, len(text) + 1):
+            options = [(best[end - 1][0] + tokens.UNKNOWN_SCORE, best[end - 1][1] - 1)]
+            options += [(best[b][0] + pieces[text[b:end]], best[b][1] - 1) for b in range(max(0, end - longest), end) if text[b:end] in pieces]
+            best.append(max(options))
+        return -best[-1][1]
+
+    longest = max(map(len, pieces))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    off = total = 0
+    for r in tokens.report(docs).collect():
+        own = re.findall(r"[^\x20\x09-\x0D]+", texts[r["doc_id"]] or "")
+        for w in own:
+            if w not in known:
+                known[w] = plain(w)
+        off += abs(r["n_tokens"] - sum(known[w] for w in own))
+        total += r["n_tokens"]
+        assert r["n_words"] == len(own)
+    # sums of the same scores in another order may differ in their last bit, which can turn a tie
+    assert off <= 0.0005 * total
+
+
 def test_token_counts_of_texts(spark):
     docs = spark.createDataFrame([(1, "hello world hello"), (2, None), (3, "x" * 3000)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in tokens.report(docs).collect()}
