@@ -45,6 +45,14 @@ def decimal_code(c: Column) -> Column:
     return F.coalesce(F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).cast("bigint").cast("string"), digits_code(c))
 
 
+def locality_code(c: Column) -> Column:
+    """A whole number without its fraction (10.0 is 10); what is none goes by its digits (12.5 is 125); nan is blank."""
+    text = F.trim(blank(c))
+    number = text.try_cast("double")
+    whole = number.isNotNull() & (F.abs(number) < 1e15) & (F.floor(number) == number)
+    return F.when(F.lower(text) == "nan", "").when(whole, number.cast("bigint").cast("string")).otherwise(digits_code(text))
+
+
 def number_text(c: Column) -> Column:
     """A number's shortest decimal text (1.10 is 1.1, 3.0 is 3); '' for anything else."""
     text = present(c).try_cast("decimal(38,6)").cast("string")
@@ -139,6 +147,25 @@ def https_url(c: Column) -> Column:
     return F.when(c.rlike(r"^https://[^\s/?#]+([/?#]\S*)?$"), c)
 
 
+def grouped_number(c: Column) -> Column:
+    """A whole number with commas between thousands."""
+    return F.format_number(c, 0)
+
+
+def percent(c: Column) -> Column:
+    """A share as a percentage of one place."""
+    return F.concat(F.format_number(F.rint(c * 1000) / 10, 1), F.lit("%"))
+
+
+def _label(names: pd.Series) -> pd.Series:
+    return names.map(lambda name: "".join(ch for ch in unicodedata.normalize("NFKC", name or "").lower() if ch.isascii() and ch.isalnum() or "\u0590" <= ch <= "\u05ff"))
+
+
+def label_key(c: Column) -> Column:
+    """A label for comparison: compatibility form, lower case, only digits, a-z and Hebrew letters."""
+    return F.pandas_udf(_label, "string")(c)
+
+
 def _nfkc(names: pd.Series) -> pd.Series:
     def one(name: str | None) -> str:
         text = "".join(ch for ch in unicodedata.normalize("NFKC", name or "") if unicodedata.category(ch) != "Cf")

@@ -31,7 +31,11 @@ def require_present(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", validate: str = "many_to_one") -> DataFrame:
-    """A join with a cardinality contract: many_to_one or one_to_one."""
+    """A join with a cardinality contract: many_to_one or one_to_one.
+
+    The contract is checked now, by a job over the right side's keys (and the left side's for one_to_one); join
+    plainly and use :func:`require_unique` later to put that off.
+    """
     require_unique(right, keys, "right side")
     if validate == "one_to_one":
         require_unique(left, keys, "left side")
@@ -49,6 +53,30 @@ def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return counts.unpivot([], list(rules), "rule", "n_violations")
 
 
+def require_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """``df`` if every rule holds on every row."""
+    require_empty(violations(df, rules).where("n_violations > 0"), "rules are broken")
+    return df
+
+
+def drifted(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """key, drift for the rows of ``left`` whose ``columns`` differ from those of the same key in ``right``.
+
+    drift names the columns, joined by a bar; it is 'absent' where ``right`` has no such row.  Two nulls agree.
+    """
+    other = right.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_r_{c}") for c in columns])
+    both = left.join(other, left[key] == other["_k"], "left")
+    changed = F.concat_ws("|", *[F.when(~F.col(c).eqNullSafe(F.col(f"_r_{c}")), F.lit(c)) for c in columns])
+    return both.select(key, F.when(F.col("_k").isNull(), "absent").otherwise(changed).alias("drift")).where("drift <> ''")
+
+
+def reconciled(expected: DataFrame, actual: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
+    """keys, metric, expected, actual, agrees: each metric of both sides, a missing side as null."""
+    stack = f"stack({len(metrics)}, {', '.join(f'{chr(39)}{m}{chr(39)}, cast({m} as bigint)' for m in metrics)}) as (metric, n)"
+    one, two = (df.select(*keys, F.expr(stack)).withColumnRenamed("n", name) for df, name in ((expected, "expected"), (actual, "actual")))
+    return one.join(two, [*keys, "metric"], "full_outer").select(*keys, "metric", "expected", "actual", F.col("expected").eqNullSafe(F.col("actual")).alias("agrees"))
+
+
 def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """key, side for keys on one side only: both anti joins in one full join."""
     a, b = left.select(F.col(key)).distinct().withColumn("_l", F.lit(1)), right.select(F.col(key)).distinct().withColumn("_r", F.lit(1))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import evidence, lookups, results, rules, shapes, texts
+from . import audits, evidence, lookups, results, rules, shapes, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _part in (results, lookups, rules, evidence, texts, shapes):
+for _part in (results, lookups, rules, evidence, texts, shapes, audits):
     QUERIES |= _part.catalog.queries
     ORACLE_SQL |= _part.catalog.oracle
