@@ -11,9 +11,9 @@ from ._tables import Catalog, cents, table
 catalog = Catalog()
 
 
-@catalog.query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@catalog.query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 350000)")
 def unmapped_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_custkey")
+    orders = table(spark, sf_dir, "orders").where("o_totalprice > 350000").select("o_custkey")
     return table(spark, sf_dir, "customer").join(orders, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_nationkey")
 
 

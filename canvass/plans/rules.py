@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nested import bounds, pairs_of, ring_area
-from ..functions.normalize import round6
 from ..operators import lookup
 from ._tables import Catalog, cents, table
 
@@ -94,11 +93,11 @@ def visible_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n_nationkey", (F.col("_h").isNull() & F.col("_d").isNotNull()).alias("visible"), (F.col("n_nationkey").between(5, 9) | F.col("n_nationkey").isin(12, 20)).alias("point_like"))
 
 
-@catalog.query("""WITH p AS (SELECT vec_id, label, list_filter(embedding, lambda x, i: i % 2 = 1)[1:4] AS xs, list_filter(embedding, lambda x, i: i % 2 = 0)[1:4] AS ys FROM embeddings)
+@catalog.query("""WITH p AS (SELECT vec_id, label, list_filter(embedding, lambda x, i: i % 2 = 1) AS xs, list_filter(embedding, lambda x, i: i % 2 = 0) AS ys FROM embeddings)
 SELECT label, count(*) AS n_features, min(list_min(xs))::DOUBLE AS min_x, max(list_max(ys))::DOUBLE AS max_y,
-max(round_even(abs((xs[1]::DOUBLE * ys[2]::DOUBLE - xs[2]::DOUBLE * ys[1]::DOUBLE) + (xs[2]::DOUBLE * ys[3]::DOUBLE - xs[3]::DOUBLE * ys[2]::DOUBLE) + (xs[3]::DOUBLE * ys[4]::DOUBLE - xs[4]::DOUBLE * ys[3]::DOUBLE) + (xs[4]::DOUBLE * ys[1]::DOUBLE - xs[1]::DOUBLE * ys[4]::DOUBLE)) / 2 * 1e6, 0) / 1e6) AS largest FROM p GROUP BY 1""")
+round(max(abs(list_sum(list_transform(range(1, len(xs) + 1), lambda i: xs[i]::DOUBLE * ys[i % len(xs) + 1]::DOUBLE - xs[i % len(xs) + 1]::DOUBLE * ys[i]::DOUBLE))) / 2), 4) AS largest FROM p GROUP BY 1""")
 def layer_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bounds and largest ring of a layer of four-cornered features."""
-    ring = F.slice(pairs_of(F.col("embedding")), 1, 4)
-    rows = table(spark, sf_dir, "embeddings").select("label", bounds(ring).alias("box"), round6(ring_area(ring)).alias("area"))
-    return rows.groupBy("label").agg(F.count("*").alias("n_features"), F.min("box.min_x").alias("min_x"), F.max("box.max_y").alias("max_y"), F.max("area").alias("largest"))
+    """Bounds and largest ring of a layer of features, over all of their points."""
+    ring = pairs_of(F.col("embedding"))
+    rows = table(spark, sf_dir, "embeddings").select("label", bounds(ring).alias("box"), ring_area(ring).alias("area"))
+    return rows.groupBy("label").agg(F.count("*").alias("n_features"), F.min("box.min_x").alias("min_x"), F.max("box.max_y").alias("max_y"), F.round(F.max("area"), 4).alias("largest"))

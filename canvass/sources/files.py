@@ -14,11 +14,19 @@ from ..functions.nested import pairs_of
 from ..functions.normalize import present, spaces
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """All columns as strings, blank for missing, header names trimmed; quoted line breaks and quotes kept.
 
-    A row that the header does not fit fails the job.  ``columns`` gives the schema and saves reading the header.
+    A row that the header does not fit fails the job.  ``columns`` gives the schema and saves reading the header; a file
+    that is not there then has no rows.
     """
+    if columns and not _exists(spark, path):
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST", encoding="UTF-8", inferSchema=False)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
@@ -39,6 +47,12 @@ def positions(coordinates: Column) -> Column:
     return pairs_of(numbers)
 
 
+def cell_places(cells: DataFrame, label: str) -> DataFrame:
+    """place ('Sheet!R3C2', counted from 1) and value of the cells that begin with ``label``."""
+    found = cells.withColumn("value", spaces(F.col("value"))).where(F.col("value").startswith(label))
+    return found.select(F.format_string("%s!R%dC%d", F.col("sheet"), F.col("row") + 1, F.col("col") + 1).alias("place"), "value")
+
+
 def sheet_rows(cells: DataFrame, header: list[str]) -> DataFrame:
     """Rows below the first row that holds all header labels, from cells (sheet, row, col, value).
 

@@ -22,11 +22,23 @@ def csv_lines(df: DataFrame) -> Column:
     return F.concat_ws(",", *[cell(c) for c in df.columns])
 
 
+def write_csv(df: DataFrame, order: list[str], folder: str, parts: int = 1, bom: bool = True) -> None:
+    """A folder of ``parts`` CSV files that follow one another in ``order``, each with a header: written by Spark.
+
+    Blank stands for null, quotes are doubled, lines end in a line break, and with ``bom`` a file begins with
+    a byte order mark.  The rows of all files together are the same on every run.
+    """
+    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    names = [("\ufeff" if bom and i == 0 else "") + c for i, c in enumerate(df.columns)]
+    texts = dealt.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]).toDF(*names)
+    texts.write.mode("overwrite").options(header=True, quote='"', escape='"', lineSep="\n", emptyValue="", encoding="UTF-8").csv(folder)
+
+
 def export_csv(df: DataFrame, order: list[str], path: Path, bom: bool = True) -> dict[str, object]:
     """One sorted CSV file, byte for byte the same on every run; returns its manifest entry.
 
-    Rows stream through the driver partition by partition, so a file larger than its memory is no problem;
-    exports meant for Spark are written with :func:`publish`.
+    For the small tables that people download: rows stream through the driver.  :func:`write_csv` and
+    :func:`publish` are for tables of any size.
     """
     digest, size, rows = hashlib.sha256(), 0, 0
     with path.open("wb") as out:
@@ -60,10 +72,17 @@ def stable_zip(files: list[Path], path: Path) -> None:
             out.writestr(entry, file.read_bytes())
 
 
-def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """path, bytes, sha256 of every file below a folder, read by the executors."""
+def manifest(spark: SparkSession, folder: str, magic: bytes | None = None) -> DataFrame:
+    """path (below ``folder``), category (its first folder), bytes, sha256 of every file, read by the executors.
+
+    With ``magic`` also whether a file begins with these bytes.  Files are read whole, so each must stay under
+    the 2 GB of a binary value; that is what a release's assets are.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    place = F.regexp_replace("path", r"^.*" + folder.rstrip("/").split("/")[-1].replace(".", r"\.") + "/", "")
+    category = F.when(place.contains("/"), F.substring_index(place, "/", 1)).otherwise("")
+    found = files.select(place.alias("path"), category.alias("category"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.substring("content", 1, len(magic or b"")).alias("_head"))
+    return (found if magic is None else found.withColumn("right_kind", F.col("_head") == F.lit(magic))).drop("_head")
 
 
 def build_id(assets: DataFrame, path: str, sha: str) -> DataFrame:
@@ -90,6 +109,20 @@ def publish(df: DataFrame, target: str, partition_by: list[str] | None = None) -
     fs.delete(old, True)
 
 
+def unzipped(archive: Path, folder: Path) -> Path:
+    """``folder``, into which the archive is extracted unless it is there."""
+    if not folder.exists():
+        with zipfile.ZipFile(archive) as packed:
+            packed.extractall(folder)
+    return folder
+
+
+def feature_collection(features: DataFrame, keys: list[str], feature: str) -> DataFrame:
+    """keys, json: a GeoJSON document of the features of each group, in order of their text."""
+    listed = F.array_join(F.array_sort(F.collect_list(feature)), ",")
+    return features.groupBy(*keys).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}")).alias("json"))
+
+
 def reset(folder: Path, root: Path) -> None:
     """Empty an output folder, but only one below ``root``."""
     if root.resolve() not in folder.resolve().parents:

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from canvass import storage
-from canvass.operators import aggregate, cascade, contracts, graph, lookup, partition, ranking, reshape, skew
+from canvass.operators import aggregate, cascade, contracts, graph, lookup, partition, ranking, reshape, reviews, skew
 
 
 def test_winner_ties_zero_votes_and_single_party(spark):
@@ -174,3 +174,32 @@ def test_discarded_tables_are_gone(spark):
     assert os.path.isdir(folder)
     storage.discard(table, spark.range(1))
     assert not os.path.exists(folder)
+
+
+def test_reviews_hold_only_while_nothing_changes(spark):
+    groups = spark.createDataFrame([(1, 2, 10, "f"), (2, 2, 10, "f"), (3, 1, 1, "g")], "k int, n_rows long, total long, fingerprint string")
+    made = "k int, decision string, reviewed_rows long, reviewed_total long, reviewed_fingerprint string"
+    good = spark.createDataFrame([(1, "approved", 2, 10, "f"), (2, "rejected", 9, 9, "x")], made)
+    got = {r["k"]: (r["decision"], r["drift"], r["applies"]) for r in reviews.require_current(groups, good, ["k"]).collect()}
+    assert got == {1: ("approved", "none", True), 2: ("rejected", "rows", False), 3: ("pending", "none", False)}
+    for bad in ([(1, "approved", 2, 10, "other")], [(9, "approved", 1, 1, "f")], [(1, "maybe", 2, 10, "f")], [(1, "approved", 2, 10, "f")] * 2):
+        with pytest.raises(contracts.ContractError):
+            reviews.require_current(groups, spark.createDataFrame(bad, made), ["k"])
+
+
+def test_line_fingerprint_is_the_hash_of_sorted_lines(spark):
+    import hashlib
+
+    rows = spark.createDataFrame([("b", "2"), ("a", "1"), ("c", None)], "u string, t string")
+    assert rows.agg(reviews.line_fingerprint("u", "t")).first()[0] == hashlib.sha256(b"a|1\nb|2\nc|").hexdigest()
+
+
+def test_rules_and_one_to_one_joins_fail_the_job(spark):
+    rows = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
+    assert contracts.require_rules(rows, {"v": F.col("v") > 1}) is rows
+    with pytest.raises(contracts.ContractError, match="rules are broken"):
+        contracts.require_rules(rows, {"v": F.col("v") > 2})
+    one = spark.createDataFrame([(1, "a")], "k int, w string")
+    assert contracts.joined(rows, one, ["k"]).count() == 2
+    with pytest.raises(contracts.ContractError, match="not unique"):
+        contracts.joined(rows, one, ["k"], validate="one_to_one")

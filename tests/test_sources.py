@@ -96,3 +96,36 @@ def test_geobuf_properties(spark, tmp_path):
     (tmp_path / "f.pbf").write_bytes(data)
     got = {r["id"]: r["properties"] for r in geobuf.geobuf_features(spark, f"file://{tmp_path}/f.pbf").collect()}
     assert got == {"-5": {"a": "שם", "b": "1.5", "c": "300", "d": "-7", "e": "true"}, "x": {}}
+
+
+def test_written_csv_is_the_same_whatever_the_partitions(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f'a "{i}", b' if i % 3 else None) for i in range(50)], "id int, t string")
+    texts = []
+    for n, df in enumerate((rows, rows.repartition(7).orderBy("t"))):
+        release.write_csv(df, ["id"], f"file://{tmp_path}/{n}", parts=3)
+        parts = sorted((tmp_path / str(n)).glob("part-*"))
+        texts.append("".join(line for p in parts for line in p.read_text(encoding="utf-8-sig").splitlines(keepends=True)[1:]))
+    assert texts[0] == texts[1] and len(texts[0].splitlines()) == 50
+    assert files.csv_strings(spark, f"file://{tmp_path}/none.csv", ["id", "t"]).count() == 0
+
+
+def test_archive_is_unpacked_once(tmp_path):
+    (tmp_path / "a.txt").write_text("a")
+    release.stable_zip([tmp_path / "a.txt"], tmp_path / "a.zip")
+    assert (release.unzipped(tmp_path / "a.zip", tmp_path / "out") / "a.txt").read_text() == "a"
+    (tmp_path / "out" / "a.txt").write_text("kept")
+    assert (release.unzipped(tmp_path / "a.zip", tmp_path / "out") / "a.txt").read_text() == "kept"
+
+
+def test_output_folder_is_reset_only_below_its_root(tmp_path):
+    import pytest
+
+    folder = tmp_path / "out" / "x"
+    folder.mkdir(parents=True)
+    (folder / "f").write_text("1")
+    release.reset(folder, tmp_path)
+    assert folder.is_dir() and not list(folder.iterdir())
+    with pytest.raises(ValueError, match="not below"):
+        release.reset(tmp_path, tmp_path / "out")
+    release.export_json({"b": "é", "a": 1}, tmp_path / "j.json")
+    assert (tmp_path / "j.json").read_text() == '{\n  "a": 1,\n  "b": "é"\n}\n'
