@@ -83,6 +83,7 @@ def _encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     out[:, 15] = by_passage((_ends(data, words) == 5).astype(float)) / n
     out[:, 16] = np.log1p(n) / 5
     out[:, 17] = np.log1p(np.repeat(per_bag, per_bag)) / 8
+    out[np.repeat(counts == 0, per_bag)] = 0  # whatever texts share the batch
     return out, per_bag
 
 

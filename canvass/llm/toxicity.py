@@ -4,7 +4,9 @@ Words become symbols: insult (a word that begins with a learned stem), threat, t
 speech, other.  One small transducer for each of these maps a clause's symbols to factors; their
 composition is a single transducer that runs over every clause that holds an insult or a threat, and the
 clause's score is the sum of its weighted insults under those factors.  A document's score comes from its
-clause scores through a logistic link.  Stems, their weights and the link are learned from labels.
+clause scores through a logistic link.  Stems, their weights, the factors of the transducers and the link are
+learned from labels; the factors begin at PRIORS and move as far as the labels give evidence.  The function
+words and threat verbs of the grammar are fixed lists.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ NEGATIONS = "not never no neither nor nicht nie kein keine keinen ne pas jamais
 REPORTS = "said says called quoted wrote reported allegedly sagte sagt nannte schrieb angeblich dit disait appelé écrit dijo dice llamó escribió"
 THREATS = "kill hurt destroy beat punch shoot töten schlagen vernichten tuer frapper détruire matar golpear destruir"
 
+#: Factors before any label is seen, and the range that each may be learned in.
+PRIORS = {"negation": 0.4, "reported": 0.6, "target": 1.2, "again": 0.7, "threat": 3.0}
+RANGES = {"negation": (0.0, 1.0), "reported": (0.0, 1.0), "target": (1.0, 2.0), "again": (0.0, 1.0), "threat": (0.0, 6.0)}
+
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 SYMBOLS = range(6)
 
@@ -68,9 +74,9 @@ def threat() -> Machine:
     return _machine(2, lambda s, x: (1 if x == TARGET else s, 1.0), lambda s: 1.0, lambda s: 1.0 if s else 0.0)
 
 
-def insult() -> Machine:
-    """Insults pass with their weight; a run of them does not weigh more than its words."""
-    return _machine(1, lambda s, x: (0, 1.0), lambda s: 1.0)
+def insult(again: float = 0.7) -> Machine:
+    """Insults pass with their weight; one that follows another at once weighs less."""
+    return _machine(2, lambda s, x: (int(x == INSULT), again if s and x == INSULT else 1.0), lambda s: 1.0)
 
 
 def compose(*machines: Machine) -> Machine:
@@ -105,9 +111,8 @@ def _hashes(words: str | list[str]) -> np.ndarray:
 class Grammar:
     """Stems with weights, and the composed transducer, ready to read Arrow columns."""
 
-    def __init__(self, stems: dict[str, float], threat_weight: float = 3.0) -> None:
-        self.machine = compose(insult(), threat(), target(), negation(), reported())
-        self.threat_weight = threat_weight
+    def __init__(self, stems: dict[str, float], factors: dict[str, float] = PRIORS) -> None:
+        self.set_factors(factors)
         by_length: dict[int, list[tuple[int, float]]] = {}
         for stem, weight in stems.items():
             by_length.setdefault(len(stem.encode()), []).append((int(_hashes([stem])[0]), weight))
@@ -117,11 +122,36 @@ class Grammar:
         order = np.argsort(h)
         self.marks, self.mark_symbols = h[order], s[order]
 
+    def set_factors(self, factors: dict[str, float]) -> None:
+        self.factors = dict(factors)
+        self.machine = compose(insult(factors["again"]), threat(), target(factors["target"]), negation(factors["negation"]), reported(factors["reported"]))
+        self.threat_weight = factors["threat"]
+
     def features(self, column: pa.Array) -> np.ndarray:
         """A row per text: log of its summed score, score for each word, largest clause, score against length."""
         return np.concatenate([self._run(data, offsets) for _, _, data, offsets in slices(pc.utf8_lower(column.cast(pa.large_string())))] or [np.zeros((0, 4))])
 
+    def channels(self, column: pa.Array) -> np.ndarray:
+        """A row per text: its score, and by how much it grows with each factor, both against length."""
+        out = []
+        plain = dict(self.factors)
+        for _, _, data, offsets in slices(pc.utf8_lower(column.cast(pa.large_string()))):
+            self.set_factors(plain)
+            totals = [self._totals(data, offsets)[0]]
+            for name in PRIORS:
+                self.set_factors(plain | {name: plain[name] + 1.0})
+                totals.append(self._totals(data, offsets)[0] - totals[0])
+            self.set_factors(plain)
+            out.append(np.stack(totals, axis=1) / np.sqrt(np.maximum(Words(data, offsets, LETTERS_DIGITS).counts(), 1))[:, None])
+        return np.concatenate(out or [np.zeros((0, 1 + len(PRIORS)))])
+
     def _run(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        total, most, n = self._totals(data, offsets)
+        n = np.maximum(n, 1)
+        return np.stack([np.log1p(total), np.log1p(100 * total / n), np.log1p(most), np.log1p(total / np.sqrt(n))], axis=1)
+
+    def _totals(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: the sum of its clauses' scores, the largest, and its words."""
         words = Words(data, offsets, LETTERS_DIGITS)
         weight = np.zeros(len(words.hash))
         for k, hashes, weights in self.stems:
@@ -144,8 +174,7 @@ class Grammar:
             score = clause_score(self.machine, symbol[first:last].tolist(), weight[first:last].tolist())
             total[row] += score
             most[row] = max(most[row], score)
-        n = np.maximum(words.counts(), 1)
-        return np.stack([np.log1p(total), np.log1p(100 * total / n), np.log1p(most), np.log1p(total / np.sqrt(n))], axis=1)
+        return total, most, words.counts()
 
 
 _STOP = np.zeros(256, np.int64)
@@ -159,13 +188,14 @@ def _found(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return place, table[place] == keys
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps; the last is the intercept."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float | np.ndarray = 1e-2, rounds: int = 40) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton steps; the last is the intercept.  ``ridge`` may differ by column."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
+    pull = np.broadcast_to(ridge, len(w)) * len(x) / 100
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p) + 1e-9)) @ x + ridge * len(x) / 100 * np.eye(len(w)), x.T @ (y - p) - ridge * len(x) / 100 * w)
+        step = np.linalg.solve((x.T * (p * (1 - p) + 1e-9)) @ x + np.diag(pull), x.T @ (y - p) - pull * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -208,9 +238,36 @@ def stems_of(rows: DataFrame, *, max_stems: int = MAX_STEMS, least_evidence: flo
     return {h: min(6.0, r) for h, (r, _) in found.items() if all(r > found[h[:k]][0] + 0.7 for k in range(min(STEM_LENGTHS), len(h)) if h[:k] in found)}
 
 
+def learned_factors(rows: DataFrame, grammar: Grammar) -> dict[str, float]:
+    """The grammar's factors, moved from their priors by what labelled rows tell.
+
+    A row's score is a sum over its clauses in which each factor is linear near its prior; a logistic regression
+    on the score and on its slope by each factor gives how far the factor should go.  Slopes are held
+    back by a ridge, so a factor that the rows hardly show stays where it is.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(grammar)
+    names = ["score", *PRIORS]
+
+    def read(batches):
+        for batch in batches:
+            f = sent.value.channels(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([pa.array(f[:, i]) for i in range(len(names))] + [batch.column("y").cast(pa.int64())], names=[*names, "y"])
+
+    schema = ", ".join(f"{n} double" for n in names) + ", y long"
+    found = in_batches(rows).select("text", F.col("y").cast("long").alias("y")).mapInArrow(read, schema).toPandas().sort_values([*names, "y"])
+    x, y = found[names].to_numpy(float), found["y"].to_numpy(float)
+    if len(set(y)) < 2:
+        return dict(PRIORS)
+    w = logistic(x, y, np.array([1e-3] + [1e-1] * len(PRIORS) + [1e-3]))
+    if w[0] <= 0:
+        return dict(PRIORS)
+    return {n: float(np.clip(PRIORS[n] + w[1 + i] / w[0], *RANGES[n])) for i, n in enumerate(PRIORS)}
+
+
 def fitted(rows: DataFrame) -> tuple[Grammar, list[float]]:
-    """The grammar and its link, from (doc_id, text, y) of a bounded sample."""
+    """The grammar and its link, from (doc_id, text, y) of a bounded sample; texts that repeat teach repeatedly."""
     grammar = Grammar(stems_of(rows))
+    grammar.set_factors(learned_factors(rows, grammar))
     sent = rows.sparkSession.sparkContext.broadcast(grammar)
 
     def read(batches):

@@ -473,6 +473,70 @@ def test_threat_counts_before_and_after_its_target():
     assert f[0, 0] == f[1, 0] > 0 and not f[2:].any()
 
 
+def toxic_sentences(seed, n=600):
+    """Insults are toxic unless they are negated or reported; the words between are the same."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        filler, kind, bad = words(12, 1000 * seed + i, 60), i % 20, rng.choice(["moronic", "idiotic", "scummy"])
+        clause = ["you", "are", bad] if kind < 3 else ["they", "are", bad, bad] if kind < 6 else {6: ["you", "are", "not", bad], 7: ["he", "said", bad]}.get(kind, [("you", "they")[kind % 2], "are", *filler[:2]])
+        rows.append((i, " ".join([*filler[:6], ".", *clause, ".", *filler[6:]]), int(kind < 6)))
+    return rows
+
+
+def test_factors_are_learned_and_each_transducer_counts(spark):
+    import numpy as np
+
+    train = spark.createDataFrame(toxic_sentences(1), "doc_id long, text string, y int")
+    grammar, link = toxicity.fitted(train)
+    assert grammar.factors["negation"] < toxicity.PRIORS["negation"] and grammar.factors["reported"] < toxicity.PRIORS["reported"]
+    held = toxic_sentences(2)
+    texts, y = pa.array([t for _, t, _ in held]), np.array([v for *_, v in held])
+
+    def loss(factors):
+        other = toxicity.Grammar({})
+        other.__dict__.update(grammar.__dict__)
+        other.set_factors(factors)
+        f = other.features(texts)
+        w = np.array(toxicity.logistic(f, y.astype(float)))
+        p = np.clip(1 / (1 + np.exp(-(f @ w[:-1] + w[-1]))), 1e-9, 1 - 1e-9)
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+
+    own = loss(grammar.factors)
+    for name in ("negation", "reported"):
+        assert loss(grammar.factors | {name: 1.0}) > own + 0.02
+    base = toxicity.Grammar({"moronic": 2.0})
+    for name, text in (("negation", "you are not moronic"), ("reported", "he said moronic"), ("target", "you moronic"), ("again", "moronic moronic"), ("threat", "kill you")):
+        changed = toxicity.Grammar({"moronic": 2.0}, toxicity.PRIORS | {name: toxicity.PRIORS[name] / 2})
+        assert base.features(pa.array([text]))[0, 0] != changed.features(pa.array([text]))[0, 0]
+
+
+def test_scores_by_brute_force_and_clashing_columns(spark):
+    rows = toxic_sentences(3, 300) + [(900, None, 0), (901, "", 0), (902, "!" * 50_000, 0)]
+    docs = spark.createDataFrame([(d, t, "x", 1.0) for d, t, _ in rows], "doc_id long, text string, _score string, score double")
+    labels = spark.createDataFrame([(d, y, y) for d, _, y in rows[:300]], "doc_id long, quality int, toxic int")
+    grammar, link = toxicity.fitted(toxicity.training_rows(docs, labels, "toxic", 5, 0, toxicity.SAMPLE_DOCUMENTS))
+    for r in toxicity.report(docs, labels).collect():
+        text = next(t for d, t, _ in rows if d == r["doc_id"]) or ""
+        total = most = 0.0
+        for clause in re.split(r"[.!?;:\n]", text.lower()):
+            own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", clause)
+            listed = [(toxicity.INSULT, max((w for k, h, v in grammar.stems for x, w in zip(h, v) if len(c) >= k and int(toxicity._hashes([c[:k]])[0]) == int(x)), default=0.0)) for c in own]
+            marks = {w: s for ws, s in ((toxicity.TARGETS, toxicity.TARGET), (toxicity.NEGATIONS, toxicity.NEGATION), (toxicity.REPORTS, toxicity.REPORT), (toxicity.THREATS, toxicity.THREAT)) for w in ws.split()}
+            symbols = [s if w else marks.get(c, toxicity.OTHER) for c, (s, w) in zip(own, listed)]
+            weights = [grammar.threat_weight if s == toxicity.THREAT else w for s, (_, w) in zip(symbols, listed)]
+            score = toxicity.clause_score(grammar.machine, symbols, weights) if any(weights) else 0.0
+            total, most = total + score, max(most, score)
+        n = max(1, len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())))
+        import math
+
+        z = sum(a * b for a, b in zip([math.log1p(total), math.log1p(100 * total / n), math.log1p(most), math.log1p(total / math.sqrt(n)), 1.0], link))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-6)
+        assert r["predicted"] == int(r["score"] >= 0.5)
+    kept = toxicity.clean(docs, labels)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
 def test_toxicity_held_out(spark, sf_dir):
     folder = sf_dir.replace("0.001", "0.1")
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
@@ -657,6 +721,29 @@ def test_quality_held_out(spark, sf_dir):
     assert sum(r["quality"] == r["predicted"] for r in got) >= 0.95 * len(got)
 
 
+def test_quality_scores_by_brute_force_and_clashing_columns(spark):
+    import numpy as np
+
+    rng = random.Random(21)
+    rows = [(i, " ".join(words(rng.randrange(1, 300), i)) + (" !!! ###" * rng.randrange(5, 40) if i % 2 else "."), i % 2) for i in range(80)] + [(900, None, 0), (901, "", 0), (902, "?", 0)]
+    docs = spark.createDataFrame([(d, t, "x", 1.0) for d, t, _ in rows], "doc_id long, text string, _score string, attention double")
+    labels = spark.createDataFrame([(d, 1 - y, y) for d, _, y in rows[:80]], "doc_id long, quality int, toxic int")
+    model = quality.fitted(quality.training_rows(docs, labels, "quality", 4, 2, quality.SAMPLE_DOCUMENTS))
+    w = model.w
+    for r in quality.report(docs, labels).collect():
+        x, _ = quality.encode(pa.array([next(t for d, t, _ in rows if d == r["doc_id"])], pa.string()))
+        h = [np.tanh((p - model.mean) / model.scale @ w["E"] + w["e"]) for p in x]
+        gate = np.array([(np.tanh(v @ w["V"]) / (1 + np.exp(-(v @ w["U"])))) @ w["a"] for v in h])
+        alpha = np.exp(gate - gate.max()) / np.exp(gate - gate.max()).sum()
+        z = sum(a * v for a, v in zip(alpha, h)) @ w["c"] + w["b"][0]
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
+        assert r["predicted"] == int(r["score"] >= 0.7) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+    one = labels.where("quality = 1")
+    assert {x["score"] for x in quality.report(docs, one).collect()} == {1.0}
+    got = quality.scored(docs, model, docs.columns)
+    assert got.columns == ["c0", "c1", "c2", "c3", "score", "attention"] and got.count() == docs.count()
+
+
 def test_attention_gradient():
     import numpy as np
 
