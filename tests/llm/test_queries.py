@@ -1,6 +1,7 @@
 """The queries against their SQL, and the pipeline end to end."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from canvass.llm import decontaminate, neardup, queries
@@ -40,6 +41,17 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
         k.unpersist()
 
 
+def test_stages_on_empty_tables_and_odd_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", None, "s", 0), (1, "", None, "s", 0), (2, "word " * 30_000, "en", None, 1)], docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs.limit(0), sf_dir)
+        assert out.columns[: len(docs.columns)] == docs.columns and out.count() == 0, name
+        extra = odd.withColumns({c: F.lit("x") for c in ("score", "row", "spans", "component_id", "c0", "size", "_doc_id")})
+        got = stage(spark, extra, sf_dir)
+        assert got.columns[: len(extra.columns)] == extra.columns and got.count() <= 3 * odd.count(), name
+
+
 def test_run_equals_stages(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.count() > 0 and out.columns[-1] == "copy"
