@@ -220,6 +220,21 @@ def _grouped(batches, keys: list[str]):
         yield held
 
 
+def _all_near(sizes: np.ndarray, points: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of a single leaf's members survive the bound: the tree's test for all of them at once."""
+    width = np.array([len(p) for p in points])
+    coarsest = int(width.min())
+    flat = np.array([_folded(p, coarsest) for p in points])
+    least = _least_overlap(sizes[:, None], sizes[None, :], percent)
+    near = np.minimum(flat[:, None], flat[None, :]).sum(2) >= least
+    near &= (sizes[:, None] * percent <= sizes[None, :] * 100) & (sizes[None, :] * percent <= sizes[:, None] * 100)
+    if coarsest < width.max():
+        for i, j in np.argwhere(np.triu(near, 1)).tolist():
+            if min(width[i], width[j]) > coarsest:
+                near[i, j] = near[j, i] = _may_match(int(sizes[i]), points[i], int(sizes[j]), points[j], percent)
+    return near
+
+
 def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -250,8 +265,16 @@ def _block_join(percent: int):
             if (party == party[0]).all():
                 continue
             across = group.column("t1")[0].as_py() != group.column("t2")[0].as_py()
-            tree = RTree(sizes, [_counts(p) for p in group.column("point").to_pylist()])
-            for i in range(len(ids)):
+            points = [_counts(p) for p in group.column("point").to_pylist()]
+            if len(ids) <= RTree.FAN:
+                near = _all_near(sizes, points, percent) & (party[:, None] != party[None, :]) & (ids[:, None] < ids[None, :])
+                if across:
+                    near &= tile[:, None] != tile[None, :]
+                one, other = np.nonzero(near)
+                a.extend(ids[one].tolist())
+                b.extend(ids[other].tolist())
+            tree = RTree(sizes, points) if len(ids) > RTree.FAN else None
+            for i in range(len(ids) if tree else 0):
                 rows = tree.near(i, percent)
                 rows = rows[(ids[rows] > ids[i]) & (party[rows] != party[i])]
                 if across:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 POINT_LIKE = 12  # vertices up to which a polygon is drawn as a marker
 
 
-def cells(box: Column, size: float) -> Column:
-    """The grid cells (struct x, y) that a box touches."""
-    at = lambda v: F.floor(v / F.lit(size)).cast("long")
+def cells(box: Column, size: Column) -> Column:
+    """The grid cells (struct x, y) of edge ``size`` that a box touches."""
+    at = lambda v: F.floor(v / size).cast("long")
     xs, ys = F.sequence(at(box["min_x"]), at(box["max_x"])), F.sequence(at(box["min_y"]), at(box["max_y"]))
     return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("x"), y.alias("y")))))
 
@@ -18,16 +18,25 @@ def cells(box: Column, size: float) -> Column:
 def overlapping(boxes: DataFrame, uid: str, box: str, size: float) -> DataFrame:
     """(a, b), a < b: boxes that overlap in more than an edge.
 
-    Boxes meet in the cells they touch, so only neighbours are compared; a pair counts in the cell that
-    holds the lower corner of its intersection, so it comes once without a distinct.
+    Grids of doubling edges: a box stands in the grid whose cells are no smaller than it, in four cells at
+    most, and looks up from there through the larger ones, so a huge box costs no more rows than a small one.
+    A pair meets in the grid of its larger box and counts in the cell that holds the lower corner of its
+    intersection, so it comes once without a distinct.
     """
     named = boxes.select(F.col(uid).alias("id"), F.col(box).alias("box"))
-    dealt = named.withColumn("_cells", cells(F.col("box"), size)).select("id", "box", F.explode("_cells").alias("cell"))
-    a, b = dealt.select(F.col("id").alias("a"), F.col("box").alias("p"), "cell"), dealt.select(F.col("id").alias("b"), F.col("box").alias("q"), "cell")
+    extent = F.greatest(F.col("box.max_x") - F.col("box.min_x"), F.col("box.max_y") - F.col("box.min_y"), F.lit(float(size)))
+    named = named.withColumn("level", F.ceil(F.log2(extent / F.lit(float(size)))).cast("int"))
+    top = named.agg(F.coalesce(F.max("level"), F.lit(0)).alias("top")).first()["top"]
+    edge = F.lit(float(size)) * F.pow(F.lit(2.0), F.col("grid"))
+    own = named.withColumn("grid", F.col("level")).withColumn("cell", F.explode(cells(F.col("box"), edge)))
+    climbing = named.withColumn("grid", F.explode(F.sequence("level", F.lit(top)))).withColumn("cell", F.explode(cells(F.col("box"), edge)))
+    a = own.select("grid", "cell", F.col("id").alias("a"), F.col("box").alias("p"))
+    b = climbing.select("grid", "cell", F.col("id").alias("b"), F.col("box").alias("q"), F.col("level").alias("below"))
     low_x, low_y = F.greatest("p.min_x", "q.min_x"), F.greatest("p.min_y", "q.min_y")
-    pairs = a.join(b, "cell").where(F.col("a") < F.col("b"))
+    pairs = a.join(b, ["grid", "cell"]).where((F.col("below") < F.col("grid")) | (F.col("a") < F.col("b")))
     pairs = pairs.where((low_x < F.least("p.max_x", "q.max_x")) & (low_y < F.least("p.max_y", "q.max_y")))
-    return pairs.where((F.col("cell.x") == F.floor(low_x / size)) & (F.col("cell.y") == F.floor(low_y / size))).select("a", "b")
+    pairs = pairs.where((F.col("cell.x") == F.floor(low_x / edge)) & (F.col("cell.y") == F.floor(low_y / edge)))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def display_mode(vertices: Column) -> Column:

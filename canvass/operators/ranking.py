@@ -14,11 +14,11 @@ def winners(votes: DataFrame, keys: list[str], party: str, count: str, order: Co
     Ties go to the party first in ``order`` (its name by default).  An area whose votes are all zero is won
     by its first party with share null; with one party the runner-up is null and the margin its votes.
     """
-    ordered = Window.partitionBy(*keys).orderBy(F.col(count).desc(), order if order is not None else F.col(party).asc())
-    totals = votes.groupBy(*keys).agg(F.sum(count).cast("bigint").alias("valid_votes"))
-    top = votes.withColumn("_rank", F.row_number().over(ordered)).where("_rank <= 2")
-    best = top.groupBy(*keys).agg(*[F.max(F.when(F.col("_rank") == rank, F.col(c))).alias(name) for rank, c, name in ((1, party, "winner"), (1, count, "winner_votes"), (2, party, "runner_up"), (2, count, "runner_up_votes"))])
-    return totals.join(best, keys).select(
+    own = Window.partitionBy(*keys)
+    ordered = own.orderBy(F.col(count).desc(), order if order is not None else F.col(party).asc())
+    ranked = votes.withColumns({"_rank": F.row_number().over(ordered), "valid_votes": F.sum(count).over(own).cast("bigint")}).where("_rank <= 2")
+    best = ranked.groupBy(*keys, "valid_votes").agg(*[F.max(F.when(F.col("_rank") == rank, F.col(c))).alias(name) for rank, c, name in ((1, party, "winner"), (1, count, "winner_votes"), (2, party, "runner_up"), (2, count, "runner_up_votes"))])
+    return best.select(
         *keys, "valid_votes", "winner", F.col("winner_votes").cast("bigint").alias("winner_votes"), "runner_up", F.col("runner_up_votes").cast("bigint").alias("runner_up_votes"),
         (F.col("winner_votes") - F.coalesce("runner_up_votes", F.lit(0))).cast("bigint").alias("margin"), share(F.col("winner_votes"), F.col("valid_votes")).alias("winner_share"),
     )

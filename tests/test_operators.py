@@ -203,3 +203,14 @@ def test_rules_and_one_to_one_joins_fail_the_job(spark):
     assert contracts.joined(rows, one, ["k"]).count() == 2
     with pytest.raises(contracts.ContractError, match="not unique"):
         contracts.joined(rows, one, ["k"], validate="one_to_one")
+
+
+def test_overlapping_boxes_of_very_unlike_sizes(spark):
+    from canvass.operators import geometry
+
+    rng = random.Random(4)
+    boxes = [(i, (x := rng.uniform(-50, 50)), (y := rng.uniform(-50, 50)), x + w, y + w) for i in range(120) for w in [rng.choice([0.1, 0.5, 3, 40, 5000])]]
+    rows = [(i, (a, b, c, d)) for i, a, b, c, d in boxes]
+    df = spark.createDataFrame(rows, "id int, box struct<min_x:double,min_y:double,max_x:double,max_y:double>")
+    want = {(p[0], q[0]) for p in boxes for q in boxes if p[0] < q[0] and max(p[1], q[1]) < min(p[3], q[3]) and max(p[2], q[2]) < min(p[4], q[4])}
+    assert sorted(map(tuple, geometry.overlapping(df, "id", "box", 1.0).collect())) == sorted(want)
