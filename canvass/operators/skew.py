@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..storage import saved
 
-SMALL_ROWS = 50_000  # some 100 bytes each when broadcast
+SMALL_ROWS = 150_000  # some 100 bytes each when broadcast
 HOT_SHARE = 1000
 
 
