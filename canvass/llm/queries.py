@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, language, licenses, mixing, neardup, pages, quality, tokens, toxicity
+from . import decontaminate, fingerprints, language, licenses, mixing, neardup, pages, prefix_trie, quality, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,9 +53,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_fingerprints, op3_language_id, op4_decontaminate, op5_ngram_jaccard, op6_license_scan, op7_toxicity, op8_main_text, op9_token_counts, op10_quality)
+    for f in (op1_mix_sources, op2_fingerprints, op3_language_id, op4_decontaminate, op5_ngram_jaccard, op6_license_scan, op7_toxicity, op8_main_text, op9_token_counts, op10_quality, op11_prefix_trie)
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -83,4 +87,19 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
 c AS (SELECT node, min(root) AS component FROM r GROUP BY 1)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id FROM s LEFT JOIN c ON node = doc_id""",
+    "op11_prefix_trie": """
+WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS n, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(unicode(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT))),
+  lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 AS h FROM o GROUP BY conv_id),
+t AS (SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS k FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (SELECT t.conv_id, pos, role, text FROM t JOIN o ON o.conv_id = t.base AND pos <= h UNION ALL SELECT t.conv_id, k + pos - h, role, text FROM t JOIN o ON o.conv_id = t.conv_id AND pos > h),
+p AS (SELECT conv_id, 0 AS depth, '' AS path, 0 AS bytes FROM c UNION ALL SELECT conv_id, pos, string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY pos), strlen(text) FROM r),
+v AS (SELECT path, depth, substr(path, 1, greatest(length(path) - 64, 0)) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM p GROUP BY path, depth),
+k AS (SELECT up, count(*) AS n FROM v WHERE depth > 0 GROUP BY up),
+w AS (SELECT v.*, coalesce(k.n, 0) AS n_children FROM v LEFT JOIN k ON k.up = v.path),
+s AS (SELECT p.path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * w.bytes) AS saved FROM w JOIN p ON p.conv_id = w.conv_id AND p.depth <= w.depth GROUP BY p.path),
+e AS (SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM (SELECT conv_id, max_by(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM w JOIN s ON s.path = w.path LEFT JOIN v u ON w.depth > 0 AND u.path = w.up LEFT JOIN e ON e.path = w.path""",
 }
