@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, language, licenses, mixing, neardup, pages, prefix_trie, quality, tokens, toxicity
+from . import decontaminate, fingerprints, language, licenses, mixing, neardup, pages, prefix_trie, quality, tokens, toxicity, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +57,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(_table(spark, sf_dir, "conversations"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_fingerprints, op3_language_id, op4_decontaminate, op5_ngram_jaccard, op6_license_scan, op7_toxicity, op8_main_text, op9_token_counts, op10_quality, op11_prefix_trie)
+    for f in (op1_mix_sources, op2_fingerprints, op3_language_id, op4_decontaminate, op5_ngram_jaccard, op6_license_scan, op7_toxicity, op8_main_text, op9_token_counts, op10_quality, op11_prefix_trie, op12_vector_codes)
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -102,4 +106,21 @@ s AS (SELECT p.path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs
 e AS (SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM (SELECT conv_id, max_by(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path)
 SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
 FROM w JOIN s ON s.path = w.path LEFT JOIN v u ON w.depth > 0 AND u.path = w.up LEFT JOIN e ON e.path = w.path""",
+    "op12_vector_codes": """
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT vec_id, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS v FROM (SELECT vec_id, v, unnest(range(16)) AS part FROM k)),
+b0 AS MATERIALIZED (SELECT part, s.rank AS entry, v FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS rank FROM k QUALIFY rank < 64) s ON s.vec_id = x.vec_id),
+m1 AS MATERIALIZED (SELECT x.vec_id, x.part, min([list_sum(list_transform(list_zip(x.v, e.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e.entry]) AS m FROM x JOIN b0 e ON e.part = x.part GROUP BY x.vec_id, x.part),
+u1 AS (SELECT part, m[2] AS entry, d, CAST(floor(sum(v[d]) / count(*)) AS BIGINT) AS c FROM (SELECT x.part, m, v, unnest(range(1, len(v) + 1)) AS d FROM x JOIN m1 m ON m.vec_id = x.vec_id AND m.part = x.part) GROUP BY ALL),
+n1 AS (SELECT part, entry, list(c ORDER BY d) AS v FROM u1 GROUP BY part, entry),
+b1 AS MATERIALIZED (SELECT e.part, e.entry, coalesce(n.v, e.v) AS v FROM b0 e LEFT JOIN n1 n ON n.part = e.part AND n.entry = e.entry),
+m2 AS MATERIALIZED (SELECT x.vec_id, x.part, min([list_sum(list_transform(list_zip(x.v, e.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e.entry]) AS m FROM x JOIN b1 e ON e.part = x.part GROUP BY x.vec_id, x.part),
+u2 AS (SELECT part, m[2] AS entry, d, CAST(floor(sum(v[d]) / count(*)) AS BIGINT) AS c FROM (SELECT x.part, m, v, unnest(range(1, len(v) + 1)) AS d FROM x JOIN m2 m ON m.vec_id = x.vec_id AND m.part = x.part) GROUP BY ALL),
+n2 AS (SELECT part, entry, list(c ORDER BY d) AS v FROM u2 GROUP BY part, entry),
+b2 AS MATERIALIZED (SELECT e.part, e.entry, coalesce(n.v, e.v) AS v FROM b1 e LEFT JOIN n2 n ON n.part = e.part AND n.entry = e.entry),
+m3 AS MATERIALIZED (SELECT x.vec_id, x.part, min([list_sum(list_transform(list_zip(x.v, e.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e.entry]) AS m FROM x JOIN b2 e ON e.part = x.part GROUP BY x.vec_id, x.part),
+c AS (SELECT vec_id, string_agg(printf('%02x', m[2]), '' ORDER BY part) AS code, CAST(sum(m[1]) AS BIGINT) AS error FROM m3 GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM b2)
+SELECT k.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM k JOIN c ON c.vec_id = k.vec_id CROSS JOIN h""",
 }
