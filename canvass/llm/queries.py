@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, language, licenses, mixing, neardup, pages, prefix_trie, quality, tokens, toxicity, vector_codes
+from . import chat_format, decontaminate, fingerprints, language, licenses, mixing, neardup, pages, prefix_trie, quality, tokens, toxicity, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +61,13 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_fingerprints, op3_language_id, op4_decontaminate, op5_ngram_jaccard, op6_license_scan, op7_toxicity, op8_main_text, op9_token_counts, op10_quality, op11_prefix_trie, op12_vector_codes)
+    for f in (op1_mix_sources, op2_fingerprints, op3_language_id, op4_decontaminate, op5_ngram_jaccard, op6_license_scan, op7_toxicity, op8_main_text, op9_token_counts, op10_quality, op11_prefix_trie, op12_vector_codes, op13_chat_format)
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -123,4 +127,15 @@ m3 AS MATERIALIZED (SELECT x.vec_id, x.part, min([list_sum(list_transform(list_z
 c AS (SELECT vec_id, string_agg(printf('%02x', m[2]), '' ORDER BY part) AS code, CAST(sum(m[1]) AS BIGINT) AS error FROM m3 GROUP BY vec_id),
 h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM b2)
 SELECT k.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM k JOIN c ON c.vec_id = k.vec_id CROSS JOIN h""",
+    "op13_chat_format": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(regexp_replace(text, '(<)(\\*(?:<SYS>>|</SYS>>|/s>))', '\1\\\2', 'g'), '(\[)(\\*(?:INST\]|/INST\]|ANS\]|TURN\]|SAYS\]|/TURN\]))', '\1\\\2', 'g') AS safe FROM t),
+f AS (SELECT *, CASE role WHEN 'system' THEN concat('<<SYS>>', chr(10), safe, chr(10), '<</SYS>>', chr(10), chr(10)) WHEN 'user' THEN concat('[INST] ', safe, ' [/INST]') WHEN 'assistant' THEN concat('[ANS] ', safe, ' </s>')
+    ELSE concat('[TURN] ', role, ' [SAYS] ', safe, ' [/TURN]') END AS line,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, lag(role, 1, 'start') OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(length(line)) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (NOT (role = 'system' AND before = 'start' OR role = 'user' AND before IN ('start', 'system', 'assistant') OR role = 'assistant' AND before = 'user')) AS n_out_of_order, arg_max(role, i) = 'assistant' AS complete
+FROM f GROUP BY conv_id""",
 }
