@@ -86,6 +86,7 @@ def rebuilt(turns: DataFrame, family: int = FAMILY, heads: int = HEADS) -> tuple
 
     Conversation c has the first h turns of conversation c - c % family (all if there are fewer, none if it is
     not there), then its own after its first h; h = crc32 of c's decimal digits % heads.  It may have none.
+    Remainders of negative ids are negative, as in SQL.
     """
     c = F.col("conv_id")
     own = saved(lengths(turns).select(c, "n", (c - c % family).alias("base"), (F.crc32(c.cast("string").cast("binary")) % heads).alias("h")), "own")
