@@ -5,9 +5,8 @@ and a fraction, the inclusion probability of one more copy.  The cube method mov
 the null space of the balancing constraints (number of documents, number of words) until all but a few are 0
 or 1.  The flight runs in blocks of ``block`` units; what each block leaves undecided (two units at most)
 meets in new blocks, level by level, until each source has one block left, whose landing draws the outcome of
-the two open units so that their inclusion probabilities hold.  A large unit that stays open to the end can cost a
-small source much; so a source's last block is drawn up to ``DRAWS`` times and the draw nearest in words is
-taken (rejective sampling).  No task ever holds more than a block.
+the two open units: of all draws that keep both inclusion probabilities the one that misses least in words.  No
+task ever holds more than a block.
 """
 
 from __future__ import annotations
@@ -26,8 +25,7 @@ from ..storage import saved
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3.0
 BLOCK = 2048
-DRAWS = 32
-CLOSE = 0.002  # a draw that misses by no more is taken at once
+SPREAD = 256  # large units of a block that are decided one by one
 _TINY = 1e-9
 
 
@@ -71,12 +69,37 @@ def _rng(*key: object) -> np.random.Generator:
     return np.random.default_rng(int.from_bytes(hashlib.blake2b(repr(key).encode(), digest_size=8).digest(), "big"))
 
 
+def _spread(pi: np.ndarray, x: np.ndarray, unit: int, rng: np.random.Generator) -> None:
+    """Decide ``unit`` while all open units behind it move a little the other way, so that sums of pi * x stay."""
+    while 0 < pi[unit] < 1:
+        rest = unit + 1 + np.flatnonzero((pi[unit + 1 :] > 0) & (pi[unit + 1 :] < 1))
+        if len(rest) < 2:
+            return
+        room = pi[rest] * (1 - pi[rest])
+        own = x[rest]
+        u = -room * (own @ (np.linalg.pinv((own.T * room) @ own, rcond=1e-9, hermitian=True) @ x[unit]))
+        if np.abs(u @ own + x[unit]).max() > 1e-9 * np.abs(x[unit]).max():
+            return  # what is left cannot make up for it in both sums
+        moved, d = np.concatenate([[unit], rest]), np.concatenate([[1.0], u])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            up = np.where(d > 0, (1 - pi[moved]) / d, np.where(d < 0, pi[moved] / -d, np.inf)).min()
+            down = np.where(d > 0, pi[moved] / d, np.where(d < 0, (1 - pi[moved]) / -d, np.inf)).min()
+        pi[moved] += (up if rng.random() * (up + down) < down else -down) * d
+        pi[moved] = np.where(pi[moved] < _TINY, 0.0, np.where(pi[moved] > 1 - _TINY, 1.0, pi[moved]))
+
+
 def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Move ``pi`` along null-space directions of the constraints ``x`` (units x 2) until under 3 units are open.
 
-    Sums of pi * x stay as they are, and the expectation of each unit's outcome is its probability.
+    Sums of pi * x stay as they are, and the expectation of each unit's outcome is its probability.  Units come
+    largest first.  The first ``SPREAD`` are decided one after another, all units behind each moving a little;
+    small units among themselves would hardly move a large one, which then stayed open to the end.  The rest go
+    three at a time.
     """
     pi = pi.copy()
+    pi[(pi < _TINY) | (pi > 1 - _TINY)] = pi[(pi < _TINY) | (pi > 1 - _TINY)].round()
+    for unit in range(min(SPREAD, len(pi))):
+        _spread(pi, x, unit, rng)
     window: list[int] = []
     for unit in range(len(pi)):
         if not _TINY < pi[unit] < 1 - _TINY:
@@ -87,8 +110,9 @@ def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarra
             continue
         (a0, a1), (b0, b1), (c0, c1) = x[window[0]], x[window[1]], x[window[2]]
         u = (b0 * c1 - b1 * c0, c0 * a1 - c1 * a0, a0 * b1 - a1 * b0)  # at right angles to both columns
-        if max(map(abs, u)) < 1e-12:  # the units are alike: any direction that keeps the count
-            u = (1.0, -1.0, 0.0)
+        if max(map(abs, u)) < 1e-9 * max(a0 * a0 + a1 * a1, b0 * b0 + b1 * b1, c0 * c0 + c1 * c1):
+            # All three are parallel, each some times the same document: what one gains another loses in proportion.
+            u = (b0 + b1, -(a0 + a1), 0.0)
         up = min(((1 - pi[k]) / d if d > 0 else pi[k] / -d) for k, d in zip(window, u, strict=True) if d)
         down = min((pi[k] / d if d > 0 else (1 - pi[k]) / -d) for k, d in zip(window, u, strict=True) if d)
         step = up if rng.random() * (up + down) < down else -down
@@ -100,39 +124,23 @@ def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarra
     return pi
 
 
-def landing(pi: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Decide the last open units (two at most) with their probabilities: two of them together keep the count
-    while they can, the last one alone is drawn."""
-    pi = pi.copy()
-    window = [int(k) for k in np.flatnonzero((pi > 0) & (pi < 1))]
-    if len(window) == 2:
-        one, other = window
-        up, down = min(1 - pi[one], pi[other]), min(pi[one], 1 - pi[other])
-        step = up if rng.random() * (up + down) < down else -down
-        pi[one] += step
-        pi[other] -= step
-        window = [k for k in window if _TINY < pi[k] < 1 - _TINY]
-    for k in window:
-        pi[k] = float(rng.random() < pi[k])
-    return pi.round()
-
-
-def drawn(pi: np.ndarray, x: np.ndarray, key: tuple, draws: int = DRAWS, close: float = CLOSE) -> np.ndarray:
-    """Flight and landing: of ``draws`` outcomes the one whose words (second column of x) are nearest to their
-    expectation, or the first that misses by ``close`` of it at most.
+def landing(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Decide the last open units (two at most) so that each is taken with its probability.
 
-    Each draw keeps the inclusion probabilities; the choice among them shifts them a little, the less the more
-    units there are.
+    Two units have four outcomes; keeping both probabilities leaves one number free, how often both are taken.  The
+    expected miss in words (second column of x) is linear in it, so the least lies at an end of its range.
     """
-    wanted, best, least = float(pi @ x[:, 1]), None, np.inf
-    for draw in range(draws):
-        rng = _rng(*key, draw)
-        outcome = landing(flight(pi, x, rng), rng)
-        if (off := abs(float(outcome @ x[:, 1]) - wanted)) < least:
-            best, least = outcome, off
-        if off <= close * wanted:
-            break
-    return best
+    pi = pi.copy()
+    left = [int(k) for k in np.flatnonzero((pi > 0) & (pi < 1))]
+    if len(left) == 2:
+        (p, q), (v, w) = pi[left], x[left, 1]
+        miss = lambda one, other: abs((one - p) * v + (other - q) * w)
+        slope = miss(1, 1) + miss(0, 0) - miss(1, 0) - miss(0, 1)
+        both = max(0.0, p + q - 1) if slope >= 0 else min(p, q)
+        pi[left] = ((1, 1), (1, 0), (0, 1), (0, 0))[int(np.searchsorted(np.cumsum([both, p - both, q - both]), rng.random(), "right"))]
+    elif left:
+        pi[left] = float(rng.random() < pi[left[0]])
+    return pi.round()
 
 
 def _fly(seed: int, level: int, last: bool, block: int):
@@ -143,8 +151,10 @@ def _fly(seed: int, level: int, last: bool, block: int):
         x = x / np.maximum(np.abs(x).max(0), 1e-12)
         key = (seed, level, int(group["source_key"].iloc[0]), int(group["block"].iloc[0]))
         pi = group["pi"].to_numpy(float)
-        # A source that fits in one block lands at once.
-        group["pi"] = drawn(pi, x, key) if last or group["units"].iloc[0] <= block else flight(pi, x, _rng(*key))
+        rng = _rng(*key)
+        pi = flight(pi, x, rng)
+        # A source that fits in one block has nothing to wait for and lands at once.
+        group["pi"] = landing(pi, x, rng) if last or group["units"].iloc[0] <= block else pi
         return group
 
     return run

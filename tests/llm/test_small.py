@@ -84,17 +84,38 @@ def test_flight_keeps_balance_and_leaves_two():
     assert np.allclose(out @ x, pi @ x, atol=1e-6)
 
 
-def test_draws_keep_inclusion_probabilities():
+@pytest.mark.parametrize("n", [2, 5, 10, 30, 300])
+def test_inclusion_probabilities_hold_in_sources_of_any_size(n):
     import numpy as np
 
-    rng = np.random.default_rng(8)
-    pi, size = rng.random(30), rng.integers(1, 400, 30).astype(float)
-    x = np.stack([np.ones(30), size], axis=1) / np.array([1.0, size.max()])
-    single = np.mean([mixing.drawn(pi, x, (s,), draws=1) for s in range(500)], axis=0)
-    assert np.abs(single - pi).max() < 0.09 and abs(single.sum() - pi.sum()) < 0.2
-    best = [mixing.drawn(pi, x, (s,)) for s in range(500)]
-    assert np.abs(np.mean(best, axis=0) - pi).max() < 0.2
-    assert max(abs((b - pi) @ size) for b in best) < 0.05 * (pi @ size)
+    rng = np.random.default_rng(n)
+    pi, size = np.full(n, 0.3), np.sort(np.exp(rng.normal(5, 1.5, n)).round())[::-1]
+    x = np.stack([np.ones(n), size], axis=1) / np.array([1.0, size.max()])
+    taken = []
+    for seed in range(2000):
+        own = np.random.default_rng(seed)
+        taken.append(mixing.landing(mixing.flight(pi, x, own), x, own))
+    assert np.abs(np.mean(taken, axis=0) - pi).max() < 0.05
+    assert set(np.unique(taken)) <= {0.0, 1.0}
+
+
+def test_parallel_units_keep_their_words():
+    import numpy as np
+
+    # one, two and three rows of one document: 600 words in all, half of them wanted
+    x = np.array([[1, 100], [2, 200], [3, 300]]) / np.array([3.0, 300.0])
+    for seed in range(50):
+        out = mixing.flight(np.full(3, 0.5), x, np.random.default_rng(seed))
+        assert out @ [100, 200, 300] == pytest.approx(300) and ((out > 0) & (out < 1)).sum() <= 2
+    mean = np.mean([mixing.landing(mixing.flight(np.full(3, 0.5), x, g), x, g) for g in map(np.random.default_rng, range(2000))], axis=0)
+    assert np.abs(mean - 0.5).max() < 0.05
+
+
+def test_repeated_rows_of_one_size(spark):
+    rows = [(i // (1 + i % 3), "s", 100) for i in range(3000)] + [(None, "s", 50)] * 40 + [(i, "t", 100) for i in range(3000)]
+    got = mixing.decisions(spark.createDataFrame(rows, "doc_id long, source string, size long"), block=128)
+    for r in got.groupBy("source").agg(F.sum(F.col("copies") * F.col("rows") * F.col("size")).alias("n"), F.max("target").alias("target")).collect():
+        assert abs(r["n"] - r["target"]) < 0.02 * r["target"]
 
 
 def test_sources_with_odd_names_stay_apart(spark):
