@@ -12,7 +12,7 @@ import unicodedata
 
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._words import in_batches
@@ -21,6 +21,7 @@ BLOCK = 32_768
 DICTIONARY_BYTES = 64_000
 SAMPLE_DOCUMENTS = 400
 EXCERPT_CHARS = 200
+LANGUAGES = 64
 #: Matches of four bytes count: with longer ones, words of a few syllables find no match in the dictionary.
 SETTINGS = dict(window_log=17, chain_log=15, hash_log=15, search_log=3, min_match=4, target_length=16, strategy=zstandard.STRATEGY_GREEDY)
 NARROW = 0.002
@@ -44,25 +45,27 @@ def part_of(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def dictionaries(labelled: DataFrame, *, sample_documents: int = SAMPLE_DOCUMENTS, dictionary_bytes: int = DICTIONARY_BYTES, excerpt_chars: int = EXCERPT_CHARS) -> dict[str, bytes]:
+def dictionaries(labelled: DataFrame, *, sample_documents: int = SAMPLE_DOCUMENTS, dictionary_bytes: int = DICTIONARY_BYTES, excerpt_chars: int = EXCERPT_CHARS, languages: int = LANGUAGES) -> dict[str, bytes]:
     """Dictionary content by language, from columns doc_id, text, lang.
 
-    The fit takes about ``sample_documents`` rows of each language (at most twice as many), chosen by a hash
-    of their id, and the middle ``excerpt_chars`` of each, in order of the hash until ``dictionary_bytes`` are
-    full: a documented bound, whatever the table's size.
+    The fit knows the ``languages`` most frequent values of lang (ties by name) and takes about ``sample_documents``
+    different rows of each (at most twice as many), chosen by a hash of id and text, and the middle
+    ``excerpt_chars`` of each, in order of the hash until ``dictionary_bytes`` are full: documented bounds,
+    whatever the table's size, each language by itself.  Copies of a row count once, rows without an id go by their text.
     Rows without a language, without text or without letters teach nothing.
     """
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_documents / n))])
-    draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_003)) / 1_000_003.0
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / 1_000_003.0
     start = F.greatest(F.lit(1), F.expr(f"cast(length(text) div 2 - {excerpt_chars // 2} as int)"))
-    rows = known.where(draw <= F.element_at(share, F.col("lang"))).select("lang", draw.alias("draw"), F.substring("text", start, F.lit(excerpt_chars)).alias("text"))
+    rows = known.where(draw <= F.try_element_at(share, F.col("lang"))).select("lang", draw.alias("draw"), F.substring("text", start, F.lit(excerpt_chars)).alias("text")).distinct()
+    first = Window.partitionBy("lang").orderBy("draw", "text")
     found: dict[str, set[bytes]] = {}
     room = dict.fromkeys(counts, dictionary_bytes)
-    for draw, lang, excerpt in sorted((r["draw"], r["lang"], _letters(r["text"])) for r in rows.limit(2 * sample_documents * len(counts)).collect()):
+    for draw, lang, excerpt in sorted((r["draw"], r["lang"], _letters(r["text"])) for r in rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= 2 * sample_documents).collect()):
         own = found.setdefault(lang, set())
         if excerpt not in own and len(excerpt) < room[lang]:
             own.add(excerpt)
@@ -109,7 +112,11 @@ def predicted(text: Column, dicts: dict[str, bytes], *, narrow: float = NARROW)
 
 
 def report(documents: DataFrame) -> DataFrame:
-    """The contract's rows: learned only where crc32(doc_id) mod 3 is not 1."""
+    """The contract's rows: learned only where crc32(doc_id) mod 3 is not 1; a null id counts as the empty text there.
+
+    Null, empty and letterless texts are ``und``; ties go to the language first in order; repeated rows are judged
+    alike, each with a row of its own; very long texts count whole; other columns are not read; no rows give no rows.
+    """
     held = part_of(F.col("doc_id"), 3) == 1
     dicts = dictionaries(documents.where(~held).select("doc_id", "text", "lang"))
     found = in_batches(documents).select("doc_id", held.alias("held_out"), predicted(F.col("text"), dicts).alias("p"))
