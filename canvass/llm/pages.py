@@ -33,6 +33,9 @@ BOILERPLATE = frozenset(
     "newsletter subscribe subscription paywall sidebar side aside rail menu nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar topbar masthead header footer copyright legal "
     "share sharing social related recommended recommendations comment comments commentlist reply replies respond disqus discussion widget search login signup complementary contentinfo dialog".split()
 )
+COMMENTS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+#: Words that, as part of a class name, mark what never is the article, however dense it is.
+NOTICES = frozenset("cookie cookies consent gdpr notice notices popup newsletter comment comments".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote ul ol dl figure figcaption address tr th caption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAMED_LISTS = frozenset("ul ol dl tr figure".split())
@@ -45,17 +48,22 @@ ENOUGH = 0.7
 FEED = 65_536
 
 _TOKEN = re.compile(r"[a-z0-9]+")
+_COMMENT_ID = re.compile(r"(comment|reply)[-_]?\d*")
+_RIGHTS = re.compile(r"(©|\(c\)|copyright\b)", re.IGNORECASE)
 
 
 def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> str:
     """'gone' with all it holds; 'marked' and 'likely' unless it holds the article, 'likely' also unless it
     holds most of the dense text; else ''.
 
-    Class and id count as whole names, not on headings and blocks of text; a word of a class name is a likely mark.
+    Class and id count as whole names, not on headings and blocks of text; a word of a class name is a likely mark,
+    one of a notice or of comments a mark.  An article that is named a comment is one.
     """
     given = {k: (v or "").lower() for k, v in reversed(attrs) if k in ("class", "id", "role", "hidden")}
     if tag in DROPPED or "hidden" in given and tag not in WHOLE:
         return "gone"
+    if tag == "article" and (not COMMENTS.isdisjoint(given.get("class", "").split()) or _COMMENT_ID.fullmatch(given.get("id", "").strip())):
+        return "marked"
     if tag in WHOLE:
         return ""
     if tag in MARKED or tag == "header" and not inside_article:
@@ -66,9 +74,10 @@ def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_article: b
     if tag in INLINE:
         return "gone" if tag == "a" and named or not BOILERPLATE.isdisjoint(given.get("role", "").split()) else ""
     text_block = tag in TEXT_BLOCKS and tag not in NAMED_LISTS
-    if not BOILERPLATE.isdisjoint(given.get("role", "").split()) or named and not text_block:
+    tokens = frozenset() if text_block else frozenset(_TOKEN.findall(" ".join(classes)))
+    if not BOILERPLATE.isdisjoint(given.get("role", "").split()) or named and not text_block or not NOTICES.isdisjoint(tokens):
         return "marked"
-    if tag == "form" or not text_block and not words.isdisjoint(_TOKEN.findall(" ".join(classes))):
+    if tag == "form" or not words.isdisjoint(tokens):
         return "likely"
     return ""
 
@@ -113,11 +122,14 @@ class Lines(HTMLParser):
         self.likely: set[int] = set()
 
     def read(self, html: str) -> None:
-        """Feed in pieces; what follows the last > holds no tag, so its < are text."""
+        """Feed in pieces; what follows the last > holds no tag, so its < are text, but for a comment that never ends."""
         end = html.rfind(">") + 1
         for i in range(0, end, FEED):
             self.feed(html[i : min(i + FEED, end)])
-        self.feed(html[end:].replace("<", "&lt;"))
+        if self.rawdata.startswith("<!--"):
+            self.rawdata = ""  # it goes on to the end of the page
+        else:
+            self.feed(html[end:].partition("<!--")[0].replace("<", "&lt;"))
         self.close()
         self.end_line()
 
@@ -167,7 +179,7 @@ class Lines(HTMLParser):
         above = self.stack[-1] if self.stack else Open("", 0, False, 0, 0)
         kind = boilerplate(tag, attrs, self.count["article"] + self.count["main"] > 0)
         self.made += 1
-        if tag in ("article", "main") and not above.gone:
+        if tag in ("article", "main") and not above.gone and not kind:
             self.whole[self.made] = above.marks
         if kind == "likely":
             self.likely.add(self.made)
@@ -336,7 +348,10 @@ def main_text(html: str | None) -> str:
     size: dict[int, int] = {}
     for i, n in beside.items():
         size[n] = size.get(n, 0) + len(lines[i].text) - 2 * lines[i].linked
-    return "\n".join(lines[i].text for i in held if i not in beside or size[beside[i]] >= 0)
+    kept = [lines[i].text for i in held if i not in beside or size[beside[i]] >= 0]
+    while len(kept) > 1 and _RIGHTS.match(kept[-1]):
+        kept.pop()  # the page's last line, where no footer holds it
+    return "\n".join(kept)
 
 
 def text_of(html: Column) -> Column:
