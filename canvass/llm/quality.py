@@ -19,6 +19,7 @@ from .toxicity import training_rows
 
 PASSAGE_WORDS = 64
 SAMPLE_DOCUMENTS = 6_000
+FIT_PASSAGES = 256
 HIDDEN, ATTENTION = 16, 8
 FEATURES = 18
 
@@ -161,14 +162,20 @@ class Attention:
         return self
 
 
+def _even(passages: np.ndarray, most: int = FIT_PASSAGES) -> np.ndarray:
+    """At most ``most`` passages of a document, evenly from its beginning to its end."""
+    return passages if len(passages) <= most else passages[np.linspace(0, len(passages) - 1, most).astype(int)]
+
+
 def fitted(rows: DataFrame) -> Attention | float:
     """The model from (doc_id, text, y) of a bounded sample: its passages are encoded on the executors, and
-    their few numbers fitted on the driver.  A single class gives its constant score."""
+    their few numbers fitted on the driver, at most ``FIT_PASSAGES`` of a document, so the driver holds a bounded
+    number.  A single class gives its constant score."""
 
     def read(batches):
         for batch in batches:
             x, edges = encode(batch.column("text"))
-            bags = [x[a:b].astype(np.float32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            bags = [_even(x[a:b]).astype(np.float32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(bags, pa.binary())], names=["doc_id", "y", "bag"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -182,7 +189,8 @@ def fitted(rows: DataFrame) -> Attention | float:
 
 def scored(documents: DataFrame, model: Attention | float, keep: list[str]) -> DataFrame:
     """``keep`` as c0, c1, ... (so that no name can clash), score (0 to 1) and attention (a weight for each
-    passage of 64 words).  Repeated rows score alike."""
+    passage of 64 words, all passages of a text of any length).  Null and empty texts are one empty passage and score
+    alike; so do repeated rows."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
     names = [f"c{i}" for i in range(len(keep))]
     rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col("text").alias("text"))
@@ -202,7 +210,11 @@ def scored(documents: DataFrame, model: Attention | float, keep: list[str]) -> D
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The contract's rows: labels are learned only where crc32(doc_id) mod 4 is not 2."""
+    """The contract's rows: labels are learned only where crc32(doc_id) mod 4 is not 2.
+
+    Null and empty texts score alike, whole texts of any length are read, repeated rows have a row each; a score of
+    0.7 exactly is predicted 1; null ids count as the empty text in the remainder and teach nothing; no rows give no rows.
+    """
     model = fitted(training_rows(documents, labels, "quality", 4, 2, SAMPLE_DOCUMENTS))
     found = scored(documents, model, ["doc_id"])
     return found.select(F.col("c0").alias("doc_id"), (part_of(F.col("c0"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

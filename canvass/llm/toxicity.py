@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import discard, saved
 from ._words import LETTERS_DIGITS, Words, in_batches, slices, text_bytes
 from .language import part_of
 
@@ -205,13 +206,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float | np.ndarray = 1e-2, rou
 def training_rows(documents: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int) -> DataFrame:
     """(doc_id, text, y): labelled documents outside the held-out part; about ``most``, by a hash of the id.
 
-    The chosen ids, 16 bytes each and near ``most`` in number, are broadcast, so no text is shuffled.
+    The chosen ids, 16 bytes each and near ``most`` in number, are broadcast, so only chosen texts are shuffled.  An
+    id that several rows have teaches once, with its first text in order, so ``most`` bounds rows as well.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (part_of(F.col("doc_id"), parts) != held)).groupBy("doc_id").agg(F.max(label).alias("y"))
     n = known.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_003)) / 1_000_003.0
     chosen = known.where(draw <= F.lit(min(1.0, most / max(n, 1))))
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
 def stems_of(rows: DataFrame, *, max_stems: int = MAX_STEMS, least_evidence: float = LEAST_EVIDENCE) -> dict[str, float]:
@@ -265,7 +268,8 @@ def learned_factors(rows: DataFrame, grammar: Grammar) -> dict[str, float]:
 
 
 def fitted(rows: DataFrame) -> tuple[Grammar, list[float]]:
-    """The grammar and its link, from (doc_id, text, y) of a bounded sample; texts that repeat teach repeatedly."""
+    """The grammar and its link, from (doc_id, text, y) of a bounded sample, which is saved once; texts that repeat teach repeatedly."""
+    rows = saved(rows, "sample")
     grammar = Grammar(stems_of(rows))
     grammar.set_factors(learned_factors(rows, grammar))
     sent = rows.sparkSession.sparkContext.broadcast(grammar)
@@ -276,6 +280,7 @@ def fitted(rows: DataFrame) -> tuple[Grammar, list[float]]:
             yield pa.RecordBatch.from_arrays([pa.array(f[:, i]) for i in range(4)] + [batch.column("y").cast(pa.int64())], names=["a", "b", "c", "d", "y"])
 
     found = in_batches(rows).select("text", F.col("y").cast("long").alias("y")).mapInArrow(read, "a double, b double, c double, d double, y long").toPandas().sort_values(["a", "b", "c", "d", "y"])
+    discard(rows)
     y = found["y"].to_numpy(float)
     if len(set(y)) < 2:
         return grammar, [0.0] * 4 + [4.0 if len(y) and y[0] else -4.0]
