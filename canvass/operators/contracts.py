@@ -77,6 +77,13 @@ def reconciled(expected: DataFrame, actual: DataFrame, keys: list[str], metrics:
     return one.join(two, [*keys, "metric"], "full_outer").select(*keys, "metric", "expected", "actual", F.col("expected").eqNullSafe(F.col("actual")).alias("agrees"))
 
 
+def conservation(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """key, before, after, conserved: counts of each group on both sides; a group that one side lost, null included, counts 0 there."""
+    both = before.select(F.col(key).alias("_b"), "before").join(after.select(F.col(key).alias("_a"), "after"), F.col("_b").eqNullSafe(F.col("_a")), "full_outer")
+    counts = both.select(F.coalesce("_b", "_a").alias(key), F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after"))
+    return counts.withColumn("conserved", F.col("before") == F.col("after"))
+
+
 def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """key, side for keys on one side only: both anti joins in one full join."""
     a, b = left.select(F.col(key)).distinct().withColumn("_l", F.lit(1)), right.select(F.col(key)).distinct().withColumn("_r", F.lit(1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested, normalize
 from ..operators import aggregate, contracts, lookup, ranking
-from ..sources import files, release
+from ..sources import files, paged, release, versions
 from ..storage import saved, shared_dir
 from ._tables import FACTS, Catalog, cents, facts, table
 
@@ -88,18 +88,62 @@ SELECT 'n_regionkey=' || n_regionkey AS category, octet_length(encode(body)) AS
 def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length, hash and kind of each file of a written folder."""
     folder = _folder(spark, "manifest")
-    rows = table(spark, sf_dir, "nation").select("n_regionkey", "n_name").repartition(1).sortWithinPartitions("n_regionkey", "n_name")
+    rows = table(spark, sf_dir, "nation").select("n_regionkey", "n_name").repartition("n_regionkey").sortWithinPartitions("n_regionkey", "n_name")
     rows.write.partitionBy("n_regionkey").text(folder)
     return release.manifest(spark, folder, b"A").select("category", "bytes", "sha256", "right_kind")
 
 
-@catalog.query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 2 = 1")
+@catalog.query("SELECT c_custkey, c_name, 2 AS versions FROM customer WHERE c_custkey % 2 = 1")
 def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table published twice in one place: readers see the second."""
-    folder, nation = _folder(spark, "published"), table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    """A table published twice in one place: readers see the second version, the first is still there."""
+    folder, rows = _folder(spark, "published"), table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     for rest in (0, 1):
-        release.publish(nation.where(F.col("n_nationkey") % 2 == rest), folder)
-    return spark.read.schema(nation.schema).parquet(folder)
+        versions.publish(rows.where(F.col("c_custkey") % 2 == rest), folder)
+    return versions.read(spark, folder).withColumn("versions", F.lit(len(versions.pointed(spark, folder))))
+
+
+@catalog.query("""SELECT o_orderstatus AS election, count(*) AS before, count(c_custkey) FILTER (o_orderstatus <> 'P' AND c_nationkey <> 3) AS after, count(*) = count(c_custkey) FILTER (o_orderstatus <> 'P' AND c_nationkey <> 3) AS conserved
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1 UNION ALL SELECT '(others)', 0, 0, true""")
+def observed_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each election before and after a join and a filter that lose some, counted by the job that writes them."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "election")
+    kept = versions.Conserved("election", sorted(r["election"] for r in orders.select("election").distinct().limit(versions.MOST_GROUPS + 1).collect()))
+    areas = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    rows = kept.before(orders).join(areas, "o_custkey").where("election <> 'P' and c_nationkey <> 3")
+    versions.publish(kept.after(rows), _folder(spark, "conserved"))
+    return spark.createDataFrame([(g, b, a, a == b) for g, b, a in kept.counts()], "election string, before long, after long, conserved boolean")
+
+
+@catalog.query("""SELECT CASE WHEN p_partkey % 10 IN (0, 5) THEN 'rejected' ELSE 'kept' END AS kind, CASE p_partkey % 10 WHEN 0 THEN p_partkey || ',' || p_brand WHEN 5 THEN p_partkey || ',' || p_brand || ',' || p_size || ',more' ELSE CAST(p_partkey AS VARCHAR) END AS line FROM part""")
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with too few or too many cells are told apart from the others; blank lines are skipped."""
+    k, folder = F.col("p_partkey"), _folder(spark, "faulty")
+    good = F.concat_ws(",", k, "p_brand", "p_size")
+    line = F.when(k % 10 == 0, F.concat_ws(",", k, "p_brand")).when(k % 10 == 5, F.concat(good, F.lit(",more"))).when(k % 10 == 7, F.concat(good, F.lit("\n  "))).otherwise(good)
+    table(spark, sf_dir, "part").select(line).write.text(folder)
+    rows, rejected = files.csv_checked(spark, folder, ["key", "brand", "size"], header=False)
+    return rows.select(F.lit("kept").alias("kind"), F.col("key").alias("line")).unionAll(rejected.select(F.lit("rejected"), "line"))
+
+
+@catalog.query("SELECT c_custkey, c_name, CAST(c_custkey // 500 AS INTEGER) AS page FROM customer")
+def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written in pages of 500 and read page by page: lengths verified, ids complete."""
+    rows, folder = table(spark, sf_dir, "customer").select("c_custkey", "c_name"), _folder(spark, "pages")
+    rows.withColumn("page", F.floor(F.col("c_custkey") / 500)).repartition("page").sortWithinPartitions("page", "c_custkey").write.partitionBy("page").json(folder)
+    found = paged.scan(spark, folder, "canvass.sources.paged:folder_page", rows.count(), 500)
+    record = F.from_json("record", "c_custkey long, c_name string")
+    read = saved(found.select(record.alias("r"), "page").select("r.c_custkey", "r.c_name", "page"), "read")
+    return paged.require_complete(read, "c_custkey", rows)
+
+
+@catalog.query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 3 = 0")
+def fetched_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers asked for by id, some hundred at a time; every batch returns its ids, each once."""
+    rows, folder = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), _folder(spark, "records")
+    rows.withColumn("page", F.floor(F.col("id") / 100)).repartition("page").write.partitionBy("page").json(folder)
+    wanted = rows.where("id % 3 = 0").select("id")
+    found = paged.fetched(wanted, "id", folder, "canvass.sources.paged:folder_ids", 100).select("id", F.get_json_object("record", "$.name").alias("name"))
+    return paged.require_complete(saved(found, "fetched"), "id", wanted)
 
 
 @catalog.query("""SELECT CASE WHEN c_custkey % 30 = 0 THEN '' ELSE 'loc:' || c_custkey END AS id, CASE WHEN c_nationkey < 20 THEN 'stat:' ELSE 'custom:' END || c_nationkey AS area, CASE WHEN c_nationkey < 20 THEN 'statistical' ELSE 'custom' END AS area_type,
@@ -205,12 +249,15 @@ def localized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", normalize.first_present(one, two, F.col("p_brand")).alias("name"), F.coalesce(F.concat(named, F.lit(" ("), "p_brand", F.lit(")")), F.col("p_brand")).alias("label"))
 
 
-@catalog.query("""SELECT * FROM (VALUES ('l_comment', 'absent'), ('l_tax', 'not_a_party'), ('l_discount', 'kept'), ('l_quantity', 'kept')) t(name, reason)""")
+@catalog.query("""WITH n AS (SELECT count(l_tax) AS l_tax, count(l_discount) AS l_discount, count(l_quantity) AS l_quantity FROM lineitem)
+SELECT name, n_values, CASE name WHEN 'l_comment' THEN 'absent' WHEN 'l_tax' THEN 'not_a_party' WHEN 'l_discount' THEN 'kept' ELSE 'kept' END AS reason FROM (SELECT 'l_comment' AS name, 0 AS n_values UNION ALL SELECT 'l_tax', l_tax FROM n UNION ALL SELECT 'l_discount', l_discount FROM n UNION ALL SELECT 'l_quantity', l_quantity FROM n)""")
 def excluded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns left out by rule, each with its reason, and those that stay."""
-    rules, columns = {"l_comment": "not_a_party", "l_tax": "not_a_party"}, set(table(spark, sf_dir, "lineitem").columns)
+    """Columns left out by rule, each with its reason, and those that stay, with the values that each holds."""
+    rows, rules = table(spark, sf_dir, "lineitem"), {"l_comment": "not_a_party", "l_tax": "not_a_party"}
     names = sorted({*rules, "l_discount", "l_quantity"})
-    return spark.createDataFrame([(n, "absent" if n not in columns else rules.get(n, "kept")) for n in names], "name string, reason string")
+    counted = rows.agg(*[F.count(n).alias(n) if n in rows.columns else F.lit(0).cast("long").alias(n) for n in names]).unpivot([], names, "name", "n_values")
+    reason = F.when(~F.col("name").isin(rows.columns), "absent").when(F.col("name").isin(*rules), "not_a_party").otherwise("kept")
+    return counted.select("name", "n_values", reason.alias("reason"))
 
 
 @catalog.query("""WITH a AS (SELECT c_nationkey AS k, count(*) AS customers, max(c_acctbal) AS top FROM customer GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier GROUP BY 1) SELECT a.k, customers, top, suppliers FROM a LEFT JOIN b USING (k)""")
@@ -257,13 +304,13 @@ def representative_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", own.alias("geometry"), F.coalesce("n", F.lit(0)).alias("candidates"))
 
 
-@catalog.query("""WITH t AS (SELECT p_partkey % 60 AS target, list_sort(list(DISTINCT p_partkey % 17)) AS needed FROM part WHERE p_partkey < 500 GROUP BY 1), h AS (SELECT p_partkey % 60 AS target, list_sort(list(DISTINCT p_partkey % 17)) AS held FROM part WHERE p_partkey < 450 AND p_size > 4 GROUP BY 1)
+@catalog.query("""WITH t AS (SELECT p_partkey % 60 AS target, list_sort(list(DISTINCT p_partkey % 17)) AS needed FROM part GROUP BY 1), h AS (SELECT p_partkey % 60 AS target, list_sort(list(DISTINCT p_partkey % 17)) AS held FROM part WHERE p_size > 4 GROUP BY 1)
 SELECT t.target, len(needed) AS n_needed, coalesce(len(held), 0) AS n_held, needed IS NOT DISTINCT FROM held AS complete FROM t LEFT JOIN h USING (target)""")
 def transition_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Targets whose sources are all there, so that they may be joined to one."""
     part, k = table(spark, sf_dir, "part"), F.col("p_partkey")
     keys = lambda rows, name: rows.groupBy((k % 60).alias("target")).agg(F.array_sort(F.collect_set(k % 17)).alias(name))
-    both = keys(part.where("p_partkey < 500"), "needed").join(keys(part.where("p_partkey < 450 and p_size > 4"), "held"), "target", "left")
+    both = keys(part, "needed").join(keys(part.where("p_size > 4"), "held"), "target", "left")
     return both.select("target", F.size("needed").cast("bigint").alias("n_needed"), F.coalesce(F.size("held"), F.lit(0)).cast("bigint").alias("n_held"), F.col("needed").eqNullSafe(F.col("held")).alias("complete"))
 
 
@@ -413,11 +460,13 @@ def validated_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forward.join(back, "new").select("old", "new", status.alias("status"))
 
 
-@catalog.query("SELECT name, regexp_matches(name, '(color|colour|fill|stroke)') AS forbidden FROM (SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority', 'fill_color']) AS name)")
+@catalog.query("""WITH n AS (SELECT count(o_orderkey) AS o_orderkey, count(o_custkey) AS o_custkey, count(o_orderstatus) AS o_orderstatus, count(*) FILTER (o_orderkey % 3 = 0) AS fill_color FROM orders)
+SELECT name, n_values, regexp_matches(name, '(color|colour|fill|stroke)') AND n_values > 0 AS forbidden FROM n UNPIVOT (n_values FOR name IN (o_orderkey, o_custkey, o_orderstatus, fill_color))""")
 def colour_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of a release, with those of presentation that it may not hold."""
-    names = [*table(spark, sf_dir, "orders").columns, "fill_color"]
-    return spark.createDataFrame([(n,) for n in names], "name string").select("name", F.col("name").rlike("(color|colour|fill|stroke)").alias("forbidden"))
+    """Columns of a release with their values; one of presentation that holds any may not be in it."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "#fff").alias("fill_color"))
+    counted = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).unpivot([], rows.columns, "name", "n_values")
+    return counted.withColumn("forbidden", F.col("name").rlike("(color|colour|fill|stroke)") & (F.col("n_values") > 0))
 
 
 @catalog.query("""SELECT DISTINCT event_id, user_id, event_type FROM events""")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, cascade, contracts, lookup, reviews
+from ..operators.skew import spread_join
+from ..storage import saved
 from ._tables import FACTS, Catalog, cents, facts, table
 
 catalog = Catalog()
@@ -88,12 +90,12 @@ def national_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.reconciled(expected, facts(spark, sf_dir).where("area <> 3").groupBy("election").agg(*sums), ["election"], ["n_rows", "cents"])
 
 
-@catalog.query(f"WITH {FACTS}, o AS (SELECT o_orderstatus AS election, count(*) AS before FROM orders GROUP BY 1), f AS (SELECT election, count(*) AS after FROM facts GROUP BY 1) SELECT election, before, after, before = after AS conserved FROM o JOIN f USING (election)")
+@catalog.query(f"WITH {FACTS}, o AS (SELECT o_orderstatus AS election, count(*) AS before FROM orders GROUP BY 1), f AS (SELECT election, count(*) AS after FROM facts GROUP BY 1) SELECT election, coalesce(before, 0) AS before, coalesce(after, 0) AS after, before IS NOT DISTINCT FROM after AS conserved FROM o FULL JOIN f USING (election)")
 def row_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows before and after all joins: none is lost or doubled."""
     before = table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("election")).agg(F.count("*").alias("before"))
     after = facts(spark, sf_dir).groupBy("election").agg(F.count("*").alias("after"))
-    return before.join(after, "election").withColumn("conserved", F.col("before") == F.col("after"))
+    return contracts.conservation(before, after, "election")
 
 
 @catalog.query("""WITH h AS (SELECT DISTINCT s_nationkey AS id FROM supplier WHERE s_acctbal < -900), r AS (SELECT c_nationkey AS id, count(*) AS n, count(*) FILTER (c_acctbal > 9990) AS envelopes FROM customer GROUP BY 1)
@@ -198,7 +200,7 @@ SELECT l_orderkey, n, q, alike, CASE WHEN alike = 1 THEN 'unique_signature' WHEN
 def comparison_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by their signature of totals, and how finely it can be compared."""
     rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
-    rows = rows.withColumn("alike", F.count("*").over(Window.partitionBy("n", "q")))
+    rows = spread_join(saved(rows.withColumn("signature", F.struct("n", "q")), "signatures"), rows.groupBy(F.struct("n", "q").alias("signature")).agg(F.count("*").alias("alike")), "signature", counted="alike").drop("signature")
     grain = F.when(F.col("alike") == 1, "unique_signature").when(F.col("n") == 1, "single_row").when(F.col("alike") <= 5, "ambiguous_few").otherwise("ambiguous_many")
     return rows.withColumn("grain", grain)
 

@@ -50,6 +50,17 @@ def range_rule_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey").agg(F.count("*").alias("n"))
 
 
+@catalog.query("""WITH r AS (SELECT p_partkey % 50 AS k, p_partkey AS rule, p_partkey // 50 * 4000 + p_partkey % 5 AS low, p_partkey // 50 * 4000 + p_partkey % 5 + CASE WHEN p_partkey % 4 = 0 THEN p_size * 70 ELSE p_size % 3 * 600 END AS high FROM part)
+SELECT o_orderkey, rule FROM orders LEFT JOIN r ON o_custkey % 50 = k AND o_orderkey * 37 % 160000 BETWEEN low AND high""")
+def range_lookup_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one rule of a key whose range holds the value; null where none does, an error where several do."""
+    p = F.col("p_partkey")
+    low = F.floor(p / 50) * 4000 + p % 5
+    rules = table(spark, sf_dir, "part").select((p % 50).alias("k"), p.alias("rule"), low.alias("low"), (low + F.when(p % 4 == 0, F.col("p_size") * 70).otherwise(F.col("p_size") % 3 * 600)).alias("high"))
+    facts = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 50).alias("k"), (F.col("o_orderkey") * 37 % 160000).alias("value"))
+    return lookup.range_lookup(facts, "o_orderkey", "value", rules, ["k"], "low", "high", "rule").select("o_orderkey", "rule")
+
+
 @catalog.query("""WITH r AS (SELECT o_custkey, o_orderkey, epoch(o_orderdate)::BIGINT // 86400 AS low, epoch(o_orderdate)::BIGINT // 86400 + 20 AS high FROM orders),
 w AS (SELECT *, max(high) OVER (PARTITION BY o_custkey ORDER BY low, high, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r)
 SELECT o_custkey, count(*) AS n_overlaps FROM w WHERE before >= low GROUP BY 1""")

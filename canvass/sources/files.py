@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.nested import pairs_of
 from ..functions.normalize import present, spaces
+from ..operators.contracts import ContractError
+from ..storage import saved
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -34,6 +36,28 @@ def csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None
     return df.toDF(*[c.lstrip("﻿").strip() for c in df.columns]).na.fill("")
 
 
+def csv_checked(spark: SparkSession, path: str, columns: list[str], header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of CSV files: all columns as strings, blank lines skipped, a first line skipped with ``header``.
+
+    Lines with too many or too few cells, or quotes that do not close, are rejected: file, offset (which grows along a file,
+    in no unit), line.  :func:`require_clean` fails a job on them.  Files are read once, now, into the shared folder.
+    """
+    kind = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField("_line", T.StringType())])
+    read = spark.read.schema(kind).options(header=header, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_line", encoding="UTF-8", enforceSchema=True).csv(path)
+    read = read.withColumns({"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start"), "_n": F.monotonically_increasing_id()})
+    read = saved(read, "lines")
+    rows = read.where("_line is null").select(*columns).na.fill("")
+    bad = read.where("_line is not null")
+    return rows, bad.select(F.col("_file").alias("file"), F.struct(F.col("_at").alias("block"), F.col("_n").alias("row")).alias("offset"), F.col("_line").alias("line"))
+
+
+def require_clean(rejected: DataFrame, most: int = 5) -> None:
+    """Fail with the first rejected lines, by file and offset, if there are any."""
+    first = rejected.orderBy("file", "offset").limit(most).collect()
+    if first:
+        raise ContractError("lines do not fit the header: " + "; ".join(f"{r['file'].rsplit('/', 1)[-1]}: {r['line']!r}" for r in first))
+
+
 def geojson_features(spark: SparkSession, path: str) -> DataFrame:
     """properties (map), kind and coordinates (JSON text) of each feature of GeoJSON documents."""
     schema = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"

@@ -1,4 +1,4 @@
-"""Release sinks: deterministic exports, manifests by content, and publishing in one step."""
+"""Release sinks: deterministic exports and manifests by content."""
 
 from __future__ import annotations
 
@@ -92,23 +92,6 @@ def build_id(assets: DataFrame, path: str, sha: str) -> DataFrame:
     return assets.agg(F.substring(F.sha2(text, 256), 1, 16).alias("build_id"), F.count("*").alias("n_assets"))
 
 
-def publish(df: DataFrame, target: str, partition_by: list[str] | None = None) -> None:
-    """Write beside the target, then swap: readers see the old table or the new one, and a failure restores the old."""
-    spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    staged, old, goal = (hadoop.Path(p) for p in (f"{target}.staged", f"{target}.old", target))
-    fs = goal.getFileSystem(spark._jsc.hadoopConfiguration())
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged.toString())
-    fs.delete(old, True)
-    had = fs.exists(goal) and fs.rename(goal, old)
-    if not fs.rename(staged, goal):
-        if had:
-            fs.rename(old, goal)
-        raise OSError(f"{target} could not be published")
-    fs.delete(old, True)
-
-
 def unzipped(archive: Path, folder: Path) -> Path:
     """``folder``, into which the archive is extracted unless it is there."""
     if not folder.exists():

@@ -45,12 +45,7 @@ def test_exports_are_stable(spark, tmp_path):
     assert (tmp_path / "1.zip").read_bytes() == (tmp_path / "2.zip").read_bytes()
 
 
-def test_manifest_and_publish(spark, tmp_path):
-    target = str(tmp_path / "t")
-    release.publish(spark.range(3), f"file://{target}")
-    release.publish(spark.range(5), f"file://{target}")
-    assert spark.read.parquet(f"file://{target}").count() == 5
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+def test_manifest(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "f.bin").write_bytes(b"abc")
     r = release.manifest(spark, f"file://{tmp_path}/x").first()
