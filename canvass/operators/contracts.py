@@ -95,3 +95,15 @@ def agreement_gate(compared: DataFrame, agrees: Column, keys: list[str], least:
     """Comparisons, agreements and whether evidence passes: at least ``least`` comparisons and ``rate`` agreeing."""
     got = compared.groupBy(*keys).agg(F.count("*").alias("comparisons"), F.count_if(agrees).alias("agreements"))
     return got.withColumn("accepted", (F.col("comparisons") >= least) & (F.col("agreements") >= rate * F.col("comparisons")))
+
+
+def field_sets(features: DataFrame, properties: str) -> DataFrame:
+    """fields, n, lacking, more: each set of property names among ``features``, and how it differs from the most frequent one.
+
+    Names come sorted and joined by a bar; sets of equal frequency go by name.  One row where all features agree.
+    """
+    sets = features.groupBy(F.array_sort(F.map_keys(properties)).alias("_f")).agg(F.count("*").alias("n"))
+    usual = sets.orderBy(F.desc("n"), F.array_join("_f", "|")).limit(1).select(F.col("_f").alias("_u"))
+    joined = sets.crossJoin(F.broadcast(usual))  # one row
+    text = lambda c: F.array_join(c, "|")
+    return joined.select(text("_f").alias("fields"), "n", text(F.array_except("_u", "_f")).alias("lacking"), text(F.array_except("_f", "_u")).alias("more"))

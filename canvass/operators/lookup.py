@@ -146,3 +146,33 @@ def host_members(rules: DataFrame, host: str, members: str) -> DataFrame:
     hosts = rules.select(F.col(host).cast("string").alias("_host")).distinct()
     joined = rows.join(times, "member").join(hosts, (F.col("member") == F.col("_host")) & (F.col("member") != F.col(host).cast("string")), "left")
     return joined.select(host, "member", "place", ((F.col("_hosts") > 1) | F.col("_host").isNotNull()).alias("conflict"))
+
+
+def composite_faults(results: DataFrame, locality: str, composites: DataFrame) -> DataFrame:
+    """composite, host, fault for what keeps ``composites`` (composite, host, components array) from standing for their hosts.
+
+    invalid: blank, or the host is none of its components; host_twice: its host has another composite; no_host_result: no
+    result for the host; hides_result: another component has a result of its own, which the composite would hide.
+    """
+    known = results.select(F.col(locality).alias("_known")).distinct()
+    rows = composites.withColumn("_valid", F.coalesce(F.array_contains("components", F.col("host")) & F.col("composite").isNotNull(), F.lit(False)))
+    times = composites.groupBy("host").agg(F.count("*").alias("_times"))
+    hosts = rows.join(times, "host", "left").join(known, F.col("host") == F.col("_known"), "left")
+    fault = lambda name: F.lit(name).alias("fault")
+    found = [
+        hosts.where("not _valid").select("composite", "host", fault("invalid")),
+        hosts.where("_times > 1").select("composite", "host", fault("host_twice")),
+        hosts.where("_known is null").select("composite", "host", fault("no_host_result")),
+        rows.select("composite", "host", F.explode("components").alias("_part")).where("_part <> host").join(known, F.col("_part") == F.col("_known"), "left_semi").select("composite", "host", fault("hides_result")).distinct(),
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def under_composites(results: DataFrame, locality: str, composites: DataFrame) -> DataFrame:
+    """``results`` with a host's locality replaced by its composite; any fault of :func:`composite_faults`, or a locality
+    that is blank or stands twice, fails the job."""
+    require_empty(results.groupBy(locality).agg(F.count("*").alias("n")).where(f"n > 1 or `{locality}` is null"), "missing or repeated locality")
+    require_empty(composite_faults(results, locality, composites), "composites are at fault")
+    hosts = composites.select(F.col("host").alias("_host"), F.col("composite").alias("_composite"))
+    joined = results.join(hosts, results[locality] == hosts["_host"], "left").withColumn(locality, F.coalesce("_composite", locality))
+    return joined.select(*results.columns)

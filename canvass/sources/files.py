@@ -137,6 +137,51 @@ def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, html).mapInPandas(read, f"`{key}` {kind}, table int, row int, cells array<string>")
 
 
+class _Titled(_Tables):
+    """Cells as the longer of their title and their text."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.title = ""
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        super().handle_starttag(tag, attrs)
+        if tag in ("td", "th"):
+            self.title = " ".join((dict(attrs).get("title") or "").split())
+
+    def handle_endtag(self, tag: str) -> None:
+        closes = tag in ("td", "th") and self.cell is not None
+        super().handle_endtag(tag)
+        if closes and len(self.title) > len(self.rows[-1][2][-1]):
+            self.rows[-1][2][-1] = self.title
+
+
+def html_records(pages: DataFrame, key: str, html: str, labels: dict[str, str]) -> DataFrame:
+    """key, the columns of ``labels`` (column by header label) and last: rows of every table whose first row has all labels.
+
+    A cell is the longer of its title and its text; last is the row's last cell.  Rows too short for the labels, and rows
+    where one of them is blank, are left out; tables without the labels are other tables.
+    """
+    kind = pages.schema[key].dataType.simpleString()
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for k, text in zip(frame[key], frame[html], strict=True):
+                parser = _Titled()
+                parser.feed(text or "")
+                parser.close()
+                heads = {t: cells for t, r, cells in parser.rows if r == 0}
+                for t, r, cells in parser.rows:
+                    if r and set(labels) <= set(heads.get(t, ())):
+                        places = [heads[t].index(label) for label in labels]
+                        if len(cells) > max(places) and all(cells[i] for i in places):
+                            out.append((k, *(cells[i] for i in places), cells[-1]))
+            yield pd.DataFrame(out, columns=[key, *labels.values(), "last"])
+
+    return pages.select(key, html).mapInPandas(read, f"`{key}` {kind}, " + ", ".join(f"{c} string" for c in labels.values()) + ", last string")
+
+
 def joined_lines(lines: DataFrame, doc: str, place: str, text: str, starts: Column, reverse: bool = False) -> DataFrame:
     """doc, record, text: lines joined to records, each from a line where ``starts`` holds to the next.
 

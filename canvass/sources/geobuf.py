@@ -75,13 +75,54 @@ def features(data: bytes) -> Iterator[tuple[str | None, dict[str, str | None]]]:
         yield (ids[0] if ids else None), {keys[k]: values[v] for k, v in zip(pairs[::2], pairs[1::2], strict=True)}
 
 
-def geobuf_features(spark: SparkSession, path: str) -> DataFrame:
-    """path, id, properties of every feature of the files, decoded on the executors file by file."""
+def features_of(files: DataFrame) -> DataFrame:
+    """path, id, properties of every feature of ``files`` (path, content), decoded on the executors file by file."""
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [(p, i, props) for p, content in zip(frame["path"], frame["content"], strict=True) for i, props in features(bytes(content))]
             yield pd.DataFrame(rows, columns=["path", "id", "properties"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(read, "path string, id string, properties map<string,string>")
+    return files.select("path", "content").mapInPandas(read, "path string, id string, properties map<string,string>")
+
+
+def geobuf_features(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`features_of` all files of a folder."""
+    return features_of(spark.read.format("binaryFile").load(path))
+
+
+def _varint(n: int) -> bytes:
+    out = bytearray()
+    while n > 0x7F:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    return bytes([*out, n])
+
+
+def _field(number: int, value: bytes | int) -> bytes:
+    if isinstance(value, int):
+        return _varint(number << 3) + _varint(value)
+    return _varint(number << 3 | 2) + _varint(len(value)) + value
+
+
+def encoded(rows: list[tuple[str, dict[str, object]]]) -> bytes:
+    """A feature collection of (id, properties): texts, whole numbers, flags and other numbers; None is left out."""
+    keys: dict[str, int] = {}
+    out = []
+    for id_, properties in rows:
+        values, pairs = [], []
+        for key, value in properties.items():
+            if value is None:
+                continue
+            pairs += [keys.setdefault(key, len(keys)), len(values)]
+            if isinstance(value, bool):
+                values.append(_field(FLAG, int(value)))
+            elif isinstance(value, int):
+                values.append(_field(POSITIVE if value >= 0 else NEGATIVE, abs(value)))
+            elif isinstance(value, float):
+                values.append(_varint(REAL << 3 | 1) + struct.pack("<d", value))
+            else:
+                values.append(_field(TEXT, str(value).encode()))
+        feature = _field(FEATURE_ID, id_.encode()) + b"".join(_field(VALUES, v) for v in values)
+        out.append(_field(FEATURES, feature + _field(PROPERTIES, b"".join(map(_varint, pairs)))))
+    return b"".join(_field(KEYS, k.encode()) for k in keys) + _field(COLLECTION, b"".join(out))
