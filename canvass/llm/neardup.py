@@ -7,20 +7,25 @@ A document is the set of its distinct shingles.  Equal sets form a class and onl
    in the order.  Only shingles that two classes hold make blocks, and blocks with the same members are one.
 2. Shingles are hashed into groups; a class is the point of its group counts.  In each block an R-tree over
    the points bounds the overlap of two sets by the sum of coordinate minima; classes that may be similar are
-   joined to families.  A block of any size is dealt out in pairs of tiles.
-3. In each family (again in pairs of tiles) surviving pairs are verified on the shingles themselves.  Only
-   links that join what was not joined yet are written, so copies never become all their pairs.
+   joined to families.  In a block larger than a tile some members stand for it first, and those that may match one
+   of them need not meet among themselves; what is left is dealt out in pairs of tiles.
+3. In each family (larger ones again by members that stand for it, and tiles) an R-tree gives each member the others that the bound leaves; those
+   that no link has joined with it yet are verified on the shingles themselves.  Only links that join what was
+   not joined are written, so copies never become all their pairs, neither as rows nor as comparisons.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..storage import saved
+from ..operators.skew import spread_join
+from ..storage import discard, saved
 from ._words import NOT_SPACE, Words, in_batches, mix, slices
 
 WORDS = 5
@@ -31,6 +36,7 @@ TILE = 2048  # classes of a block in one task at most, and words of a family's t
 TILE_SHINGLES = 2_000_000
 BROADCAST_ROWS = 1_000_000
 GROUPS = (32, 1024)
+PIVOTS = 3  # rounds in which members of a group larger than a tile stand for it
 
 
 def _sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +162,8 @@ def _least_overlap(n1, n2, percent: int):
 
 
 class RTree:
-    """Points packed by size into leaves of 16; a leaf has the largest count of each group and its sizes' range.
+    """Points packed by size into leaves of 16, leaves into nodes of 16 and so on; a node has the largest count of each
+    group below it and the range of sizes.
 
     Points of large sets have more groups; two points are compared in the groups of the coarser one.
     """
@@ -170,19 +177,25 @@ class RTree:
         self.levels = {g: np.array([_folded(p, min(g, len(p))) if len(p) >= g else np.zeros(g, np.int32) for p in points]) for g in np.unique(self.width).tolist()}
         self.coarsest = coarsest
         self.order = np.argsort(sizes, kind="stable")
-        starts = np.arange(0, len(points), self.LEAF)
-        self.top = np.maximum.reduceat(self.levels[coarsest][self.order], starts)
-        self.low, self.high = sizes[self.order][starts], sizes[self.order][np.minimum(starts + self.LEAF, len(points)) - 1]
+        self.nodes = [(self.levels[coarsest][self.order], sizes[self.order], sizes[self.order])]
+        while len(self.nodes[-1][1]) > 1:
+            top, low, high = self.nodes[-1]
+            starts = np.arange(0, len(low), self.LEAF)
+            self.nodes.append((np.maximum.reduceat(top, starts), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)))
 
     def near(self, i: int, percent: int) -> np.ndarray:
         """Members whose overlap with member i may suffice, by the sum of coordinate minima; i is among them."""
         size, point = int(self.sizes[i]), self.points[i]
         own = _folded(point, self.coarsest)
-        leaves = np.flatnonzero((self.low * percent <= size * 100) & (size * percent <= self.high * 100))
-        least = _least_overlap(size, np.maximum(self.low[leaves], -(-percent * size // 100)), percent)
-        leaves = leaves[np.minimum(self.top[leaves], own).sum(1) >= least]
-        at = (leaves[:, None] * self.LEAF + np.arange(self.LEAF)).ravel()
-        rows = self.order[at[at < len(self.order)]]
+        at = np.zeros(1, np.int64)
+        for depth in range(len(self.nodes) - 1, 0, -1):
+            top, low, high = self.nodes[depth]
+            at = at[(low[at] * percent <= size * 100) & (size * percent <= high[at] * 100)]
+            least = _least_overlap(size, np.maximum(low[at], -(-percent * size // 100)), percent)
+            at = at[np.minimum(top[at], own).sum(1) >= least]
+            at = (at[:, None] * self.LEAF + np.arange(self.LEAF)).ravel()
+            at = at[at < len(self.nodes[depth - 1][1])]
+        rows = self.order[at]
         n = self.sizes[rows]
         rows = rows[(n * percent <= size * 100) & (size * percent <= n * 100)]
         keep = []
@@ -190,7 +203,11 @@ class RTree:
             own_rows = rows[np.minimum(self.width[rows], len(point)) == g]
             bound = np.minimum(self.levels[g][own_rows], _folded(point, g)).sum(1)
             keep.append(own_rows[bound >= _least_overlap(size, self.sizes[own_rows], percent)])
-        return np.concatenate(keep)
+        return np.concatenate(keep) if keep else rows
+
+
+def _bounded(percent: int):
+    return lambda n1, p1, n2, p2: _may_match(n1, _counts(p1), n2, _counts(p2), percent)
 
 
 def _may_match(n1: int, p1: np.ndarray, n2: int, p2: np.ndarray, percent: int) -> bool:
@@ -254,32 +271,53 @@ def _block_join(percent: int):
     return join
 
 
+def _shared(flag: np.ndarray, place: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """How many flagged shingles each of ``rows`` has."""
+    n = sizes[rows]
+    first = np.cumsum(n) - n
+    at = np.repeat(starts[rows] - first, n) + np.arange(int(n.sum()))
+    return np.add.reduceat(flag[place[at]], first)
+
+
+def verified(ids: np.ndarray, sizes: np.ndarray, shingles: list[np.ndarray], percent: int, apart: np.ndarray | None = None) -> tuple[list[tuple[int, int]], int]:
+    """(links that span each component, pairs compared) of one family.
+
+    The R-tree over the members' points gives each member those that the bound leaves; of these only the ones
+    that are not in its tree of the forest yet are compared on their shingles.  ``apart`` names sides: pairs within
+    a side do not count.
+    """
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    _, place = np.unique(np.concatenate(shingles), return_inverse=True)
+    flag = np.zeros(int(place.max(initial=-1)) + 1, np.int32)
+    tree, forest = RTree(sizes, [_counts(_point(s)) for s in shingles]) if len(ids) > RTree.LEAF else None, _Forest(len(ids))
+    out, compared = [], 0
+    for i in range(len(ids)):
+        if forest.whole():
+            break
+        rows = np.arange(len(ids)) if tree is None else np.sort(tree.near(i, percent))
+        rows = rows[(forest.root[rows] != forest.root[i]) & (sizes[rows] * percent <= sizes[i] * 100) & (sizes[i] * percent <= sizes[rows] * 100)]
+        if apart is not None:
+            rows = rows[apart[rows] != apart[i]]
+        rows = rows[rows > i]  # the others have met i as their own turn came
+        if not len(rows):
+            continue
+        own = place[starts[i] : ends[i]]
+        flag[own] = 1
+        both = _shared(flag, place, starts, sizes, rows)
+        flag[own] = 0
+        compared += len(rows)
+        out.extend((ids[i], ids[j]) for j in forest.join(i, rows[100 * both >= percent * (sizes[i] + sizes[rows] - both)]).tolist())
+    return out, compared
+
+
 def _family_join(percent: int):
     def join(batches):
         for group in _grouped(batches, ["family", "t1", "t2"]):
             ids, sizes, tile = (group.column(c).to_numpy() for c in ("id", "n", "tile"))
             across = group.column("t1")[0].as_py() != group.column("t2")[0].as_py()
-            _, place = np.unique(np.concatenate([np.frombuffer(s, np.int64) for s in group.column("shingles").to_pylist()]), return_inverse=True)
-            ends = np.cumsum(sizes)
-            starts = ends - sizes
-            flag = np.zeros(int(place.max(initial=-1)) + 1, np.int32)
-            forest, out = _Forest(len(ids)), []
-            for i in range(len(ids) - 1):
-                if forest.whole():
-                    break
-                # Members stand by size: those that are not too large for i follow.
-                last = int(np.searchsorted(sizes * percent, sizes[i] * 100, "right"))
-                rows = _other_tile(tile, across, i, np.arange(i + 1, last))
-                rows = rows[forest.root[rows] != forest.root[i]]
-                if not len(rows):
-                    continue
-                own = place[starts[i] : ends[i]]
-                flag[own] = 1
-                a = rows[0]
-                both = np.add.reduceat(flag[place[starts[a] : ends[last - 1]]], starts[a:last] - starts[a])[rows - a]
-                flag[own] = 0
-                out.extend((ids[i], ids[j]) for j in forest.join(i, rows[100 * both >= percent * (sizes[i] + sizes[rows] - both)]).tolist())
-            yield _pairs(out)
+            shingles = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
+            yield _pairs(verified(ids, sizes, shingles, percent, tile if across else None)[0])
 
     return join
 
@@ -288,16 +326,91 @@ def _by_task(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(key, "t1", "t2").sortWithinPartitions(key, "t1", "t2", "n", "id")
 
 
-def _tiled(members: DataFrame, key: str, weight, most: int) -> DataFrame:
-    """members with tile and task (t1, t2): a group over ``most`` by weight is cut into tiles, a member goes to
-    every pair of tiles that holds its own."""
-    load = members.groupBy(key).agg(F.sum(weight).alias("_load"), F.count("*").alias("_count")).where("_count > 1")
-    tiles = F.ceil(F.col("_load") / F.lit(most)).cast("long")
-    rows = members.join(load.select(key, tiles.alias("_tiles")), key).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("_tiles")))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tiles") - 1)))
-    # With several tiles the task (t, t) joins a tile with itself; in (s, t) only pairs across count.
-    rows = rows.withColumns({"t1": F.least("tile", "_other"), "t2": F.greatest("tile", "_other")})
-    return rows.drop("_tiles", "_other")
+class _Steps:
+    """Saved tables of one join, deleted together when its result is written."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(saved(df, name))
+        return self.tables[-1]
+
+    def discard(self) -> None:
+        discard(*self.tables)
+        self.tables = []
+
+
+def _led(steps: _Steps, members: DataFrame, payload: DataFrame, key: str, data: str, most: int, matches, rounds: int = PIVOTS) -> DataFrame | None:
+    """Saved (key, id, weight, lead) of the members of groups whose weight adds up to more than ``most``; None without such.
+
+    In each round a member that none leads stands for its group, and those that match it are led by it: a row a
+    member, so linear work.  Members of one lead are in one tree already and need not meet.  ``members`` is saved and has
+    key, id, weight; ``payload`` has id, n, data.
+    """
+    large = members.groupBy(key).agg(F.sum("weight").alias("_load"), F.count("*").alias("_n")).where((F.col("_load") > most) & (F.col("_n") > 1))
+    large = steps.saved(large.select(key, "_n"), "large")
+    if not large.limit(1).count():
+        return None
+    open_ = saved(spread_join(members, large, key, counted="_n").select(key, "id", "weight").join(payload, "id"), "open")
+    names = [key, "id", "weight", "n", data]
+    kinds = ", ".join(f"{c} {open_.schema[c].dataType.simpleString()}" for c in names)
+    led = []
+
+    def test(batches):
+        for batch in batches:
+            own, other = ((batch.column(n).to_pylist(), batch.column(d).to_pylist()) for n, d in (("n", data), ("_pn", "_pdata")))
+            lead = [p if matches(*x) else None for p, *x in zip(batch.column("_pid").to_pylist(), *own, *other, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(lead, pa.int64())], names=[*names, "lead"])
+
+    for k in range(rounds):
+        first = open_.groupBy(key).agg(F.min_by(F.struct("id", "n", data), F.xxhash64("id", F.lit(k))).alias("p"), F.count("*").alias("_n"))
+        pivots = saved(first.select(key, F.col("p.id").alias("_pid"), F.col("p.n").alias("_pn"), F.col(f"p.{data}").alias("_pdata"), "_n"), "pivots")
+        tested = steps.saved(in_batches(spread_join(open_, pivots, key, known_small=False, counted="_n").drop("_n")).mapInArrow(test, f"{kinds}, lead long"), "tested")
+        discard(open_, pivots)
+        led.append(tested.where("lead is not null").select(key, "id", "weight", "lead"))
+        open_ = tested.where("lead is null").drop("lead")
+    return steps.saved(reduce(DataFrame.unionByName, led, open_.select(key, "id", "weight", F.lit(None).cast("long").alias("lead"))), "led")
+
+
+def _tiled(steps: _Steps, members: DataFrame, led: DataFrame | None, key: str, most: int) -> DataFrame:
+    """(key, id, tile, t1, t2) of members (key, id, weight): a group of at most ``most`` by weight is one task (0, 0).
+
+    A larger one is cut into tiles, none of which holds members of two leads, and a member goes to every pair of tiles
+    that holds its own, but not where both have its lead: a group that one member leads makes no task at all.
+    """
+    zero = F.lit(0).cast("long")
+    sized = members.groupBy(key).agg(F.sum("weight").alias("_load"), F.count("*").alias("_n")).where((F.col("_n") > 1) & (F.col("_load") <= most))
+    small = members.join(sized.select(key), key, "left_semi").select(key, "id", zero.alias("tile"), zero.alias("t1"), zero.alias("t2"))
+    if led is None:
+        return small
+    rows = steps.saved(led.withColumn("_own", F.concat_ws("|", key, F.coalesce("lead", F.lit(-1)))), "large")
+    groups = rows.groupBy(key, "lead", "_own").agg(F.sum("weight").alias("_load"), F.count("*").alias("_n"))
+    groups = steps.saved(groups.select(key, "lead", "_own", "_n", F.ceil(F.col("_load") / F.lit(most)).cast("long").alias("_many")), "groups")
+    name = F.xxhash64("_own", "_k")
+    tiles = groups.select(key, "lead", "_own", F.explode(F.sequence(zero, F.col("_many") - 1)).alias("_k"))
+    listed = tiles.groupBy(key).agg(F.collect_list(F.struct("lead", name.alias("tile"))).alias("_tiles")).join(groups.groupBy(key).agg(F.sum("_n").alias("_n")), key)
+    own = spread_join(rows, groups.select("_own", "_many", "_n"), "_own", counted="_n").withColumn("_k", F.pmod(F.xxhash64("id"), F.col("_many")))
+    own = steps.saved(own.select(key, "id", "lead", name.alias("tile")), "own")
+    met = spread_join(own, steps.saved(listed, "tiles"), key, counted="_n").withColumn("_other", F.explode("_tiles"))
+    met = met.where(F.col("lead").isNull() | F.col("_other.lead").isNull() | (F.col("lead") != F.col("_other.lead")))
+    return small.unionByName(met.select(key, "id", "tile", F.least("tile", "_other.tile").alias("t1"), F.greatest("tile", "_other.tile").alias("t2")))
+
+
+def _similar(percent: int):
+    """Whether two sets of shingles, as sorted hashes, are similar."""
+
+    def test(n1: int, one: bytes, n2: int, other: bytes) -> bool:
+        if n1 * percent > n2 * 100 or n2 * percent > n1 * 100:
+            return False
+        both = len(np.intersect1d(np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64), assume_unique=True))
+        return 100 * both >= percent * (n1 + n2 - both)
+
+    return test
+
+
+def _with_leads(links: DataFrame, led: DataFrame | None) -> DataFrame:
+    return links if led is None else links.unionAll(led.where("lead <> id").select("id", "lead"))
 
 
 def _shingler(k: int):
@@ -324,32 +437,39 @@ def classes(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[D
     members: doc_id, n_shingles, class_id (smallest doc_id with the same set; null for empty sets), a row per
     row.  links: a, b, class ids of verified pairs that span each component.
     """
+    steps = _Steps()
     rows = signed(texts, k, percent)
-    own = rows.where("n > 0").groupBy("key1", "key2").agg(F.min("doc_id").alias("class_id"))
-    plain = rows.select("doc_id", "n", "key1", "key2")
-    members = saved(plain.join(own, ["key1", "key2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class_id")).alias("class_id")), "members")
-    chosen = _small(saved(members.where("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct(), "classes"))
+    steps.tables.append(rows)
+    keyed = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.struct("key1", "key2")).alias("_set"))  # empty sets are in no class
+    own = steps.saved(keyed.where("n > 0").groupBy("_set").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("_n")), "sets")
+    members = saved(spread_join(keyed, own, "_set", "left", counted="_n").select("doc_id", F.col("n").alias("n_shingles"), "class_id"), "members")
+    chosen = _small(steps.saved(members.where("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct(), "classes"))
 
     # Blocks: shingles in the prefixes of two classes or more; those with equal members are one block.
     prefixes = rows.join(chosen, rows["doc_id"] == chosen["id"], "left_semi").select(F.col("doc_id").alias("id"), F.explode("prefix").alias("h"))
     shared = prefixes.groupBy("h").agg(F.count("*").alias("_n")).where("_n > 1").select("h")
-    held = saved(prefixes.join(shared, "h").select("h", "id").distinct(), "prefixes")
+    held = steps.saved(prefixes.join(shared, "h").select("h", "id").distinct(), "prefixes")  # a shingle has some thousands of prefixes: common ones come last
     names = held.groupBy("h").agg(F.count("*").alias("_n"), F.bit_xor(F.xxhash64("id")).alias("_x")).where("_n > 1")
     blocks = held.join(names.select("h", F.xxhash64("_n", "_x").alias("block")), "h").select("block", "id").distinct()
     points = rows.select(F.col("doc_id").alias("id"), "n", "point").dropDuplicates(["id"])
-    ids = _small(saved(held.select("id").distinct(), "ids"))
+    ids = _small(steps.saved(held.select("id").distinct(), "ids"))
     points = points.join(ids, "id", "left_semi")
-    tasks = _tiled(saved(blocks, "blocks"), "block", F.lit(1), TILE).join(points, "id").select("block", "t1", "t2", "tile", "id", "n", "point")
-    possible = _by_task(tasks, "block").mapInArrow(_block_join(percent), "a long, b long")
-    families = components(saved(possible.select("a", "b").distinct(), "possible")).select(F.col("node").alias("id"), F.col("component").alias("family"))
+    dealt = steps.saved(blocks.withColumn("weight", F.lit(1).cast("long")), "blocks")
+    points = steps.saved(points, "points")
+    led = _led(steps, dealt, points, "block", "point", TILE, _bounded(percent))
+    tasks = _tiled(steps, dealt, led, "block", TILE).join(points, "id").select("block", "t1", "t2", "tile", "id", "n", "point")
+    possible = _with_leads(_by_task(tasks, "block").mapInArrow(_block_join(percent), "a long, b long"), led)
+    families = components(steps.saved(possible.select("a", "b").distinct(), "possible")).select(F.col("node").alias("id"), F.col("component").alias("family"))
 
     # Verification on whole texts of the classes that have a family.
-    wanted = _small(saved(families, "families"))
+    wanted = _small(steps.saved(families, "families"))
     found = texts.join(wanted, texts["doc_id"] == wanted["id"]).select("family", "id", "text").mapInArrow(_shingler(k), "family long, id long, n long, shingles binary")
-    found = saved(found.dropDuplicates(["id"]), "shingles")
-    tiles = _tiled(found.select("family", "id", "n"), "family", F.col("n"), TILE_SHINGLES)
-    work = tiles.join(found.select("id", "shingles"), "id").select("family", "t1", "t2", "tile", "id", "n", "shingles")
-    links = saved(_by_task(work, "family").mapInArrow(_family_join(percent), "a long, b long"), "links")
+    found = steps.saved(found.dropDuplicates(["id"]), "shingles")
+    sized = steps.saved(found.select("family", "id", F.col("n").alias("weight")), "families")
+    led = _led(steps, sized, found.select("id", "n", "shingles"), "family", "shingles", TILE_SHINGLES, _similar(percent))
+    work = _tiled(steps, sized, led, "family", TILE_SHINGLES).join(found.select("id", "n", "shingles"), "id").select("family", "t1", "t2", "tile", "id", "n", "shingles")
+    links = saved(_with_leads(_by_task(work, "family").mapInArrow(_family_join(percent), "a long, b long"), led), "links")
+    steps.discard()
     return members, links
 
 
@@ -357,7 +477,7 @@ def linked(texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFram
     """doc_id, n_shingles, component_id: a row per row.  Texts without words link with nothing."""
     members, links = classes(texts, k, percent)
     reached = components(links)
-    found = members.join(reached, members["class_id"] == reached["node"], "left")
+    found = spread_join(members, saved(reached.withColumnRenamed("node", "class_id"), "reached"), "class_id", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id"))
 
 
@@ -383,9 +503,9 @@ def kept(documents: DataFrame) -> DataFrame:
     content = F.xxhash64(*[f.name for f in rows.schema if f.name != "row" and "map<" not in f.dataType.simpleString()])
     own = rows.select("row", F.col("_doc_id").cast("long").alias("id"), content.alias("content"))
     copies = own.join(copies, own["row"] == copies["member"]).select("component_id", F.struct(F.col("id").isNull().alias("last"), "id", "content", "row").alias("place"))
-    blank = found.where("n_shingles = 0").select(F.col("doc_id").alias("member"))
-    blank = rows.where("_doc_id is not null").join(blank, rows["row"] == blank["member"]).select("_doc_id", "_text", F.struct(content.alias("content"), "row").alias("place"))
-    gone = _others(copies, ["component_id"]).unionAll(_others(blank, ["_doc_id", "_text"]))
+    wordless = ~F.coalesce(F.col("_text"), F.lit("")).rlike("[^ \\t\\n\\x0b\\x0c\\r]")
+    blank = rows.where(wordless & F.col("_doc_id").isNotNull()).select("_doc_id", F.coalesce(F.length("_text"), F.lit(-1)).alias("_long"), F.xxhash64("_text").alias("_text"), F.struct(content.alias("content"), "row").alias("place"))
+    gone = _others(copies, ["component_id"]).unionAll(_others(blank, ["_doc_id", "_long", "_text"]))
     gone = _small(saved(gone, "copies"))
     return rows.join(gone, "row", "left_anti").select(*names).toDF(*documents.columns)
 
