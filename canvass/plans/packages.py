@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalize
 from ..operators import contracts, coverage, lookup, ranking
-from ..sources import files, geobuf, workbook
-from ..storage import saved
+from ..sources import files, geobuf, release, workbook
+from ..storage import saved, shared_dir
 from . import audits
 from ._tables import Catalog, cents, table
 from .maps import ACROSS, _sql_corner, cells
@@ -153,3 +155,20 @@ def detailed_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
         sums = rings.groupBy("nation").agg(F.sum("n_edges").alias("vertices"), F.sum("area").alias("area")).where("vertices > 12 and area > 40000")
         found.append(sums.select("nation", F.lit(source).alias("source"), F.lit(place).alias("place"), "vertices", "area"))
     return ranking.keep_first(found[0].unionByName(found[1]), ["nation"], [F.col("place")]).select("nation", "source", "vertices", "area")
+
+
+_CUSTOMER_LINES = """WITH l AS (SELECT c_nationkey % 3 AS part, c_custkey, concat_ws(',', c_custkey, c_name, CASE WHEN c_custkey % 5 = 0 THEN concat(chr(34), 'a, ', chr(34), chr(34), 'b', chr(34), chr(34), chr(34)) ELSE c_mktsegment END) AS line FROM customer),
+f AS (SELECT 'part' || part || '.csv' AS name, chr(65279) || 'c_custkey,c_name,note' || chr(10) || string_agg(line || chr(10), '' ORDER BY c_custkey) AS text FROM l GROUP BY part)"""
+
+
+@catalog.query(f"{_CUSTOMER_LINES} SELECT name, octet_length(encode(text)) AS bytes, sha256(text) AS sha256, true AS same_for_one_part FROM f")
+def stable_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files of several parts joined, zipped and unzipped again: the bytes do not depend on how the rows were dealt."""
+    k, folder = F.col("c_custkey"), f"{shared_dir(spark)}/exports-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "customer").select(k, "c_name", F.when(k % 5 == 0, 'a, "b"').otherwise(F.col("c_mktsegment")).alias("note"), (F.col("c_nationkey") % 3).alias("part"))
+    once, again = ([release.export_csv(rows.where(F.col("part") == p).drop("part"), ["c_custkey"], f"{folder}/{n}/part{p}.csv", parts=n) for p in range(3)] for n in (8, 1))
+    same = {e["path"]: e == f for e, f in zip(once, again, strict=True)}
+    release.stable_zip(spark, [f"{folder}/8/{e['path']}" for e in once], f"{folder}/zip/all.zip")
+    found = release.unzipped(spark.read.format("binaryFile").load(f"{folder}/zip"))
+    equal = F.create_map(*[F.lit(x) for pair in same.items() for x in pair])
+    return found.select("name", F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"), equal[F.col("name")].alias("same_for_one_part"))

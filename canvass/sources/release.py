@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import hashlib
-import json
-import shutil
+import io
+import struct
+import uuid
 import zipfile
-from pathlib import Path
+import zlib
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import shared_dir
+
 
 def csv_lines(df: DataFrame) -> Column:
     """Each row as one line of CSV: minimal quoting, blank for null."""
@@ -34,28 +40,92 @@ def write_csv(df: DataFrame, order: list[str], folder: str, parts: int = 1, bom:
     texts.write.mode("overwrite").options(header=True, quote='"', escape='"', lineSep="\n", emptyValue="", encoding="UTF-8").csv(folder)
 
 
-def export_csv(df: DataFrame, order: list[str], path: Path, bom: bool = True) -> dict[str, object]:
-    """One sorted CSV file, byte for byte the same on every run; returns its manifest entry.
+def _parts(lines: DataFrame, order: list[str], parts: int | None) -> tuple[str, int]:
+    """Folder of text files that follow one another in ``order``, written and sorted by executors, and their number of lines."""
+    spark = lines.sparkSession
+    folder, seen = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}", Observation()
+    keys = [*order, "line"]  # the line itself settles ties, so any dealing gives the same bytes
+    dealt = lines.repartitionByRange(parts, *keys) if parts else lines.repartitionByRange(*keys)
+    dealt.sortWithinPartitions(*keys).select("line").observe(seen, F.count("*").alias("n")).write.option("lineSep", "\n").text(folder)
+    return folder, seen.get["n"]
+
+
+def _store(place: str):
+    """The store of a URI and the place in it; called on executors.  Characters that a URI may not hold are escaped."""
+    from pyarrow import fs as stores
+
+    return stores.FileSystem.from_uri(quote(place, safe=":/%"))
+
+
+def _stitched(spark: SparkSession, pieces: list[tuple[str, bytes | str]], path: str, between: bytes | None = None) -> dict[str, object]:
+    """Write ``path`` from pieces, each ("bytes", b) or ("file", place) or ("folder", place), in order; a task streams them.
+
+    ``between`` replaces the line end between the lines of a folder, the last one having none.  The driver gets the size and the hash.  A
+    task that runs again writes the file anew.
+    """
+
+    def copy(batches):
+        for _ in batches:  # a row that only starts the task
+            pass
+        from pyarrow import fs as stores
+
+        def chunks():
+            for kind, piece in pieces:
+                if kind == "bytes":
+                    yield piece
+                    continue
+                store, at = _store(piece)
+                names = [at] if kind == "file" else sorted(f.path for f in store.get_file_info(stores.FileSelector(at)) if f.path.rsplit("/", 1)[-1].startswith("part-"))
+                held = b""  # a line end that waits for the next line
+                for name in names:
+                    with store.open_input_stream(name) as stream:
+                        while data := stream.read(1 << 20):
+                            if kind == "folder" and between is not None:
+                                data = held + data
+                                held = b"\n" if data.endswith(b"\n") else b""
+                                data = data[: len(data) - len(held)].replace(b"\n", between)
+                            yield data
+
+        digest, size = hashlib.sha256(), 0
+        store, at = _store(path)
+        store.create_dir(at.rsplit("/", 1)[0])
+        with store.open_output_stream(at) as out:
+            for data in chunks():
+                digest.update(data)
+                size += len(data)
+                out.write(data)
+        yield pa.RecordBatch.from_arrays([pa.array([size]), pa.array([digest.hexdigest()])], names=["bytes", "sha256"])
+
+    row = spark.range(1, numPartitions=1).mapInArrow(copy, "bytes long, sha256 string").first()
+    return {"path": path.rsplit("/", 1)[-1], "bytes": row["bytes"], "sha256": row["sha256"]}
+
+
+def export_csv(df: DataFrame, order: list[str], path: str, bom: bool = True, parts: int | None = None) -> dict[str, object]:
+    """One sorted CSV file at a URI, byte for byte the same on every run and for any number of ``parts``; its manifest entry.
 
-    For the small tables that people download: rows stream through the driver.  :func:`write_csv` and
-    :func:`publish` are for tables of any size.
+    Executors sort and write the lines; one task joins the files.  Blank stands for null, quotes are minimal, lines end
+    in a line break.
     """
-    digest, size, rows = hashlib.sha256(), 0, 0
-    with path.open("wb") as out:
-        def put(data: bytes) -> None:
-            nonlocal size
-            digest.update(data)
-            size += out.write(data)
+    lines = df.select(*[F.col(f"`{c}`") for c in order], csv_lines(df).alias("line"))
+    folder, rows = _parts(lines, order, parts)
+    head = (b"\xef\xbb\xbf" if bom else b"") + (",".join(df.columns) + "\n").encode()
+    entry = _stitched(df.sparkSession, [("bytes", head), ("folder", folder)], path)
+    _delete(df.sparkSession, folder)
+    return entry | {"rows": rows}
 
-        put((b"\xef\xbb\xbf" if bom else b"") + (",".join(df.columns) + "\n").encode())
-        for r in df.orderBy(*order).select(csv_lines(df).alias("line")).toLocalIterator():
-            put((r["line"] + "\n").encode())
-            rows += 1
-    return {"path": path.name, "rows": rows, "bytes": size, "sha256": digest.hexdigest()}
 
+def export_json(df: DataFrame, order: list[str], path: str, parts: int | None = None) -> dict[str, object]:
+    """A JSON array of the rows at a URI, a record a line, fields in order of name; its manifest entry.  As :func:`export_csv`."""
+    lines = df.select(*[F.col(f"`{c}`") for c in order], F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])).alias("line"))
+    folder, rows = _parts(lines, order, parts)
+    entry = _stitched(df.sparkSession, [("bytes", b"[\n"), ("folder", folder), ("bytes", b"\n]\n" if rows else b"]\n")], path, b",\n")
+    _delete(df.sparkSession, folder)
+    return entry | {"rows": rows}
 
-def export_json(records: object, path: Path) -> None:
-    path.write_text(json.dumps(records, ensure_ascii=False, indent=2, sort_keys=True) + "\n", encoding="utf-8")
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def feature_json(properties: Column, kind: Column, coordinates: Column) -> Column:
@@ -63,13 +133,53 @@ def feature_json(properties: Column, kind: Column, coordinates: Column) -> Colum
     return F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), F.struct(kind.alias("type"), coordinates.alias("coordinates")).alias("geometry")))
 
 
-def stable_zip(files: list[Path], path: Path) -> None:
-    """Names sorted, times and modes fixed: the same files give the same bytes."""
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
-        for file in sorted(files, key=lambda f: f.name):
-            entry = zipfile.ZipInfo(file.name, (1980, 1, 1, 0, 0, 0))
-            entry.external_attr, entry.compress_type = 0o644 << 16, zipfile.ZIP_DEFLATED
-            out.writestr(entry, file.read_bytes())
+# The zip format; every entry dates from 1 January 1980 and may be read by all (mode 0644).
+_LOCAL, _CENTRAL, _END = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06"
+_DATE, _MODE, _UTF8, _DEFLATED, _MOST = 0x21, 0o644 << 16, 0x800, 8, 0xFFFFFFFF
+
+
+def stable_zip(spark: SparkSession, files: list[str], path: str) -> dict[str, object]:
+    """A zip at a URI of the files at URIs: names sorted, times and modes fixed, so the same files give the same bytes.
+
+    Executors compress a file each; the directory is made of the sizes and checksums that they report, and one task joins
+    the pieces.  Entries and archive must stay under 4 GB, and names apart.
+    """
+    folder = f"{shared_dir(spark)}/zip-{uuid.uuid4().hex}"
+    names = sorted((f.rsplit("/", 1)[-1], f) for f in files)
+    if len({n for n, _ in names}) < len(names):
+        raise ValueError("two files of one name")
+
+    def pack(batches):
+        for batch in batches:
+            out = []
+            for place, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                (store, at), (shared, piece) = _store(file), _store(f"{folder}/{place:08d}")
+                squeeze, crc, size, packed = zlib.compressobj(9, zlib.DEFLATED, -15), 0, 0, 0
+                shared.create_dir(piece.rsplit("/", 1)[0])
+                with store.open_input_stream(at) as stream, shared.open_output_stream(piece) as to:
+                    while data := stream.read(1 << 20):
+                        crc, size = zlib.crc32(data, crc), size + len(data)
+                        packed += to.write(squeeze.compress(data))
+                    packed += to.write(squeeze.flush())
+                out.append((place, crc, size, packed))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(4)], names=["place", "crc", "size", "packed"])
+
+    jobs = spark.createDataFrame([(i, f) for i, (_, f) in enumerate(names)], "place long, file string").repartition(max(1, len(names)))
+    made = {r["place"]: r for r in jobs.mapInArrow(pack, "place long, crc long, size long, packed long").collect()}
+    pieces: list[tuple[str, bytes | str]] = []
+    directory, at = b"", 0
+    for place, (name, _) in enumerate(names):
+        r, raw = made[place], name.encode()
+        if max(r["size"], r["packed"], at) > _MOST:
+            raise ValueError(f"{name} does not fit a zip of this kind")
+        common = struct.pack("<HHHHHIIIHH", 20, _UTF8, _DEFLATED, 0, _DATE, r["crc"], r["packed"], r["size"], len(raw), 0)
+        pieces += [("bytes", _LOCAL + common + raw), ("file", f"{folder}/{place:08d}")]
+        directory += _CENTRAL + struct.pack("<H", 3 << 8 | 20) + common + struct.pack("<HHHII", 0, 0, 0, _MODE, at) + raw
+        at += len(_LOCAL + common + raw) + r["packed"]
+    pieces.append(("bytes", directory + _END + struct.pack("<HHHHIIH", 0, 0, len(names), len(names), len(directory), at, 0)))
+    entry = _stitched(spark, pieces, path)
+    _delete(spark, folder)
+    return entry
 
 
 def manifest(spark: SparkSession, folder: str, magic: bytes | None = None) -> DataFrame:
@@ -92,11 +202,42 @@ def build_id(assets: DataFrame, path: str, sha: str) -> DataFrame:
     return assets.agg(F.substring(F.sha2(text, 256), 1, 16).alias("build_id"), F.count("*").alias("n_assets"))
 
 
-def unzipped(archive: Path, folder: Path) -> Path:
-    """``folder``, into which the archive is extracted unless it is there."""
-    if not folder.exists():
-        with zipfile.ZipFile(archive) as packed:
-            packed.extractall(folder)
+def unzipped(archives: DataFrame) -> DataFrame:
+    """path, name, content of each file in ``archives`` (path, content), unpacked by executors; folders are left out."""
+
+    def read(frames):
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as packed:
+                    for entry in packed.infolist():
+                        if not entry.is_dir():
+                            yield pd.DataFrame({"path": [path], "name": [entry.filename], "content": [packed.read(entry)]})
+
+    return archives.select("path", "content").mapInPandas(read, "path string, name string, content binary")
+
+
+def extracted(spark: SparkSession, archives: str, folder: str) -> str:
+    """``folder``, into which executors unpack the files of ``archives`` unless it is whole already, as its _SUCCESS tells."""
+    done = f"{folder.rstrip('/')}/_SUCCESS"
+    at = spark._jvm.org.apache.hadoop.fs.Path(done)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at):
+        return folder
+
+    def put(batches):
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            for name, content in zip(names, batch.column(1).to_pylist(), strict=True):
+                if name.startswith("/") or ".." in name.split("/"):
+                    raise ValueError(f"{name} leads out of the folder")
+                store, to = _store(f"{folder.rstrip('/')}/{name}")
+                store.create_dir(to.rsplit("/", 1)[0])
+                with store.open_output_stream(to) as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+
+    unzipped(spark.read.format("binaryFile").load(archives)).select("name", "content").mapInArrow(put, "name string").count()
+    fs.create(at, True).close()
     return folder
 
 
@@ -106,9 +247,13 @@ def feature_collection(features: DataFrame, keys: list[str], feature: str) -> Da
     return features.groupBy(*keys).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}")).alias("json"))
 
 
-def reset(folder: Path, root: Path) -> None:
-    """Empty an output folder, but only one below ``root``."""
-    if root.resolve() not in folder.resolve().parents:
+def reset(spark: SparkSession, folder: str, root: str) -> None:
+    """Empty an output folder in any store, but only one below ``root``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at, top = hadoop.Path(folder), hadoop.Path(root)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    inner, outer = (fs.makeQualified(p).toUri().normalize().toString().rstrip("/") for p in (at, top))
+    if not inner.startswith(f"{outer}/"):
         raise ValueError(f"{folder} is not below {root}")
-    shutil.rmtree(folder, ignore_errors=True)
-    folder.mkdir(parents=True)
+    fs.delete(at, True)
+    fs.mkdirs(at)

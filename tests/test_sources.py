@@ -1,5 +1,8 @@
+import hashlib
 import json
+import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,14 +38,48 @@ def test_html_tables(spark):
 
 
 def test_exports_are_stable(spark, tmp_path):
-    df = spark.createDataFrame([(2, 'a"b', None), (1, "x,y", "é")], "id int, t string, u string")
-    one = release.export_csv(df, ["id"], tmp_path / "a.csv")
-    two = release.export_csv(df.repartition(3), ["id"], tmp_path / "b.csv")
-    assert one["sha256"] == two["sha256"] and one["rows"] == 2
-    assert (tmp_path / "a.csv").read_text(encoding="utf-8-sig") == 'id,t,u\n1,"x,y",é\n2,"a""b",\n'
-    release.stable_zip([tmp_path / "b.csv", tmp_path / "a.csv"], tmp_path / "1.zip")
-    release.stable_zip([tmp_path / "a.csv", tmp_path / "b.csv"], tmp_path / "2.zip")
-    assert (tmp_path / "1.zip").read_bytes() == (tmp_path / "2.zip").read_bytes()
+    df = spark.createDataFrame([(2, 'a"b', None), (1, "x,y", "é"), (1, "two\nlines", "")], "id int, t string, u string")
+    one = release.export_csv(df, ["id"], f"file://{tmp_path}/out/a.csv", parts=1)
+    two = release.export_csv(df.repartition(3), ["id"], f"file://{tmp_path}/out/b.csv", parts=8)
+    assert one["sha256"] == two["sha256"] and one["rows"] == 3 and one["bytes"] == len((tmp_path / "out/a.csv").read_bytes())
+    assert (tmp_path / "out/a.csv").read_text(encoding="utf-8-sig") == 'id,t,u\n1,"two\nlines",\n1,"x,y",é\n2,"a""b",\n'
+    assert hashlib.sha256((tmp_path / "out/b.csv").read_bytes()).hexdigest() == two["sha256"]
+
+
+def test_json_exports_are_arrays(spark, tmp_path):
+    df = spark.range(2500).select("id", F.concat(F.lit("é\n,"), "id").alias("b"), F.when(F.col("id") % 2 == 0, 1.5).alias("a"))
+    entries = [release.export_json(df, ["id"], f"file://{tmp_path}/{n}.json", parts=n) for n in (1, 7)]
+    assert entries[0]["sha256"] == entries[1]["sha256"]
+    got = json.loads((tmp_path / "7.json").read_text())
+    assert len(got) == 2500 and got[4] == {"a": 1.5, "b": "é\n,4", "id": 4} and list(got[4]) == ["a", "b", "id"]
+    release.export_json(df.limit(0), ["id"], f"file://{tmp_path}/0.json")
+    assert json.loads((tmp_path / "0.json").read_text()) == []
+
+
+def test_zips_are_stable_and_whole(spark, tmp_path):
+    contents = {"b.txt": b"x" * 300_000, "a.bin": bytes(range(256)) * 9000, "é empty.csv": b""}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    files_ = [f"file://{tmp_path}/{n}" for n in contents]
+    one, two = release.stable_zip(spark, files_, f"file://{tmp_path}/z/1.zip"), release.stable_zip(spark, files_[::-1], f"file://{tmp_path}/z/2.zip")
+    assert one["sha256"] == two["sha256"]
+    with zipfile.ZipFile(tmp_path / "z" / "1.zip") as packed:
+        assert packed.testzip() is None and packed.namelist() == sorted(contents)
+        assert all(packed.read(n) == c for n, c in contents.items()) and {(e.date_time, e.external_attr >> 16) for e in packed.infolist()} == {((1980, 1, 1, 0, 0, 0), 0o644)}
+    got = release.unzipped(spark.read.format("binaryFile").load(f"file://{tmp_path}/z/1.zip")).collect()
+    assert {r["name"]: bytes(r["content"]) for r in got} == contents
+    with pytest.raises(ValueError, match="one name"):
+        release.stable_zip(spark, [files_[0], files_[0]], f"file://{tmp_path}/z/3.zip")
+
+
+def test_only_folders_below_the_root_are_emptied(spark, tmp_path):
+    (tmp_path / "root" / "out").mkdir(parents=True)
+    (tmp_path / "root" / "out" / "f").write_text("x")
+    release.reset(spark, f"file://{tmp_path}/root/out", f"file://{tmp_path}/root")
+    assert list((tmp_path / "root" / "out").iterdir()) == []
+    for outside in ("root", "root/../other", "rootless"):
+        with pytest.raises(ValueError):
+            release.reset(spark, f"file://{tmp_path}/{outside}", f"file://{tmp_path}/root")
 
 
 def test_manifest(spark, tmp_path):
@@ -104,23 +141,15 @@ def test_written_csv_is_the_same_whatever_the_partitions(spark, tmp_path):
     assert files.csv_strings(spark, f"file://{tmp_path}/none.csv", ["id", "t"]).count() == 0
 
 
-def test_archive_is_unpacked_once(tmp_path):
+def test_archives_are_unpacked_once(spark, tmp_path):
     (tmp_path / "a.txt").write_text("a")
-    release.stable_zip([tmp_path / "a.txt"], tmp_path / "a.zip")
-    assert (release.unzipped(tmp_path / "a.zip", tmp_path / "out") / "a.txt").read_text() == "a"
+    release.stable_zip(spark, [f"file://{tmp_path}/a.txt"], f"file://{tmp_path}/zips/a.zip")
+    archive, folder = f"file://{tmp_path}/zips/a.zip", f"file://{tmp_path}/out"
+    release.extracted(spark, archive, folder)
+    assert (tmp_path / "out" / "a.txt").read_text() == "a"
     (tmp_path / "out" / "a.txt").write_text("kept")
-    assert (release.unzipped(tmp_path / "a.zip", tmp_path / "out") / "a.txt").read_text() == "kept"
-
-
-def test_output_folder_is_reset_only_below_its_root(tmp_path):
-    import pytest
-
-    folder = tmp_path / "out" / "x"
-    folder.mkdir(parents=True)
-    (folder / "f").write_text("1")
-    release.reset(folder, tmp_path)
-    assert folder.is_dir() and not list(folder.iterdir())
-    with pytest.raises(ValueError, match="not below"):
-        release.reset(tmp_path, tmp_path / "out")
-    release.export_json({"b": "é", "a": 1}, tmp_path / "j.json")
-    assert (tmp_path / "j.json").read_text() == '{\n  "a": 1,\n  "b": "é"\n}\n'
+    release.extracted(spark, archive, folder)
+    assert (tmp_path / "out" / "a.txt").read_text() == "kept"
+    (tmp_path / "out" / "_SUCCESS").unlink()  # as after a crash: it is not whole, so it is unpacked again
+    release.extracted(spark, archive, folder)
+    assert (tmp_path / "out" / "a.txt").read_text() == "a"
