@@ -161,9 +161,18 @@ def _label(names: pd.Series) -> pd.Series:
     return names.map(lambda name: "".join(ch for ch in unicodedata.normalize("NFKC", name or "").lower() if ch.isascii() and ch.isalnum() or "\u0590" <= ch <= "\u05ff"))
 
 
+_PLAIN = r"^[\x00-\x7F]*$"
+
+
+def _unless_plain(c: Column, plain: Column, rest) -> Column:
+    """``plain``, by built-ins, for ASCII texts; only the others go to Python, which sees nulls in their place."""
+    is_plain = blank(c).rlike(_PLAIN)
+    return F.when(is_plain, plain).otherwise(F.pandas_udf(rest, "string")(F.when(~is_plain, c)))
+
+
 def label_key(c: Column) -> Column:
     """A label for comparison: compatibility form, lower case, only digits, a-z and Hebrew letters."""
-    return F.pandas_udf(_label, "string")(c)
+    return _unless_plain(c, F.regexp_replace(F.lower(blank(c)), "[^0-9a-z]+", ""), _label)
 
 
 def _nfkc(names: pd.Series) -> pd.Series:
@@ -177,6 +186,6 @@ def _nfkc(names: pd.Series) -> pd.Series:
 def nfkc_name(c: Column) -> Column:
     """Compatibility form without format characters, dashes alike, other than word characters dropped.
 
-    Spark has no Unicode normalisation, hence the pandas function.
+    Spark has no Unicode normalisation, hence the pandas function for texts beyond ASCII.
     """
-    return F.pandas_udf(_nfkc, "string")(c)
+    return _unless_plain(c, F.lower(F.regexp_replace(blank(c), "[^0-9A-Za-z_-]+", "")), _nfkc)

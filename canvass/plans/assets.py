@@ -83,14 +83,14 @@ def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.joined_lines(lines, "doc", "place", "text", F.col("l_returnflag") == "N")
 
 
-@catalog.query("""WITH t AS (SELECT n_regionkey, string_agg(n_name || chr(10), '' ORDER BY n_name) AS body FROM nation GROUP BY 1)
-SELECT 'n_regionkey=' || n_regionkey AS category, octet_length(encode(body)) AS bytes, sha256(body) AS sha256, starts_with(body, 'A') AS right_kind FROM t""")
+@catalog.query("""WITH t AS (SELECT c_nationkey, string_agg(c_name || chr(10), '' ORDER BY c_name) AS body, count(*) AS n FROM customer GROUP BY 1)
+SELECT 'c_nationkey=' || c_nationkey AS category, octet_length(encode(body)) AS bytes, n AS lines, sha256(body) AS sha256, starts_with(body, 'C') AS right_kind FROM t""")
 def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Length, hash and kind of each file of a written folder."""
+    """Length, lines, hash and kind of each file of a written folder."""
     folder = _folder(spark, "manifest")
-    rows = table(spark, sf_dir, "nation").select("n_regionkey", "n_name").repartition("n_regionkey").sortWithinPartitions("n_regionkey", "n_name")
-    rows.write.partitionBy("n_regionkey").text(folder)
-    return release.manifest(spark, folder, b"A").select("category", "bytes", "sha256", "right_kind")
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_name").repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_name")
+    rows.write.partitionBy("c_nationkey").text(folder)
+    return release.manifest(spark, folder, b"C").select("category", "bytes", "lines", "sha256", "right_kind")
 
 
 @catalog.query("SELECT c_custkey, c_name, 2 AS versions FROM customer WHERE c_custkey % 2 = 1")

@@ -182,8 +182,14 @@ def stable_zip(spark: SparkSession, files: list[str], path: str) -> dict[str, ob
     return entry
 
 
+def _lines(content: Column) -> Column:
+    """Line ends of a file, byte by byte (a byte is a character of ISO 8859-1)."""
+    text = F.decode(content, "ISO-8859-1")
+    return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).cast("long")
+
+
 def manifest(spark: SparkSession, folder: str, magic: bytes | None = None) -> DataFrame:
-    """path (below ``folder``), category (its first folder), bytes, sha256 of every file, read by the executors.
+    """path (below ``folder``), category (its first folder), bytes, lines, sha256 of every file, read by the executors.
 
     With ``magic`` also whether a file begins with these bytes.  Files are read whole, so each must stay under
     the 2 GB of a binary value; that is what a release's assets are.
@@ -191,7 +197,7 @@ def manifest(spark: SparkSession, folder: str, magic: bytes | None = None) -> Da
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     place = F.regexp_replace("path", r"^.*" + folder.rstrip("/").split("/")[-1].replace(".", r"\.") + "/", "")
     category = F.when(place.contains("/"), F.substring_index(place, "/", 1)).otherwise("")
-    found = files.select(place.alias("path"), category.alias("category"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.substring("content", 1, len(magic or b"")).alias("_head"))
+    found = files.select(place.alias("path"), category.alias("category"), F.col("length").alias("bytes"), _lines(F.col("content")).alias("lines"), F.sha2("content", 256).alias("sha256"), F.substring("content", 1, len(magic or b"")).alias("_head"))
     return (found if magic is None else found.withColumn("right_kind", F.col("_head") == F.lit(magic))).drop("_head")
 
 
