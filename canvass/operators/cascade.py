@@ -23,12 +23,13 @@ class Evidence:
 def resolve(facts: DataFrame, uid: str, sources: list[Evidence], target: str = "target") -> DataFrame:
     """facts with target, method, evidence_class, confidence and synthetic.
 
-    Sources stand in order of precedence and hold one row a uid.  All answers meet in one row of left joins
+    Sources stand in order of precedence.  A source that repeats a uid with one target counts once; one that gives a uid
+    two targets fails the job when it runs, so no fact is ever doubled.  All answers meet in one row of left joins
     and one ordered choice, which stays inside generated code; a fact without an answer is 'unresolved'.
     """
     out, chosen = facts, []
     for i, s in enumerate(sources):
-        side = s.rows.select(F.col(s.rows.columns[0]).alias(f"_u{i}"), F.col(s.rows.columns[1]).alias(f"_t{i}"))
+        side = _one_each(s).select(F.col("_u").alias(f"_u{i}"), F.col("_t").alias(f"_t{i}"))
         out = out.join(side, out[uid] == side[f"_u{i}"], "left")
         holds = F.col(f"_t{i}").isNotNull() if s.guard is None else F.col(f"_t{i}").isNotNull() & F.coalesce(s.guard, F.lit(False))
         answer = F.struct(F.col(f"_t{i}").alias("target"), F.lit(s.method).alias("method"), F.lit(s.evidence_class).alias("evidence_class"), F.lit(s.confidence).alias("confidence"), F.lit(s.synthetic).alias("synthetic"))
@@ -40,6 +41,15 @@ def resolve(facts: DataFrame, uid: str, sources: list[Evidence], target: str = "
     return out.select(*facts.columns, F.col("_answer.target").alias(target), "_answer.method", "_answer.evidence_class", "_answer.confidence", "_answer.synthetic")
 
 
+def _one_each(source: Evidence) -> DataFrame:
+    """_u, _t: a row a uid; the rows are aggregated on the key that the join deals them by."""
+    uid, target = (F.col(c) for c in source.rows.columns[:2])
+    rows = source.rows.where(target.isNotNull()).groupBy(uid.alias("_u")).agg(F.min(target).alias("_t"), F.max(target).alias("_m"))
+    kind = source.rows.schema[1].dataType
+    several = F.raise_error(F.concat(F.lit(f"{source.method} gives two targets for "), F.col("_u").cast("string"))).cast(kind)
+    return rows.select("_u", F.when(F.col("_t") == F.col("_m"), F.col("_t")).otherwise(several).alias("_t"))
+
+
 def conflicts(facts: DataFrame, uid: str, sources: list[Evidence]) -> DataFrame:
     """Facts to which several sources give different targets: uid, n_targets, methods (in order of precedence)."""
     rows = None

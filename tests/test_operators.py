@@ -214,3 +214,14 @@ def test_overlapping_boxes_of_very_unlike_sizes(spark):
     df = spark.createDataFrame(rows, "id int, box struct<min_x:double,min_y:double,max_x:double,max_y:double>")
     want = {(p[0], q[0]) for p in boxes for q in boxes if p[0] < q[0] and max(p[1], q[1]) < min(p[3], q[3]) and max(p[2], q[2]) < min(p[4], q[4])}
     assert sorted(map(tuple, geometry.overlapping(df, "id", "box", 1.0).collect())) == sorted(want)
+
+
+def test_cascade_counts_a_repeated_answer_once_and_refuses_two(spark):
+    facts = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "uid long, v int")
+    twice = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, "b")], "uid long, target string")
+    last = spark.createDataFrame([(1, "z"), (3, "z")], "uid long, target string")
+    sources = [cascade.Evidence("one", twice, "direct", "high"), cascade.Evidence("two", last, "fallback", "low")]
+    assert sorted((r["uid"], r["v"], r["target"], r["method"]) for r in cascade.resolve(facts, "uid", sources).collect()) == [(1, 10, "a", "one"), (2, 20, "b", "one"), (3, 30, "z", "two")]
+    several = cascade.Evidence("three", spark.createDataFrame([(1, "a"), (1, "c")], "uid long, target string"), "direct", "high")
+    with pytest.raises(Exception, match="three gives two targets for 1"):
+        cascade.resolve(facts, "uid", [several]).collect()
