@@ -118,9 +118,13 @@ def bands_for(similarity: float, rows: int = 1, probability: float = PROBABILITY
     return 1 if hit >= 1 else math.ceil(math.log(1 - probability) / math.log(1 - hit))
 
 
+def _salt(seed: int) -> np.uint64:
+    return np.uint64((seed * 0x9E3779B97F4A7C15) & (2**64 - 1))
+
+
 def _minhash(shingles: np.ndarray, starts: np.ndarray, seed: int) -> np.ndarray:
     """Smallest seeded hash of each run of shingles."""
-    return np.minimum.reduceat(mix(shingles ^ np.uint64((seed * 0x9E3779B97F4A7C15) & (2**64 - 1))), starts)
+    return np.minimum.reduceat(mix(shingles ^ _salt(seed)), starts)
 
 
 class Matcher:
@@ -147,20 +151,36 @@ class Matcher:
                 table: dict[tuple[int, ...], list[str]] = defaultdict(list)
                 for name in names:
                     table[tuple(int(_minhash(self.sets[name], np.zeros(1, np.int64), b * rows + r)[0]) for r in range(rows))].append(name)
-                tables.append(dict(table))
-            known = np.unique(np.concatenate([self.sets[name] for name in names]))
-            least = max(1, math.ceil(containment * min(len(self.sets[name]) for name in names) - 1e-9))
-            self.plans.append((n, window, rows, known, least, tables))
+                # The templates' own shingles with the smallest hash of the band's first row, as a mark on all shingles of templates.
+                anchors = np.isin(mix(self.any ^ _salt(b * rows)), np.array([k[0] for k in table], np.uint64))
+                tables.append((dict(table), anchors))
+            self.plans.append((n, window, rows, tables))
 
     @staticmethod
-    def _candidates(shingles: np.ndarray, edges: np.ndarray, rows: int, tables: list[dict]) -> dict[int, set[str]]:
-        """By window: the templates that share a band with it.  A band is looked up for all windows at once."""
+    def _candidates(h: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray, which: np.ndarray, rows: int, tables: list[tuple[dict, np.ndarray]]) -> dict[int, set[str]]:
+        """By window: the templates that share a band with it.
+
+        ``at`` are the places of shingles that some template has, ``which`` their numbers.  A window's smallest hash is a
+        template's only where it holds that very shingle, so each band is looked up for the windows around such places.
+        """
         found: dict[int, set[str]] = defaultdict(set)
-        for b, table in enumerate(tables):
-            keys = [_minhash(shingles, edges, b * rows + r) for r in range(rows)]
-            hit = np.isin(keys[0], np.array([k[0] for k in table], np.uint64))
-            for w in np.flatnonzero(hit).tolist():
-                found[w].update(table.get(tuple(int(k[w]) for k in keys), ()))
+        for b, (table, anchors) in enumerate(tables):
+            places = at[anchors[which]]
+            if not len(places):
+                continue
+            # Windows begin in order; the ones that hold a place are those after the last that ended before it.
+            low, high = np.searchsorted(end, places, "right"), np.searchsorted(begin, places, "right")
+            windows = np.unique(np.concatenate([np.minimum(low + k, high) for k in range(int((high - low).max(initial=0)))] or [low[:0]]))
+            windows = windows[windows < len(begin)]
+            if not len(windows):
+                continue
+            size = end[windows] - begin[windows]
+            edges = np.cumsum(size) - size
+            own = h[np.arange(size.sum()) - np.repeat(edges - begin[windows], size)]
+            keys = [_minhash(own, edges, b * rows + r) for r in range(rows)]
+            for i, key in enumerate(zip(*(k.tolist() for k in keys), strict=True)):
+                if key in table:
+                    found[int(windows[i])].update(table[key])
         return found
 
     def scan(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, dict[str, float]]:
@@ -170,19 +190,13 @@ class Matcher:
         out: dict[int, dict[str, float]] = defaultdict(dict)
         if not len(h):
             return out
-        some = np.isin(h, self.any)
-        if not some.any():
+        some = np.flatnonzero(np.isin(h, self.any))
+        if not len(some):
             return out
-        some = np.flatnonzero(some)
+        which = np.searchsorted(self.any, h[some])
         owner = words.of_text(at)
         first = np.searchsorted(owner, np.arange(len(offsets)))
-        for n, window, rows, known, least, tables in self.plans:
-            # A window contains enough of a template only if so many of its shingles are the template's.
-            held = np.zeros(len(h) + 1, np.int64)
-            held[some + 1] = np.isin(h[some], known)
-            held = np.cumsum(held)
-            if held[-1] < least:
-                continue
+        for n, window, rows, tables in self.plans:
             # Windows begin every n words; a text's last one may be shorter.
             counts = np.diff(first)
             has = np.flatnonzero(counts)
@@ -190,14 +204,7 @@ class Matcher:
             text = np.repeat(has, per)
             begin = first[text] + n * (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per))
             end = np.minimum(begin + window - SHINGLE + 1, first[text + 1])
-            enough = held[end] - held[begin] >= least
-            if not enough.any():
-                continue
-            text, begin, end = text[enough], begin[enough], end[enough]
-            size = end - begin
-            edges = np.cumsum(size) - size
-            flat = np.arange(size.sum()) - np.repeat(edges - begin, size)
-            for w, names in self._candidates(h[flat], edges, rows, tables).items():
+            for w, names in self._candidates(h, begin, end, some, which, rows, tables).items():
                 own = h[begin[w] : end[w]]
                 for name in names:
                     share = float(np.isin(self.sets[name], own).mean())
