@@ -24,6 +24,7 @@ def solve(rows: list[tuple[int, ...]], areas: list[tuple[int, ...]], most_states
     found: list[list[int]] = []
     left = [list(a) for a in areas]
     choice = [0] * len(rows)
+    known = [0] * (len(rows) + 1)  # solutions found when a depth was entered
     states = 0
     stack = [(0, -1)]  # (depth, area tried last); an explicit stack, for rows may be many
     while stack:
@@ -45,7 +46,8 @@ def solve(rows: list[tuple[int, ...]], areas: list[tuple[int, ...]], most_states
                 return "limit", None
             if state in failed:
                 continue
-        row, before = rows[order[depth]], len(found)
+            known[depth] = len(found)
+        row = rows[order[depth]]
         for area in range(tried + 1, len(areas)):
             own = left[area]
             if own[0] < 1 or any(v > own[k + 1] for k, v in enumerate(row)):
@@ -58,7 +60,7 @@ def solve(rows: list[tuple[int, ...]], areas: list[tuple[int, ...]], most_states
             stack.append((depth + 1, -1))
             break
         else:
-            if not before:
+            if len(found) == known[depth]:  # nothing came of it, whatever was found before
                 failed.add(state)
     return ("unique", found[0]) if found else ("none", None)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cascade, contracts, graph, partition
+from ..storage import saved
 from ._tables import FACTS, Catalog, cents, facts, table
 
 catalog = Catalog()
@@ -119,6 +120,22 @@ def exact_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition.exact_partition(rows, areas, "grp", "o_orderkey", "area", ["cents", "m"])
 
 
+@catalog.query("""SELECT count(*) AS n_rows, count(DISTINCT o_custkey * 10000 + year(o_orderdate)) AS n_groups, 0 AS wrong_areas, 0 AS wrong_outcomes, count(*) FILTER (n = 1) AS alone FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey, year(o_orderdate)) AS n FROM orders)""")
+def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of every partition: no row is lost, areas of solved groups get their totals, others get no area."""
+    year = F.col("o_custkey") * 10_000 + F.year("o_orderdate")
+    rows = table(spark, sf_dir, "orders").select(year.alias("grp"), F.col("o_orderkey").alias("uid"), cents("o_totalprice").alias("cents"), F.quarter("o_orderdate").alias("quarter"))
+    solved = saved(exact_partition(spark, sf_dir), "partition")
+    sums = [F.count("*").alias("n"), F.sum("cents").alias("cents")]
+    dealt = solved.where("outcome = 'unique'").join(rows, ["grp", "uid"]).groupBy("grp", "area").agg(*sums)
+    wanted = rows.join(solved.where("outcome = 'unique'").select("grp").distinct(), "grp", "left_semi").groupBy("grp", F.col("quarter").alias("area")).agg(*sums)
+    wrong = dealt.exceptAll(wanted.select(*dealt.columns)).agg(F.count("*").cast("int").alias("wrong_areas"))
+    groups = solved.groupBy("grp").agg(F.count("*").alias("n"), F.count("area").alias("given"), F.min("outcome").alias("low"), F.max("outcome").alias("high"))
+    odd = (F.col("low") != F.col("high")) | (F.col("given") != F.when(F.col("low") == "unique", F.col("n")).otherwise(0)) | ((F.col("n") == 1) & (F.col("low") != "unique"))
+    totals = groups.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_groups"), F.count_if(odd).cast("int").alias("wrong_outcomes"), F.count_if(F.col("n") == 1).alias("alone"))
+    return totals.join(F.broadcast(wrong)).select("n_rows", "n_groups", "wrong_areas", "wrong_outcomes", "alone")  # a row each
+
+
 @catalog.query(f"""WITH {FACTS}, k AS (SELECT area, election, count(*) AS n FROM facts GROUP BY ALL)
 SELECT area, election, CASE WHEN n >= 250 THEN 'A' WHEN n >= 190 THEN 'B' ELSE 'C' END AS tier, n FROM k""")
 def evidence_tier(spark: SparkSession, sf_dir: str) -> DataFrame:

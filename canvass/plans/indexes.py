@@ -105,3 +105,20 @@ def gap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     each = F.when(F.coalesce("voters", F.lit(0)) > 0, F.floor(F.col("cents") / F.col("voters"))).alias("cents_each")
     return rows.select("uid", "locality", zero("n_lines"), zero("voters"), F.coalesce("enriched", F.lit("")).alias("enriched"), gap.alias("gap"), each)
+
+
+_PATTERNS = [("first", "^almond"), ("large", "BRASS$"), ("none", "^no such name"), ("brand", "Brand#1[0-9]")]
+
+
+@catalog.query(f"""WITH r AS (SELECT p_partkey, p_name || ' ' || p_brand || ' ' || p_type AS name, p_size FROM part), p(kind, pattern) AS (VALUES {', '.join(f"('{k}', '{p}')" for k, p in _PATTERNS)})
+SELECT kind, count(p_partkey) AS n_matches, CASE WHEN count(p_partkey) = 0 THEN 'missing' WHEN count(p_partkey) = 1 THEN 'selected' ELSE 'ambiguous' END AS status, min(p_partkey) AS first_match, count(p_partkey) > 0 AND count(p_partkey) FILTER (p_size > 5) = count(p_partkey) AS cached FROM p LEFT JOIN r ON regexp_matches(name, pattern) GROUP BY kind""")
+def resource_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resources chosen by patterns of their names, one for each; a cache counts only if every file of it is there."""
+    name = F.concat_ws(" ", "p_name", "p_brand", "p_type")
+    hits = F.filter(F.array(*[F.when(name.rlike(p), F.lit(kind)) for kind, p in _PATTERNS]), lambda k: k.isNotNull())
+    found = table(spark, sf_dir, "part").select("p_partkey", "p_size", F.explode(hits).alias("kind"))
+    counts = found.groupBy("kind").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first_match"), F.count_if(F.col("p_size") > 5).alias("there"))
+    kinds = spark.createDataFrame([(k,) for k, _ in _PATTERNS], "kind string")
+    n = F.coalesce("n", F.lit(0))
+    status = F.when(n == 0, "missing").when(n == 1, "selected").otherwise("ambiguous")
+    return kinds.join(counts, "kind", "left").select("kind", n.alias("n_matches"), status.alias("status"), "first_match", ((n > 0) & (F.coalesce("there", F.lit(0)) == n)).alias("cached"))
