@@ -26,6 +26,7 @@ KEEP = 64
 BUCKET_ROWS = 4096
 SLICE = 1_000_000
 ROWS_AT_ONCE = 1000
+MOST_HOT = 10_000
 MOST_RANGES = 100_000
 _SHIFT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -161,13 +162,25 @@ def _text():
     return F.coalesce("text", F.lit(""))
 
 
-def _heads(documents: DataFrame, bucket_rows: int) -> list[tuple[bool, int, int]]:
+def _hot(documents: DataFrame, bucket_rows: int) -> list[int]:
+    """Ids that more than ``bucket_rows`` rows have, the most frequent ``MOST_HOT`` of them."""
+    counts = documents.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows)
+    return [r["id"] for r in counts.orderBy(F.desc("n"), "id").limit(MOST_HOT).collect()]
+
+
+def _hash(hot: list[int]):
+    """The hash that places a row among those of its id: of its text for rows without an id and for hot ids, else null."""
+    spread = F.col("doc_id").isNull() | F.col("doc_id").cast("long").isin(hot) if hot else F.col("doc_id").isNull()
+    return F.when(spread, F.xxhash64(_text()))
+
+
+def _heads(documents: DataFrame, bucket_rows: int, hot: list[int]) -> list[tuple[bool, int, int]]:
     """The first place of each range of about ``bucket_rows`` rows, in order: three numbers for each range.
 
-    A place is (no id, id, 0), or (no id, 0, hash of the text) for rows without an id, which stand last.  Only
-    the texts of those are read here.
+    A place is (no id, id, 0), with the hash of the text where rows are placed by it: those of hot ids, and
+    (no id, 0, hash) those without an id, which stand last.  Only the texts of such rows are read here.
     """
-    ids = documents.where("doc_id is not null").select(F.lit(False).alias("none"), F.col("doc_id").cast("long").alias("id"), F.lit(0).cast("long").alias("hash"))
+    ids = documents.where("doc_id is not null").select(F.lit(False).alias("none"), F.col("doc_id").cast("long").alias("id"), F.coalesce(_hash(hot), F.lit(0)).alias("hash"))
     others = documents.where("doc_id is null").select(F.lit(True).alias("none"), F.lit(0).cast("long").alias("id"), F.xxhash64(_text()).alias("hash"))
     found = []
     for rows in (ids, others):
@@ -182,23 +195,24 @@ def _in_order(documents: DataFrame, bucket_rows: int) -> DataFrame:
 
     Buckets are ranges of ids; each ends in a copy (tail) of the row that follows it, the last in the first
     row of all, so every row finds its successor without a global sort.  Rows without an id stand last, by a
-    hash of their texts.
+    hash of their texts, and so do rows of an id that more than a bucket has among themselves: no id makes a task of its own.
     """
-    found = _heads(documents, bucket_rows)
+    hot = _hot(documents, bucket_rows)
+    found = _heads(documents, bucket_rows, hot)
     heads = documents.sparkSession.sparkContext.broadcast(found)
 
     def deal(batches):
         cuts = heads.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            places = [(True, 0, h) if i is None else (False, i, 0) for i, h in zip(ids, batch.column("hash").to_pylist(), strict=True)]
+            places = [(True, 0, h) if i is None else (False, i, h or 0) for i, h in zip(ids, batch.column("hash").to_pylist(), strict=True)]
             bucket = np.array([max(bisect_right(cuts, p) - 1, 0) for p in places], np.int64)
             first = np.array([cuts[b] == p for b, p in zip(bucket.tolist(), places, strict=True)], bool)
             for own, number, tail in ((np.ones(len(ids), bool), bucket, False), (first, (bucket - 1) % max(1, len(cuts)), True)):
                 part = batch.filter(pa.array(own))
                 yield pa.RecordBatch.from_arrays([pa.array(number[own], pa.int64()), *part.columns, pa.array([tail] * part.num_rows, pa.bool_())], names=["bucket", "doc_id", "text", "hash", "tail"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), F.when(F.col("doc_id").isNull(), F.xxhash64(_text())).alias("hash"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), _hash(hot).alias("hash"))
     placed = in_batches(rows).mapInArrow(deal, "bucket long, doc_id long, text string, hash long, tail boolean")
     order = ["bucket", "tail", F.col("doc_id").asc_nulls_last(), F.col("hash"), F.col("text")]
     return placed.repartitionById(max(1, len(found)), F.col("bucket").cast("int")).sortWithinPartitions(*order).drop("hash")
@@ -236,8 +250,9 @@ def _compare(batches):
 def report(documents: DataFrame, *, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The contract's rows, one for each row of ``documents``; no rows give no rows.
 
-    Null texts count as empty; rows with one id stand in order of their texts, rows without an id last, in an
-    order that depends on their texts alone.  A single row follows itself.
+    Null texts count as empty; rows with one id stand in order of their texts (where more than ``bucket_rows`` rows have
+    it, in order of a hash of them), rows without an id last, in an order that depends on their texts alone.  A single
+    row follows itself.
     """
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return _in_order(documents, bucket_rows).mapInArrow(_compare, schema)

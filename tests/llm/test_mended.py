@@ -1,5 +1,6 @@
 """Cases that earlier versions got wrong: unlabelled ids, comments and notices of pages, bounds of a fit."""
 
+import hashlib
 import random
 import re
 
@@ -7,7 +8,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import functions as F
 
-from canvass.llm import language, pages, quality, toxicity
+from canvass.llm import fingerprints, language, pages, quality, toxicity
 
 ENGLISH, GERMAN = "the house stands near a small river and people walk along it every morning to the old market".split(), "das haus steht nahe am kleinen fluss und leute gehen jeden morgen daran entlang zum alten markt".split()
 
@@ -92,3 +93,16 @@ def test_passages_of_a_fit_are_bounded_and_even():
     own = quality._even(x)
     assert len(own) == quality.FIT_PASSAGES and own[0] == 0 and own[-1] == 9_999 and np.ptp(np.diff(own[:, 0])) <= 1
     assert quality._even(x[:100]) is not x and len(quality._even(x[:100])) == 100
+
+
+def test_rows_of_a_hot_id_spread_and_keep_their_successors(spark):
+    rows = [(7, f"hot text {i % 900} of many words, number {i % 900}") for i in range(1500)] + [(i, f"text {i}") for i in (1, 2, 9, 12)] + [(None, f"none {i}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    placed = fingerprints._in_order(docs, 50)
+    sizes = [r["count"] for r in placed.where("not tail").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 400
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order = sorted(hashed, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["h"] if r["doc_id"] in (7, None) else 0, r["text"]))
+    want = sorted((r["doc_id"] or -1, hashlib.sha256(fingerprints.edited(r["text"], order[(i + 1) % len(order)]["text"]).encode()).hexdigest()) for i, r in enumerate(order))
+    got = sorted((r["doc_id"] or -1, r["edited_sha256"]) for r in fingerprints.report(docs, bucket_rows=50).collect())
+    assert got == want
