@@ -184,7 +184,12 @@ def _with_spans(documents: DataFrame, benchmark: DataFrame, window: int, block_w
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """``documents`` with the words of each hit cut from the text; separators around a cut stay."""
+    """``documents`` with the words of each hit cut from the text; separators around a cut stay.
+
+    Null texts stay null and empty ones empty; texts of any length are cut whole; hits that overlap or touch are one cut;
+    repeated rows are cut alike, rows and items without an id like others; other columns are as they were, whatever they
+    are called; no rows give no rows, an empty benchmark cuts nothing.
+    """
     place = documents.columns.index("text")
     names = [f"c{i}" for i in range(len(documents.columns))]
 

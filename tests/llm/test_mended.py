@@ -8,7 +8,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import functions as F
 
-from canvass.llm import fingerprints, language, pages, quality, toxicity
+from canvass.llm import decontaminate, fingerprints, language, pages, quality, toxicity
 
 ENGLISH, GERMAN = "the house stands near a small river and people walk along it every morning to the old market".split(), "das haus steht nahe am kleinen fluss und leute gehen jeden morgen daran entlang zum alten markt".split()
 
@@ -106,3 +106,15 @@ def test_rows_of_a_hot_id_spread_and_keep_their_successors(spark):
     want = sorted((r["doc_id"] or -1, hashlib.sha256(fingerprints.edited(r["text"], order[(i + 1) % len(order)]["text"]).encode()).hexdigest()) for i, r in enumerate(order))
     got = sorted((r["doc_id"] or -1, r["edited_sha256"]) for r in fingerprints.report(docs, bucket_rows=50).collect())
     assert got == want
+
+
+def test_spans_are_cut_from_odd_rows(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (3, "a One two, three b", "x"), (3, "a One two, three b", "x"), (None, "one two three", None), (4, "one two three four", "x"), (5, "w " * 50_000 + "one two three", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    bench = spark.createDataFrame([(1, "one two three"), (None, "two three four"), (3, None), (4, " ")], "item_id long, text string")
+    got = decontaminate.remove_spans(docs, bench)
+    assert got.columns == docs.columns
+    want = [(1, None, "x"), (2, "", "x"), (3, "a  b", "x"), (3, "a  b", "x"), (None, "", None), (4, "", "x"), (5, "w " * 50_000, "x")]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(map(tuple, decontaminate.remove_spans(docs, bench.limit(0)).collect()), key=repr) == sorted(rows, key=repr)
+    assert decontaminate.remove_spans(docs.limit(0), bench).collect() == []
