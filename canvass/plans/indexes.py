@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize
@@ -122,3 +122,13 @@ def resource_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.coalesce("n", F.lit(0))
     status = F.when(n == 0, "missing").when(n == 1, "selected").otherwise("ambiguous")
     return kinds.join(counts, "kind", "left").select("kind", n.alias("n_matches"), status.alias("status"), "first_match", ((n > 0) & (F.coalesce("there", F.lit(0)) == n)).alias("cached"))
+
+
+@catalog.query("""WITH v AS (SELECT c_nationkey AS area, unnest(list_distinct([lower(c_mktsegment), c_mktsegment, replace(replace(c_mktsegment, 'U', 'Ü'), 'E', 'É')])) AS party FROM customer), n AS (SELECT area, party, count(*) // 5 AS votes FROM v GROUP BY 1, 2)
+SELECT area, party, votes, row_number() OVER (PARTITION BY area ORDER BY votes DESC, party COLLATE de) AS place FROM n""")
+def locale_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parties by votes, ties in the order of a language: accents after letters, small letters before large ones."""
+    name = F.col("c_mktsegment")
+    names = F.array_distinct(F.array(F.lower(name), name, F.replace(F.replace(name, F.lit("U"), F.lit("Ü")), F.lit("E"), F.lit("É"))))
+    votes = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("area"), F.explode(names).alias("party")).groupBy("area", "party").agg(F.floor(F.count("*") / 5).alias("votes"))
+    return votes.withColumn("place", F.row_number().over(Window.partitionBy("area").orderBy(F.desc("votes"), F.collate("party", "de"))))
