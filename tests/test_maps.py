@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from canvass.functions import nested, projection
-from canvass.operators import contracts, coverage, overlay
+from canvass.operators import contracts, coverage, geometry, overlay
 
 POLYGONS = "id long, g long, ring array<struct<x:double,y:double>>"
 
@@ -247,3 +247,19 @@ def test_replacements_against_plain_python(spark):
         assert got[i]["status"] == want and (want == "too_far" or got[i]["retained"] == pytest.approx(left, abs=1e-9))
         seen.add(want)
     assert seen == {"too_far", "blocked", "replaced"}
+
+
+def copies(spark):
+    """Equal squares in more than two bundles and two polygons of their own."""
+    n = 2 * geometry.BUNDLE + 30
+    rows = [(k, square(0, 0)) for k in range(n)] + [(n, [(5.0, 5.0), (15.0, 5.0), (15.0, 20.0), (5.0, 20.0)]), (n + 1, square(7, 7))]
+    df = spark.createDataFrame(rows, "id long, ring array<struct<x:double,y:double>>").withColumns({"box": nested.bounds(F.col("ring")), "size": nested.ring_area(F.col("ring"))})
+    return n, df
+
+
+def test_copies_of_a_box_are_compared_once_for_all_their_pairs(spark):
+    n, df = copies(spark)
+    met = geometry.meeting(geometry.bundled(df, "id", ["box"]), "box", 4.0)
+    assert met.count() <= 20  # bundles; pairs are about n * n / 2
+    pairs = geometry.overlapping(df, "id", "box", 4.0)
+    assert pairs.count() == pairs.distinct().count() == n * (n - 1) // 2 + n and pairs.where("a >= b").count() == 0
