@@ -34,27 +34,31 @@ def edge_table(polygons: DataFrame, uid: str, ring: str) -> DataFrame:
     return lines.select(uid, pick("x1", "x2").alias("xa"), pick("y1", "y2").alias("ya"), pick("x2", "x1").alias("xb"), pick("y2", "y1").alias("yb"), F.when(to_left, 1).otherwise(-1).alias("sign"))
 
 
-def overlap_areas(polygons: DataFrame, uid: str, ring: str, box: str, size: float, wanted: Column | None = None) -> DataFrame:
+def overlap_areas(polygons: DataFrame, uid: str, ring: str, box: str, size: float, wanted: Column | None = None, own: tuple[str, ...] = ()) -> DataFrame:
     """a, b, area: pairs a < b of polygons whose boxes overlap, with the area that both cover (0 where none).
 
     ``ring`` holds all edges of a polygon as one array of (x, y), interior on the left; ``box`` its bounds, ``size`` the
-    smallest cell of the grids; ``wanted`` may choose among pairs by a and b.  A polygon of n edges meets one of m in about (n + m) rows as long as its edges are
+    smallest cell of the grids; ``wanted`` may choose among pairs by a and b; columns ``own`` of both polygons come as <name>_a
+    and <name>_b.  Polygons equal in ring, box and these are compared once for all.  A polygon of n edges meets one of m in about (n + m) rows as long as its edges are
     short against its width; long edges are cut at the slabs they cross.
     """
-    shapes = saved(polygons.select(F.col(uid).alias("uid"), ring, F.col(box).alias("box")), "shapes")
-    pairs = geometry.overlapping(shapes, "uid", "box", size)
-    pairs = pairs if wanted is None else pairs.where(wanted)
-    named = lambda side: shapes.select(F.col("uid").alias(side), F.col("box").alias(f"box_{side}"), F.size(ring).alias(f"n_{side}"))
-    pairs = pairs.join(named("a"), "a").join(named("b"), "b")
+    shapes = geometry.bundled(polygons, uid, [ring, box, *own]).withColumnsRenamed({"bundle": "uid", box: "box"})
+    pairs = geometry.meeting(shapes.withColumnRenamed("uid", "bundle"), "box", size)
+    if wanted is not None:
+        numbered = pairs.select("*", F.col("a").alias("_m"), F.col("b").alias("_n"))
+        pairs = geometry.unbundled(numbered, "_m", "_n").where(wanted).select(F.col("_m").alias("a"), F.col("_n").alias("b")).distinct()
+    named = lambda side: shapes.select(F.col("uid").alias(side), F.col("box").alias(f"box_{side}"), F.size(ring).alias(f"n_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in ("ids", *own)))
+    pairs = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b")
     low, high = F.greatest("box_a.min_x", "box_b.min_x").cast("double"), F.least("box_a.max_x", "box_b.max_x").cast("double")
     floor = F.least("box_a.min_y", "box_b.min_y").cast("double")
+    kept = [f"{c}_{s}" for c in ("ids", *own) for s in "ab"]
     slabs = F.greatest(F.lit(1), F.ceil(F.greatest("n_a", "n_b") / EDGES_IN_SLAB)).cast("int")
-    pairs = saved(pairs.select("a", "b", low.alias("low"), high.alias("high"), floor.alias("floor"), slabs.alias("slabs")), "pairs")
+    pairs = saved(pairs.select("a", "b", low.alias("low"), high.alias("high"), floor.alias("floor"), slabs.alias("slabs"), *kept), "pairs")
     lines = saved(edge_table(shapes, "uid", ring), "sides")
 
     def cut(side: str) -> DataFrame:
         """Edges of one side of each pair, cut at the pair's slabs: slab, left and right end, heights there, sign."""
-        rows = pairs.join(lines, pairs[side] == lines["uid"]).where((F.col("xa") < F.col("high")) & (F.col("xb") > F.col("low")))
+        rows = pairs.drop(*kept).join(lines, F.col(side) == F.col("uid")).where((F.col("xa") < F.col("high")) & (F.col("xb") > F.col("low")))
         wide = (F.col("high") - F.col("low")) / F.col("slabs")
         place = lambda x: F.least(F.greatest(F.floor((x - F.col("low")) / wide), F.lit(0)), F.col("slabs") - 1).cast("int")
         rows = rows.withColumn("slab", F.explode(F.sequence(place(F.col("xa")), place(F.col("xb"))))).withColumn("wide", wide)
@@ -72,14 +76,15 @@ def overlap_areas(polygons: DataFrame, uid: str, ring: str, box: str, size: floa
 
     part = _below_both(height("a", "left"), height("a", "right"), height("b", "left"), height("b", "right"), F.col("right") - F.col("left"))
     areas = met.groupBy("a", "b").agg(F.sum(part * F.col("sign_a") * F.col("sign_b")).alias("area"))
-    return pairs.select("a", "b").join(areas, ["a", "b"], "left").select("a", "b", F.coalesce("area", F.lit(0.0)).alias("area"))
+    dealt = pairs.select("a", "b", *kept).repartition(geometry.tasks_for(pairs), "a", "b")
+    found = geometry.unbundled(dealt.join(areas, ["a", "b"], "left").withColumn("area", F.coalesce("area", F.lit(0.0))), "area", sides=own)
+    return found if wanted is None else found.where(wanted)
 
 
-def overlap_shares(areas: DataFrame, sizes: DataFrame, uid: str, area: str) -> DataFrame:
-    """``areas`` with share_a and share_b: what part of either polygon the other covers; null for one without area."""
-    side = lambda s: sizes.select(F.col(uid).alias(s), F.col(area).alias(f"_{s}"))
-    share = lambda s: F.when(F.col(f"_{s}") > 0, F.col("area") / F.col(f"_{s}")).alias(f"share_{s}")
-    return areas.join(side("a"), "a").join(side("b"), "b").select("a", "b", "area", share("a"), share("b"))
+def overlap_shares(areas: DataFrame, size: str) -> DataFrame:
+    """a, b, area, share_a and share_b: what part of either polygon, of areas <size>_a and <size>_b, the other covers; null for one without area."""
+    share = lambda s: F.when(F.col(f"{size}_{s}") > 0, F.col("area") / F.col(f"{size}_{s}")).alias(f"share_{s}")
+    return areas.select("a", "b", "area", share("a"), share("b"))
 
 
 def distance(x: Column, y: Column, ring: Column) -> Column:

@@ -174,9 +174,9 @@ t AS (SELECT a, b, sum(area) AS area FROM o GROUP BY a, b)
 SELECT n.a, n.b, {_TEN_THOUSANDTHS.format('t.area')} AS area, {_TEN_THOUSANDTHS.format('t.area / area_a')} AS share_a, {_TEN_THOUSANDTHS.format('t.area / area_b')} AS share_b, t.area / area_a > 0.05 OR t.area / area_b > 0.05 AS material FROM n JOIN t USING (a, b) WHERE t.area > 1e-9""")
 def overlap_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polygons that overlap, the area (in ten thousandths) and what part of either it is; material over 5 %."""
-    rows = quads(spark, sf_dir)
-    areas = overlay.overlap_areas(rows, "p_partkey", "ring", "box", 2.0).where("area > 1e-9")
-    shares = overlay.overlap_shares(areas, rows.select("p_partkey", nested.ring_area(F.col("ring")).alias("size")), "p_partkey", "size")
+    rows = quads(spark, sf_dir).withColumn("size", nested.ring_area(F.col("ring")))
+    areas = overlay.overlap_areas(rows, "p_partkey", "ring", "box", 2.0, own=("size",)).where("area > 1e-9")
+    shares = overlay.overlap_shares(areas, "size")
     units = lambda c: F.floor(F.col(c) * 10000 + 0.3137).cast("bigint").alias(c)
     return shares.select("a", "b", units("area"), units("share_a"), units("share_b"), ((F.col("share_a") > 0.05) | (F.col("share_b") > 0.05)).alias("material"))
 

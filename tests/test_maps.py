@@ -263,3 +263,12 @@ def test_copies_of_a_box_are_compared_once_for_all_their_pairs(spark):
     assert met.count() <= 20  # bundles; pairs are about n * n / 2
     pairs = geometry.overlapping(df, "id", "box", 4.0)
     assert pairs.count() == pairs.distinct().count() == n * (n - 1) // 2 + n and pairs.where("a >= b").count() == 0
+
+
+def test_copies_of_a_polygon_are_compared_once_for_all_their_pairs(spark):
+    n, df = copies(spark)
+    found = overlay.overlap_shares(overlay.overlap_areas(df, "id", "ring", "box", 4.0, own=("size",)), "size")
+    got = {tuple(r) for r in found.groupBy(F.col("b") == n, "area", "share_a", "share_b").count().collect()}
+    assert got == {(False, 100.0, 1.0, 1.0, n * (n - 1) // 2), (True, 25.0, 0.25, 25 / 150, n)}
+    few = overlay.overlap_areas(df, "id", "ring", "box", 4.0, (F.col("a") == 3) & (F.col("b") < 9))
+    assert sorted((r["a"], r["b"]) for r in few.collect()) == [(3, b) for b in range(4, 9)]
