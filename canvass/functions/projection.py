@@ -105,13 +105,13 @@ def to_degrees(df: DataFrame, x: str, y: str, lon: str = "lon", lat: str = "lat"
     return _then(df, [*steps, {lon: "degrees(_lon)", lat: "degrees(_lat)"}], [lon, lat])
 
 
-def buffered(df: DataFrame, uid: str, lon: str, lat: str, radius: str, quarter: int = 48) -> DataFrame:
-    """uid, place, lon, lat: the ring, ``quarter`` edges a quarter, ``radius`` metres of the grid around each point, counter-clockwise."""
+def buffered(df: DataFrame, uid: str, lon: str, lat: str, radius: str, quarter: int = 48, keep: tuple[str, ...] = ()) -> DataFrame:
+    """uid, keep, place, lon, lat: the ring, ``quarter`` edges a quarter, ``radius`` metres of the grid around each point, counter-clockwise."""
     corner = F.explode(F.sequence(F.lit(0), F.lit(4 * quarter - 1))).alias("place")
-    around = to_grid(df.select(uid, F.col(lon).alias("_lon0"), F.col(lat).alias("_lat0"), F.col(radius).alias("_m")), "_lon0", "_lat0", "_x0", "_y0").select(uid, "_m", "_x0", "_y0", corner)
+    around = to_grid(df.select(uid, *keep, F.col(lon).alias("_lon0"), F.col(lat).alias("_lat0"), F.col(radius).alias("_m")), "_lon0", "_lat0", "_x0", "_y0").select(uid, *keep, "_m", "_x0", "_y0", corner)
     angle = F.col("place") * (math.pi / (2 * quarter))
-    at = around.select(uid, "place", (F.col("_x0") + F.col("_m") * F.cos(angle)).alias("_gx"), (F.col("_y0") + F.col("_m") * F.sin(angle)).alias("_gy"))
-    return to_degrees(at, "_gx", "_gy").select(uid, "place", "lon", "lat")
+    at = around.select(uid, *keep, "place", (F.col("_x0") + F.col("_m") * F.cos(angle)).alias("_gx"), (F.col("_y0") + F.col("_m") * F.sin(angle)).alias("_gy"))
+    return to_degrees(at, "_gx", "_gy").select(uid, *keep, "place", "lon", "lat")
 
 
 def _meridian(lat: float) -> float:

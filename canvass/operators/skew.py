@@ -16,6 +16,14 @@ def small(table: DataFrame, most: int = SMALL_ROWS) -> bool:
     return table.limit(most + 1).count() <= most
 
 
+def dealt(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """``rows`` dealt by ``key`` into tasks of about ``most`` rows, however many a file or its row groups hold.
+
+    For steps that make many rows of each: tasks then stay as large as they are when the table grows.
+    """
+    return rows.repartition(1 + rows.count() // most, key)
+
+
 def spread_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", known_small: bool | None = None, counted: str | None = None) -> DataFrame:
     """``rows`` joined with ``table``, in which a key stands once at most; ``how`` is inner, left or left_semi.
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import nested, projection
 from ..operators import coverage, overlay
+from ..operators.skew import dealt
 from ._tables import Catalog, table
 
 catalog = Catalog()
@@ -217,13 +218,16 @@ def grid_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query(f"""SELECT c_custkey, 192 AS corners, CAST(floor({192 / 2 * math.sin(2 * math.pi / 192)!r}::DOUBLE * pow(50 + c_custkey % 7 * 100, 2) + 0.5) AS BIGINT) AS square_metres FROM customer""")
 def buffer_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ring of 192 corners around each place, made in metres, kept in degrees; its area in the grid."""
-    places = _places(spark, sf_dir).withColumn("radius", 50 + F.col("c_custkey") % 7 * 100)
-    rings = projection.to_grid(projection.buffered(places, "c_custkey", "lon", "lat", "radius"), "lon", "lat").select("c_custkey", "place", "x", "y")
-    origin = projection.to_grid(_places(spark, sf_dir), "lon", "lat").select("c_custkey", F.col("x").alias("x0"), F.col("y").alias("y0"))
-    near = rings.join(origin, "c_custkey").select("c_custkey", "place", (F.col("x") - F.col("x0")).alias("x"), (F.col("y") - F.col("y0")).alias("y"))
-    after = near.select("c_custkey", ((F.col("place") + 191) % 192).alias("place"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    places = projection.to_grid(_places(spark, sf_dir), "lon", "lat", "x0", "y0").withColumn("radius", 50 + F.col("c_custkey") % 7 * 100)
+    corners = projection.buffered(dealt(places, "c_custkey", 5000), "c_custkey", "lon", "lat", "radius", keep=("x0", "y0"))
+    # Places are dealt before their corners are made and corners stand in order, so none of them is shuffled; the sort also
+    # keeps the two projections in generated functions of their own, which together are too long to be compiled.
+    rings = projection.to_grid(corners.sortWithinPartitions("c_custkey", "place"), "lon", "lat")
+    near = rings.select("c_custkey", "place", (F.col("x") - F.col("x0")).alias("x"), (F.col("y") - F.col("y0")).alias("y"))
+    along = Window.partitionBy("c_custkey").orderBy("place")
+    after = lambda c: F.coalesce(F.lead(c).over(along), F.first(c).over(along))
     area = F.sum(F.col("x") * F.col("y2") - F.col("x2") * F.col("y")) / 2
-    sums = near.join(after, ["c_custkey", "place"]).groupBy("c_custkey").agg(F.count("*").cast("int").alias("corners"), area.alias("area"))
+    sums = near.select("c_custkey", "x", "y", after("x").alias("x2"), after("y").alias("y2")).groupBy("c_custkey").agg(F.count("*").cast("int").alias("corners"), area.alias("area"))
     return sums.select("c_custkey", "corners", F.floor(F.col("area") + 0.5).cast("bigint").alias("square_metres"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from canvass.functions import nested, projection
 from canvass.operators import contracts, coverage, geometry, overlay
+from canvass.plans import maps
 
 POLYGONS = "id long, g long, ring array<struct<x:double,y:double>>"
 
@@ -272,3 +273,8 @@ def test_copies_of_a_polygon_are_compared_once_for_all_their_pairs(spark):
     assert got == {(False, 100.0, 1.0, 1.0, n * (n - 1) // 2), (True, 25.0, 0.25, 25 / 150, n)}
     few = overlay.overlap_areas(df, "id", "ring", "box", 4.0, (F.col("a") == 3) & (F.col("b") < 9))
     assert sorted((r["a"], r["b"]) for r in few.collect()) == [(3, b) for b in range(4, 9)]
+
+
+def test_corners_of_rings_are_not_shuffled(spark, sf_dir):
+    plan = maps.buffer_rings(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan  # places are dealt, before they have corners
