@@ -15,6 +15,7 @@ from ._tables import Catalog, table
 
 catalog = Catalog()
 
+CELLS_IN_TASK = 50_000
 ACROSS = 40  # cells in a row of the map; rows follow one another as the table grows
 
 
@@ -30,7 +31,8 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """c_custkey, nation, segment and a four-cornered cell for each customer; neighbours share corners."""
     i, j = F.col("c_custkey") % ACROSS, F.floor(F.col("c_custkey") / ACROSS)
     ring = F.array(_corner(i, j), _corner(i + 1, j), _corner(i + 1, j + 1), _corner(i, j + 1))
-    return table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), ring.alias("ring"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return dealt(rows, "c_custkey", CELLS_IN_TASK).select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), ring.alias("ring"))
 
 
 def _sql_corner(i: str, j: str) -> str:

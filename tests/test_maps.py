@@ -278,3 +278,10 @@ def test_copies_of_a_polygon_are_compared_once_for_all_their_pairs(spark):
 def test_corners_of_rings_are_not_shuffled(spark, sf_dir):
     plan = maps.buffer_rings(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan  # places are dealt, before they have corners
+
+
+def test_cells_are_dealt_into_tasks_whatever_the_row_groups_hold(spark, tmp_path):
+    one = spark.range(2 * maps.CELLS_IN_TASK + 9).selectExpr("id AS c_custkey", "cast(id % 25 AS int) AS c_nationkey", "'BUILDING' AS c_mktsegment")
+    one.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    sizes = [r["n"] for r in maps.cells(spark, str(tmp_path)).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 3 and max(sizes) <= maps.CELLS_IN_TASK
