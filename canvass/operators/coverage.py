@@ -80,13 +80,14 @@ def cycles(links: DataFrame, id_: str = "id", next_: str = "next", most_rounds:
     """Saved (id, head, place, length) of links that form cycles: head is the smallest id, place counts from it.
 
     After k rounds each link knows the smallest id among the 2**k that begin with it, how far off that is, and the
-    link 2**k on.  A round in which nobody learns of a smaller one is the last: ceil(log2(longest)) + 1 rounds.
+    link 2**k on.  Rounds merge: a table whose file looks small enough to broadcast is many times larger when it is, every
+    round anew.  A round in which nobody learns of a smaller one is the last: ceil(log2(longest)) + 1 rounds.
     """
     state = saved(links.select(F.col(id_).alias("id"), F.col("id").alias("head"), F.lit(0).cast("long").alias("off"), F.col(next_).alias("to")), "cycle")
     for k in range(most_rounds):
         on = state.select(F.col("id").alias("to"), F.col("head").alias("_head"), F.col("off").alias("_off"), F.col("to").alias("_to"))
         less = F.col("_head") < F.col("head")
-        step = saved(state.join(on, "to").select("id", F.least("head", "_head").alias("head"), F.when(less, F.col("_off") + (1 << k)).otherwise(F.col("off")).alias("off"), F.col("_to").alias("to"), less.alias("learned")), "cycle")
+        step = saved(state.join(on.hint("merge"), "to").select("id", F.least("head", "_head").alias("head"), F.when(less, F.col("_off") + (1 << k)).otherwise(F.col("off")).alias("off"), F.col("_to").alias("to"), less.alias("learned")), "cycle")
         discard(state)
         state = step.drop("learned")
         if not step.where("learned").limit(1).count():

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from canvass import storage
 from canvass.functions import nested, projection
 from canvass.operators import contracts, coverage, geometry, overlay
 from canvass.plans import maps
@@ -285,3 +286,12 @@ def test_cells_are_dealt_into_tasks_whatever_the_row_groups_hold(spark, tmp_path
     one.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
     sizes = [r["n"] for r in maps.cells(spark, str(tmp_path)).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 3 and max(sizes) <= maps.CELLS_IN_TASK
+
+
+def test_rounds_along_cycles_broadcast_nothing(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(coverage, "saved", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or storage.saved(df, name))
+    links = spark.range(100).selectExpr("id", "id - id % 10 + (id + 1) % 10 AS next")
+    assert coverage.cycles(links).where("length = 10 and head = id - id % 10 and place = id % 10").count() == 100
+    rounds = [plan for name, plan in plans if name == "cycle"]
+    assert len(rounds) > 3 and not any("Broadcast" in plan for plan in rounds)
