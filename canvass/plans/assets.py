@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested, normalize
 from ..operators import aggregate, contracts, lookup, ranking
+from ..operators.skew import dealt
 from ..sources import files, paged, release, versions
 from ..storage import saved, shared_dir
 from ._tables import FACTS, Catalog, cents, facts, table
@@ -125,11 +126,14 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.lit("kept").alias("kind"), F.col("key").alias("line")).unionAll(rejected.select(F.lit("rejected"), "line"))
 
 
+_PAGED_IN_TASK = 10_000  # rows; small rows would be merged into one task, which then writes a file for each page of all
+
+
 @catalog.query("SELECT c_custkey, c_name, CAST(c_custkey // 500 AS INTEGER) AS page FROM customer")
 def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers written in pages of 500 and read page by page: lengths verified, ids complete."""
     rows, folder = table(spark, sf_dir, "customer").select("c_custkey", "c_name"), _folder(spark, "pages")
-    rows.withColumn("page", F.floor(F.col("c_custkey") / 500)).repartition("page").sortWithinPartitions("page", "c_custkey").write.partitionBy("page").json(folder)
+    dealt(rows.withColumn("page", F.floor(F.col("c_custkey") / 500)), "page", _PAGED_IN_TASK).sortWithinPartitions("page", "c_custkey").write.partitionBy("page").json(folder)
     found = paged.scan(spark, folder, "canvass.sources.paged:folder_page", rows.count(), 500)
     record = F.from_json("record", "c_custkey long, c_name string")
     read = saved(found.select(record.alias("r"), "page").select("r.c_custkey", "r.c_name", "page"), "read")
@@ -140,7 +144,7 @@ def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fetched_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers asked for by id, some hundred at a time; every batch returns its ids, each once."""
     rows, folder = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), _folder(spark, "records")
-    rows.withColumn("page", F.floor(F.col("id") / 100)).repartition("page").write.partitionBy("page").json(folder)
+    dealt(rows.withColumn("page", F.floor(F.col("id") / 100)), "page", _PAGED_IN_TASK).write.partitionBy("page").json(folder)
     wanted = rows.where("id % 3 = 0").select("id")
     found = paged.fetched(wanted, "id", folder, "canvass.sources.paged:folder_ids", 100).select("id", F.get_json_object("record", "$.name").alias("name"))
     return paged.require_complete(saved(found, "fetched"), "id", wanted)

@@ -19,6 +19,7 @@ from ..operators.contracts import require_empty, set_difference
 
 PAGE_ROWS = 5000
 ID_BATCH = 500
+BATCHES_IN_TASK = 200
 
 
 class PageError(ValueError):
@@ -75,7 +76,8 @@ def scan(spark: SparkSession, address: str, opener: str, total: int, page_rows:
 def fetched(ids: DataFrame, id_: str, address: str, opener: str, batch: int = ID_BATCH) -> DataFrame:
     """id, record (JSON) of every id, asked for in batches of at most ``batch``; ``opener`` is called with (address, ids).
 
-    A batch must return exactly its ids, each once; anything else fails the job.
+    Ids are asked for in order, so a batch asks for neighbours, which a source keeps on few pages.  A batch must return
+    exactly its ids, each once; anything else fails the job.
     """
     kind = ids.schema[id_].dataType.simpleString()
 
@@ -91,7 +93,10 @@ def fetched(ids: DataFrame, id_: str, address: str, opener: str, batch: int = ID
                     raise PageError(f"asked for {len(own)} ids from {own[0]} on, got {len(got)} records, {len(set(own) - set(got))} ids missing, {len(got) - len(set(got))} repeated")
                 yield pa.RecordBatch.from_arrays([pa.array(got, rows.schema.field(0).type), pa.array([json.dumps(r, ensure_ascii=False) for r in records], pa.string())], names=["id", "record"])
 
-    return ids.select(id_).distinct().mapInArrow(fetch, f"id {kind}, record string")
+    # A number of tasks that is given is kept: ids are small, so they would be merged into few tasks, which then wait for the source.
+    asked = ids.select(id_).distinct()
+    tasks = max(ids.sparkSession.sparkContext.defaultParallelism, 1 + asked.count() // (batch * BATCHES_IN_TASK))
+    return asked.repartitionByRange(tasks, id_).sortWithinPartitions(id_).mapInArrow(fetch, f"id {kind}, record string")
 
 
 def require_complete(rows: DataFrame, id_: str, expected: DataFrame) -> DataFrame:

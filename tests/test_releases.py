@@ -167,3 +167,13 @@ def test_a_key_with_a_hundred_thousand_rules_is_linear(spark):
     hit = got.where(F.col("target").isNotNull())
     assert got.count() == 100_000 and hit.where("cast(target as long) <> floor(v / 10)").count() == 0
     assert hit.count() == facts.where("v % 10 <= floor(v / 10) % 9").count()
+
+
+def few_pages(address, ids):
+    assert len({i // 100 for i in ids}) <= 2, "a batch asks for ids of many pages"
+    return [{"id": i} for i in ids]
+
+
+def test_a_batch_asks_for_neighbours(spark):
+    shuffled = spark.range(3000).orderBy(F.xxhash64("id"))
+    assert paged.fetched(shuffled, "id", "", "tests.test_releases:few_pages", 50).count() == 3000
