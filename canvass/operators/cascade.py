@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,30 +25,35 @@ def resolve(facts: DataFrame, uid: str, sources: list[Evidence], target: str = "
     """facts with target, method, evidence_class, confidence and synthetic.
 
     Sources stand in order of precedence.  A source that repeats a uid with one target counts once; one that gives a uid
-    two targets fails the job when it runs, so no fact is ever doubled.  All answers meet in one row of left joins
-    and one ordered choice, which stays inside generated code; a fact without an answer is 'unresolved'.
+    two targets fails the job when it runs, so no fact is ever doubled.  All answers meet in one aggregation,
+    one join and one ordered choice: a join for each source would sort all of them in one task at once; a fact without an answer is 'unresolved'.
     """
-    out, chosen = facts, []
+    kind = sources[0].rows.schema[1].dataType
+    answers = _one_each(sources, kind)
+    out, chosen = facts.join(answers, facts[uid] == answers["_u"], "left"), []
     for i, s in enumerate(sources):
-        side = _one_each(s).select(F.col("_u").alias(f"_u{i}"), F.col("_t").alias(f"_t{i}"))
-        out = out.join(side, out[uid] == side[f"_u{i}"], "left")
         holds = F.col(f"_t{i}").isNotNull() if s.guard is None else F.col(f"_t{i}").isNotNull() & F.coalesce(s.guard, F.lit(False))
         answer = F.struct(F.col(f"_t{i}").alias("target"), F.lit(s.method).alias("method"), F.lit(s.evidence_class).alias("evidence_class"), F.lit(s.confidence).alias("confidence"), F.lit(s.synthetic).alias("synthetic"))
         chosen.append(F.when(holds, answer))
-    kind = sources[0].rows.schema[1].dataType
     none = F.struct(F.lit(None).cast(kind).alias("target"), F.lit("unresolved").alias("method"), F.lit("unresolved").alias("evidence_class"), F.lit("none").alias("confidence"), F.lit(False).alias("synthetic"))
     answer = F.coalesce(*chosen, none)
     out = out.withColumn("_answer", answer)
     return out.select(*facts.columns, F.col("_answer.target").alias(target), "_answer.method", "_answer.evidence_class", "_answer.confidence", "_answer.synthetic")
 
 
-def _one_each(source: Evidence) -> DataFrame:
-    """_u, _t: a row a uid; the rows are aggregated on the key that the join deals them by."""
-    uid, target = (F.col(c) for c in source.rows.columns[:2])
-    rows = source.rows.where(target.isNotNull()).groupBy(uid.alias("_u")).agg(F.min(target).alias("_t"), F.max(target).alias("_m"))
-    kind = source.rows.schema[1].dataType
-    several = F.raise_error(F.concat(F.lit(f"{source.method} gives two targets for "), F.col("_u").cast("string"))).cast(kind)
-    return rows.select("_u", F.when(F.col("_t") == F.col("_m"), F.col("_t")).otherwise(several).alias("_t"))
+def _together(sources: list[Evidence], kind) -> DataFrame:
+    """_u, _i, _t: the rows of all sources with their place in the order."""
+    parts = [s.rows.select(F.col(s.rows.columns[0]).alias("_u"), F.lit(i).alias("_i"), F.col(s.rows.columns[1]).cast(kind).alias("_t")) for i, s in enumerate(sources)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _one_each(sources: list[Evidence], kind) -> DataFrame:
+    """_u, _t0, _t1, ...: a row a uid, with the target that each source gives it or null."""
+    own = lambda i: F.when(F.col("_i") == i, F.col("_t"))
+    sides = [f(own(i)).alias(f"{name}{i}") for i in range(len(sources)) for f, name in ((F.min, "_t"), (F.max, "_m"))]
+    rows = _together(sources, kind).where("_t is not null").groupBy("_u").agg(*sides)
+    several = lambda s: F.raise_error(F.concat(F.lit(f"{s.method} gives two targets for "), F.col("_u").cast("string"))).cast(kind)
+    return rows.select("_u", *(F.when(F.col(f"_t{i}").isNull() | (F.col(f"_t{i}") == F.col(f"_m{i}")), F.col(f"_t{i}")).otherwise(several(s)).alias(f"_t{i}") for i, s in enumerate(sources)))
 
 
 def conflicts(facts: DataFrame, uid: str, sources: list[Evidence]) -> DataFrame:

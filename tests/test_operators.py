@@ -225,3 +225,13 @@ def test_cascade_counts_a_repeated_answer_once_and_refuses_two(spark):
     several = cascade.Evidence("three", spark.createDataFrame([(1, "a"), (1, "c")], "uid long, target string"), "direct", "high")
     with pytest.raises(Exception, match="three gives two targets for 1"):
         cascade.resolve(facts, "uid", [several]).collect()
+
+
+def test_a_cascade_joins_its_facts_once_for_all_sources(spark):
+    facts = spark.range(20).withColumnRenamed("id", "u")
+    sources = [cascade.Evidence(f"m{i}", spark.range(20).where(f"id % {i + 2} = 0").select("id", (F.col("id") * 10 + i).alias("t")), "c", "high", guard=F.col("u") > i) for i in range(8)]
+    found = cascade.resolve(facts, "u", sources)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    want = {u: next((u * 10 + i for i in range(8) if u % (i + 2) == 0 and u > i), None) for u in range(20)}
+    assert {r["u"]: r["target"] for r in found.collect()} == want
