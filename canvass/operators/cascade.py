@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+FACTS_IN_TASK = 200_000
+
+
 @dataclass(frozen=True)
 class Evidence:
     """One source: rows (uid, target), the class and confidence of its answers, and a guard on the fact."""
@@ -47,6 +50,11 @@ def _together(sources: list[Evidence], kind) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def _tasks(facts: DataFrame) -> int:
+    """Tasks of FACTS_IN_TASK facts each; left to itself Spark merges small rows into tasks that grow with the table."""
+    return 1 + facts.count() // FACTS_IN_TASK
+
+
 def _one_each(sources: list[Evidence], kind) -> DataFrame:
     """_u, _t0, _t1, ...: a row a uid, with the target that each source gives it or null."""
     own = lambda i: F.when(F.col("_i") == i, F.col("_t"))
@@ -58,9 +66,12 @@ def _one_each(sources: list[Evidence], kind) -> DataFrame:
 
 def conflicts(facts: DataFrame, uid: str, sources: list[Evidence]) -> DataFrame:
     """Facts to which several sources give different targets: uid, n_targets, methods (in order of precedence)."""
-    rows = None
-    for i, s in enumerate(sources):
-        part = s.rows.select(F.col(s.rows.columns[0]).alias(uid), F.col(s.rows.columns[1]).alias("_t"), F.struct(F.lit(i).alias("place"), F.lit(s.method).alias("method")).alias("_m"))
-        rows = part if rows is None else rows.unionAll(part)
-    found = rows.join(facts.select(uid), uid, "left_semi").groupBy(uid).agg(F.countDistinct("_t").alias("n_targets"), F.array_sort(F.collect_set("_m")).alias("_ms")).where("n_targets > 1")
-    return found.select(uid, "n_targets", F.array_join(F.transform("_ms", lambda m: m["method"]), "|").alias("methods"))
+    rows = _together(sources, sources[0].rows.schema[1].dataType).withColumnRenamed("_u", uid)
+    tasks = _tasks(facts)
+    rows = rows.repartition(tasks, uid).join(facts.select(uid).repartition(tasks, uid), uid, "left_semi")
+    # Sources as flags and targets as rows: both aggregations keep plain numbers, and the second needs no other deal.
+    flags = [f"_s{i}" for i in range(len(sources))]
+    each = rows.groupBy(uid, "_t").agg(*(F.bool_or(F.col("_i") == i).alias(f) for i, f in enumerate(flags)))
+    found = each.groupBy(uid).agg(F.count("_t").alias("n_targets"), *(F.bool_or(f).alias(f) for f in flags)).where("n_targets > 1")
+    methods = F.concat_ws("|", *(F.when(F.col(f), F.lit(s.method)) for f, s in zip(flags, sources, strict=True)))
+    return found.select(uid, "n_targets", methods.alias("methods"))

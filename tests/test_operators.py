@@ -235,3 +235,12 @@ def test_a_cascade_joins_its_facts_once_for_all_sources(spark):
     assert plan.count("Join") == 1
     want = {u: next((u * 10 + i for i in range(8) if u % (i + 2) == 0 and u > i), None) for u in range(20)}
     assert {r["u"]: r["target"] for r in found.collect()} == want
+
+
+def test_conflicts_gather_no_lists(spark):
+    facts = spark.range(4).withColumnRenamed("id", "u")
+    rows = lambda *r: spark.createDataFrame(list(r), "u long, t long")
+    sources = [cascade.Evidence("one", rows((1, 5), (1, 5), (2, 7), (3, 1)), "c", "high"), cascade.Evidence("two", rows((1, 6), (2, 7), (3, None), (9, 1)), "c", "high"), cascade.Evidence("three", rows((3, 2), (9, 2)), "c", "high")]
+    found = cascade.conflicts(facts, "u", sources)
+    assert "collect_set" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {(1, 2, "one|two"), (3, 2, "one|two|three")}
