@@ -32,8 +32,9 @@ def resolve(facts: DataFrame, uid: str, sources: list[Evidence], target: str = "
     one join and one ordered choice: a join for each source would sort all of them in one task at once; a fact without an answer is 'unresolved'.
     """
     kind = sources[0].rows.schema[1].dataType
-    answers = _one_each(sources, kind)
-    out, chosen = facts.join(answers, facts[uid] == answers["_u"], "left"), []
+    tasks = _tasks(facts)
+    answers = _one_each(sources, kind, tasks)
+    out, chosen = facts.repartition(tasks, uid).join(answers, F.col(uid) == F.col("_u"), "left"), []
     for i, s in enumerate(sources):
         holds = F.col(f"_t{i}").isNotNull() if s.guard is None else F.col(f"_t{i}").isNotNull() & F.coalesce(s.guard, F.lit(False))
         answer = F.struct(F.col(f"_t{i}").alias("target"), F.lit(s.method).alias("method"), F.lit(s.evidence_class).alias("evidence_class"), F.lit(s.confidence).alias("confidence"), F.lit(s.synthetic).alias("synthetic"))
@@ -55,11 +56,11 @@ def _tasks(facts: DataFrame) -> int:
     return 1 + facts.count() // FACTS_IN_TASK
 
 
-def _one_each(sources: list[Evidence], kind) -> DataFrame:
+def _one_each(sources: list[Evidence], kind, tasks: int) -> DataFrame:
     """_u, _t0, _t1, ...: a row a uid, with the target that each source gives it or null."""
     own = lambda i: F.when(F.col("_i") == i, F.col("_t"))
     sides = [f(own(i)).alias(f"{name}{i}") for i in range(len(sources)) for f, name in ((F.min, "_t"), (F.max, "_m"))]
-    rows = _together(sources, kind).where("_t is not null").groupBy("_u").agg(*sides)
+    rows = _together(sources, kind).where("_t is not null").repartition(tasks, "_u").groupBy("_u").agg(*sides)
     several = lambda s: F.raise_error(F.concat(F.lit(f"{s.method} gives two targets for "), F.col("_u").cast("string"))).cast(kind)
     return rows.select("_u", *(F.when(F.col(f"_t{i}").isNull() | (F.col(f"_t{i}") == F.col(f"_m{i}")), F.col(f"_t{i}")).otherwise(several(s)).alias(f"_t{i}") for i, s in enumerate(sources)))
 
