@@ -22,17 +22,22 @@ from .skew import spread_join
 ENDS = ["x1", "y1", "x2", "y2"]
 
 
-def vertices(polygons: DataFrame, keys: list[str], ring: str) -> DataFrame:
-    """keys, place, x, y of every point of the array column ``ring``."""
-    return polygons.select(*keys, F.posexplode(ring).alias("place", "p")).select(*keys, "place", "p.x", "p.y")
+def sides(polygons: DataFrame, keys: list[str], ring: str) -> DataFrame:
+    """keys, place, x, y, x2, y2: every point of the array column ``ring`` and the one after it, around the ring."""
+    r = F.col(ring)
+    n = F.size(r)
+    after = lambda i: F.element_at(r, F.when(i == n - 1, 1).otherwise(i + 2))
+    pairs = F.transform(r, lambda p, i: F.struct(p["x"].alias("x"), p["y"].alias("y"), after(i)["x"].alias("x2"), after(i)["y"].alias("y2")))
+    return polygons.select(*keys, F.posexplode(pairs).alias("place", "s")).select(*keys, "place", "s.*")
+
+
+def _long() -> Column:
+    return (F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))
 
 
 def edges(polygons: DataFrame, keys: list[str], ring: str) -> DataFrame:
     """keys, x1, y1, x2, y2: the directed edges of the array column ``ring``; edges without length are left out."""
-    r = F.col(ring)
-    n = F.size(r)
-    pairs = F.transform(r, lambda p, i: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), F.element_at(r, F.when(i == n - 1, 1).otherwise(i + 2))["x"].alias("x2"), F.element_at(r, F.when(i == n - 1, 1).otherwise(i + 2))["y"].alias("y2")))
-    return polygons.select(*keys, F.explode(pairs).alias("e")).select(*keys, "e.*").where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    return sides(polygons, keys, ring).select(*keys, F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2").where(_long())
 
 
 def cross() -> Column:
@@ -188,11 +193,26 @@ def visvalingam(xs: list[float], ys: list[float], tolerance: float) -> list[bool
 
 
 def _thinned(tolerance: float):
-    def run(arc: pd.DataFrame) -> pd.DataFrame:
-        arc = arc.sort_values("place")
-        xs, ys = [*arc["x"], arc["x2"].iloc[-1]], [*arc["y"], arc["y2"].iloc[-1]]
-        kept = visvalingam(xs, ys, tolerance)
-        return pd.DataFrame({"x": xs[1:-1], "y": ys[1:-1]})[kept[1:-1]]
+    """Points that stay, ends among them, from rows in order of arc and place; an arc may go on in the next batch."""
+
+    def stay(xs: list[float], ys: list[float]) -> list[tuple[float, float]]:
+        return [(x, y) for x, y, kept in zip(xs, ys, visvalingam(xs, ys, tolerance), strict=True) if kept]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        arc, xs, ys, end = None, [], [], ()
+        for batch in batches:
+            found = []
+            for own, x, y, *on in zip(*(batch[c].tolist() for c in ("arc", "x", "y", "x2", "y2")), strict=True):
+                if own != arc:
+                    if xs:
+                        found += stay([*xs, end[0]], [*ys, end[1]])
+                    arc, xs, ys = own, [], []
+                xs.append(x)
+                ys.append(y)
+                end = on
+            yield pd.DataFrame(found, columns=["x", "y"], dtype="float64")
+        if xs:
+            yield pd.DataFrame(stay([*xs, end[0]], [*ys, end[1]]), columns=["x", "y"], dtype="float64")
 
     return run
 
@@ -202,14 +222,13 @@ def simplified(polygons: DataFrame, uid: str, ring: str, tolerance: float) -> Da
 
     Each arc is thinned once (triangles under ``tolerance`` go, the smallest first), so neighbours still share all
     their edges: no gap or overlap arises between them.  A ring that would keep fewer than three vertices keeps all of
-    its own, and its neighbours keep those too.  An arc is one group, as long as a border between two polygons.
+    its own, and its neighbours keep those too.  Arcs pass a task as a stream of rows; one of them, as long as a border
+    between two polygons, is held at a time.
     """
-    points = saved(vertices(polygons, [uid], ring), "vertices")
-    lines = arcs(edges(polygons, [uid], ring))
-    ends = lines.where("place = 0").select("x", "y")
-    ends = ends.unionAll(lines.groupBy("arc").agg(F.max_by(F.struct("x2", "y2"), "place").alias("e")).select("e.x2", "e.y2"))
-    inner = lines.groupBy("arc").applyInPandas(_thinned(tolerance), "x double, y double")
-    stay = saved(ends.select(F.col("x").cast("double"), F.col("y").cast("double")).unionAll(inner).distinct(), "stay")
+    points = saved(sides(polygons, [uid], ring), "vertices")
+    lines = arcs(points.select(F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2").where(_long()))
+    along = lines.repartition("arc").sortWithinPartitions("arc", "place").select("arc", "x", "y", "x2", "y2")
+    stay = saved(along.mapInPandas(_thinned(tolerance), "x double, y double").distinct(), "stay")
     held = points.join(stay, ["x", "y"], "left_semi")
     few = points.select(uid).distinct().join(held.groupBy(uid).agg(F.count("*").alias("n")), uid, "left").where(F.coalesce("n", F.lit(0)) < 3)
     more = points.join(few.select(uid), uid, "left_semi").select("x", "y")

@@ -16,6 +16,7 @@ from ._tables import Catalog, table
 catalog = Catalog()
 
 CELLS_IN_TASK = 50_000
+BENT_CELLS_IN_TASK = 2000  # with 24 edges each
 ACROSS = 40  # cells in a row of the map; rows follow one another as the table grows
 
 
@@ -116,7 +117,7 @@ def bent_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     there, back = F.sequence(F.lit(0), F.lit(_STEPS - 1)), F.sequence(F.lit(_STEPS), F.lit(1))
     sides = ((there, i, j, False), (there, i + 1, j, True), (back, i, j + 1, False), (back, i, j, True))
     ring = F.flatten(F.array(*(F.transform(steps, partial(_bent, a, b, up)) for steps, a, b, up in sides)))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", ring.alias("ring"))
+    return dealt(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey", BENT_CELLS_IN_TASK).select("s_suppkey", ring.alias("ring"))
 
 
 def _sql_bent(i: str, j: str, upward: bool, t: int) -> str:

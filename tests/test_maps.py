@@ -3,6 +3,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -295,3 +296,24 @@ def test_rounds_along_cycles_broadcast_nothing(spark, monkeypatch):
     assert coverage.cycles(links).where("length = 10 and head = id - id % 10 and place = id % 10").count() == 100
     rounds = [plan for name, plan in plans if name == "cycle"]
     assert len(rounds) > 3 and not any("Broadcast" in plan for plan in rounds)
+
+
+def test_bent_cells_are_dealt_into_tasks_whatever_the_row_groups_hold(spark, tmp_path):
+    spark.range(2 * maps.BENT_CELLS_IN_TASK + 9).withColumnRenamed("id", "s_suppkey").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    sizes = [r["n"] for r in maps.bent_cells(spark, str(tmp_path)).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 3 and sum(sizes) == 2 * maps.BENT_CELLS_IN_TASK + 9 and max(sizes) <= maps.BENT_CELLS_IN_TASK
+
+
+def test_arcs_are_thinned_as_one_stream_wherever_batches_are_cut(spark, monkeypatch):
+    rng = random.Random(11)
+    arcs = [[(rng.randrange(40) * 1.0, rng.randrange(40) * 1.0) for _ in range(n)] for n in (2, 9, 30, 2, 17)]
+    rows = pd.DataFrame([(k, *p, *q) for k, line in enumerate(arcs) for p, q in zip(line, line[1:], strict=False)], columns=["arc", "x", "y", "x2", "y2"])
+    want = [p for line in arcs for p, kept in zip(line, coverage.visvalingam(*zip(*line, strict=True), 30.0), strict=True) if kept]
+    for size in (1, 4, 1000):
+        batches = [rows[k : k + size] for k in range(0, len(rows), size)] + [rows[:0]]
+        assert [tuple(p) for found in coverage._thinned(30.0)(iter(batches)) for p in found.to_numpy()] == want
+    plans = []
+    monkeypatch.setattr(coverage, "saved", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or storage.saved(df, name))
+    coverage.simplified(spark.createDataFrame(wavy(rng, 2), POLYGONS), "id", "ring", 60.0)
+    assert all("FlatMapGroups" not in plan for _, plan in plans)  # a group for each arc would cost more than its thinning
+    assert sum("Generate" in plan for _, plan in plans) == 1  # rings become rows once
